@@ -111,7 +111,8 @@ def _flight(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator, land: bo
 
 
 def _fly(pdf: pd.DataFrame, level: int, seed: int, land: bool) -> pd.DataFrame:
-    pdf = pdf.sort_values(["doc_id", "size"], kind="stable", ignore_index=True)
+    # large documents first: the two left open at the end are then small, and so is the landing's error
+    pdf = pdf.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable", ignore_index=True)
     name = pdf["source"].iloc[0]
     key = f"{seed}|{level}|{int(pdf['block'].iloc[0])}|{name if isinstance(name, str) else ''}|{isinstance(name, str)}"
     rng = np.random.default_rng(zlib.crc32(key.encode()))
