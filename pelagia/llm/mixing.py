@@ -5,7 +5,7 @@ leaves is shared again. A document then takes part target/size times: the whole
 an inclusion probability. The cube method rounds those probabilities within each source: it moves them along
 the null space of two constraints (words, documents) until they are 0 or 1, so both totals stay where they were.
 The flight runs on blocks of a few hundred documents; the two or so that each block leaves open meet in further
-rounds of blocks, and the last two of a source land one constraint at a time.
+rounds of blocks, and the last two of a source land one constraint at a time, words last.
 
 Edge cases: a null or blank text has size 0 and takes 0 words; a null source is a source of its own, the last;
 repeated rows are units of their own; an empty table gives an empty result. Draws depend on the source, the
@@ -70,43 +70,48 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
 
 
 def _flight(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
-    """Moves pi to 0 or 1 with sum(pi) and sum(pi * size) held; at most two stay open unless land is set."""
+    """Moves pi to 0 or 1 with sum(pi) and sum(pi * size) held; at most two stay open unless land is set.
+
+    Each step takes the first open unit, projects its direction on the null space of both constraints over all
+    open units, and goes to the wall on one side or the other with the odds that keep every expectation. With the
+    largest unit first, the many small ones absorb its move, and what stays open at the end is small.
+    """
     pi = pi.astype(float).copy()
-    todo = [i for i in range(len(pi)) if _OPEN < pi[i] < 1 - _OPEN]
-    draws = iter(rng.random(3 * len(todo) + 8))
-    held: list[int] = []
-
-    def move(units: list[int], u: list[float]) -> None:
-        up = min(((1 - pi[i]) / d if d > 0 else -pi[i] / d) for i, d in zip(units, u) if d)
-        down = min((pi[i] / d if d > 0 else (pi[i] - 1) / d) for i, d in zip(units, u) if d)
-        t = up if next(draws) * (up + down) < down else -down
-        for i, d in zip(units, u):
-            pi[i] += t * d
-            if pi[i] < _OPEN:
-                pi[i] = 0.0
-            elif pi[i] > 1 - _OPEN:
-                pi[i] = 1.0
-
-    def settle() -> None:
-        held[:] = [i for i in held if 0 < pi[i] < 1]
-
-    for i in todo:
-        held.append(i)
-        if len(held) == 3:
-            a, b, c = (float(size[j]) for j in held)
-            if a == b == c:
-                move(held[:2], [1.0, -1.0])
-            else:
-                scale = max(abs(b - c), abs(c - a), abs(a - b))
-                move(held, [(b - c) / scale, (c - a) / scale, (a - b) / scale])
-            settle()
-    if land:
-        if len(held) == 2:  # words only; the number of documents may move by less than one
-            a, b = (max(float(size[j]), 0.5) for j in held)
-            move(held, [1.0, -a / b])
-            settle()
-        for i in held:
-            pi[i] = float(next(draws) < pi[i])
+    scaled = size / max(1.0, float(size.max(initial=0)))
+    open_ = np.flatnonzero((pi > _OPEN) & (pi < 1 - _OPEN))
+
+    def move(units: np.ndarray, u: np.ndarray) -> None:
+        go = np.abs(u) > 1e-12
+        at, d = units[go], u[go]
+        up = float(np.min(np.where(d > 0, 1 - pi[at], pi[at]) / np.abs(d)))
+        down = float(np.min(np.where(d > 0, pi[at], 1 - pi[at]) / np.abs(d)))
+        pi[at] += (up if rng.random() * (up + down) < down else -down) * d
+        pi[at] = np.where(pi[at] < _OPEN, 0.0, np.where(pi[at] > 1 - _OPEN, 1.0, pi[at]))
+
+    def direction(basis: list[np.ndarray], n: int) -> np.ndarray | None:
+        for k in range(n):
+            u = -sum(q * q[k] for q in basis) if basis else np.zeros(n)
+            u[k] += 1
+            if u[k] > 1e-7:  # the square of its length, as for every projection of an axis
+                return u
+        return None
+
+    def basis(s: np.ndarray, documents: bool, both: bool) -> list[np.ndarray]:
+        """Orthonormal columns of the constraints that hold."""
+        n = len(s)
+        one = np.full(n, n**-0.5)
+        rest = s - s.mean() if both else s
+        length = float(np.sqrt(rest @ rest))
+        return ([one] if documents else []) + ([rest / length] if length > 1e-9 * n else [])
+
+    for documents, amounts in ((True, True), (False, True), (False, False)) if land else ((True, True),):
+        while len(open_):
+            columns = basis(scaled[open_], documents, documents) if amounts else []
+            u = direction(columns, len(open_))
+            if u is None:
+                break
+            move(open_, u)
+            open_ = open_[(pi[open_] > 0) & (pi[open_] < 1)]
     return pi
 
 
