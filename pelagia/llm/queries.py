@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import mixing, quality_rules
+from pelagia.llm import mixing, near_dedup, quality_rules
 from pelagia.llm.common import table
 
 
@@ -20,8 +20,12 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", F.col("taken"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.assign(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_quality_rules, op6_source_mixing)}
+    return {f.__name__: f for f in (op3_quality_rules, op6_source_mixing, op7_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
