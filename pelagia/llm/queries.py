@@ -5,16 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import mixing, near_dedup, quality_rules
+from pelagia.llm import mixing, near_dedup, pii, piece_sampling, quality_rules
 from pelagia.llm.common import table
 
 
+#: The test queries' key; a real run passes a secret of its own.
+PII_KEY = "published test key"
+
+
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    changed = F.filter("pii", lambda p: p["found"] != p["text"])
+    out = pii.pseudonymize(docs, PII_KEY).withColumn("changed", changed)
+    return out.select("doc_id", "text", F.size("changed").cast("long").alias("n_replaced"), F.array_sort(F.array_distinct("changed.kind")).alias("kinds"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality_rules.judge(docs).select(*cols)
 
 
+#: Where the box keeps public tokenizers; a parameter of every function that needs one.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op5_piece_sampling(spark: SparkSession, sf_dir: str, model_file: str = PIECE_MODEL) -> DataFrame:
+    """Two segmentations of every text; whether each decodes to its text is told by the texts' hashes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = piece_sampling.encode(docs, model_file, k=2, with_text=True)
+    return encoded.select(
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "inclusion", F.xxhash64("text").alias("decoded_hash")
+    )
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", F.col("taken"))
@@ -25,7 +49,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_quality_rules, op6_source_mixing, op7_near_dedup)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
