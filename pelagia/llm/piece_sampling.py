@@ -14,7 +14,7 @@ draw's number and the character's place: results do not depend on partitions, ba
 A space is the piece mark, one is put before the text, and characters outside the vocabulary become bytes, as
 the model does; a literal piece mark also becomes bytes, so decoding returns every text exactly. Edge cases: null
 and empty texts have no pieces, one sample, probability 1; a text with fewer than k segmentations gives all it has, each
-with inclusion 1; repeated rows give equal rows; an empty table gives none; other columns play no part.
+with log inclusion 0; repeated rows give equal rows; an empty table gives none; other columns play no part.
 """
 
 from __future__ import annotations
@@ -206,11 +206,11 @@ class Segmenter:
         return out, steps
 
     def sample(self, texts: pa.Array, keys: np.ndarray, k: int, seed: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
-        """(row, sample number, piece ids, log-probability, perturbed value, inclusion probability) for every row and draw."""
+        """(row, sample number, piece ids, log-probability, perturbed value, log of the inclusion probability) for every row and draw."""
         for first, last, data, offsets in text_blocks(texts):
             sizes = np.diff(offsets)
             for r in np.flatnonzero(sizes == 0):
-                yield first + int(r), 0, np.zeros(0, np.int32), 0.0, 0.0, 1.0
+                yield first + int(r), 0, np.zeros(0, np.int32), 0.0, 0.0, 0.0
             rows = np.flatnonzero(sizes > 0)
             if not len(rows):
                 continue
@@ -330,7 +330,8 @@ class Segmenter:
             ids, id_at = self._ids(lat["piece"][flat], at)
             for d in np.flatnonzero(np.diff(at) > 0):
                 logp = float(lp[at[d + 1]] - lp[at[d]])
-                share = 1.0 if not np.isfinite(threshold[d]) else float(-np.expm1(-np.exp(min(logp - threshold[d], 50.0))))
+                over = logp - threshold[d]  # threshold -inf: every segmentation was drawn
+                share = over if over < -30 else float(np.log(-np.expm1(-np.exp(min(over, 50.0)))))
                 yield d, draw, ids[id_at[d] : id_at[d + 1]], logp, float(bounds[draw][d]), share
 
     @staticmethod
@@ -395,7 +396,7 @@ def _truncated(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray
 
 _worker: dict[tuple, Segmenter] = {}
 
-ENCODED = "doc_id long, sample int, ids array<int>, log_prob double, perturbed double, inclusion double"
+ENCODED = "doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
 
 
 def encode(docs: DataFrame, model_file: str, k: int = 2, seed: int = 11, theta: float = 1.0, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
@@ -434,7 +435,7 @@ def _encoded(keys: np.ndarray, rows: list[tuple], spelt: list[bytes] | None) ->
     at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
     columns = [pa.array(keys[list(row)]), pa.array(sample, pa.int32()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids)))]
     columns += [pa.array(x, pa.float64()) for x in numbers]
-    names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion"]
+    names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion"]
     if spelt is not None:
         columns.append(pa.array([b"".join(map(spelt.__getitem__, x.tolist()))[1:] for x in ids], pa.binary()).cast(pa.string()))
         names.append("text")
@@ -466,6 +467,6 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
             texts = [b"".join(spelt[a - shift : b - shift])[1:].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
             columns = list(batch.columns)
             columns[2] = pa.array(texts, pa.string())
-            yield pa.record_batch(columns, names=["doc_id", "sample", "text", "log_prob", "perturbed", "inclusion"])
+            yield pa.record_batch(columns, names=["doc_id", "sample", "text", "log_prob", "perturbed", "log_inclusion"])
 
     return encoded.mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import mixing, near_dedup, pii, piece_sampling, quality_rules
+from pelagia.llm import chat_format, mixing, near_dedup, pii, piece_sampling, quality_rules
 from pelagia.llm.common import table
 
 
@@ -35,7 +35,7 @@ def op5_piece_sampling(spark: SparkSession, sf_dir: str, model_file: str = PIECE
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = piece_sampling.encode(docs, model_file, k=2, with_text=True)
     return encoded.select(
-        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "inclusion", F.xxhash64("text").alias("decoded_hash")
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion", F.xxhash64("text").alias("decoded_hash")
     )
 
 
@@ -48,8 +48,16 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(said).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.digests(chat_format.windows(turns))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op9_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
