@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import chat_format, mixing, near_dedup, pii, piece_sampling, quality_rules
+from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_rules
 from pelagia.llm.common import table
 
 
@@ -56,8 +56,12 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.windows(turns))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.by_document(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op9_chat_format)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op9_chat_format, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
