@@ -4,9 +4,9 @@ A text's set is its distinct five-word shingles (A-Z lower-cased). Equal sets be
 group of copies is one row afterwards. Each class has a HyperMinHash sketch: for every bucket of its hashes the
 leading-zero count and ten mantissa bits of the smallest one. Bands over the registers (empty ones filled from
 the next full one) propose pairs, the collision-corrected Jaccard estimate drops the hopeless ones, and full sets
-confirm the rest. No bucket ever emits all its pairs: first each class meets the smallest class of its buckets,
-best estimate first; then only pairs that are still in different components and look alike are tried, bucket by
-bucket in square tiles of bounded size.
+confirm the rest. No bucket ever emits all its pairs: first each class meets the likeliest smallest class of its
+buckets; then, in rounds over square tiles of bounded size, each class meets its likeliest partners in other
+components, and components are merged between rounds, until no likely pair across components is left untried.
 
 Links: 100 * intersection >= percent * union. With 25 bands of 5 registers a pair at 0.85 is missed with odds of
 4e-7. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
@@ -17,6 +17,7 @@ smallest sketch stands for it; an empty table gives an empty result; other colum
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -131,21 +132,41 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _tile_pairs(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of one tile that are in different components and whose estimates are near the threshold."""
+def _tile_pairs(pdf: pd.DataFrame, percent: int, k: int) -> pd.DataFrame:
+    """Up to k likely partners in other components for every row of a tile, best estimate first.
+
+    open marks the rows that have more than k. A pair left out is open on both sides, so the next round needs
+    the open rows alone.
+    """
     lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-    x, y = pdf[pdf["chunk"] == lo], pdf[pdf["chunk"] == hi]
-    rx, ry = (np.frombuffer(b"".join(p["regs"]), np.uint16).reshape(-1, BUCKETS) for p in (x, y))
-    found = []
-    cx, cy, nx, ny, ix, iy = (p[c].to_numpy() for c in ("comp", "n", "rep") for p in (x, y))
-    for i in range(len(x)):
-        fit = (cy != cx[i]) & (100 * np.minimum(ny, nx[i]) >= percent * np.maximum(ny, nx[i]))
-        fit &= iy > ix[i] if lo == hi else True
+    pdf = pdf.sort_values(["chunk", "rep"], ignore_index=True)
+    regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, BUCKETS)
+    full = (regs > 0).sum(axis=1)
+    comp, n, rep, chunk = (pdf[c].to_numpy() for c in ("comp", "n", "rep", "chunk"))
+    found: list[tuple] = []
+    for i in range(len(pdf)):
+        fit = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+        if lo != hi:
+            fit &= chunk != chunk[i]
         at = np.flatnonzero(fit)
-        if len(at):
-            est = estimate(rx[i][None, :], ry[at], nx[i], ny[at])
-            found += [(min(ix[i], iy[j]), max(ix[i], iy[j])) for j in at[est >= percent / 100 - SLACK]]
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        if not len(at):
+            continue
+        same = ((regs[at] == regs[i]) & (regs[i] > 0)).sum(axis=1)
+        at = at[same >= (percent / 100 - SLACK) * np.maximum(full[at], full[i])]  # no pair uses fewer registers
+        if not len(at):
+            continue
+        est = estimate(regs[i][None, :], regs[at], n[i], n[at])
+        at, est = at[est >= percent / 100 - SLACK], est[est >= percent / 100 - SLACK]
+        best = np.lexsort((rep[at], -est))[:k]
+        found += [(rep[i], chunk[i], min(rep[i], rep[j]), max(rep[i], rep[j]), len(at) > k) for j in at[best]]
+    out = pd.DataFrame(found, columns=["rep", "chunk", "a", "b", "open"])
+    out.insert(0, "band", pdf["band"].iloc[0])
+    out.insert(1, "lo", lo)
+    out.insert(2, "hi", hi)
+    return out
+
+
+_TILE_OUT = "band long, lo int, hi int, rep long, chunk int, a long, b long, open boolean"
 
 
 class NearDuplicates:
@@ -206,12 +227,21 @@ class NearDuplicates:
         tiled = placed.join(mixed, "band").join(self.classes.select("rep", "n", "regs"), "rep")
         tiled = tiled.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int"))
         tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        tiled = tiled.select("band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "n", "comp", "regs")
-        percent = self.percent
-        run = lambda pdf: _tile_pairs(pdf, percent)
-        more = tiled.groupBy("band", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
-        more = materialize(more.join(best, ["a", "b"], "left_anti"))
-        return links.union(self._confirmed(more))
+        tiled = materialize(tiled.select("band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "n", "regs"))
+        tried, width = best, 1
+        while True:
+            now = tiled.join(comp, F.col("rep") == F.col("node"), "left").withColumn("comp", home).drop("node", "component")
+            run = partial(_tile_pairs, percent=self.percent, k=width)
+            found = materialize(now.groupBy("band", "lo", "hi").applyInPandas(run, _TILE_OUT))
+            pairs = materialize(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+            if not pairs.isEmpty():
+                links = materialize(links.union(self._confirmed(pairs)))
+                comp = materialize(connected_components(links))
+                tried = materialize(tried.union(pairs))
+            rest = found.where("open").select("band", "lo", "hi", "rep", "chunk").distinct()
+            if rest.isEmpty():
+                return links
+            tiled, width = materialize(tiled.join(rest, ["band", "lo", "hi", "rep", "chunk"], "left_semi")), 4 * width
 
     def assign(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept for every row."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_rules
+from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_rules, toxicity
 from pelagia.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("changed").cast("long").alias("n_replaced"), F.array_sort(F.array_distinct("changed.kind")).alias("kinds"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_finds")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -61,7 +69,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op9_chat_format, op10_license_scan)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op9_chat_format, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
