@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_rules, toxicity
+from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, toxicity
 from pelagia.llm.common import table
 
 
@@ -56,6 +56,14 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    vectors, network = quality_model.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = quality_model.score(docs, vectors, network)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
@@ -69,7 +77,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op9_chat_format, op10_license_scan)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

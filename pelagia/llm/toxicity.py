@@ -129,7 +129,7 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.n
     return post, right, company
 
 
-def linear_model(x: np.ndarray, target: np.ndarray, steps: int = 600, shrink: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear_model(x: np.ndarray, target: np.ndarray, steps: int = 1500, shrink: float = 1e-5) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels, both classes weighing alike, by accelerated gradient steps."""
     w, b = np.zeros(x.shape[1]), 0.0
     share = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
