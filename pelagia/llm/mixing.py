@@ -19,7 +19,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagia.llm.common import WORD, dimension_join, materialize
@@ -156,3 +156,28 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", seed: int =
     copies = F.col("whole") + F.col("pi").cast("long")
     out = out.withColumn("copies", copies)
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def sample(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it.
+
+    Rows that share a key are told apart by their size and then by their number among equals: rows alike
+    in key, source and size are interchangeable to the draw, so their copies are dealt out in any order.
+    Taken rows are joined back by key; where few are not taken once, only those are broadcast.
+    """
+    plan = materialize(mix(docs.withColumnRenamed(key, "doc_id") if key != "doc_id" else docs, text, source, **options).select("doc_id", "size", "source", "copies"))
+    total = plan.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    spread = lambda df: df.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).drop("__i", "__copies")
+    if total["rows"] == total["ids"]:
+        per = plan.select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).where("__copies > 0")
+        return spread(docs.join(per, docs[key] == F.col("__id")).drop("__id")).select(*docs.columns)
+    # repeated ids: the copies of alike rows are totalled, and each alike row takes its part of the total
+    alike = plan.groupBy("doc_id", "size", "source").agg(F.sum("copies").alias("__sum"), F.count("*").alias("__n"))
+    alike = alike.withColumnsRenamed({"doc_id": "__id", "size": "__size", "source": "__source"})
+    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
+    rows = docs.withColumn("__words", size)
+    on = rows[key].eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")) & rows[source].eqNullSafe(F.col("__source"))
+    place = F.row_number().over(Window.partitionBy(key, "__words", source).orderBy(F.xxhash64(text)))
+    rows = rows.join(alike, on).withColumn("__k", place)
+    share = F.floor(F.col("__sum") / F.col("__n")) + (F.col("__k") <= F.col("__sum") % F.col("__n")).cast("long")
+    return spread(rows.withColumn("__copies", share.cast("long")).where("__copies > 0")).select(*docs.columns)
