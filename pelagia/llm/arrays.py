@@ -59,13 +59,18 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: White space and ASCII marks, for callers that want letters and digits only.
+MARKS = _SPACES.copy()
+MARKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+
+
+def word_bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word; words never cross rows."""
     n = len(data)
     if not n:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    word = ~_SPACES[data]
+    word = ~separators[data]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     before = np.empty(n, bool)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, toxicity
+from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, search, toxicity
 from pelagia.llm.common import table
 
 
@@ -34,6 +34,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select(*cols)
 
 
+def op4_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 20 asks; all others may answer."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.search(search.build_index(docs), docs.where(F.col("doc_id") % 20 == 0))
+
+
 #: Where the box keeps public tokenizers; a parameter of every function that needs one.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -77,7 +83,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
