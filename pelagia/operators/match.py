@@ -7,11 +7,12 @@ import difflib
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pelagia.functions.text import suffixes_agree, vessel_name
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """difflib's ratio of b against a; the second sequence is the one that is indexed."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
