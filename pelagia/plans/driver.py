@@ -74,7 +74,7 @@ def _metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hav(a: str, b: str, c: str, d: str) -> str:
-    return f"2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
+    return f"2 * 6371.0 * asin(sqrt(pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2)))"
 
 
 _PORT_ROWS = ", ".join(f"({i}, '{n}', {y}::DOUBLE, {x}::DOUBLE)" for i, (n, y, x) in enumerate(POINTS))
