@@ -1,0 +1,113 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+from helpers import DOCS, awkward, empty, rows
+from pyspark.sql import functions as F
+
+from pelagia.llm import mixing, quality_rules
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_counts(t):
+    w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    grams = Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+    cover = [False] * len(w)
+    for j in range(len(w) - 4):
+        if grams[tuple(w[j : j + 5])] > 1:
+            cover[j : j + 5] = [True] * 5
+    lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, rep = len(w), sum(cover)
+    return n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), rep, n < 10 or 100 * rep > 20 * n
+
+
+COLS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def test_counts_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(awkward(spark))
+    got = quality_rules.measure(docs).collect()
+    assert [tuple(r[c] for c in COLS) for r in got] == [brute_counts(r["text"]) for r in got]
+
+
+def test_bad_hosts_take_their_documents(spark):
+    good = " ".join(f"w{i}" for i in range(20))
+    docs = [(i, good if i % 4 == 0 else "short", "en", "http://bad.example/x", 1) for i in range(80)] + [(100 + i, good, "en", f"h{i % 3}", 1) for i in range(90)]
+    got = quality_rules.judge(spark.createDataFrame(docs, DOCS))
+    kept = {r.doc_id for r in got.where("kept").collect()}
+    assert kept == {100 + i for i in range(90)}
+    assert {r.host for r in got.select("host").distinct().collect()} == {"bad.example", "h0", "h1", "h2"}
+    assert {r.doc_id for r in quality_rules.keep(spark.createDataFrame(docs, DOCS)).collect()} == kept
+
+
+def test_rules_on_awkward_and_empty(spark):
+    judged = quality_rules.judge(awkward(spark))
+    assert judged.count() == 10 and judged.where("kept").count() == 0
+    assert quality_rules.judge(empty(spark)).count() == 0
+    clash = awkward(spark).withColumns({"host_ok": F.lit(1), "alpha": F.lit(2)})
+    assert quality_rules.keep(clash).columns == clash.columns
+
+
+def brute_targets(sizes, cap=3.0):
+    order = sorted(k for k in sizes if k is not None) + ([None] if None in sizes else [])
+    weight = {k: 1.0 + i % 3 for i, k in enumerate(order)}
+    target, total, open_ = {}, float(sum(sizes.values())), set(order)
+    while open_:
+        level = (total - sum(target.values())) / sum(weight[k] for k in open_)
+        full = {k for k in open_ if cap * sizes[k] <= level * weight[k]}
+        target |= {k: cap * sizes[k] for k in full} if full else {k: level * weight[k] for k in open_}
+        open_ = open_ - full if full else set()
+    return target
+
+
+def test_targets_against_brute_force(spark):
+    sizes = {"a": 1000, "b": 10, "c": 500, "é": 40, "Z": 7, None: 300, "zero": 0}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+    want = brute_targets(sizes)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_flight_keeps_totals_and_chances():
+    size = np.sort(np.random.default_rng(1).lognormal(5, 1, 80).astype(int))[::-1].astype(float)
+    hits = np.zeros(80)
+    for k in range(600):
+        out = mixing._flight(size, np.full(80, 0.4), np.random.default_rng(k), True)
+        assert set(out) <= {0.0, 1.0} and abs(out.sum() - 32) <= 1.01 and abs(out @ size - 0.4 * size.sum()) <= 2 * size[-3:].max() + 2
+        hits += out
+    assert np.abs(hits / 600 - 0.4).max() < 0.09
+
+
+def test_flight_leaves_two_open_and_takes_equal_sizes():
+    out = mixing._flight(np.array([5.0] * 9), np.full(9, 0.5), np.random.default_rng(2), False)
+    assert ((out > 0) & (out < 1)).sum() <= 2 and out.sum() == pytest.approx(4.5)
+    assert mixing._flight(np.zeros(0), np.zeros(0), np.random.default_rng(2), True).size == 0
+
+
+def test_mix_is_near_its_targets_and_repeats_itself(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
+    got = mixing.mix(docs).toPandas()
+    per = got.groupby("source").agg(size=("size", "sum"), target=("target", "first"), taken=("taken", "sum"))
+    assert (abs(per["taken"] - per["target"]) < 60).all()
+    assert (got["taken"] <= 3 * got["size"]).all()
+    want = brute_targets(per["size"].to_dict())
+    assert all(per["target"][k] == pytest.approx(want[k]) for k in want)
+    again = mixing.mix(docs.repartition(5)).toPandas()
+    key = ["doc_id", "taken"]
+    pd.testing.assert_frame_equal(got[key].sort_values(key, ignore_index=True), again[key].sort_values(key, ignore_index=True))
+    dealt = mixing.sample(docs).groupBy("doc_id").count().toPandas().set_index("doc_id")["count"]
+    wanted = got[got["copies"] > 0].set_index("doc_id")["copies"]
+    assert dealt.sort_index().tolist() == wanted.sort_index().tolist()
+
+
+def test_mixing_on_awkward_and_empty(spark):
+    got = mixing.mix(awkward(spark))
+    assert got.count() == 10 and got.where("doc_id in (1, 2, 3)").agg(F.sum("taken")).first()[0] == 0
+    assert mixing.mix(empty(spark)).count() == 0
+    dealt = mixing.sample(awkward(spark))
+    assert dealt.columns == awkward(spark).columns
+    assert dealt.count() == got.agg(F.sum("copies")).first()[0]
+    assert rows(mixing.sample(empty(spark)), "doc_id") == []
