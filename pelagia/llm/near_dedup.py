@@ -7,6 +7,8 @@ the next full one) propose pairs, the collision-corrected Jaccard estimate drops
 confirm the rest. No bucket ever emits all its pairs: first each class meets the likeliest smallest class of its
 buckets; then, in rounds over square tiles of bounded size, each class meets its likeliest partners in other
 components, and components are merged between rounds, until no likely pair across components is left untried.
+Classes that take part in tiles have a finer sketch as well, so the many pairs of a group a little below the
+threshold are told from links without reading their sets.
 
 Links: 100 * intersection >= percent * union. With 25 bands of 5 registers a pair at 0.85 is missed with odds of
 4e-7. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
@@ -35,25 +37,29 @@ BAND_WIDTH = 5
 BANDS = BUCKETS // BAND_WIDTH
 #: Pairs whose estimate is this far below the threshold are not confirmed: four standard errors of 128 registers.
 SLACK = 0.13
+#: The finer sketch of classes in tiles, and four standard errors of it.
+FINE_BUCKETS = 512
+FINE_SLACK = 0.065
 #: Members a tile of a bucket has on each side.
 TILE = 512
 _U = np.uint64
 
 
-def registers(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def registers(hashes: np.ndarray, bounds: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     """HyperMinHash registers (uint16) of each row's ascending hashes: 0 is empty, else (zeros + 1) * 1024 + mantissa."""
     n = len(bounds) - 1
+    bits = buckets.bit_length() - 1
     row = np.repeat(np.arange(n), np.diff(bounds))
-    cell = row * BUCKETS + (hashes >> _U(57)).astype(np.int64)
+    cell = row * buckets + (hashes >> _U(64 - bits)).astype(np.int64)
     first = np.ones(len(cell), bool)
     first[1:] = cell[1:] != cell[:-1]
-    rest = hashes[first] << _U(7)
+    rest = hashes[first] << _U(bits)
     head = (rest >> _U(11)).astype(np.float64)
     zeros = np.where(head > 0, 53 - np.frexp(head)[1], 53).astype(np.uint64)
     mantissa = (rest << (zeros + _U(1))) >> _U(64 - MANTISSA)
-    out = np.zeros(n * BUCKETS, np.uint16)
+    out = np.zeros(n * buckets, np.uint16)
     out[cell[first]] = ((zeros + _U(1)) * _U(1 << MANTISSA) + mantissa).astype(np.uint16)
-    return out.reshape(n, BUCKETS)
+    return out.reshape(n, buckets)
 
 
 def bands(regs: np.ndarray) -> np.ndarray:
@@ -82,26 +88,35 @@ def estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np
 _SKETCH = "doc_id long, n long, f1 long, f2 long, regs binary"
 
 
+def _marks(h: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    """Two sums over each row's set that tell different sets apart."""
+    sums = [np.concatenate([[_U(0)], np.cumsum(mix(h ^ _U(salt)))]) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+    return [pa.array((m[at[1:]] - m[at[:-1]]).view(np.int64)) for m in sums]
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for first, last, data, offsets in text_blocks(batch.column(1)):
             h, at = shingles(data, offsets)
             regs = registers(h, at)
-            marks = [np.concatenate([[_U(0)], np.cumsum(mix(h ^ _U(salt)))]) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
-            sums = [(m[at[1:]] - m[at[:-1]]).view(np.int64) for m in marks]
             yield pa.record_batch(
-                [ids.slice(first, last - first), pa.array(np.diff(at).astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.array([r.tobytes() for r in regs], pa.binary())],
+                [ids.slice(first, last - first), pa.array(np.diff(at).astype(np.int64)), *_marks(h, at), pa.array([r.tobytes() for r in regs], pa.binary())],
                 names=["doc_id", "n", "f1", "f2", "regs"],
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_SET = "id long, n long, f1 long, f2 long, members binary"
+
+
+def _sets(batches: Iterator[pa.RecordBatch], fine: bool = False) -> Iterator[pa.RecordBatch]:
+    """Whole sets as packed hashes, or their finer sketches."""
     for batch in batches:
         for first, last, data, offsets in text_blocks(batch.column(1)):
             h, at = shingles(data, offsets)
-            packed = pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(last - first)], pa.binary())
-            yield pa.record_batch([batch.column(0).slice(first, last - first), packed], names=["id", "members"])
+            parts = registers(h, at, FINE_BUCKETS) if fine else [h[at[i] : at[i + 1]] for i in range(last - first)]
+            packed = pa.array([x.tobytes() for x in parts], pa.binary())
+            yield pa.record_batch([batch.column(0).slice(first, last - first), pa.array(np.diff(at).astype(np.int64)), *_marks(h, at), packed], names=["id", "n", "f1", "f2", "members"])
 
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,6 +156,7 @@ def _tile_pairs(pdf: pd.DataFrame, percent: int, k: int) -> pd.DataFrame:
     lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
     pdf = pdf.sort_values(["chunk", "rep"], ignore_index=True)
     regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, BUCKETS)
+    fine = np.frombuffer(b"".join(pdf["fine"]), np.uint16).reshape(-1, FINE_BUCKETS)
     full = (regs > 0).sum(axis=1)
     comp, n, rep, chunk = (pdf[c].to_numpy() for c in ("comp", "n", "rep", "chunk"))
     found: list[tuple] = []
@@ -156,7 +172,9 @@ def _tile_pairs(pdf: pd.DataFrame, percent: int, k: int) -> pd.DataFrame:
         if not len(at):
             continue
         est = estimate(regs[i][None, :], regs[at], n[i], n[at])
-        at, est = at[est >= percent / 100 - SLACK], est[est >= percent / 100 - SLACK]
+        at = at[est >= percent / 100 - SLACK]
+        est = estimate(fine[i][None, :], fine[at], n[i], n[at])
+        at, est = at[est >= percent / 100 - FINE_SLACK], est[est >= percent / 100 - FINE_SLACK]
         best = np.lexsort((rep[at], -est))[:k]
         found += [(rep[i], chunk[i], min(rep[i], rep[j]), max(rep[i], rep[j]), len(at) > k) for j in at[best]]
     out = pd.DataFrame(found, columns=["rep", "chunk", "a", "b", "open"])
@@ -192,15 +210,19 @@ class NearDuplicates:
         scored = pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_score, "a long, b long, est double")
         return scored.where(F.col("est") >= self.percent / 100 - SLACK)
 
+    def _read(self, ids: DataFrame, fine: bool = False) -> DataFrame:
+        """id and members for the ids asked for, from their texts: packed sets, or finer sketches."""
+        ids = materialize(ids.distinct())
+        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+        rows = self.docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(partial(_sets, fine=fine), _SET)
+        if self.repeated:
+            least = F.min(F.struct("n", "f1", "f2", "members"))
+            rows = rows.groupBy("id").agg(least.alias("s")).select("id", "s.*")
+        return rows.select("id", "members")
+
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the threshold. Only the texts of these pairs are read into sets again."""
-        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        n = ids.count()
-        wanted = F.broadcast(ids) if n <= BROADCAST_ROWS else ids
-        sets = self.docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets, "id long, members binary")
-        if self.repeated:
-            sets = sets.groupBy("id").agg(F.min("members").alias("members"))
-        sets = sets.repartition("id")
+        sets = self._read(pairs.select(F.explode(F.array("a", "b")).alias("id"))).repartition("id")
         with_b = pairs.select("a", "b").join(sets.toDF("b", "mb"), "b")
         both = with_b.join(sets.toDF("a", "ma"), "a").select("a", "b", "ma", "mb")
         percent = self.percent
@@ -224,10 +246,12 @@ class NearDuplicates:
         placed = materialize(placed)
         mixed = placed.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("band")
         chunks = F.ceil(F.col("k") / F.lit(TILE)).cast("int")
-        tiled = placed.join(mixed, "band").join(self.classes.select("rep", "n", "regs"), "rep")
+        tiled = materialize(placed.join(mixed, "band"))
+        fine = materialize(self._read(tiled.select(F.col("rep").alias("id")), fine=True).toDF("rep", "fine"))
+        tiled = tiled.join(self.classes.select("rep", "n", "regs"), "rep").join(fine, "rep")
         tiled = tiled.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int"))
         tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        tiled = materialize(tiled.select("band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "n", "regs"))
+        tiled = materialize(tiled.select("band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "n", "regs", "fine"))
         tried, width = best, 1
         while True:
             now = tiled.join(comp, F.col("rep") == F.col("node"), "left").withColumn("comp", home).drop("node", "component")
