@@ -61,19 +61,24 @@ def measure(docs: DataFrame, text: str = "text", width: int = 5) -> DataFrame:
     safe = F.coalesce(F.col(text), F.lit(""))
     plain = F.translate(safe, " \t\n\x0b\f\r", "")
     lines = F.filter(F.split(safe, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
-    out = docs.withColumns({"__words": words(F.col(text)), "__lines": lines})
-    out = out.withColumns({"__grams": _window_hashes(F.col("__words"), width)})
-    out = out.withColumns(
+
+    def counted(ws: Column) -> Column:
+        n = F.size(ws).cast("long")
+        repeated = lambda r: F.struct(n.alias("n_words"), r.alias("n_repeat_words"), ((n < MIN_WORDS) | (100 * r > MAX_REPEAT_PERCENT * n)).alias("base_failed"))
+        return _let(_let(_window_hashes(ws, width), lambda g: _covered(g, width)), repeated)
+
+    # each list is bound once: a filter on a count, pushed down to the scan, then still splits a text once
+    out = docs.withColumn("__c", _let(words(F.col(text)), counted))
+    return out.withColumns(
         {
-            "n_words": F.size("__words").cast("long"),
+            "n_words": F.col("__c.n_words"),
             "word_chars": F.length(plain).cast("long"),
             "n_symbols": (F.length(safe) - F.length(F.translate(safe, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-            "n_repeat_words": _covered(F.col("__grams"), width),
+            "n_dup_lines": _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
+            "n_repeat_words": F.col("__c.n_repeat_words"),
+            "base_failed": F.col("__c.base_failed"),
         }
-    ).drop("__words", "__lines", "__grams")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed)
+    ).drop("__c")
 
 
 def host_of(source: Column) -> Column:
