@@ -5,7 +5,7 @@ leaves is shared again. A document then takes part target/size times: the whole
 an inclusion probability. The cube method rounds those probabilities within each source: it moves them along
 the null space of two constraints (words, documents) until they are 0 or 1, so both totals stay where they were.
 The flight runs on blocks of a few hundred documents; the two or so that each block leaves open meet in further
-rounds of blocks, and the last two of a source land one constraint at a time, words last.
+rounds of blocks, and the last dozen of a source land by the rounding of all of them that moves the fewest words.
 
 Edge cases: a null or blank text has size 0 and takes 0 words; a null source is a source of its own, the last;
 repeated rows are units of their own; an empty table gives an empty result. Draws depend on the source, the
@@ -28,6 +28,8 @@ CAP = 3.0
 #: Weights by a source's place in code point order, repeating.
 WEIGHTS = (1.0, 2.0, 3.0)
 BLOCK = 512
+#: Units of a source that the flight leaves to the landing; all their roundings are tried.
+LANDING = 12
 _OPEN = 1e-9
 
 
@@ -70,7 +72,7 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
 
 
 def _flight(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
-    """Moves pi to 0 or 1 with sum(pi) and sum(pi * size) held; at most two stay open unless land is set.
+    """Moves pi to 0 or 1 with sum(pi) and sum(pi * size) held; at most two stay open, or with land a dozen, which land.
 
     Each step takes the first open unit, projects its direction on the null space of both constraints over all
     open units, and goes to the wall on one side or the other with the odds that keep every expectation. With the
@@ -96,25 +98,32 @@ def _flight(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator, land: bo
                 return u
         return None
 
-    def basis(s: np.ndarray, documents: bool, both: bool) -> list[np.ndarray]:
-        """Orthonormal columns of the constraints that hold."""
+    def basis(s: np.ndarray) -> list[np.ndarray]:
+        """Orthonormal columns of both constraints."""
         n = len(s)
-        one = np.full(n, n**-0.5)
-        rest = s - s.mean() if both else s
+        rest = s - s.mean()
         length = float(np.sqrt(rest @ rest))
-        return ([one] if documents else []) + ([rest / length] if length > 1e-9 * n else [])
-
-    for documents, amounts in ((True, True), (False, True), (False, False)) if land else ((True, True),):
-        while len(open_):
-            columns = basis(scaled[open_], documents, documents) if amounts else []
-            u = direction(columns, len(open_))
-            if u is None:
-                break
-            move(open_, u)
-            open_ = open_[(pi[open_] > 0) & (pi[open_] < 1)]
+        return [np.full(n, n**-0.5)] + ([rest / length] if length > 1e-9 * n else [])
+
+    while len(open_) > (LANDING if land else 0):
+        u = direction(basis(scaled[open_]), len(open_))
+        if u is None:
+            break
+        move(open_, u)
+        open_ = open_[(pi[open_] > 0) & (pi[open_] < 1)]
+    if land and len(open_):
+        pi[open_] = _landing(size[open_], pi[open_], rng)
     return pi
 
 
+def _landing(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """The rounding of a few units that moves the fewest words; documents beyond the nearest count weigh, ties go by chance."""
+    tries = (np.arange(1 << len(pi))[:, None] >> np.arange(len(pi))) & 1
+    words, documents = np.abs(tries @ size - pi @ size), np.abs(tries.sum(axis=1) - pi.sum())
+    words = words + np.maximum(0, documents - 1) * size.mean() / 4
+    return tries[np.lexsort((rng.random(len(tries)), words))[0]].astype(float)
+
+
 def _fly(pdf: pd.DataFrame, level: int, seed: int, land: bool) -> pd.DataFrame:
     # large documents first: the two left open at the end are then small, and so is the landing's error
     pdf = pdf.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable", ignore_index=True)

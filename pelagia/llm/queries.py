@@ -86,5 +86,26 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan)}
 
 
+#: op3 in DuckDB SQL. The other operators draw, learn or search in ways SQL has no words for; tests hold them against
+#: brute force, round trips and held-out labels.
+QUALITY_RULES_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+  CASE WHEN source IS NULL THEN NULL ELSE coalesce(nullif(regexp_extract(lower(source), '^(?:[a-z][a-z0-9+.-]*://)?(?:[^/@]*@)?([^/:?#]+)', 1), ''), lower(source)) END AS host FROM d),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i+4], ' ')) AS c FROM w, unnest(range(1, len(ws) - 3)) t(i)),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM g, unnest([0, 1, 2, 3, 4]) u(k) WHERE c > 1 GROUP BY doc_id),
+m AS (SELECT w.doc_id, host, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+h AS (SELECT host, count(*) AS n, count(*) FILTER (base_failed) AS f FROM b WHERE host IS NOT NULL GROUP BY host),
+s AS (SELECT avg(f / n) AS mu, var_pop(f / n) AS v, avg(1 / n) AS inv FROM h),
+p AS (SELECT mu, CASE WHEN mu > 0 AND mu < 1 THEN least(greatest(mu * (1 - mu) / greatest(v - mu * (1 - mu) * inv, mu * (1 - mu) / 10001) - 1, 1), 10000) END AS k FROM s),
+x AS (SELECT host FROM h, p WHERE n >= 20 AND (f + coalesce(mu * k, mu + 0.01)) / (n + coalesce(k, 1.02)) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(host NOT IN (SELECT host FROM x), TRUE) AS kept FROM b
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": QUALITY_RULES_SQL}
