@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from pelagia.llm import chat_format, license_scan, piece_sampling, pii, quality_model, queries, search, toxicity
 
-SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 
 
 def docs(spark, *texts):
