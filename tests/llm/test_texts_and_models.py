@@ -103,6 +103,15 @@ def test_search_against_brute_force(spark):
         assert [r.score for r in got if r.query == q] == pytest.approx(scores)
 
 
+def test_search_as_the_query_runs_it_against_brute_force(spark):
+    """At the query's own settings: texts of more than a hundred terms are searched with all of them."""
+    d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where(F.col("text").isNotNull())
+    texts = {r.doc_id: r.text for r in d.collect()}
+    got = queries.op4_block_max_search(spark, SF).orderBy("query", "rank").collect()
+    for q, scores in brute_search(texts).items():
+        assert [r.score for r in got if r.query == q] == pytest.approx(scores)
+
+
 def test_search_on_awkward_and_empty(spark):
     d = awkward(spark)
     got = search.search(search.build_index(d), d).collect()
