@@ -2,16 +2,18 @@
 
 A text's set is its distinct five-word shingles (A-Z lower-cased). Equal sets become one class first, so a hot
 group of copies is one row afterwards. Each class has a HyperMinHash sketch: for every bucket of its hashes the
-leading-zero count and ten mantissa bits of the smallest one. Bands over the registers (empty ones filled from
-the next full one) propose pairs, the collision-corrected Jaccard estimate drops the hopeless ones, and full sets
-confirm the rest. No bucket ever emits all its pairs: first each class meets the likeliest smallest class of its
+leading-zero count and ten mantissa bits of the smallest one. Sets of SHORT shingles and more are proposed by bands over the
+registers (empty ones filled from the next full one); pairs with a smaller set are proposed exactly, by a prefix filter: of
+any pair that reaches the threshold, the first floor((1 - threshold) * n) + 1 shingles of each in one order of all shingles
+meet. The order puts shingles that are common in a bounded sample last; it decides the work, not the pairs. The collision-corrected Jaccard estimate drops the hopeless ones, and full sets
+confirm the rest. Buckets of at most FEW classes emit their pairs. No larger bucket does: first each class meets the likeliest smallest class of its
 buckets; then, in rounds over square tiles of bounded size, each class meets its likeliest partners in other
 components, and components are merged between rounds, until no likely pair across components is left untried.
 Classes that take part in tiles have a finer sketch as well, so the many pairs of a group a little below the
 threshold are told from links without reading their sets.
 
-Links: 100 * intersection >= percent * union. With 25 bands of 5 registers a pair at 0.85 is missed with odds of
-4e-7. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
+Links: 100 * intersection >= percent * union. With 25 bands of 5 registers a pair of
+long texts at 0.85 is missed with odds of 4e-7. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
 than five words is one shingle; repeated rows keep their rows, and if one id comes with different texts, the
 smallest sketch stands for it; an empty table gives an empty result; other columns play no part.
 """
@@ -40,6 +42,13 @@ SLACK = 0.13
 #: The finer sketch of classes in tiles, and four standard errors of it.
 FINE_BUCKETS = 512
 FINE_SLACK = 0.065
+#: Sets with fewer shingles are proposed by their own shingles.
+SHORT = 200
+#: Classes a bucket may have and emit all its pairs.
+FEW = 16
+#: The sample that tells common shingles, and how many of them are told.
+SAMPLE_SETS = 20_000
+COMMON = 50_000
 #: Members a tile of a bucket has on each side.
 TILE = 512
 _U = np.uint64
@@ -128,6 +137,44 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(keys.ravel()), pa.array(np.repeat(rep, BANDS)), pa.array(np.repeat(n, BANDS))], names=["band", "rep", "n"])
 
 
+def _short_sets(h: np.ndarray, at: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with 1 to below - 1 shingles, and which shingles are theirs."""
+    n = np.diff(at)
+    rows = np.flatnonzero((n > 0) & (n < below))
+    return rows, np.repeat((n > 0) & (n < below), n)
+
+
+def _all_shingles(batches: Iterator[pa.RecordBatch], below: int) -> Iterator[pa.RecordBatch]:
+    """Every shingle of the short sets."""
+    for batch in batches:
+        for _, _, data, offsets in text_blocks(batch.column(1)):
+            h, at = shingles(data, offsets)
+            yield pa.record_batch([pa.array(h[_short_sets(h, at, below)[1]].view(np.int64))], names=["shingle"])
+
+
+_PREFIX = "doc_id long, n long, f1 long, f2 long, band array<long>"
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], percent: int, below: int, common: np.ndarray, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The prefix of every short set: shingles not known as common by their hash, then the common ones, rarest first."""
+    for batch in batches:
+        for first, last, data, offsets in text_blocks(batch.column(1)):
+            h, at = shingles(data, offsets)
+            rows, theirs = _short_sets(h, at, below)
+            n = np.diff(at)[rows]
+            key, row = h[theirs], np.repeat(np.arange(len(rows)), n)
+            place = np.minimum(np.searchsorted(common, key), max(0, len(common) - 1))
+            known = np.where(common[place] == key, rank[place], 0) if len(common) else np.zeros(len(key), np.int64)
+            key = key[np.lexsort((key, known, row))]
+            size = n - (percent * n + 99) // 100 + 1
+            start = np.cumsum(n) - n
+            taken = key[np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(taken.view(np.int64)))
+            marks = [m.take(pa.array(rows)) for m in _marks(h, at)]
+            ids = batch.column(0).slice(first, last - first).take(pa.array(rows))
+            yield pa.record_batch([ids, pa.array(n.astype(np.int64)), *marks, lists], names=["doc_id", "n", "f1", "f2", "band"])
+
+
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("ra", "rb"))
@@ -228,17 +275,43 @@ class NearDuplicates:
         percent = self.percent
         return materialize(both.mapInArrow(lambda it: _confirm(it, percent), "a long, b long"))
 
+    def _prefix_rows(self) -> DataFrame:
+        """band, rep, n of every set that a set of less than SHORT shingles may link with."""
+        below = -(-SHORT * 100 // self.percent)
+        short = self.classes.where(F.col("n") < below).select(F.col("rep").alias("doc_id"), "n", "f1", "f2")
+        count = short.count()
+        if not count:
+            return self.classes.limit(0).select(F.col("n").alias("band"), "rep", "n")
+        ids = short.select("doc_id")
+        part = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(-(-count // SAMPLE_SETS))) == 0)
+        seen = self.docs.join(F.broadcast(part), "doc_id", "left_semi").mapInArrow(partial(_all_shingles, below=below), "shingle long")
+        often = seen.groupBy("shingle").count().where("count > 3").orderBy(F.desc("count"), "shingle").limit(COMMON).toArrow()  # a bounded list
+        common = often.column("shingle").to_numpy().view(np.uint64)
+        order = np.argsort(common)
+        run = partial(_prefixes, percent=self.percent, below=below, common=common[order], rank=often.column("count").to_numpy()[order])
+        rows = self.docs.join(F.broadcast(ids) if count <= BROADCAST_ROWS else ids, "doc_id", "left_semi").mapInArrow(run, _PREFIX)
+        if self.repeated:
+            rows = rows.join(short, ["doc_id", "n", "f1", "f2"], "left_semi").dropDuplicates(["doc_id"])
+        return rows.select(F.explode("band").alias("band"), F.col("doc_id").alias("rep"), "n")
+
     def links(self) -> DataFrame:
         """Confirmed links a < b between classes: enough of them that components are those of all links."""
-        rows = materialize(self.classes.select("rep", "n", "regs").mapInArrow(_band_rows, "band long, rep long, n long"))
+        long = self.classes.where(F.col("n") >= SHORT).select("rep", "n", "regs")
+        rows = materialize(long.mapInArrow(_band_rows, "band long, rep long, n long").unionByName(self._prefix_rows()))
         crowded = rows.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("k")).where("k > 1")
         crowded = materialize(crowded.select("band", "k", F.col("hub.rep").alias("a"), F.col("hub.n").alias("na")))
-        members = rows.join(crowded, "band")
+        members = materialize(rows.join(crowded, "band"))
+        few = members.where(F.col("k") <= FEW).select("band", "rep", "n")
+        pairs = few.toDF("band", "a", "na").join(few.toDF("band", "b", "nb"), "band").where("a < b")
+        near = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
+        pairs = materialize(self._estimated(materialize(pairs.where(near).select("a", "b").distinct()))).select("a", "b")
+        members = members.where(F.col("k") > FEW)
         fits = 100 * F.least("n", "na") >= self.percent * F.greatest("n", "na")
         star = members.where((F.col("rep") != F.col("a")) & fits).select("a", F.col("rep").alias("b")).distinct()
         star = materialize(self._estimated(star))
         best = star.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
-        links = self._confirmed(materialize(best))
+        best = materialize(best.unionByName(pairs).distinct())
+        links = self._confirmed(best)
 
         comp = materialize(connected_components(links))
         home = F.coalesce("component", "rep")

@@ -65,6 +65,23 @@ def test_components_equal_brute_force(spark, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.collect())
 
 
+def test_short_texts_with_one_edit_link(spark):
+    """Many pairs of 13 to 60 shingles, each a text and a copy with an edit near the threshold, inside and at the end."""
+    rng = random.Random(11)
+    docs = []
+    for i in range(1500):
+        t = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(17, 64))]
+        copy = list(t)
+        copy[rng.choice([-1, -1, 0, -2, rng.randrange(len(t))])] = "edited"
+        docs += [(2 * i, " ".join(t)), (2 * i + 1, " ".join(copy))]
+    got = {r.doc_id: r.component_id for r in near_dedup.assign(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = {}
+    for i in range(1500):
+        want |= {k: c for k, (_, c) in brute(docs[2 * i : 2 * i + 2]).items()}
+    assert sum(want[2 * i + 1] == 2 * i for i in range(1500)) > 700
+    assert got == want
+
+
 def test_large_group_of_near_copies(spark):
     """No member is near enough to the smallest one, yet neighbours link: rounds across components must find them."""
     rng = random.Random(5)
