@@ -13,7 +13,7 @@ Classes that take part in tiles have a finer sketch as well, so the many pairs o
 threshold are told from links without reading their sets.
 
 Links: 100 * intersection >= percent * union. With 25 bands of 5 registers a pair of
-long texts at 0.85 is missed with odds of 4e-7. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
+long texts at 0.85 is missed with odds of 4e-7, at 0.8 with 32 bands of 4 with odds of 5e-8. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
 than five words is one shingle; repeated rows keep their rows, and if one id comes with different texts, the
 smallest sketch stands for it; an empty table gives an empty result; other columns play no part.
 """
@@ -35,8 +35,6 @@ from pelagia.llm.components import connected_components
 
 BUCKETS = 128
 MANTISSA = 10
-BAND_WIDTH = 5
-BANDS = BUCKETS // BAND_WIDTH
 #: Pairs whose estimate is this far below the threshold are not confirmed: four standard errors of 128 registers.
 SLACK = 0.13
 #: The finer sketch of classes in tiles, and four standard errors of it.
@@ -54,6 +52,16 @@ TILE = 512
 _U = np.uint64
 
 
+def band_width(percent: int) -> int:
+    """The widest bands that miss a pair at the threshold with odds of at most one in a million."""
+    return max([w for w in range(1, 9) if (1 - (percent / 100) ** w) ** (BUCKETS // w) <= 1e-6], default=1)
+
+
+def slack(percent: int, buckets: int, least: float) -> float:
+    """Four standard errors of so many registers at the threshold, but no less than least."""
+    return max(least, 4 * (percent / 100 * (1 - percent / 100) / buckets) ** 0.5)
+
+
 def registers(hashes: np.ndarray, bounds: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     """HyperMinHash registers (uint16) of each row's ascending hashes: 0 is empty, else (zeros + 1) * 1024 + mantissa."""
     n = len(bounds) - 1
@@ -71,15 +79,16 @@ def registers(hashes: np.ndarray, bounds: np.ndarray, buckets: int = BUCKETS) ->
     return out.reshape(n, buckets)
 
 
-def bands(regs: np.ndarray) -> np.ndarray:
+def bands(regs: np.ndarray, width: int = 5) -> np.ndarray:
     """One 64-bit key for each row and band; empty registers take the value of the next full one."""
+    n = BUCKETS // width
     twice = np.concatenate([regs, regs], axis=1)
     place = np.where(twice > 0, np.arange(2 * BUCKETS), 4 * BUCKETS)
     nearest = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :BUCKETS]
     full = np.take_along_axis(twice, np.minimum(nearest, 2 * BUCKETS - 1), axis=1).astype(np.uint64)
-    key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(regs), axis=0)
-    for k in range(BAND_WIDTH):  # registers far apart, so that filled ones seldom meet in a band
-        key = mix(key * _U(0x100000001B3) + full[:, k * BANDS : (k + 1) * BANDS])
+    key = np.repeat(np.arange(1, n + 1, dtype=np.uint64)[None, :], len(regs), axis=0)
+    for k in range(width):  # registers far apart, so that filled ones seldom meet in a band
+        key = mix(key * _U(0x100000001B3) + full[:, k * n : (k + 1) * n])
     return key.view(np.int64)
 
 
@@ -128,13 +137,13 @@ def _sets(batches: Iterator[pa.RecordBatch], fine: bool = False) -> Iterator[pa.
             yield pa.record_batch([batch.column(0).slice(first, last - first), pa.array(np.diff(at).astype(np.int64)), *_marks(h, at), packed], names=["id", "n", "f1", "f2", "members"])
 
 
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _band_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         regs = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(-1, BUCKETS)
         for i in range(0, len(regs), 2000):
-            keys = bands(regs[i : i + 2000])
+            keys = bands(regs[i : i + 2000], width)
             rep, n = (batch.column(c).to_numpy(zero_copy_only=False)[i : i + 2000] for c in ("rep", "n"))
-            yield pa.record_batch([pa.array(keys.ravel()), pa.array(np.repeat(rep, BANDS)), pa.array(np.repeat(n, BANDS))], names=["band", "rep", "n"])
+            yield pa.record_batch([pa.array(keys.ravel()), pa.array(np.repeat(rep, BUCKETS // width)), pa.array(np.repeat(n, BUCKETS // width))], names=["band", "rep", "n"])
 
 
 def _short_sets(h: np.ndarray, at: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,6 +214,7 @@ def _tile_pairs(pdf: pd.DataFrame, percent: int, k: int) -> pd.DataFrame:
     regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, BUCKETS)
     fine = np.frombuffer(b"".join(pdf["fine"]), np.uint16).reshape(-1, FINE_BUCKETS)
     full = (regs > 0).sum(axis=1)
+    least, least_fine = percent / 100 - slack(percent, BUCKETS, SLACK), percent / 100 - slack(percent, FINE_BUCKETS, FINE_SLACK)
     comp, n, rep, chunk = (pdf[c].to_numpy() for c in ("comp", "n", "rep", "chunk"))
     found: list[tuple] = []
     for i in range(len(pdf)):
@@ -215,13 +225,13 @@ def _tile_pairs(pdf: pd.DataFrame, percent: int, k: int) -> pd.DataFrame:
         if not len(at):
             continue
         same = ((regs[at] == regs[i]) & (regs[i] > 0)).sum(axis=1)
-        at = at[same >= (percent / 100 - SLACK) * np.maximum(full[at], full[i])]  # no pair uses fewer registers
+        at = at[same >= least * np.maximum(full[at], full[i])]  # no pair uses fewer registers
         if not len(at):
             continue
         est = estimate(regs[i][None, :], regs[at], n[i], n[at])
-        at = at[est >= percent / 100 - SLACK]
+        at = at[est >= least]
         est = estimate(fine[i][None, :], fine[at], n[i], n[at])
-        at, est = at[est >= percent / 100 - FINE_SLACK], est[est >= percent / 100 - FINE_SLACK]
+        at, est = at[est >= least_fine], est[est >= least_fine]
         best = np.lexsort((rep[at], -est))[:k]
         found += [(rep[i], chunk[i], min(rep[i], rep[j]), max(rep[i], rep[j]), len(at) > k) for j in at[best]]
     out = pd.DataFrame(found, columns=["rep", "chunk", "a", "b", "open"])
@@ -255,7 +265,7 @@ class NearDuplicates:
         regs = self.classes.select("rep", "n", "regs")
         pairs = pairs.join(regs.toDF("a", "na", "ra"), "a").join(regs.toDF("b", "nb", "rb"), "b")
         scored = pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_score, "a long, b long, est double")
-        return scored.where(F.col("est") >= self.percent / 100 - SLACK)
+        return scored.where(F.col("est") >= self.percent / 100 - slack(self.percent, BUCKETS, SLACK))
 
     def _read(self, ids: DataFrame, fine: bool = False) -> DataFrame:
         """id and members for the ids asked for, from their texts: packed sets, or finer sketches."""
@@ -297,7 +307,7 @@ class NearDuplicates:
     def links(self) -> DataFrame:
         """Confirmed links a < b between classes: enough of them that components are those of all links."""
         long = self.classes.where(F.col("n") >= SHORT).select("rep", "n", "regs")
-        rows = materialize(long.mapInArrow(_band_rows, "band long, rep long, n long").unionByName(self._prefix_rows()))
+        rows = materialize(long.mapInArrow(partial(_band_rows, width=band_width(self.percent)), "band long, rep long, n long").unionByName(self._prefix_rows()))
         crowded = rows.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("k")).where("k > 1")
         crowded = materialize(crowded.select("band", "k", F.col("hub.rep").alias("a"), F.col("hub.n").alias("na")))
         members = materialize(rows.join(crowded, "band"))

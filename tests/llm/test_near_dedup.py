@@ -8,6 +8,7 @@ import pytest
 from helpers import DOCS, awkward, empty
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pelagia.llm import near_dedup
 from pelagia.llm.arrays import shingles, text_blocks
 from pelagia.llm.components import connected_components
@@ -82,6 +83,22 @@ def test_short_texts_with_one_edit_link(spark):
     assert got == want
 
 
+def test_pipeline_stage_at_80_against_brute_force(spark):
+    """Short and long copies with edits around 0.8: the stage's threshold, not the query's."""
+    rng = random.Random(4)
+    docs = []
+    for i in range(60):
+        t = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([24, 60, 150, 300, 600]))]
+        copy = list(t)
+        for k in range(max(1, round(len(t) * rng.choice([0.018, 0.02, 0.022, 0.024])))):
+            copy[rng.randrange(len(t))] = f"edit{k}"
+        docs += [(2 * i, " ".join(t)), (2 * i + 1, " ".join(copy))]
+    want = {k for i in range(60) for k, (_, c) in brute(docs[2 * i : 2 * i + 2], 80).items() if k == c}
+    at_85 = {k for i in range(60) for k, (_, c) in brute(docs[2 * i : 2 * i + 2], 85).items() if k == c}
+    got = corpus_pipeline.dedup(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    assert want != at_85 and {r.doc_id for r in got.collect()} == want
+
+
 def test_large_group_of_near_copies(spark):
     """No member is near enough to the smallest one, yet neighbours link: rounds across components must find them."""
     rng = random.Random(5)
