@@ -112,6 +112,17 @@ def test_search_as_the_query_runs_it_against_brute_force(spark):
         assert [r.score for r in got if r.query == q] == pytest.approx(scores)
 
 
+def test_search_holds_one_segment_and_one_block_of_queries(spark, monkeypatch):
+    """However often a term comes, a row of the index has a segment's postings, and queries go in blocks with the same results."""
+    d = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("sea "), F.repeat(F.concat(F.lit("w"), F.col("id") % 50, F.lit(" ")), 1500)).alias("text"))
+    index = search.build_index(d, shards=1)
+    assert index.agg(F.max(F.octet_length("docs") / 4)).first()[0] < 3000 and index.count() > 2
+    asked = d.where("doc_id % 100 = 0")
+    want = search.search(index, asked).orderBy("query", "rank").collect()
+    monkeypatch.setattr(search, "QUERY_BLOCK", 7)
+    assert want and search.search(index, asked).orderBy("query", "rank").collect() == want
+
+
 def test_search_on_awkward_and_empty(spark):
     d = awkward(spark)
     got = search.search(search.build_index(d), d).collect()
