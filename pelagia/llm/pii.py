@@ -24,8 +24,8 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "ipv4": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
-    "credential": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])"
-    r"|(?<=(?:token|password|passwd|secret|api_key|apikey) {0,2}[=:] {0,2}\"?)[A-Za-z0-9+/_-]{12,128}",
+    "credential": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}+)(?![A-Za-z0-9])"
+    r"|(?<=(?i:token|password|passwd|secret|api_key|apikey) {0,2}[=:] {0,2}\"?)[A-Za-z0-9+/_-]{12,}+(?![A-Za-z0-9+/_-])",
     "iban": r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Z0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
@@ -34,7 +34,7 @@ PATTERNS = {
     "card": r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]|[.-][0-9])",
 }
 #: A text without any of these characters in reach has no find; one pass decides.
-GATE = r"[0-9]{2}|@|AKIA|ghp_|sk-|token|password|passwd|secret|api_?key"
+GATE = r"[0-9]{2}|@|AKIA|ghp_|sk-|(?i:token|password|passwd|secret|api_?key)"
 
 
 def any_pattern() -> str:
@@ -209,7 +209,8 @@ def _email(x: Column, key: str) -> Column:
 def _credential(x: Column, key: str) -> Column:
     """The known prefix, then digits and letters of a digest up to the same length."""
     head = F.regexp_extract(x, "^(AKIA|ghp_|sk-)?", 1)
-    stream = F.concat(*(_digest(key, F.lit(f"credential{k}"), x) for k in range(2)))
+    blocks = F.sequence(F.lit(0), F.floor(F.length(x) / 64).cast("int"))
+    stream = F.array_join(F.transform(blocks, lambda k: _digest(key, F.concat(F.lit("credential"), k.cast("string")), x)), "")
     body = stream.substr(F.lit(1), F.length(x) - F.length(head))
     return F.concat(head, F.when(F.upper(x) == x, F.upper(body)).otherwise(body))
 

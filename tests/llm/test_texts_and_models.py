@@ -34,6 +34,17 @@ def test_pseudonyms_are_valid_linked_and_reach_all(spark):
     assert re.search(r"on (\d{4}-\d\d-\d\d),", got[0])[1] != day
 
 
+def test_long_and_capital_credentials_go_whole(spark):
+    """Secrets of any length, with keywords in any case; lengths stay, and nothing of them is left."""
+    secret = lambda n: hashlib.sha512(str(n).encode()).hexdigest() * 8
+    finds = [(f"{word}{secret(n)[:n]}", n) for word in ("token=", "PASSWORD=", "API_KEY: ", "Token: ") for n in (12, 128, 129, 200, 1000)]
+    finds += [(f"sk-{secret(n)[:n]}", n) for n in (64, 65, 200, 1000)] + [("sk-proj-" + "aB3_x-9" * 12, 84)]
+    got = [r.text for r in pii.pseudonymize(docs(spark, *(f"so {x} end" for x, _ in finds)), "k").orderBy("doc_id").collect()]
+    for (x, n), text in zip(finds, got):
+        assert len(text) == len(x) + 7 and text.startswith("so " + x[:3]) and text.endswith(" end")
+        assert not any(x[-n:][i : i + 12] in text for i in range(n - 11))
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(35).select(F.floor(F.col("id") / 5).alias("l"), (F.col("id") % 5).alias("r"))
     out = pairs.select(pii.feistel("t", F.col("l"), F.col("r"), F.lit(7), F.lit(5), "k").alias("m")).collect()
