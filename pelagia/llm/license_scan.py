@@ -8,6 +8,9 @@ prediction stands only if its calibrated probability is high and the line shares
 one of the family's templates. Training is a small driver task on constant data; scanning is DataFrame
 functions only, and only gated lines are ever shuffled.
 
+Units are lines and, for notices that are wrapped, paragraphs of several lines: blocks between blank lines, with comment
+marks stripped and lines joined. An SPDX line's family is told by its id's prefix.
+
 Edge cases: a null, empty or blank text has no notices; very long lines are one paragraph like others; equal lines of
 a text are found one by one; repeated rows keep their rows; a tie goes to a family first by name; an empty table
 gives an empty result; other columns play no part.
@@ -104,6 +107,14 @@ MIN_PROBABILITY = 0.8
 MIN_OVERLAP = 0.5
 #: The corpus lines the unknown class is trained on, at most.
 SAMPLE_LINES = 2000
+#: What stands before and after a line's text in a comment.
+_MARKS = r"(?m)^[ \t]*(?:/\*+|\*+/|\*+|//+!?|#+|--+|;+|%+|<!--|-->)?[ \t]*|[ \t]*(?:\*+/|-->)?[ \t]*$"
+#: In joined lines, word pairs of a short template meet by chance: templates of fewer pairs than the first count only in
+#: paragraphs of at most so many words, and only if nearly whole.
+LONG_TEMPLATE, SHORT_PARAGRAPH, NEARLY_WHOLE = 12, 40, 0.75
+_SPDX = r"(?i)spdx-license-identifier:[ \t]*\(?([a-z0-9.+-]+)"
+#: Prefixes of SPDX ids, the longer ones of a kind first.
+SPDX_PREFIXES = {"AGPL-": "AGPL-3.0", "LGPL-": "LGPL", "GPL-": "GPL", "APACHE-2.0": "Apache-2.0", "BSD-": "BSD", "0BSD": "BSD", "CC-BY-NC": "CC-BY-NC", "CC-BY-SA": "CC-BY-SA", "CC-BY-4": "CC-BY", "CC-BY-3": "CC-BY", "CC0-": "CC0", "ISC": "ISC", "MIT": "MIT", "MPL-2.0": "MPL-2.0"}
 _TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 #: Words of notices that ordinary prose seldom has.
 LICENCE_WORDS = (
@@ -206,14 +217,17 @@ def _pairs(tokens: list[str]) -> set[str]:
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", model: Model | None = None) -> DataFrame:
-    """One row for each line with a licence word: row, key, line (from 0), text, family, probability, overlap, confirmed."""
+    """One row for each line or paragraph with a licence word: row, key, line (from 0; -1, -2, ... for paragraphs), text, family, probability, overlap, confirmed."""
     return _found(_gated(docs, text, key), key, model)
 
 
 def _gated(docs: DataFrame, text: str, key: str) -> DataFrame:
     """row, key and the lines that pass the gate, for all rows: texts are read once, and only these lines go on."""
     lines = F.transform(F.split(text, "\n"), lambda t, i: F.struct(i.alias("line"), t.alias("text")))
-    some = F.when(F.col(text).rlike(gate()), F.filter(lines, lambda t: t["text"].rlike(gate())))
+    blocks = F.split(F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), _MARKS, ""), "\n\n+")
+    wrapped = F.filter(blocks, lambda t: F.trim(t, F.lit("\n")).contains("\n") & t.rlike(gate()))
+    wrapped = F.transform(wrapped, lambda t, i: F.struct((-1 - i).alias("line"), F.trim(F.translate(t, "\n", " ")).alias("text")))
+    some = F.when(F.col(text).rlike(gate()), F.concat(F.filter(lines, lambda t: t["text"].rlike(gate())), wrapped))
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key), F.coalesce(some, F.array().cast("array<struct<line:int,text:string>>")).alias("lines"))
     return materialize(slim)  # row numbers are fixed from here on
 
@@ -222,7 +236,7 @@ def _found(gated: DataFrame, key: str, model: Model | None) -> DataFrame:
     spark = gated.sparkSession
     lines = gated.where(F.size("lines") > 0).select("row", key, F.explode("lines").alias("l")).select("row", key, "l.line", "l.text")
     if model is None:
-        sample = lines.orderBy(F.xxhash64("text"), "row", "line").select("text").limit(SAMPLE_LINES).collect()
+        sample = lines.orderBy(F.xxhash64("text"), "row", "line").where("line >= 0").select("text").limit(SAMPLE_LINES).collect()
         known = [set(line_tokens(n)) for notices in NOTICES.values() for n in notices]
         strange = [r[0] for r in sample if all(len(k & set(line_tokens(r[0]))) < 0.5 * len(k) for k in known)]
         model = train(strange)
@@ -245,11 +259,17 @@ def _found(gated: DataFrame, key: str, model: Model | None) -> DataFrame:
     lines = lines.join(top, ["row", "line"], "left").withColumn("pairs", F.when(n > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice("tokens", i, F.lit(2)), " ")))).otherwise(F.col("tokens")))
     forms = templates.groupBy("family").agg(F.collect_list("pairs").alias("forms"))
     lines = lines.join(F.broadcast(forms), "family", "left")
-    overlap = F.array_max(F.transform("forms", lambda p: F.size(F.array_intersect("pairs", p)) / F.greatest(F.lit(1), F.size(p))))
+    fits = lambda p: (F.col("line") >= 0) | (F.size(p) >= LONG_TEMPLATE) | ((F.size("tokens") <= SHORT_PARAGRAPH) & (F.size(F.array_intersect("pairs", p)) >= NEARLY_WHOLE * F.size(p)))
+    overlap = F.array_max(F.transform(F.filter("forms", fits), lambda p: F.size(F.array_intersect("pairs", p)) / F.greatest(F.lit(1), F.size(p))))
     family = F.coalesce("family", F.lit(UNKNOWN))
     overlap = F.coalesce(overlap, F.lit(0.0))
-    confirmed = (family != UNKNOWN) & (F.coalesce("probability", F.lit(0.0)) >= MIN_PROBABILITY) & (overlap >= MIN_OVERLAP)
-    return lines.select("row", key, "line", "text", family.alias("family"), "probability", overlap.alias("overlap"), confirmed.alias("confirmed"))
+    named = F.upper(F.regexp_extract("text", _SPDX, 1))
+    spdx = F.coalesce(*(F.when((F.col("line") >= 0) & named.startswith(p), f) for p, f in SPDX_PREFIXES.items()))
+    family = F.coalesce(spdx, family)
+    overlap = F.when(spdx.isNotNull(), 1.0).otherwise(overlap)
+    probability = F.when(spdx.isNotNull(), 1.0).otherwise(F.col("probability"))
+    confirmed = (family != UNKNOWN) & (F.coalesce(probability, F.lit(0.0)) >= MIN_PROBABILITY) & (overlap >= MIN_OVERLAP)
+    return lines.select("row", key, "line", "text", family.alias("family"), probability.alias("probability"), overlap.alias("overlap"), confirmed.alias("confirmed"))
 
 
 def by_document(docs: DataFrame, text: str = "text", key: str = "doc_id", model: Model | None = None) -> DataFrame:

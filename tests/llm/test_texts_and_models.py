@@ -194,6 +194,27 @@ def test_licences(spark):
     assert license_scan.by_document(awkward(spark)).count() == 10 and license_scan.by_document(empty(spark)).count() == 0
 
 
+def test_wrapped_licences_and_spdx_ids(spark):
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version."
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."
+    block = lambda t: "/*\n * " + t.replace("\n", "\n * ") + "\n */\nint x;"
+    texts, want = [], []
+    for t, family in ((grant, "MIT"), (bsd, "BSD"), (gpl, "GPL"), (isc, "ISC")):
+        texts += [f"Some title\n\n{t}\n\nmore", "# " + t.replace("\n", "\n# "), block(t)]
+        want += [[family]] * 3
+    for name, family in (("GPL-2.0-only", "GPL"), ("BSD-2-Clause", "BSD"), ("LGPL-3.0-only", "LGPL"), ("AGPL-3.0-only", "AGPL-3.0"), ("CC-BY-SA-3.0", "CC-BY-SA"), ("MIT", "MIT")):
+        texts.append(f"// SPDX-License-Identifier: {name}\nint x;")
+        want.append([family])
+    texts.append("Released under the\nMIT License.")
+    want.append(["MIT"])
+    texts.append("The harbour master was licensed under the old rules.\nStudents of MIT walked by\nand the day was long.")
+    want.append([])
+    got = license_scan.by_document(docs(spark, *texts)).orderBy("doc_id").collect()
+    assert [r.families for r in got] == want
+
+
 def test_quality_rules_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
