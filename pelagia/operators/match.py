@@ -1,46 +1,70 @@
-"""Fuzzy name matching: candidates by length on Spark, ratios in Arrow batches."""
+"""Fuzzy name matching: candidates by letters in common on Spark, ratios in Arrow batches."""
 
 from __future__ import annotations
 
 import difflib
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pelagia.functions.text import suffixes_agree, vessel_name
 
 
+#: Letters whose frequency is known to the order; others count as the rarest.
+LETTERS = 2_000
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """difflib's ratio of b against a; the second sequence is the one that is indexed."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
 
 
-def _blocks(c, cutoff: float):
-    """Names can reach the cutoff only if their lengths are close, so they meet by length."""
-    n = F.length(c)
-    low, high = F.ceil(n * cutoff / (2 - cutoff)).cast("int"), F.floor(n * (2 - cutoff) / cutoff).cast("int")
-    return F.sequence(low, F.greatest(low, high))
+def _letters(name: Column) -> Column:
+    """A name's letters, each with its number among equals: a set that stands for the multiset."""
+    chars = F.split(name, "")
+    return F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c)).cast("string")))
+
+
+def _keys(letters: Column, n: Column, seen: Column, cutoff: float) -> Column:
+    """Pairs of a name's rarest letters; names whose ratio may reach the cutoff have a pair in common.
+
+    A ratio of c asks for c * (a + b) / 2 common letters, so for at least c / (2 - c) of either name's. By the prefix filter, two of them
+    are among the first n - that + 2 of each name in any order common to all.
+    """
+    ranked = F.array_sort(F.transform(letters, lambda x: F.struct(F.coalesce(F.try_element_at(seen, x), F.lit(0)).alias("n"), x.alias("x"))))
+    size = n - F.ceil(n * cutoff / (2 - cutoff) - 1e-9).cast("int") + 2
+    head = F.transform(F.slice(ranked, F.lit(1), F.least(n, size)), lambda r: r["x"])
+    return F.flatten(F.transform(head, lambda x, i: F.transform(F.slice(head, i + 2, n), lambda y: F.concat(x, F.lit(" "), y))))
 
 
 def fuzzy_match(left: DataFrame, left_key: str, left_name: str, right: DataFrame, right_key: str, right_name: str, cutoff: float = 0.85, top: int = 5) -> DataFrame:
     """left_key, right_key, score: of a name's five likest catalogue names at or above the cutoff, the first whose ordinal agrees.
 
-    Equal names are taken at once (score 1) and never reach Python. On equal scores the larger name comes first.
+    Equal names are taken at once (score 1) and never reach Python. Of the others, names meet through pairs of their rarest letters,
+    and only those with enough letters in common are compared; both bounds are exact. On equal scores the larger name comes first.
+    A cutoff must be above two thirds.
     """
+    if cutoff <= 2 / 3:
+        raise ValueError("a cutoff of two thirds or less can't be blocked on pairs of letters")
     l = left.select(F.col(left_key).alias("__lk"), vessel_name(F.col(left_name)).alias("__ln")).where("__ln <> ''").distinct()
     r = right.select(F.col(right_key).alias("__rk"), vessel_name(F.col(right_name)).alias("__rn")).where("__rn <> ''").groupBy("__rn").agg(F.min("__rk").alias("__rk"))
     exact = l.join(r, F.col("__ln") == F.col("__rn")).select("__lk", "__rk", F.lit(1.0).alias("score"))
-    rest = l.join(exact, "__lk", "left_anti")
-    pairs = rest.withColumn("__n", F.explode(_blocks(F.col("__ln"), cutoff))).join(r.withColumn("__n", F.length("__rn")), "__n")
-    shared = F.size(F.array_intersect(F.split("__ln", ""), F.split("__rn", "")))
-    pairs = pairs.where(shared >= 1).withColumn("score", sequence_ratio(F.col("__rn"), F.col("__ln"))).where(F.col("score") >= cutoff)
-    order = Window.partitionBy("__lk").orderBy(F.desc("score"), F.desc("__rn"))
+    rest = l.join(r, F.col("__ln") == F.col("__rn"), "left_anti")
+    counts = r.select(F.explode(_letters(F.col("__rn"))).alias("x")).groupBy("x").count().orderBy(F.desc("count"), "x").limit(LETTERS).collect()  # a bounded list
+    seen = F.map_from_arrays(F.array(*(F.lit(c["x"]) for c in counts)), F.array(*(F.lit(i) for i in range(len(counts), 0, -1)))) if counts else F.create_map().cast("map<string,int>")
+    keyed = lambda df, name, t: df.withColumn(t, _letters(F.col(name))).withColumn("__key", F.explode(_keys(F.col(t), F.length(name), seen, cutoff)))
+    names = rest.select("__ln").distinct()
+    pairs = keyed(names, "__ln", "__lt").join(keyed(r.select("__rn"), "__rn", "__rt"), "__key")
+    enough = 2 * F.size(F.array_intersect("__lt", "__rt")) >= cutoff * (F.length("__ln") + F.length("__rn")) - 1e-9
+    pairs = pairs.where(enough).select("__ln", "__rn").distinct().withColumn("score", sequence_ratio(F.col("__rn"), F.col("__ln"))).where(F.col("score") >= cutoff)
+    order = Window.partitionBy("__ln").orderBy(F.desc("score"), F.desc("__rn"))
     best = pairs.withColumn("__p", F.row_number().over(order)).where(F.col("__p") <= top).where(suffixes_agree(F.col("__ln"), F.col("__rn")))
-    picked = best.groupBy("__lk").agg(F.min_by(F.struct("__rk", "score"), "__p").alias("b")).select("__lk", "b.__rk", "b.score")
-    return exact.unionByName(picked).select(F.col("__lk").alias(left_key), F.col("__rk").alias(right_key), "score")
+    picked = best.groupBy("__ln").agg(F.min_by(F.struct("__rn", "score"), "__p").alias("b")).select("__ln", "b.__rn", "b.score")
+    found = rest.join(picked, "__ln").join(r, "__rn").select("__lk", "__rk", "score")
+    return exact.unionByName(found).select(F.col("__lk").alias(left_key), F.col("__rk").alias(right_key), "score")
 
 
 def best_match(pairs: DataFrame, key: str, wanted: str, offered: str, sure: float = 0.8) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pelagia.shared import materialize
+
 
 def keep_first(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """One row a key, the first in the order. The order should end in something unique."""
@@ -33,35 +35,48 @@ def mode_first(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def sequence_ids(df: DataFrame, name: str, *order: Column) -> DataFrame:
-    """1 to N in the order. Rows are sorted by range over many tasks; each adds the row count of those before it."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    """1 to N in the order. Rows are sorted by range over many tasks; each adds the row count of those before it.
+
+    The sorted rows are written to the shared folder once, with their task and their place in it: ranges are drawn from
+    a sample, so a second evaluation could cut them elsewhere.
+    """
     place = F.monotonically_increasing_id()
-    numbered = ranged.withColumn("__part", F.shiftright(place, 33)).withColumn("__at", place.bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = numbered.groupBy("__part").agg(F.max("__at").alias("__last"))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = materialize(ranged.withColumn("__part", F.shiftright(place, 33)).withColumn("__at", place.bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
-    offsets = counts.withColumn("__off", F.coalesce(F.sum(F.col("__last") + 1).over(before), F.lit(0))).drop("__last")
-    return numbered.join(F.broadcast(offsets), "__part").withColumn(name, (F.col("__off") + F.col("__at") + 1).cast("long")).drop("__part", "__at", "__off")
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return ranged.join(F.broadcast(offsets), "__part").withColumn(name, (F.col("__off") + F.col("__at") + 1).cast("long")).drop("__part", "__at", "__off")
 
 
 def asof_forward(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, payload: list[str], max_gap_seconds: int, order: str) -> DataFrame:
     """Each left row with the nearest right row of its key at its time or later.
 
     The right row counts if it is at most max_gap_seconds away and the key's right row before it is strictly
-    earlier than the left row; else the payload is null. One shuffle by key: both sides are stacked and each left
-    row looks at the first right row that follows. `order` breaks ties of right times: the first wins.
+    earlier than the left row; else the payload is null. `order` breaks ties of right times: the first wins.
+
+    Time is cut into spans of max_gap_seconds. A right row in reach lies in the left row's span or the next, so each right
+    row stands in its own span and the one before, and one shuffle by key and span brings both sides together: a key's history is never in
+    one task. Rows are walked from the latest, so the row ahead is the last one seen. Rows without key or time skip all that.
     """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    span = lambda c: F.floor(micros(c) / F.lit(max_gap_seconds * 1_000_000)).cast("long")
     w = Window.partitionBy(key).orderBy(right_time, order)
     r = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull()).withColumn("__prev", F.lag(right_time).over(w))
     hit = F.struct(F.col(right_time).alias("at"), F.col("__prev").alias("prev"), F.struct(*payload).alias("row"))
-    r = r.select(F.col(key).alias("__key"), F.col(right_time).alias("__t"), F.lit(1).alias("__side"), F.col(order).cast("long").alias("__ord"), hit.alias("__hit"))
-    l = left.select(F.col(key).alias("__key"), F.col(left_time).alias("__t"), F.lit(0).alias("__side"), F.lit(0).cast("long").alias("__ord"), F.struct(*left.columns).alias("__row"))
+    r = r.withColumn("__span", F.explode(F.array(span(right_time), span(right_time) - 1)))
+    r = r.select(F.col(key).alias("__key"), "__span", F.col(right_time).alias("__t"), F.lit(1).alias("__side"), F.col(order).cast("long").alias("__ord"), hit.alias("__hit"))
+    can = F.col(key).isNotNull() & F.col(left_time).isNotNull()
+    l = left.where(can).select(F.col(key).alias("__key"), span(left_time).alias("__span"), F.col(left_time).alias("__t"), F.lit(0).alias("__side"), F.lit(0).cast("long").alias("__ord"), F.struct(*left.columns).alias("__row"))
     stacked = l.unionByName(r, allowMissingColumns=True)
-    ahead = Window.partitionBy("__key").orderBy(F.col("__t").asc_nulls_first(), "__side", "__ord").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    out = stacked.withColumn("__next", F.first("__hit", ignorenulls=True).over(ahead)).where("__side = 0")
-    near = F.unix_micros(F.col("__next.at").cast("timestamp")) - F.unix_micros(F.col("__t").cast("timestamp")) <= max_gap_seconds * 1_000_000
-    fits = F.col("__t").isNotNull() & near & (F.col("__next.prev").isNull() | (F.col("__t") > F.col("__next.prev")))
+    ahead = Window.partitionBy("__key", "__span").orderBy(F.desc("__t"), F.desc("__side"), F.desc("__ord")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = stacked.withColumn("__next", F.last("__hit", ignorenulls=True).over(ahead)).where("__side = 0")
+    near = micros("__next.at") - micros("__t") <= max_gap_seconds * 1_000_000
+    fits = near & (F.col("__next.prev").isNull() | (F.col("__t") > F.col("__next.prev")))
     picked = F.when(fits, F.col("__next.row"))
-    return out.select("__row.*", *(picked[c].alias(c) for c in payload))
+    found = out.select("__row.*", *(picked[c].alias(c) for c in payload))
+    none = left.where(~can).select("*", *(F.lit(None).cast(right.schema[c].dataType).alias(c) for c in payload))
+    return found.unionByName(none)
 
 
 def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float, name: str, order: str) -> DataFrame:

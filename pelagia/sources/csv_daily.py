@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,16 +71,24 @@ def read_reports(spark: SparkSession, pattern: str, columns: dict[str, tuple[str
 def read_tolerant(spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
     """Unquoted text columns; rows with too many fields are skipped, missing fields are null.
 
-    The first line is the header. Broken letters of known headers are repaired and columns without a name dropped.
+    The first line of a file is its header, and that line alone. Broken letters of known headers are repaired and columns without a
+    name dropped.
     """
-    lines = spark.read.option("encoding", encoding).csv(path, schema="line string", sep="\u0001", quote="", escape="", header=False, ignoreLeadingWhiteSpace=False)
-    head = lines.first()
-    names = [repair_header(n) for n in head[0].lstrip("﻿").split(sep)] if head else []
+    whole = lambda header: spark.read.option("encoding", encoding).csv(path, schema="line string", sep="\u0001", quote="", escape="", header=header)
+    head = whole(False).first()
+    names = [repair_header(n) for n in head[0].lstrip("﻿").removeprefix("ï»¿").split(sep)] if head else []
     parts = F.split("line", sep.replace("|", r"\|"), -1)
-    rows = lines.where(F.col("line") != F.lit(head[0] if head else "")).withColumn("__p", parts).where(F.size("__p") <= len(names))
+    rows = whole(True).withColumn("__p", parts).where(F.size("__p") <= len(names))
     return rows.select(*(F.get("__p", F.lit(i)).alias(n) for i, n in enumerate(names) if n))
 
 
+def read_named(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """A quoted table of text columns, its headers repaired and columns without a name dropped."""
+    raw = spark.read.csv(path, sep=sep, header=True, encoding=encoding)
+    names = [repair_header(n) for n in raw.columns]
+    return raw.toDF(*(n or f"__{i}" for i, n in enumerate(names))).select(*(f"`{n}`" for n in names if n))
+
+
 def read_latin(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
     """A Latin-1 table under a declared schema, its headers repaired and columns without a name dropped."""
     raw = spark.read.csv(path, schema=schema, sep=sep, header=True, encoding="ISO-8859-1", enforceSchema=True)
@@ -92,10 +101,25 @@ def repair_header(name: str) -> str:
     name = name.strip().strip('"')
     for broken in ("Ã\x91", "Ã‘", "ï¿½", "�"):
         name = name.replace(broken, "Ñ")
-    return "" if name.startswith("Unnamed") else name
+    return "" if name.startswith(("Unnamed", "_c")) else name
 
 
 def date_urls(spark: SparkSession, start: str, end: str, template: str) -> DataFrame:
     """day and url for every day of an inclusive range; {day} in the template is the ISO date."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
     return days.select("day", F.replace(F.lit(template), F.lit("{day}"), F.col("day").cast("string")).alias("url"))
+
+
+def candidate_urls(spark: SparkSession, start: str, end: str, newer: str, older: str, backfill: str, since: str, sweep: int = 60) -> DataFrame:
+    """day and urls for every day of an inclusive range: the places to try in turn.
+
+    From the day `since` on, files lie in the folder of their month or in that of one later upload (backfill, as yyyy/MM); newer has {month} and
+    {day} (yyyyMMdd). Earlier ones carry the second of their upload, so each second is a candidate; older has {day} (ISO) and {second}.
+    """
+    day = F.col("day")
+    fill = lambda t, **by: reduce(lambda out, k: F.replace(out, F.lit("{" + k + "}"), by[k]), by, F.lit(t))
+    month = F.date_format(day, "yyyy/MM")
+    new = F.transform(F.array_distinct(F.array(month, F.lit(backfill))), lambda m: fill(newer, month=m, day=F.date_format(day, "yyyyMMdd")))
+    old = F.transform(F.sequence(F.lit(0), F.lit(sweep - 1)), lambda s: fill(older, day=day.cast("string"), second=F.lpad(s.cast("string"), 2, "0")))
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
+    return days.select("day", F.when(day >= F.lit(since).cast("date"), new).otherwise(old).alias("urls"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import importlib.util
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -61,16 +63,19 @@ class NetCdfReader(DataSourceReader):
             n = len(f.dimensions["time"])
         return [Block(self.path, i, min(i + self.BLOCK, n)) for i in range(0, n, self.BLOCK)]
 
-    def read(self, partition: Block) -> Iterator[tuple]:
+    def read(self, partition: Block) -> Iterator[pa.RecordBatch]:
+        """A batch for each time, its cells as columns."""
         from netCDF4 import Dataset, num2date
 
         with Dataset(partition.path) as f:
             times = num2date(f["time"][partition.first : partition.last], f["time"].units, only_use_cftime_datetimes=False)
-            lat, lon = f["latitude"][:].tolist(), f["longitude"][:].tolist()
+            lat, lon = np.asarray(f["latitude"][:], float), np.asarray(f["longitude"][:], float)
+            i, j = (x.ravel() for x in np.indices((len(lat), len(lon)), dtype=np.int32))
             for t, field in zip(times, f[self.variable][partition.first : partition.last]):
-                for i, row in enumerate(field.filled(float("nan")).tolist()):
-                    for j, v in enumerate(row):
-                        yield (t, i, j, lat[i], lon[j], None if v != v else v)
+                value = np.asarray(field.filled(np.nan), float).ravel()
+                time = pa.array(np.full(len(i), np.datetime64(t, "us")), pa.timestamp("us", "UTC"))
+                columns = [time, pa.array(i), pa.array(j), pa.array(lat[i]), pa.array(lon[j]), pa.array(value, mask=np.isnan(value))]
+                yield pa.record_batch(columns, names=["time", "i_lat", "i_lon", "latitude", "longitude", self.variable])
 
 
 def register_netcdf(spark: SparkSession) -> bool:

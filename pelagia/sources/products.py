@@ -2,25 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pelagia.shared import file_system
+
+
+class EmptyProduct(ValueError):
+    """A stage made no rows, so what builds on it would be empty without a word."""
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished product is there: Spark's success mark is written last."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    fs, at = file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return fs.exists(at)
+
 
+def write(df: DataFrame, path: str, force: bool = False, partition_by: tuple[str, ...] = (), csv: bool = False, sep: str = ",", order: tuple[Column | str, ...] = (), empty: bool = True) -> bool:
+    """Writes df unless the product exists; true if written. A CSV product is one file, for people, its times in ISO form.
 
-def write(df: DataFrame, path: str, force: bool = False, partition_by: tuple[str, ...] = (), csv: bool = False, sep: str = ",") -> bool:
-    """Writes df unless the product exists; true if written. A CSV product is one file, for people."""
-    if exists(df.sparkSession, path) and not force:
+    The rows go to a new folder that takes the old one's place only when it is whole. With an order, the files in turn are in it.
+    Unless empty products are allowed, one without rows raises EmptyProduct and leaves the old one alone.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    if exists(spark, path) and not force:
         return False
-    writer = (df.coalesce(1) if csv else df).write.mode("overwrite").partitionBy(*partition_by)
-    writer.csv(path, header=True, sep=sep) if csv else writer.parquet(path)
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    rows = df.orderBy(*order) if order else df
+    rows = iso_times(rows).coalesce(1) if csv else rows
+    writer = rows.write.partitionBy(*partition_by)
+    writer.csv(fresh, header=True, sep=sep) if csv else writer.parquet(fresh)
+    fs, at = file_system(spark, path)
+    if not empty and (spark.read.csv(fresh, header=True) if csv else spark.read.parquet(fresh)).isEmpty():
+        fs.delete(file_system(spark, fresh)[1], True)
+        raise EmptyProduct(path)
+    if fs.exists(at):
+        fs.rename(at, file_system(spark, old)[1])
+    if not fs.rename(file_system(spark, fresh)[1], at):
+        raise OSError(f"{fresh} could not take the place of {path}")
+    fs.delete(file_system(spark, old)[1], True)
     return True
 
 
+def iso_times(df: DataFrame) -> DataFrame:
+    """Times and days as ISO text, for sinks that only hold text."""
+    form = {"timestamp": "yyyy-MM-dd HH:mm:ss", "date": "yyyy-MM-dd"}
+    return df.withColumns({c: F.date_format(c, form[kind]) for c, kind in df.dtypes if kind in form})
+
+
+def by_number(column: str) -> Column:
+    """An order by a text's number, texts that are none last."""
+    return F.col(column).try_cast("long").asc_nulls_last()
+
+
 def report(df: DataFrame, columns: list[str]) -> DataFrame:
     """column, n, n_valid, low, high, mean for numeric columns, in one pass."""
     one = df.agg(F.count("*").alias("n"), *(f(c).alias(f"{c}__{name}") for c in columns for name, f in (("n_valid", F.count), ("low", F.min), ("high", F.max), ("mean", F.avg))))

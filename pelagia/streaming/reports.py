@@ -25,18 +25,21 @@ def deduplicated(reports: DataFrame, late: str = "2 days") -> DataFrame:
 def consolidate_to(reports: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Exact keep-first over all files: each batch keeps its first rows and drops keys the target has.
 
-    A batch writes a folder of its own, replaced if the batch is run again; the trigger ends when all files are read.
+    A batch writes a folder of its own by day, replaced if the batch is run again, and looks only at the days it has reports of;
+    the trigger ends when all files are read.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark, keys = batch.sparkSession, ["radio_call_sign", "location_datetime"]
-        first = keep_first(batch, keys, F.col("file"), F.xxhash64(*batch.columns))
+        first = keep_first(batch, keys, F.col("file"), F.xxhash64(*batch.columns)).withColumn("day", F.to_date("location_datetime"))
         if number:
-            schema = batch.schema.add("batch", "long")
-            done = spark.read.schema(schema).parquet(target).where(F.col("batch") < number).select(*(F.col(k).alias(f"__{k}") for k in keys))
+            days = batch.agg(F.to_date(F.min("location_datetime")).alias("low"), F.to_date(F.max("location_datetime")).alias("high")).first()
+            mine = F.col("day").isNull() | F.col("day").between(F.lit(days["low"]), F.lit(days["high"]))
+            schema = batch.schema.add("batch", "long").add("day", "date")
+            done = spark.read.schema(schema).parquet(target).where((F.col("batch") < number) & mine).select(*(F.col(k).alias(f"__{k}") for k in keys))
             same = F.col(keys[0]).eqNullSafe(F.col(f"__{keys[0]}")) & F.col(keys[1]).eqNullSafe(F.col(f"__{keys[1]}"))
             first = first.join(done, same, "left_anti")
-        first.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        first.write.mode("overwrite").partitionBy("day").parquet(f"{target}/batch={number}")
 
     return reports.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,9 +1,14 @@
+import json
+import sys
+import types
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pelagia.sources import csv_daily, grids, products
+from pelagia.sources import csv_daily, grids, products, records
 from pelagia.streaming import reports
 
 
@@ -26,6 +31,81 @@ def test_tolerant_rows(spark, tmp_path):
     assert [tuple(r) for r in got.orderBy("A").collect()] == [("1", '"two', "3"), ("4", "5", None)]
 
 
+def test_only_the_first_line_is_the_header(spark, tmp_path):
+    (tmp_path / "y.csv").write_bytes("A;B\nA;B\n1;2\n".encode("latin-1"))
+    assert sorted(tuple(r) for r in csv_daily.read_tolerant(spark, str(tmp_path / "y.csv")).collect()) == [("1", "2"), ("A", "B")]
+
+
+def test_latin_tables(spark, tmp_path):
+    (tmp_path / "w.csv").write_bytes('A\xc3\x91O,B;C,\n2020,"x,y",\n'.encode("latin-1"))
+    assert [(r["AÑO"], r["B;C"]) for r in csv_daily.read_named(spark, str(tmp_path / "w.csv"), ",", "ISO-8859-1").collect()] == [("2020", "x,y")]
+    got = csv_daily.read_latin(spark, str(tmp_path / "w.csv"), T.StructType([T.StructField(n, T.StringType()) for n in ("AÃ\x91O", "b", "Unnamed: 2")]))
+    assert [(r["AÑO"], r["b"]) for r in got.collect()] == [("2020", "x,y")]
+
+
+def test_candidate_urls_of_two_eras(spark):
+    got = {str(r.day): r.urls for r in csv_daily.candidate_urls(spark, "2022-12-31", "2023-02-01", "n/{month}/r_{day}.csv", "o/r-{day}_{second}.csv", "2023/02", "2023-01-01").collect()}
+    assert len(got) == 33 and len(got["2022-12-31"]) == 60 and got["2022-12-31"][7] == "o/r-2022-12-31_07.csv"
+    assert got["2023-01-01"] == ["n/2023/01/r_20230101.csv", "n/2023/02/r_20230101.csv"] and got["2023-02-01"] == ["n/2023/02/r_20230201.csv"]
+
+
+def test_directory_and_manifest(spark, tmp_path):
+    people = [{"nombres": " A B ", "division": "Investigación", "base": "X"}, {"nombres": "C", "division": "investigacion ", "base": None}, {"nombres": "D", "division": "Otra"}]
+    (tmp_path / "d.json").write_text(json.dumps(people), encoding="utf-8")
+    read = lambda base: records.read_directory(spark, str(tmp_path / "d.json"), {"division": "INVESTIGACION", "base": base}, ("nombres", "cargo"))
+    assert sorted(tuple(r) for r in read("TODAS").collect()) == [("A B", ""), ("C", "")] and [r.nombres for r in read("x").collect()] == ["A B"]
+    progress = spark.createDataFrame([("2024-01-01", None), ("2024-01-02", 3)], "day string, n int")
+    lines = records.progress_to_json(progress)
+    back = records.progress_from_json(lines.union(spark.createDataFrame([("{broken",)], "value string")), "day string, n int")
+    assert sorted((r.day, r.n) for r in back.collect()) == [("2024-01-01", None), ("2024-01-02", 3)]
+
+
+def test_products_replace_whole(spark, tmp_path):
+    at = str(tmp_path / "q")
+    df = spark.createDataFrame([("10", datetime(2024, 1, 1, 2)), ("9", None), ("x", None)], "k string, t timestamp")
+    products.write(df, at, csv=True, order=(products.by_number("k"),))
+    assert [tuple(r) for r in spark.read.csv(at, header=True).collect()] == [("9", None), ("10", "2024-01-01 02:00:00"), ("x", None)]
+    with pytest.raises(products.EmptyProduct):
+        products.write(df.limit(0), at, force=True, csv=True, empty=False)
+    assert spark.read.csv(at, header=True).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["q"]
+    with pytest.raises(Exception, match="boom"):
+        products.write(df.withColumn("bad", F.raise_error(F.lit("boom")).cast("string")), at, force=True, csv=True)
+    assert spark.read.csv(at, header=True).count() == 3  # the old product is still whole
+
+
+def test_netcdf_blocks(monkeypatch):
+    """The reader against a stand-in for the library, which is not installed here."""
+
+    class Variable:
+        units = "days"
+
+        def __init__(self, v):
+            self.v = v
+
+        def __getitem__(self, at):
+            return self.v[at]
+
+    class Dataset(dict):
+        def __init__(self, path):
+            field = np.ma.masked_invalid(np.arange(12.0).reshape(2, 2, 3))
+            field[0, 0, 1] = np.ma.masked
+            super().__init__(time=Variable(np.array([0, 1])), latitude=Variable(np.array([-2.0, -1.0])), longitude=Variable(np.array([5.0, 6.0, 7.0])), sst=Variable(field))
+            self.dimensions = {"time": [0, 1]}
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            return False
+
+    fake = types.SimpleNamespace(Dataset=Dataset, num2date=lambda t, units, only_use_cftime_datetimes: [datetime(2024, 1, 1 + int(x)) for x in t])
+    monkeypatch.setitem(sys.modules, "netCDF4", fake)
+    reader = grids.NetCdfReader({"path": "x", "variable": "sst"})
+    batches = [b for part in reader.partitions() for b in reader.read(part)]
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert len(rows) == 12 and rows[1]["sst"] is None and rows[5]["sst"] == 5.0 and (rows[5]["latitude"], rows[5]["longitude"], rows[5]["i_lat"]) == (-1.0, 7.0, 1)
+
+
 def test_headers_are_repaired():
     assert [csv_daily.repair_header(h) for h in ("AÃ\x91O", " X ", "Unnamed: 7")] == ["AÑO", "X", ""]
 
