@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,7 +65,7 @@ def suffixes_agree(a: Column, b: Column) -> Column:
 
 
 def split_code(s: Column) -> tuple[Column, Column]:
-    """"code - name" as (code, name), each null when missing."""
+    """"code - name" as (code, name), each null when missing. Fixed value: the pattern, which the data's own form sets."""
     pattern = r"^\s*(\d+)\s*-\s*(.*?)\s*$"
     empty = F.lit("")
     return F.nullif(F.regexp_extract(s, pattern, 1), empty), F.nullif(F.regexp_extract(s, pattern, 2), empty)
@@ -85,7 +87,7 @@ def first_code(s: Column, table: list[tuple[str, int]], default: int = 0) -> Col
     """The code of the first entry contained in s."""
     out = None
     for needle, code in table:
-        test = F.upper(s).contains(needle)
+        test = s.contains(needle)
         out = F.when(test, code) if out is None else out.when(test, code)
     return (out.otherwise(default) if out is not None else F.lit(default)).cast("int")
 
@@ -115,9 +117,20 @@ def strip_tags(s: Column) -> Column:
 
 
 def unescape_html(s: Column) -> Column:
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"), ("&uacute;", "ú"), ("&ntilde;", "ñ"), ("&Ntilde;", "Ñ"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(name), F.lit(char))
-    return s
+    """Entities as letters, by name (those of HTML 4), number or hexadecimal number; unknown ones stay."""
+    known = F.create_map(*(F.lit(x) for name, code in name2codepoint.items() for x in (name, code)))
+
+    def letter(e: Column) -> Column:
+        number = F.when(e.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(e.substr(F.lit(3), F.length(e)), 16, 10).cast("int"))
+        number = number.when(e.rlike("^#[0-9]{1,7}$"), e.substr(F.lit(2), F.length(e)).cast("int")).otherwise(F.try_element_at(known, e))
+        fits = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        return F.when(fits, F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32"))
+
+    found = F.array_distinct(F.regexp_extract_all(s, F.lit("&(#?[0-9A-Za-z]+);"), F.lit(1)))
+    ampersand = F.array(F.lit("amp"), F.lit("#38"))  # last, or it would make new entities
+    order = F.concat(F.array_except(found, ampersand), F.array_intersect(ampersand, found))
+    swap = lambda t, e: F.coalesce(F.replace(t, F.concat(F.lit("&"), e, F.lit(";")), letter(e)), t)
+    return F.aggregate(order, s, swap)
 
 
 def label_kind(s: Column, prefixes: dict[str, str], exact: dict[str, str]) -> Column:

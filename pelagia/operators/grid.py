@@ -151,24 +151,46 @@ def nearest_day(points: DataFrame, grid: DataFrame, ts: str, tolerance_hours: fl
     return out.withColumns({"time": F.col("__p.d"), "in_range": F.col("__p.gap") <= tolerance_hours * 3_600_000_000}).drop("__p", "__days")
 
 
-def sample(points: DataFrame, grid: DataFrame, value: str, lat: Axis, lon: Axis, key: str, ts: str) -> DataFrame:
-    """key, value, time, dist, status of a field at points and times (latitude, longitude, ts).
+def needed_times(points: DataFrame, grid: DataFrame, at_most: int = 10_000) -> DataFrame:
+    """The grid's rows of the times that points have; the times are broadcast only if counted to be few."""
+    times = points.select("time").where(F.col("time").isNotNull()).distinct()
+    return grid.join(F.broadcast(times) if times.count() <= at_most else times, "time", "left_semi")
+
+
+#: Fixed value: the status of a point that no grid time is near to.
+OUT_OF_RANGE = "fuera_de_rango"
+
+
+def sample(points: DataFrame, grid: DataFrame, values: str | list[str], lat: Axis, lon: Axis, key: str, ts: str) -> DataFrame:
+    """key, time and, for each value, the value, dist and status of a field at points and times (latitude, longitude, ts).
+
+    With several values their columns are dist_<value> and status_<value>. The grid is read for the needed times alone, once for all values
+    at the points' own cells; only points whose cell lacks a value look around.
 
     ok: the nearest cell has a value. fallback: it has none; the nearest one within the radius stands in, if any.
-    out_of_range: no grid time within two days; time is given all the same, the value is not.
+    fuera_de_rango: no grid time within two days; time is given all the same, the value is not.
     """
+    names = [values] if isinstance(values, str) else list(values)
     located = nearest_day(points.select(key, ts, "latitude", "longitude"), grid, ts)
     located = located.withColumns({"i_lat": lat.nearest(F.col("latitude")), "i_lon": lon.nearest(F.col("longitude"))})
-    field = grid.select("time", "i_lat", "i_lon", F.col(value).alias("__v"))
-    direct = located.where("in_range").join(field, ["time", "i_lat", "i_lon"], "left")
+    field = needed_times(located, grid.select("time", "i_lat", "i_lon", *names))
+    own = field.select("time", "i_lat", "i_lon", *(F.col(v).alias(f"__v_{v}") for v in names))
+    out = located.join(own, ["time", "i_lat", "i_lon"], "left")
     here = haversine_km(F.col("latitude"), F.col("longitude"), lat.value(F.col("i_lat")), lon.value(F.col("i_lon")))
-    ok = direct.where(F.col("__v").isNotNull()).select(key, F.col("__v").alias(value), "time", here.alias("dist"), F.lit("ok").alias("status"))
-    open_ = direct.where(F.col("__v").isNull()).drop("__v")
-    near = nearest_valid(open_, grid, value, lat, lon, key)
-    fallback = open_.select(key, "time").join(near, key, "left").select(key, value, "time", "dist", F.lit("fallback").alias("status"))
-    none = F.lit(None).cast("double")
-    late = located.where(~F.coalesce("in_range", F.lit(False))).select(key, none.alias(value), "time", none.alias("dist"), F.lit("out_of_range").alias("status"))
-    return ok.unionByName(fallback).unionByName(late)
+    inside = F.coalesce("in_range", F.lit(False))
+    columns = []
+    for v in names:
+        open_ = out.where(inside & F.col(f"__v_{v}").isNull()).select(key, "time", "latitude", "longitude", "i_lat", "i_lon")
+        near = nearest_valid(open_, field, v, lat, lon, key).select(F.col(key).alias("__k"), F.col(v).alias(f"__f_{v}"), F.col("dist").alias(f"__d_{v}"))
+        out = out.join(near, out[key] == F.col("__k"), "left").drop("__k")
+        has = inside & F.col(f"__v_{v}").isNotNull()
+        suffix = "" if isinstance(values, str) else f"_{v}"
+        columns += [
+            F.when(has, F.col(f"__v_{v}")).when(inside, F.col(f"__f_{v}")).alias(v),
+            F.when(has, here).when(inside, F.col(f"__d_{v}")).alias(f"dist{suffix}"),
+            F.when(has, "ok").when(inside, "fallback").otherwise(OUT_OF_RANGE).alias(f"status{suffix}"),
+        ]
+    return out.select(key, "time", *columns)
 
 
 def coastal_fill(grid: DataFrame, values: list[str], lat: Axis, lon: Axis, by: str = "time", radius: float = RADIUS_KM) -> DataFrame:

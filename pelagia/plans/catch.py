@@ -7,16 +7,24 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.config import SPECIES
+from pelagia.config import OF_INTEREST, SPECIES
 from pelagia.functions import geo, text
 from pelagia.operators.nearest import nearest_point
 from pelagia.operators.ordered import keep_first, sequence_ids
 
-#: Names in the wide table that differ from the species' own.
+#: The species columns of the wide logbook, and the species of the long one.
 WIDE_NAMES = {
-    "AGUJILLA;PUNTO FIJO": "AGUJILLA", "BACALADILLO;MOTE": "BACALADILLO", "BONITO;MONO": "BONITO",
-    "MACHUELO;TRITRE": "MACHUELO", "PEJERREY DE MAR": "PEJERREY", "SARDINA ESPANOLA": "SARDINA",
+    "AGUJILLA;PUNTO FIJO": "NEEDLEFISH", "ANCHOVETA": "ANCHOVY", "BACALADILLO;MOTE": "BLUE_WHITING", "BONITO;MONO": "BONITO",
+    "CABALLA": "MACKEREL", "CABINZA": "CABINZA", "CORVINA": "CORVINA", "JIBIA": "SQUID", "JUREL": "JACK_MACKEREL",
+    "MACHUELO;TRITRE": "MACHUELO", "MEDUSAS": "JELLYFISH", "PEJERREY DE MAR": "SILVERSIDE", "SARDINA ESPANOLA": "SARDINE",
 }
+LONG_NAMES = {name.partition(";")[0]: species for name, species in WIDE_NAMES.items()}
+#: Region codes by the first part of a name that is found; 0 for others.
+REGION_CODES = [
+    ("arica", 15), ("tarapac", 1), ("antofagasta", 2), ("atacama", 3), ("coquimbo", 4), ("valpara", 5), ("higgins", 6), ("libertador", 6),
+    ("maule", 7), ("nuble", 16), ("biobio", 8), ("bio", 8), ("araucan", 9), ("rios", 14), ("lagos", 10), ("aysen", 11), ("magallanes", 12),
+    ("metropol", 13),
+]
 
 
 def clean_wide(raw: DataFrame, points: list[tuple[str, float, float]]) -> DataFrame:
@@ -24,6 +32,7 @@ def clean_wide(raw: DataFrame, points: list[tuple[str, float, float]]) -> DataFr
     named = raw.withColumnsRenamed({k: v for k, v in (WIDE_NAMES | {"AÑO": "YEAR"}).items() if k in raw.columns})
     out = named.where(F.col("REGION").isNotNull()).withColumns(
         {
+            "COD_BARCO": F.trim("COD_BARCO"),
             "vessel_code": text.hex_to_code(F.col("COD_BARCO")).cast("string"),
             "LANDING_DATETIME": F.try_to_timestamp("FECHA_HORA_RECALADA", F.lit("M/d/yyyy H:m")),
             "__lat": geo.sexagesimal(F.col("LATITUD")),
@@ -32,11 +41,14 @@ def clean_wide(raw: DataFrame, points: list[tuple[str, float, float]]) -> DataFr
     )
     out = out.where(F.col("LANDING_DATETIME").isNotNull()).withColumn("PORT", nearest_point(F.col("__lat"), F.col("__lon"), points, geo.equirectangular)["name"])
     species = [F.col(s).try_cast("double").alias(s) if s in out.columns else F.lit(0.0).alias(s) for s in SPECIES]
-    return out.select(F.col("YEAR").cast("int").alias("YEAR"), "REGION", "COD_BARCO", "vessel_code", "LANDING_DATETIME", "PORT", *species)
+    return out.select(F.col("YEAR").cast("int").alias("YEAR"), F.col("REGION").cast("int").alias("REGION"), "COD_BARCO", "vessel_code", "LANDING_DATETIME", "PORT", *species)
 
 
-def clean_long(raw: DataFrame, species_of: dict[str, str]) -> DataFrame:
-    """The same columns from one row a landing and species; artisanal fleet only, weights that are no numbers count 0."""
+def clean_long(raw: DataFrame, species_of: dict[str, str] = LONG_NAMES) -> DataFrame:
+    """The same columns from one row a landing and species; artisanal fleet only, weights that are no numbers count 0.
+
+    Landing times are cut to the minute, regions become codes.
+    """
     keys = ["BARCO", "FECHA_HORA_RECALADA", "PUERTO_DE_RECALADA", "REGION"]
     table = F.create_map(*(F.lit(x) for item in species_of.items() for x in item))
     rows = raw.where(F.lower(F.trim("FLOTA")) == "artesanal").withColumn("__s", F.try_element_at(table, F.upper(F.trim("ESPECIE"))))
@@ -44,31 +56,40 @@ def clean_long(raw: DataFrame, species_of: dict[str, str]) -> DataFrame:
         rows = rows.where(F.col(k).isNotNull())
     rows = rows.where(F.col("__s").isNotNull()).withColumn("__w", F.coalesce(F.col("PESO").try_cast("double"), F.lit(0.0)))
     wide = rows.groupBy(*keys).pivot("__s", list(SPECIES)).agg(F.sum("__w")).na.fill(0.0, list(SPECIES))
-    when = F.try_to_timestamp("FECHA_HORA_RECALADA", F.lit("d-M-yyyy H:m:s"))
-    out = wide.withColumns({"LANDING_DATETIME": when, "vessel_code": text.hex_to_code(F.col("BARCO")).cast("string"), "PORT": text.port_title(F.col("PUERTO_DE_RECALADA"))})
+    when = F.date_trunc("minute", F.try_to_timestamp("FECHA_HORA_RECALADA", F.lit("d-M-yyyy H:m:s")))
+    out = wide.withColumns(
+        {
+            "LANDING_DATETIME": when, "COD_BARCO": F.trim("BARCO"), "vessel_code": text.hex_to_code(F.col("BARCO")).cast("string"),
+            "PORT": text.port_title(F.col("PUERTO_DE_RECALADA")), "REGION": text.first_code(F.lower(F.trim("REGION")), REGION_CODES),
+        }
+    )
     out = out.where(F.col("LANDING_DATETIME").isNotNull())
-    return out.select(F.year("LANDING_DATETIME").alias("YEAR"), "REGION", F.col("BARCO").alias("COD_BARCO"), "vessel_code", "LANDING_DATETIME", "PORT", *SPECIES)
+    return out.select(F.year("LANDING_DATETIME").alias("YEAR"), "REGION", "COD_BARCO", "vessel_code", "LANDING_DATETIME", "PORT", *SPECIES)
 
 
 def filter_catch(catch: DataFrame, ports: tuple[str, ...], start: date, end: date, scope: str = "jurel") -> DataFrame:
-    """Landings in the days and ports that have catch in scope. PRINCIPAL_CATCH compares all species before any is dropped."""
+    """Landings in the days and ports that have catch in scope.
+
+    PRINCIPAL_CATCH: whether the species of interest equals the most of any, all species compared before any is dropped.
+    """
     at = F.col("LANDING_DATETIME")
     rows = catch.where((at >= F.lit(start.isoformat()).cast("timestamp")) & (at < F.lit((end + timedelta(days=1)).isoformat()).cast("timestamp")))
     rows = rows.where(F.col("PORT").isin(*ports))
-    most = F.greatest(*(F.coalesce(s, F.lit(0.0)) for s in SPECIES))
+    most = F.greatest(*SPECIES)
+    rows = rows.withColumn("PRINCIPAL_CATCH", F.coalesce(F.col(OF_INTEREST) == most, F.lit(False)))
     if scope == "jurel":
-        rows = rows.where(F.col("JUREL") > 0)
-        return rows.withColumn("PRINCIPAL_CATCH", F.coalesce(F.col("JUREL") == most, F.lit(False))).drop(*(s for s in SPECIES if s != "JUREL"))
-    return rows.where(most > 0).withColumn("PRINCIPAL_CATCH", F.element_at(F.array(*map(F.lit, SPECIES)), F.array_position(F.array(*(F.coalesce(s, F.lit(0.0)) for s in SPECIES)), most).cast("int")))
+        return rows.where(F.col(OF_INTEREST) > 0).drop(*(s for s in SPECIES if s != OF_INTEREST))
+    return rows.where(most > 0)
 
 
 def trip_spine(catch: DataFrame, vessels: DataFrame) -> DataFrame:
-    """Numbered trips in order of vessel and landing, with vessel names and <species>_tons columns."""
-    names = keep_first(vessels.select(F.col("vessel_code").alias("__v"), "vessel_name"), ["__v"], F.col("vessel_name"))
-    out = catch.join(names, catch["vessel_code"] == F.col("__v"), "left").drop("__v")
-    order = [F.col("vessel_code").asc_nulls_last(), F.col("LANDING_DATETIME"), F.col("COD_BARCO"), F.xxhash64(*catch.columns)]
+    """Numbered trips in order of landing and vessel, with vessel names and <species>_tons columns, the species of interest first."""
+    names = keep_first(vessels.select(F.trim("vessel_code").alias("__v"), "vessel_name"), ["__v"], F.col("vessel_name"))
+    out = catch.withColumn("vessel_code", F.trim("vessel_code"))
+    out = out.join(names, out["vessel_code"] == F.col("__v"), "left").drop("__v")
+    order = [F.col("LANDING_DATETIME").asc_nulls_last(), F.col("vessel_code").asc_nulls_last(), F.col("COD_BARCO"), F.xxhash64(*catch.columns)]
     numbered = sequence_ids(out, "zarpe_id", *order)
-    tons = [F.col(s).alias(f"{s.lower()}_tons") for s in SPECIES if s in catch.columns]
+    tons = [F.col(s).alias(f"{s.lower()}_tons") for s in sorted(SPECIES, key=lambda s: s != OF_INTEREST) if s in catch.columns]
     return numbered.select(
         "zarpe_id", "vessel_code", "vessel_name", F.col("COD_BARCO").alias("cod_barco"), F.col("LANDING_DATETIME").alias("landing_datetime"),
         F.col("PORT").alias("landing_port"), *tons, F.col("PRINCIPAL_CATCH").alias("principal_catch"),

@@ -142,17 +142,20 @@ def haul_index(spark, sf):
 
 
 @_query(f"""WITH {_BOUTS}, best AS (SELECT * FROM metrics QUALIFY row_number() OVER (PARTITION BY zarpe_id ORDER BY is_set DESC, round(compactness, 9) DESC, net_turn DESC, n_pings DESC, haul_start, bout) = 1),
- sets AS (SELECT zarpe_id, count(*) AS n FROM metrics WHERE is_set GROUP BY 1)
- SELECT zarpe_id, CASE WHEN is_set THEN 'alta' ELSE 'baja' END AS haul_confidence, coalesce(n, 0)::BIGINT AS n_hauls, CASE WHEN is_set THEN 1.0 ELSE 0.5 END::DOUBLE AS sample_weight, coalesce(n, 0) = 1 AS is_single_haul
- FROM best LEFT JOIN sets USING (zarpe_id)""")
+ sets AS (SELECT zarpe_id, count(*) AS n FROM metrics WHERE is_set GROUP BY 1),
+ harbour AS (SELECT zarpe_id, name AS nearest_port, round({_hav("haul_lat", "haul_lon", "y", "x")}, 6) AS haul_dist_port_km FROM best CROSS JOIN ports
+  QUALIFY row_number() OVER (PARTITION BY zarpe_id ORDER BY {_hav("haul_lat", "haul_lon", "y", "x")}, ord) = 1)
+ SELECT zarpe_id, CASE WHEN is_set THEN 'alta' ELSE 'baja' END AS haul_confidence, coalesce(n, 0)::BIGINT AS n_hauls, CASE WHEN is_set THEN 1.0 ELSE 0.5 END::DOUBLE AS sample_weight, coalesce(n, 0) = 1 AS is_single_haul, nearest_port, haul_dist_port_km
+ FROM best LEFT JOIN sets USING (zarpe_id) LEFT JOIN harbour USING (zarpe_id)""")
 def haul_model(spark, sf):
     trips = _tripped(spark, sf).select("zarpe_id").distinct()
     m = _metrics(spark, sf).withColumn("compactness", _r("compactness", 9))
-    return vms.model_hauls(vms.haul_locations(m, trips)).select("zarpe_id", "haul_confidence", F.col("n_hauls").cast("long").alias("n_hauls"), "sample_weight", "is_single_haul")
+    hauls = vms.model_hauls(vms.haul_locations(m, trips, POINTS))
+    return hauls.select("zarpe_id", "haul_confidence", F.col("n_hauls").cast("long").alias("n_hauls"), "sample_weight", "is_single_haul", "nearest_port", _r("haul_dist_port_km").alias("haul_dist_port_km"))
 
 
 @_query(f"""WITH {_BOUTS}, idx AS (SELECT zarpe_id, bout, row_number() OVER (PARTITION BY zarpe_id ORDER BY haul_start, bout) AS haul_index FROM metrics WHERE is_set)
- SELECT t.event_id, CASE WHEN i.haul_index IS NOT NULL THEN 'lance' WHEN b.event_id IS NOT NULL THEN 'maniobra' ELSE 'navegacion' END AS behavior, i.haul_index IS NOT NULL AS is_haul, i.haul_index
+ SELECT t.event_id, CASE WHEN i.haul_index IS NOT NULL THEN 'pesca' WHEN b.event_id IS NOT NULL THEN 'candidato' ELSE 'transito' END AS behavior, (i.haul_index IS NOT NULL)::INT AS is_haul, i.haul_index
  FROM tripped t LEFT JOIN bouts b USING (event_id) LEFT JOIN idx i ON b.zarpe_id = i.zarpe_id AND b.bout = i.bout""")
 def ping_behavior(spark, sf):
     out = vms.label_pings(_tripped(spark, sf), _bouts(spark, sf), _metrics(spark, sf), ["event_id"])
@@ -230,7 +233,7 @@ def principal_catch(spark, sf):
 
 
 @_query("""WITH k AS (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE lpad(o_custkey::VARCHAR, 9, '0') END AS sign, 'c' || (o_custkey % 700) AS name FROM orders),
- b AS (SELECT lpad(c_custkey::VARCHAR, 9, '0') AS sign, 'c' || (c_custkey % 700) AS name, c_custkey AS rpa, c_mktsegment AS vessel_code FROM customer WHERE c_custkey % 2 = 0),
+ b AS (SELECT lpad(c_custkey::VARCHAR, 9, '0') AS sign, 'c' || (c_custkey % 700) AS name, c_custkey AS rpa, c_mktsegment AS vessel_code FROM customer),
  n AS (SELECT name, arg_max(rpa, rpa) AS rpa, arg_max(vessel_code, rpa) AS vessel_code FROM b GROUP BY 1)
  SELECT o_orderkey, coalesce(b.rpa, n.rpa) AS rpa, coalesce(b.vessel_code, n.vessel_code) AS vessel_code FROM k LEFT JOIN b ON k.sign = b.sign AND k.sign <> '' LEFT JOIN n ON k.name = n.name WHERE coalesce(b.rpa, n.rpa) IS NOT NULL""")
 def lookup_priority(spark, sf):
@@ -238,14 +241,14 @@ def lookup_priority(spark, sf):
     sign = F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     left = orders.select("o_orderkey", sign.alias("sign"), F.concat(F.lit("c"), (F.col("o_custkey") % 700).cast("string")).alias("name"))
     k = F.col("c_custkey")
-    book = _t(spark, sf, "customer").where(k % 2 == 0).select(F.lpad(k.cast("string"), 9, "0").alias("bs"), F.concat(F.lit("c"), (k % 700).cast("string")).alias("bn"), k.alias("rpa"), F.col("c_mktsegment").alias("vessel_code"), k.alias("ord"))
+    book = _t(spark, sf, "customer").select(F.lpad(k.cast("string"), 9, "0").alias("bs"), F.concat(F.lit("c"), (k % 700).cast("string")).alias("bn"), k.alias("rpa"), F.col("c_mktsegment").alias("vessel_code"), k.alias("ord"))
     found = o.lookup_priority(left, [("sign", book, "bs"), ("name", book, "bn")], ["rpa", "vessel_code"], "ord")
     return found.where(F.col("rpa").isNotNull()).select("o_orderkey", "rpa", "vessel_code")
 
 
-@_query("SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 2 = 0")
+@_query("SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0")
 def left_enrich(spark, sf):
-    c = _t(spark, sf, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name")
+    c = _t(spark, sf, "customer").where("c_acctbal > 0").select("c_custkey", "c_name")
     return _t(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_name")
 
 
@@ -324,7 +327,7 @@ def exclusive_gear(spark, sf):
     return gear_map(spark, sf).where(text.only_gear(text.decode_gears(F.col("packed")), "1")).select("l_orderkey")
 
 
-@_query("""SELECT page_id, len(rows)::BIGINT AS n_rows, coalesce(list_sum(list_transform(rows, lambda r: len(regexp_extract_all(r, '(?s)<t[dh][^>]*>(.*?)</t[dh]>', 1)))), 0)::BIGINT AS n_cells
+@_query("""SELECT page_id, len(rows)::BIGINT AS n_rows, coalesce(list_sum(list_transform(rows, lambda r: len(regexp_extract_all(r, '(?s)<td[^>]*>(.*?)</td>', 1)))), 0)::BIGINT AS n_cells
  FROM (SELECT page_id, regexp_extract_all(html, '(?s)<tr[^>]*>(.*?)</tr>', 1) AS rows FROM pages)""")
 def html_cells(spark, sf):
     rows = _t(spark, sf, "pages").select("page_id", row_cells(F.col("html")).alias("rows"))
@@ -347,18 +350,20 @@ def _grid(spark: SparkSession) -> DataFrame:
     return g.cells(spark, LAT, LON).join(days).withColumn("sst", value)
 
 
-_GRID = """grid AS (SELECT d.range AS day, TIMESTAMP '2024-01-01' + d.range * INTERVAL 1 DAY AS time, i.range::INT AS i_lat, j.range::INT AS i_lon, -29e0 + i.range / 24e0 AS latitude, -72e0 + j.range / 24e0 AS longitude,
+_GRID = """grid AS MATERIALIZED (SELECT d.range AS day, TIMESTAMP '2024-01-01' + d.range * INTERVAL 1 DAY AS time, i.range::INT AS i_lat, j.range::INT AS i_lon, -29e0 + i.range / 24e0 AS latitude, -72e0 + j.range / 24e0 AS longitude,
  CASE WHEN j.range < 14 AND (i.range * 5 + j.range * 3) % 11 <> 0 THEN 280e0 + ((d.range * 31 + i.range * 7 + j.range * 13) % 101) / 10e0 END AS sst FROM range(30) d, range(24) i, range(20) j)"""
 _AT = f"""{_P}, {_GRID}, days AS (SELECT DISTINCT time FROM grid),
- placed AS (SELECT p.event_id, p.ts, p.latitude, p.longitude, d.time, least(greatest(floor((p.latitude + 29e0) * 24e0 + 0.5), 0), 23)::INT AS i_lat, least(greatest(floor((p.longitude + 72e0) * 24e0 + 0.5), 0), 19)::INT AS i_lon,
+ placed AS MATERIALIZED (SELECT p.event_id, p.ts, p.latitude, p.longitude, d.time, least(greatest(floor((p.latitude + 29e0) * 24e0 + 0.5), 0), 23)::INT AS i_lat, least(greatest(floor((p.longitude + 72e0) * 24e0 + 0.5), 0), 19)::INT AS i_lon,
   abs(epoch_us(d.time) - epoch_us(p.ts)) <= 2 * 86400 * 1000000::BIGINT AS in_range FROM pings p CROSS JOIN days d QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY abs(epoch_us(d.time) - epoch_us(p.ts)), d.time DESC) = 1)"""
 
 
-@_query(f"""WITH {_AT}, cell AS (SELECT p.*, g.sst FROM placed p JOIN grid g ON g.time = p.time AND g.i_lat = p.i_lat AND g.i_lon = p.i_lon WHERE in_range),
- d AS (SELECT c.event_id, v.sst AS near, {_hav("c.latitude", "c.longitude", "v.latitude", "v.longitude")} AS dist, v.i_lat AS a, v.i_lon AS b FROM cell c JOIN grid v ON v.time = c.time AND v.sst IS NOT NULL WHERE c.sst IS NULL),
+@_query(f"""WITH {_AT}, cell AS MATERIALIZED (SELECT p.*, g.sst FROM placed p JOIN grid g ON g.time = p.time AND g.i_lat = p.i_lat AND g.i_lon = p.i_lon WHERE in_range),
+ steps AS (SELECT i.range::INT AS di, j.range::INT AS dj FROM range(-5, 6) i, range(-6, 7) j),
+ d AS (SELECT c.event_id, v.sst AS near, {_hav("c.latitude", "c.longitude", "v.latitude", "v.longitude")} AS dist, v.i_lat AS a, v.i_lon AS b FROM (SELECT *, i_lat + di AS li, i_lon + dj AS lj FROM cell CROSS JOIN steps WHERE sst IS NULL) c
+  JOIN grid v ON v.time = c.time AND v.i_lat = c.li AND v.i_lon = c.lj WHERE v.sst IS NOT NULL),
  f AS (SELECT * FROM d WHERE dist <= 25 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY dist, a, b) = 1)
  SELECT c.event_id, round(coalesce(c.sst, f.near), 6) AS sst, CASE WHEN c.sst IS NULL THEN 'fallback' ELSE 'ok' END AS status FROM cell c LEFT JOIN f USING (event_id)
- UNION ALL SELECT event_id, NULL, 'out_of_range' FROM placed WHERE NOT in_range""")
+ UNION ALL SELECT event_id, NULL, 'fuera_de_rango' FROM placed WHERE NOT in_range""")
 def grid_sample(spark, sf):
     points = _pings(spark, sf).select("event_id", "ts", "latitude", "longitude")
     return g.sample(points, _grid(spark), "sst", LAT, LON, "event_id", "ts").select("event_id", _r("sst").alias("sst"), "status")
@@ -419,9 +424,9 @@ def landings_filter(spark, sf):
 
 @_query(None)
 def fuzzy_names(spark, sf):
-    p = _t(spark, sf, "part").select("p_partkey", "p_name")
-    right = p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("other"), F.col("p_name").alias("other_name"))
-    return fuzzy_match(p.where("p_partkey % 2 = 1"), "p_partkey", "p_name", right, "other", "other_name")
+    """Every part's name with its second letter lost, against the whole catalogue of names."""
+    p = _t(spark, sf, "part").select("p_partkey", F.concat(F.substring("p_name", 1, 1), F.expr("substring(p_name, 3)")).alias("written"), "p_name")
+    return fuzzy_match(p, "p_partkey", "written", p.select(F.col("p_partkey").alias("other"), "p_name"), "other", "p_name")
 
 
 @_query("SELECT count(*) AS n, round(min(value), 6) AS low, round(max(value), 6) AS high, round(avg(value), 4) AS mean FROM events")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.functions import text
+from pelagia.operators.html import label_pairs, value_of_kind
 from pelagia.operators.ordered import mode_first, sequence_ids
 
-#: The person columns never leave this module.
+#: The person columns, which never leave this module, and the columns that may be absent.
 PERSONAL = ("observador", "rut", "cargo", "estado_match", "score_match")
 OPTIONAL = ("tipo_embarcacion", "especie_objetivo", "numero_lances")
 
@@ -40,6 +41,18 @@ def clean_trips(raw: DataFrame) -> DataFrame:
     )
 
 
+#: The fields of a trip's detail sheet, by how their labels begin or what they are.
+SHEET_PREFIXES = {"tipo embarcaci": "tipo_embarcacion", "especie objetivo": "especie_objetivo"}
+SHEET_EXACT = {"numero lances": "numero_lances"}
+
+
+def with_details(trips: DataFrame, html: str = "html") -> DataFrame:
+    """Trips with the fields of their detail sheets in place of the sheet."""
+    kind = lambda label: text.label_kind(F.translate(label, "?:", ""), SHEET_PREFIXES, SHEET_EXACT)
+    pairs = trips.withColumn("__pairs", label_pairs(F.col(html)))
+    return pairs.withColumns({c: value_of_kind(F.col("__pairs"), c, kind) for c in OPTIONAL}).drop("__pairs", html)
+
+
 def ports(trips: DataFrame) -> DataFrame:
     both = trips.select("departure_port_id", "departure_port_name").unionAll(trips.select("arrival_port_id", "arrival_port_name"))
     return both.toDF("port_id", "port_name").na.drop(how="any").distinct()

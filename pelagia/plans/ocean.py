@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.functions.geo import kelvin_to_celsius, moon_illumination
-from pelagia.operators.grid import Axis, coastal_fill, gradient, sample
+from pelagia.functions.geo import kelvin_to_celsius, moon_illumination, scaled_round
+from pelagia.operators.grid import OUT_OF_RANGE, Axis, coastal_fill, gradient, needed_times, nearest_day, sample
 
-STATUS = ("ok", "fallback", "out_of_range")
+#: What became of a haul's covariates, from good to bad, and hauls without a place.
+STATUS = ("ok", "fallback", OUT_OF_RANGE)
+NO_PLACE = "sin_coords"
 
 
 @dataclass(frozen=True)
@@ -41,33 +43,34 @@ FORECAST = ("sst_c", "chl_mg_m3", "mld_m", "sss_psu", "o2_min_mmol_m3")
 def haul_environment(hauls: DataFrame, grids: dict[str, DataFrame], lat: Axis, lon: Axis, key: str = "zarpe_id", ts: str = "haul_start", samplers: tuple[Sampler, ...] = SAMPLERS) -> DataFrame:
     """Hauls with their covariates, env_time, env_cell_dist_km and env_status (the worst of the samplers').
 
-    Hauls without a place or time keep null covariates and the status no_position; the moon needs the time alone.
-    Fronts are worked out for the days that hauls need and no others.
+    Hauls without a place or time keep null covariates and the status sin_coords; the moon needs the time alone.
+    Every grid is read once, for the days its hauls need; fronts are worked out on those days.
     """
     points = hauls.select(key, ts, F.col("haul_lat").alias("latitude"), F.col("haul_lon").alias("longitude")).na.drop(how="any")
+    rank = lambda c: F.array_position(F.array(*map(F.lit, STATUS)), F.col(c))
     out, ranks, dists = hauls, [], []
-    for i, s in enumerate(samplers):
-        grid = grids[s.grid]
-        if s.front:
-            grid = gradient(_near_days(grid, points, ts), s.value, lat, lon, "__front").select("time", "i_lat", "i_lon", "latitude", "longitude", F.col("__front").alias(s.value))
-        got = sample(points, grid, s.value, lat, lon, key, ts)
-        value = s.change(F.col(s.value)) if s.change else F.col(s.value)
-        rank = F.array_position(F.array(*map(F.lit, STATUS)), F.col("status"))
-        got = got.select(F.col(key).alias("__k"), value.alias(s.name), rank.alias(f"__r{i}"), F.col("dist").alias(f"__d{i}"), *([F.col("time").alias("env_time")] if i == 0 else []))
+    for name in dict.fromkeys(s.grid for s in samplers):
+        mine = [s for s in samplers if s.grid == name]
+        fronts = {s.value: f"__front_{s.value}" for s in mine if s.front}
+        grid = grids[name].select("time", "i_lat", "i_lon", "latitude", *dict.fromkeys(s.value for s in mine))
+        if fronts:
+            grid = needed_times(nearest_day(points, grid, ts), grid)
+            for value, front in fronts.items():
+                grid = gradient(grid, value, lat, lon, front)
+        asked = [fronts[s.value] if s.front else s.value for s in mine]
+        got = sample(points, grid, asked, lat, lon, key, ts)
+        values = [(s.change(F.col(a)) if s.change else F.col(a)).alias(s.name) for s, a in zip(mine, asked)]
+        marks = [x for s, a in zip(mine, asked) for x in (rank(f"status_{a}").alias(f"__r_{s.name}"), F.col(f"dist_{a}").alias(f"__d_{s.name}"))]
+        first = [F.col("time").alias("env_time")] if samplers[0].grid == name else []
+        got = got.select(F.col(key).alias("__k"), *values, *marks, *first)
         out = out.join(got, out[key] == F.col("__k"), "left").drop("__k")
-        ranks.append(F.coalesce(f"__r{i}", F.lit(0)))
-        dists.append(F.coalesce(f"__d{i}", F.lit(0.0)))
+        ranks += [F.coalesce(f"__r_{s.name}", F.lit(0)) for s in mine]
+        dists += [F.coalesce(f"__d_{s.name}", F.lit(0.0)) for s in mine]
     worst = F.greatest(*ranks) if len(ranks) > 1 else ranks[0]
     far = F.greatest(*dists) if len(dists) > 1 else dists[0]
-    status = F.when(worst > 0, F.get(F.array(*map(F.lit, STATUS)), (worst - 1).cast("int"))).otherwise("no_position")
-    out = out.withColumns({"moon_illumination": moon_illumination(F.col(ts)), "env_status": status, "env_cell_dist_km": F.when(worst > 0, far)})
-    return out.drop(*(f"__{x}{i}" for x in "rd" for i in range(len(samplers))))
-
-
-def _near_days(grid: DataFrame, points: DataFrame, ts: str) -> DataFrame:
-    """The grid's times within three days of any point: enough for the nearest one and its tolerance."""
-    days = points.select(F.explode(F.sequence(F.date_sub(F.col(ts).cast("date"), 3), F.date_add(F.col(ts).cast("date"), 3))).alias("__day")).distinct()
-    return grid.join(F.broadcast(days) if days.count() <= 10_000 else days, grid["time"].cast("date") == F.col("__day"), "left_semi")
+    status = F.when(worst > 0, F.get(F.array(*map(F.lit, STATUS)), (worst - 1).cast("int"))).otherwise(NO_PLACE)
+    out = out.withColumns({"moon_illumination": moon_illumination(F.col(ts)), "env_status": status, "env_cell_dist_km": F.when(worst > 0, scaled_round(far, 3))})
+    return out.select(*hauls.columns, *(s.name for s in samplers), "moon_illumination", "env_time", "env_cell_dist_km", "env_status")
 
 
 def forecast_grid(physics: DataFrame, biology: DataFrame, lat: Axis, lon: Axis, values: tuple[str, ...] = FORECAST) -> DataFrame:

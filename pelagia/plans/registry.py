@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.functions import text
-from pelagia.operators.html import result_table
+from pelagia.operators.html import cell_after, groups_after, result_table, sheet_cells
 from pelagia.operators.match import fuzzy_match
 from pelagia.operators.ordered import drop_ambiguous, keep_first, sequence_ids
 
@@ -17,8 +17,42 @@ COLUMNS = (
 )
 
 
+#: Headers of the saved registry.
+HEADERS = {
+    "Correlativo": "id", "Nº RPA": "rpa", "Nombre Embarcación": "vessel_name", "Categoría": "category", "Fecha Inscripción": "registration_date",
+    "Nº Matrícula": "registration_number", "Puerto": "port", "Venc. Matríc": "registration_end", "Tipo": "type", "Rut Armador": "owner_id",
+    "Nombre Armador": "owner_name", "Eslora": "length", "Manga": "beam", "Puntal": "depth", "T.R.G": "gross_tonnage", "Potencia": "engine_power",
+    "Bodega": "hold_capacity", "Oficina": "office", "Caleta": "cove", "Region": "region",
+}
+#: Fixed value: the gear whose exclusive users are the fleet.
+SEINE = "CERCO"
+
+
 def from_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    return result_table(pages, html, list(COLUMNS))
+    """The result tables' rows under the registry's column names; pages bring their region along."""
+    return result_table(pages, html, list(COLUMNS)).withColumnsRenamed({"correlative": "id"})
+
+
+def read_sheet(sheets: DataFrame, key: str = "rpa", html: str = "html") -> DataFrame:
+    """key, signal_code (digits), status and gears (map of species to gears) of vessels' sheets."""
+    cells = sheets.select(key, sheet_cells(F.col(html)).alias("c"))
+    c = F.col("c")
+    rows = F.filter(groups_after(c, "todo de Captura", contains=True), lambda g: (g[0] != "") & (g[1] != ""))
+    pairs = F.transform(rows, lambda g: F.struct(g[1].alias("species"), g[0].alias("gear")))
+    species = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["species"])))
+    gears = F.map_from_entries(F.transform(species, lambda s: F.struct(s, F.array_sort(F.array_distinct(F.transform(F.filter(pairs, lambda p: p["species"] == s), lambda p: p["gear"]))))))
+    signal = text.digits(cell_after(c, "Distintiva", 5, contains=True))
+    return cells.select(key, signal.alias("signal_code"), F.coalesce(cell_after(c, "Estado", 4), F.lit("")).alias("status"), gears.alias("gears"))
+
+
+def fleet(register: DataFrame, sheets: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The register with call sign digits and packed gears, only vessels with a call sign that fish by seine alone."""
+    packed = with_gear_ids(sheets, catalogue)
+    book = register.join(sheets.select("rpa", "signal_code"), "rpa", "left").join(packed, "rpa", "left")
+    seine = catalogue.where(F.col("fishing_type") == SEINE).select(F.col("fishing_type_id").cast("string")).first()
+    if seine is None:
+        raise ValueError(f"no sheet names the gear {SEINE}")
+    return exclusive(book, seine[0])
 
 
 def clean_register(raw: DataFrame, ordinal: str = "ord") -> DataFrame:

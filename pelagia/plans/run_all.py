@@ -1,8 +1,18 @@
-"""The whole chain from raw tables to the modelling table, for every source and species scope.
+"""The whole chain from raw files to the modelling table, for every source and species scope.
 
-    python -m pelagia.plans.run_all --data FOLDER --out FOLDER [--region atacama] [--source bitacora] [--scope jurel] [--force]
+    python -m pelagia.plans.run_all --data FOLDER --out FOLDER [--region atacama] [--source bitacora] [--scope jurel]
+        [--shared-only | --source-only] [--skip-ocean] [--skip-forecast] [--force]
 
-Shared stages (fleet and its reports) are written once; each source and scope starts from there.
+The data folder holds
+    vms_daily/*.csv          position reports, a file a day
+    registry_raw.csv         the registry (;), or registry_pages.parquet (region, html)
+    vessel_sheets.parquet    rpa, html: the registry's sheet of each vessel
+    observer_trips_raw.csv   observer trips (,)
+    catch_wide.csv, catch_long.csv, landings.csv
+    sst, chl, phy, bgc, phy_forecast, bgc_forecast  gridded fields as Parquet, where the ocean is asked for
+
+Shared stages (observers, registry, fleet reports, landings, forecast) are written once; each source and scope starts from there.
+A product that is there is not made again unless forced, and a stage without rows ends the run.
 """
 
 from __future__ import annotations
@@ -15,10 +25,13 @@ from pyspark.sql import functions as F
 from pelagia import session
 from pelagia.config import END, SCOPES, SOURCES, START, Region, range_tag, region, scoped
 from pelagia.operators.grid import Axis
-from pelagia.plans import catch, ocean, vms
-from pelagia.sources.products import write
+from pelagia.plans import catch, landings, observers, ocean, registry, vms
+from pelagia.shared import file_system
+from pelagia.sources.csv_daily import read_named, read_reports, read_tolerant
+from pelagia.sources.products import by_number, write
 
 STEP = 1 / 24
+CATCH_FILE = {"bitacora": "catch_wide.csv", "backup": "catch_long.csv"}
 
 
 def axes(where: Region) -> tuple[Axis, Axis]:
@@ -30,45 +43,123 @@ def fleet_reports(pings: DataFrame, register: DataFrame, where: Region) -> DataF
     return vms.to_fleet(vms.clean(vms.consolidate(pings), where.bbox), register)
 
 
-def spine(source: str, scope: str, raw: DataFrame, vessels: DataFrame, where: Region, species_of: dict[str, str]) -> DataFrame:
+def spine(source: str, scope: str, raw: DataFrame, vessels: DataFrame, where: Region) -> DataFrame:
     """The numbered trips of one source and scope."""
-    cleaned = catch.clean_wide(raw, where.points) if source == "bitacora" else catch.clean_long(raw, species_of)
+    cleaned = catch.clean_wide(raw, where.points) if source == "bitacora" else catch.clean_long(raw)
     return catch.trip_spine(catch.filter_catch(cleaned, where.landed_at, START, END, scope), vessels)
 
 
+def tripped(trips: DataFrame, reports: DataFrame, where: Region) -> DataFrame:
+    """The fleet's reports with their trip, ports and steps. Reports need a unique column ord."""
+    landed = trips.select("vessel_code", "landing_datetime", "zarpe_id", F.col("zarpe_id").alias("ord")).where(F.col("vessel_code").isNotNull())
+    return vms.with_steps(vms.with_ports(vms.assign_trips(reports, landed), where.points))
+
+
+def haul_table(reports: DataFrame, metrics: DataFrame, trips: DataFrame, where: Region) -> DataFrame:
+    """Every trip with reports and its catch by species, with its representative haul."""
+    known = reports.select("zarpe_id").distinct()
+    located = vms.haul_locations(metrics, known, where.points)
+    tons = [c for c in trips.columns if c.endswith("_tons")]
+    return located.join(trips.select("zarpe_id", "vessel_code", "vessel_name", *tons, "principal_catch"), "zarpe_id", "left").select(
+        "zarpe_id", "vessel_code", "vessel_name", *tons, "principal_catch", *vms.HAUL_COLUMNS
+    )
+
+
 def hauls(trips: DataFrame, reports: DataFrame, where: Region) -> DataFrame:
-    """Every located haul of the trips with the trip's catch. Reports need a unique column ord."""
-    landings = trips.select("vessel_code", "landing_datetime", "zarpe_id", F.col("zarpe_id").alias("ord")).where(F.col("vessel_code").isNotNull())
-    tripped = vms.with_ports(vms.assign_trips(reports, landings), where.points)
-    metrics = vms.bout_metrics(vms.bouts(vms.candidates(tripped)))
-    known = tripped.select("zarpe_id").distinct()
-    located = vms.model_hauls(vms.haul_locations(metrics, known))
-    return located.join(trips.drop("landing_datetime", "landing_port"), "zarpe_id", "left")
-
-
-def environment(located: DataFrame, grids: dict[str, DataFrame], where: Region) -> DataFrame:
-    return ocean.haul_environment(located, grids, *axes(where))
-
-
-def run(spark: SparkSession, data: str, out: str, where: Region, sources: tuple[str, ...] = SOURCES, scopes: tuple[str, ...] = SCOPES, force: bool = False, skip_ocean: bool = False) -> list[str]:
-    """Reads <data>/{pings,register,vessels,catch_<source>,species,<grid>}.parquet and writes the products; their paths."""
-    table = lambda name: spark.read.parquet(f"{data}/{name}.parquet")
-    species_of = {r["name"]: r["species"] for r in table("species").collect()} if "backup" in sources else {}
-    reports_at = f"{out}/{where.key}/reports_fleet"
-    write(fleet_reports(table("pings"), table("register"), where), reports_at, force)
-    reports, made = spark.read.parquet(reports_at), [reports_at]
-    for source in sources:
-        for scope in scopes:
-            name = scoped(f"{out}/{where.key}/zarpes_{range_tag()}", source, scope)
-            write(spine(source, scope, table(f"catch_{source}"), table("vessels"), where, species_of), f"{name}/trips", force)
-            trips = spark.read.parquet(f"{name}/trips")
-            write(hauls(trips, reports, where), f"{name}/hauls", force)
-            made += [f"{name}/trips", f"{name}/hauls"]
-            if not skip_ocean:
-                grids = {g: table(g) for g in sorted({s.grid for s in ocean.SAMPLERS})}
-                write(environment(spark.read.parquet(f"{name}/hauls"), grids, where), f"{name}/haul_env", force)
-                made.append(f"{name}/haul_env")
-    return made
+    """Every located haul of the trips with the trip's catch."""
+    mine = tripped(trips, reports, where)
+    return vms.model_hauls(haul_table(mine, vms.bout_metrics(vms.bouts(vms.candidates(mine))), trips, where))
+
+
+class Run:
+    """Where a run reads and writes, and what it has made."""
+
+    def __init__(self, spark: SparkSession, data: str, out: str, where: Region, force: bool = False):
+        self.spark, self.data, self.out, self.where, self.force = spark, data, f"{out}/{where.key}", where, force
+        self.made: list[str] = []
+
+    def has(self, name: str) -> bool:
+        fs, at = file_system(self.spark, f"{self.data}/{name}")
+        return fs.exists(at)
+
+    def product(self, name: str, make, empty: bool = False, **options) -> DataFrame:
+        """The product of that name, made if it is not there or forced."""
+        path = f"{self.out}/{name}"
+        write(make(), path, self.force, empty=empty, **options)
+        self.made.append(path)
+        return self.spark.read.parquet(path)
+
+    def observed(self) -> DataFrame:
+        """Observer trips with their dimensions; returns the vessels."""
+        raw = read_named(self.spark, f"{self.data}/observer_trips_raw.csv")
+        trips = self.product("observers/trips_clean", lambda: observers.clean_trips(raw))
+        ports = self.product("observers/ports", lambda: observers.ports(trips), order=(by_number("port_id"), "port_name"))
+        self.product("observers/species", lambda: observers.species(trips), empty=True, order=(by_number("species_id"), "species_name"))
+        vessels = self.product("observers/vessels", lambda: observers.vessels(trips), order=(by_number("vessel_code"),))
+        zarpes = self.product("observers/zarpes", lambda: observers.trips_table(trips))
+        self.product("observers/zarpes_region", lambda: observers.in_region(zarpes, ports, self.where.landed_at), empty=True, order=("zarpe_id",))
+        return vessels
+
+    def fleet(self, vessels: DataFrame) -> DataFrame:
+        """The exclusive fleet of the region's registry."""
+        if self.has("registry_pages.parquet"):
+            raw = registry.from_pages(self.spark.read.parquet(f"{self.data}/registry_pages.parquet"))
+        else:
+            raw = read_named(self.spark, f"{self.data}/registry_raw.csv", ";").withColumnsRenamed(registry.HEADERS)
+        numbered = raw.withColumn("ord", F.monotonically_increasing_id())
+        clean = self.product("registry/register_clean", lambda: registry.clean_register(numbered), order=(by_number("id"),))
+        matched = self.product("registry/register_matched", lambda: registry.match_observed(registry.in_scope(clean, self.where.registry_codes), vessels))
+        sheets = self.product("registry/sheets", lambda: registry.read_sheet(self.spark.read.parquet(f"{self.data}/vessel_sheets.parquet").join(matched, "rpa", "left_semi")))
+        gears = self.product("registry/fishing_types", lambda: registry.gear_catalogue(sheets), order=("fishing_type_id",))
+        return self.product("registry/register", lambda: registry.fleet(matched, sheets, gears), order=(by_number("id"),))
+
+    def shared(self, forecast: bool) -> None:
+        vessels = self.observed()
+        register = self.fleet(vessels)
+        reports, rejects = read_reports(self.spark, f"{self.data}/vms_daily/*.csv")
+        self.product("rejected_files", lambda: rejects, empty=True)
+        self.product("reports_fleet", lambda: fleet_reports(reports, register, self.where))
+        if self.has("landings.csv"):
+            rows = read_named(self.spark, f"{self.data}/landings.csv", ";", "ISO-8859-1").withColumns({"ano": F.col("ano").try_cast("int"), "toneladas": F.col("toneladas").try_cast("double")})
+            self.product("landings", lambda: landings.filter_landings(rows, self.where.landing_names, START.year, END.year), empty=True)
+        if forecast:
+            physics, biology = (self.spark.read.parquet(f"{self.data}/{g}.parquet") for g in ("phy_forecast", "bgc_forecast"))
+            grid = lambda: ocean.forecast_grid(physics, biology, *axes(self.where)).select("time", "latitude", "longitude", *ocean.FORECAST, "coast_filled")
+            self.product("forecast_grid", grid, order=("time", "latitude", "longitude"))
+
+    def of_source(self, source: str, scope: str, with_ocean: bool) -> None:
+        base = scoped(f"zarpes_{range_tag()}", source, scope)
+        path = f"{self.data}/{CATCH_FILE[source]}"
+        raw = read_named(self.spark, path, ",", "ISO-8859-1") if source == "bitacora" else read_tolerant(self.spark, path)
+        vessels, reports = (self.spark.read.parquet(f"{self.out}/{p}") for p in ("observers/vessels", "reports_fleet"))
+        trips = self.product(f"{base}/trips", lambda: spine(source, scope, raw, vessels, self.where), order=("zarpe_id",))
+        mine = self.product(f"{base}/pings", lambda: tripped(trips, reports, self.where))
+        self.product(f"{base}/pings_trip", lambda: vms.rounded(mine, {"dist_port_km": 3}).select(*vms.PING_COLUMNS))
+        summary = lambda: vms.trip_summary(mine, carried=("rpa", "vessel_code", "vessel_name"))
+        self.product(f"{base}/trip_summary", lambda: vms.rounded(summary(), vms.TRIP_DECIMALS).select(*vms.TRIP_COLUMNS))
+        bouts = vms.bouts(vms.candidates(mine))
+        metrics = self.product(f"{base}/bouts", lambda: vms.bout_metrics(bouts), empty=True)
+        labelled = lambda: vms.rounded(vms.label_pings(mine, bouts, metrics, ["ord"]), {"dist_port_km": 3, "turn_deg": 1})
+        self.product(f"{base}/pings_behaviour", lambda: labelled().select(*vms.PING_COLUMNS, "turn_deg", "behavior", "is_haul", "haul_index"))
+        located = self.product(f"{base}/haul_location", lambda: vms.rounded(haul_table(mine, metrics, trips, self.where), vms.HAUL_DECIMALS))
+        model = self.product(f"{base}/haul_model", lambda: vms.model_hauls(located))
+        if with_ocean:
+            grids = {g: self.spark.read.parquet(f"{self.data}/{g}.parquet") for g in sorted({s.grid for s in ocean.SAMPLERS})}
+            final = self.product(f"{base}/haul_env", lambda: ocean.haul_environment(model, grids, *axes(self.where)), order=("zarpe_id",))
+            write(final.withColumn("env_time", F.to_date("env_time")), f"{self.out}/{base}/haul_env_csv", self.force, csv=True, order=("zarpe_id",))
+            self.made.append(f"{self.out}/{base}/haul_env_csv")
+
+
+def run(spark: SparkSession, data: str, out: str, where: Region, sources: tuple[str, ...] = SOURCES, scopes: tuple[str, ...] = SCOPES, force: bool = False, with_ocean: bool = True, forecast: bool = True, shared: bool = True, by_source: bool = True) -> list[str]:
+    """Runs the stages asked for; the paths of their products."""
+    work = Run(spark, data, out, where, force)
+    if shared:
+        work.shared(forecast)
+    if by_source:
+        for source in sources:
+            for scope in scopes:
+                work.of_source(source, scope, with_ocean)
+    return work.made
 
 
 def main() -> None:
@@ -78,13 +169,17 @@ def main() -> None:
     p.add_argument("--region", default="atacama")
     p.add_argument("--source", choices=SOURCES)
     p.add_argument("--scope", choices=SCOPES)
+    only = p.add_mutually_exclusive_group()
+    only.add_argument("--shared-only", action="store_true")
+    only.add_argument("--source-only", action="store_true")
     p.add_argument("--skip-ocean", action="store_true")
+    p.add_argument("--skip-forecast", action="store_true")
     p.add_argument("--force", action="store_true")
     a = p.parse_args()
     spark = session.build("pelagia run_all")
     session.ship(spark)
     sources, scopes = (a.source,) if a.source else SOURCES, (a.scope,) if a.scope else SCOPES
-    for path in run(spark, a.data, a.out, region(a.region), sources, scopes, a.force, a.skip_ocean):
+    for path in run(spark, a.data, a.out, region(a.region), sources, scopes, a.force, not a.skip_ocean, not a.skip_forecast, not a.source_only, not a.shared_only):
         print(path)
 
 

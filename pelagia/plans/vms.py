@@ -20,8 +20,32 @@ GAP_SECONDS = 20 * 60
 MIN_PINGS = 3
 RING, TURN, TURN_RING = 1.6, 160.0, 1.2
 MIN_SPAN_KM = 0.05
-#: A located haul's weight in a model, by confidence.
+#: A located haul's weight in a model, by confidence.
 WEIGHTS = {"alta": 1.0, "baja": 0.5}
+#: What a report is part of, and the confidence of a trip without any bout.
+FISHING, CANDIDATE, TRANSIT, NO_FISHING = "pesca", "candidato", "transito", "sin_pesca"
+#: Decimals of the written products.
+TRIP_DECIMALS = {
+    "duration_h": 2, "max_dist_km": 3, "track_km": 3, "mean_speed_kt": 2, "max_speed_kt": 2, "centroid_lat": 5, "centroid_lon": 5,
+    "start_dist_km": 3, "end_dist_km": 3,
+}
+HAUL_DECIMALS = {
+    "haul_lat": 5, "haul_lon": 5, "haul_duration_h": 2, "haul_mean_speed_kt": 2, "haul_net_turn_deg": 1, "haul_compactness": 2,
+    "haul_dist_port_km": 3,
+}
+#: Columns of the written products, in order.
+PING_COLUMNS = (
+    "zarpe_id", "rpa", "vessel_code", "vessel_name", "radio_call_sign", "location_datetime", "latitude", "longitude", "heading", "speed_kt",
+    "dist_port_km", "nearest_port",
+)
+TRIP_COLUMNS = (
+    "zarpe_id", "rpa", "vessel_code", "vessel_name", "start_datetime", "end_datetime", "duration_h", "n_pings", "max_dist_km", "track_km",
+    "mean_speed_kt", "max_speed_kt", "centroid_lat", "centroid_lon", "start_port", "start_dist_km", "end_port", "end_dist_km",
+)
+HAUL_COLUMNS = (
+    "n_hauls", "haul_confidence", "haul_lat", "haul_lon", "haul_start", "haul_end", "haul_duration_h", "haul_n_pings",
+    "haul_mean_speed_kt", "haul_net_turn_deg", "haul_compactness", "haul_dist_port_km", "nearest_port",
+)
 
 
 def consolidate(pings: DataFrame, file: str = "file", ordinal: str = "ord") -> DataFrame:
@@ -113,9 +137,8 @@ def bouts(pings: DataFrame, trip: str = "zarpe_id", at: str = "location_datetime
 
 
 def bout_metrics(rows: DataFrame, trip: str = "zarpe_id", at: str = "location_datetime", order: str = "ord", min_pings: int = MIN_PINGS) -> DataFrame:
-    """One row a bout of enough reports: turns, path, compactness, is_set, time, centre, and where it lay off port."""
+    """One row a bout of enough reports: turns, path, compactness, is_set, time and centre."""
     span = geo.haversine_km(F.min("latitude"), F.min("longitude"), F.max("latitude"), F.max("longitude"))
-    near = F.min_by(F.struct("dist_port_km", "nearest_port"), F.struct(at, order))
     out = rows.groupBy(trip, "bout").agg(
         F.abs(F.sum("bout_turn")).alias("net_turn"),
         F.sum(F.abs("bout_turn")).alias("total_turn"),
@@ -127,12 +150,11 @@ def bout_metrics(rows: DataFrame, trip: str = "zarpe_id", at: str = "location_da
         F.avg("latitude").alias("haul_lat"),
         F.avg("longitude").alias("haul_lon"),
         F.avg("speed_kt").alias("haul_mean_speed_kt"),
-        near.alias("__near"),
     )
     out = out.where(F.col("n_pings") >= min_pings)
-    out = out.withColumns({"compactness": F.col("path_km") / F.greatest(F.col("span_km"), F.lit(MIN_SPAN_KM)), "haul_dist_port_km": F.col("__near.dist_port_km"), "nearest_port": F.col("__near.nearest_port")})
+    out = out.withColumn("compactness", F.col("path_km") / F.greatest(F.col("span_km"), F.lit(MIN_SPAN_KM)))
     ring = (F.col("compactness") >= RING) | ((F.col("net_turn") >= TURN) & (F.col("compactness") >= TURN_RING))
-    return out.withColumn("is_set", ring).drop("__near")
+    return out.withColumn("is_set", ring)
 
 
 def haul_index(metrics: DataFrame, trip: str = "zarpe_id") -> DataFrame:
@@ -147,14 +169,23 @@ def representative(metrics: DataFrame, trip: str = "zarpe_id") -> DataFrame:
     return keep_first(metrics, [trip], *order, F.col("haul_start"), F.col("bout"))
 
 
-def haul_locations(metrics: DataFrame, trips: DataFrame, trip: str = "zarpe_id") -> DataFrame:
-    """Every trip with its representative haul: confidence alta for a set, baja for another bout, sin_lance without any."""
+def haul_locations(metrics: DataFrame, trips: DataFrame, points: list[tuple[str, float, float]], trip: str = "zarpe_id") -> DataFrame:
+    """Every trip with its representative haul: confidence alta for a set, baja for another bout, sin_pesca without any.
+
+    The port is the one nearest to the haul's centre.
+    """
     best = representative(metrics, trip)
     sets = metrics.groupBy(trip).agg(F.count_if("is_set").alias("n_hauls"))
     out = trips.join(best, trip, "left").join(sets, trip, "left")
-    confidence = F.when(F.col("is_set"), "alta").when(F.col("is_set").isNotNull(), "baja").otherwise("sin_lance")
-    hours = geo.hours_between(F.col("haul_start"), F.col("haul_end"))
-    return out.withColumns({"n_hauls": F.coalesce("n_hauls", F.lit(0)), "haul_confidence": confidence, "haul_duration_h": hours, "haul_n_pings": F.coalesce("n_pings", F.lit(0))}).drop("bout", "n_pings", "is_set")
+    confidence = F.when(F.col("is_set"), "alta").when(F.col("is_set").isNotNull(), "baja").otherwise(NO_FISHING)
+    near = nearest_point(F.col("haul_lat"), F.col("haul_lon"), points)
+    out = out.withColumns(
+        {
+            "n_hauls": F.coalesce("n_hauls", F.lit(0)), "haul_confidence": confidence, "haul_duration_h": geo.hours_between(F.col("haul_start"), F.col("haul_end")),
+            "haul_n_pings": F.coalesce("n_pings", F.lit(0)), "haul_dist_port_km": near["dist"], "nearest_port": near["name"],
+        }
+    )
+    return out.drop("bout", "n_pings", "is_set").withColumnsRenamed({"net_turn": "haul_net_turn_deg", "compactness": "haul_compactness"})
 
 
 def model_hauls(hauls: DataFrame) -> DataFrame:
@@ -165,9 +196,14 @@ def model_hauls(hauls: DataFrame) -> DataFrame:
 
 
 def label_pings(pings: DataFrame, rows: DataFrame, metrics: DataFrame, keys: list[str], trip: str = "zarpe_id") -> DataFrame:
-    """All reports with behavior (lance, maniobra, navegacion), is_haul and haul_index of the set they belong to."""
+    """All reports with behavior (pesca, candidato, transito), is_haul and haul_index of the set they belong to."""
     numbered = haul_index(metrics, trip).select(trip, "bout", "haul_index")
     marked = rows.select(*keys, trip, "bout").join(numbered, [trip, "bout"], "left").drop("bout", trip)
     out = pings.join(marked.withColumn("__c", F.lit(True)), keys, "left")
-    behavior = F.when(F.col("haul_index").isNotNull(), "lance").when(F.col("__c"), "maniobra").otherwise("navegacion")
-    return out.withColumns({"behavior": behavior, "is_haul": F.col("haul_index").isNotNull()}).drop("__c")
+    behavior = F.when(F.col("haul_index").isNotNull(), FISHING).when(F.col("__c"), CANDIDATE).otherwise(TRANSIT)
+    return out.withColumns({"behavior": behavior, "is_haul": F.col("haul_index").isNotNull().cast("int")}).drop("__c")
+
+
+def rounded(df: DataFrame, decimals: dict[str, int]) -> DataFrame:
+    """df as it is written: the columns that have one at their number of decimals."""
+    return df.withColumns({c: geo.scaled_round(F.col(c), n) for c, n in decimals.items() if c in df.columns})

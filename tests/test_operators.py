@@ -1,3 +1,4 @@
+import difflib
 import math
 import random
 from datetime import datetime, timedelta
@@ -5,6 +6,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pelagia.operators import grid as g
@@ -57,6 +59,31 @@ def test_sequence_ids_follow_the_order(spark):
     assert [r.h for r in rows] == sorted(r.h for r in rows)
 
 
+def test_sequence_ids_of_many_wide_rows_written(spark, tmp_path):
+    """Wide rows over many tasks, written and read back: exactly 1 to N, in order, no row lost."""
+    n = 300_000
+    wide = spark.range(n).select(F.xxhash64("id").alias("h"), *(F.sha2((F.col("id") + k).cast("string"), 256).alias(f"c{k}") for k in range(6))).repartition(16)
+    o.sequence_ids(wide, "n", F.col("h")).write.parquet(str(tmp_path / "ids"))
+    got = spark.read.parquet(str(tmp_path / "ids"))
+    assert tuple(got.agg(F.count("*"), F.count_distinct("n"), F.min("n"), F.max("n"), F.count_distinct("h")).first()) == (n, n, 1, n, n)
+    ordered = got.select("n", F.lag("h").over(Window.orderBy("n")).alias("before"), "h")
+    assert ordered.where("before > h").count() == 0
+
+
+def test_asof_forward_of_one_long_history(spark):
+    """One key with all rows; work is linear, and null keys and times keep their rows."""
+    n = 40_000
+    left = spark.range(n).select("id", F.when(F.col("id") % 1000 != 7, "a").alias("k"), F.when(F.col("id") % 1000 != 8, F.timestamp_seconds(1_700_000_000 + F.col("id") * 60)).alias("t"))
+    right = spark.range(n // 500).select(F.col("id").alias("ord"), F.lit("a").alias("k"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 30_000 + 29_000).alias("r"), F.col("id").alias("trip"))
+    got = o.asof_forward(left, right, "k", "t", "r", ["trip"], 3600 * 4, "ord").toPandas().set_index("id")["trip"]
+    assert len(got) == n
+    for i in (0, 243, 244, 483, 484, 1007, 1008, 25_000, n - 1):
+        at = 60 * i
+        after = [k for k in range(n // 500) if 30_000 * k + 29_000 >= at]
+        want = after[0] if after and 30_000 * after[0] + 29_000 - at <= 3600 * 4 and i % 1000 not in (7, 8) else None
+        assert (None if pd.isna(got[i]) else int(got[i])) == want
+
+
 def test_first_and_last_skip_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, "b"), (3, "c"), (4, None)], "t int, v string")
     r = df.agg(o.first_not_null("v", F.col("t")).alias("f"), o.last_not_null("v", F.col("t")).alias("l")).first()
@@ -114,7 +141,7 @@ def test_sample_and_fallback(spark):
     got = {r.id: r for r in g.sample(spark.createDataFrame(points, "id int, ts timestamp, latitude double, longitude double"), _table(spark, v), "v", LAT, LON, "id", "ts").collect()}
     near = min(((math.hypot((i - 2), (j - 3) * math.cos(math.radians(29))), i, j) for i in range(8) for j in range(6) if not math.isnan(v[i, j])))
     assert got[1].status == "fallback" and got[1].v == pytest.approx(v[near[1], near[2]])
-    assert got[2].status == "out_of_range" and got[2].v is None and got[2].time == T0
+    assert got[2].status == "fuera_de_rango" and got[2].v is None and got[2].time == T0
     assert got[3].status == "ok" and got[3].v == pytest.approx(v[0, 0])  # beyond the ends: the corner
 
 
@@ -157,6 +184,29 @@ def test_fuzzy_match(spark):
     assert got == {1: 11, 2: 12, 4: 13}
 
 
+def test_fuzzy_match_against_difflib(spark):
+    """The bounds lose no pair: as get_close_matches over all names, at two cutoffs."""
+    rng = random.Random(8)
+    names = sorted({" ".join(rng.choice(["DON", "ROCIO", "MAR", "AZUL", "KALI", "ANA", "SOL", "PEZ", "LUZ", "RAYO"]) for _ in range(rng.randint(1, 3))) for _ in range(150)})
+    asked = []
+    for i, n in enumerate(names):
+        t = list(n)
+        for _ in range(rng.choice([1, 1, 2])):
+            t[rng.randrange(len(t))] = rng.choice("ABCDEFGHIJKLMNO")
+        asked.append((i, "".join(t).strip() or "X"))
+    right = list(enumerate(names))
+    for cutoff in (0.7, 0.85):
+        got = {r.l: (r.r, r.score) for r in fuzzy_match(spark.createDataFrame(asked, "l int, n string"), "l", "n", spark.createDataFrame(right, "r int, m string"), "r", "m", cutoff).collect()}
+        want = {}
+        for i, n in asked:
+            close = difflib.get_close_matches(" ".join(n.split()), names, n=5, cutoff=cutoff)
+            if close:
+                best = n if n in names else close[0]
+                want[i] = (names.index(best), difflib.SequenceMatcher(None, best, " ".join(n.split())).ratio())
+        assert got.keys() == want.keys() and len(want) > 40
+        assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in want)
+
+
 def test_best_match(spark):
     pairs = spark.createDataFrame([(1, "ROCIO", "ROCIO I"), (1, "ROCIO", "MARIA"), (2, "ABCDEF", "ABXX")], "k int, a string, b string")
     got = {r.k: (r.b, r.status) for r in best_match(pairs, "k", "a", "b").collect()}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pelagia.config import SPECIES, region
 from pelagia.operators.grid import Axis
 from pelagia.plans import catch, driver, landings, observers, ocean, registry, vms
-from pelagia.plans.run_all import hauls
+from pelagia.plans.run_all import hauls, run
 
 SF = "/root/testdata/sf0.001"
 T0 = datetime(2023, 3, 5, 6)
@@ -36,15 +36,15 @@ def _reports(spark, kinds):
 
 def _trips(spark):
     row = [(1, "100", "KALI", "69", T0 + timedelta(days=1), "Caldera", 12.0, True)]
-    return spark.createDataFrame(row, "zarpe_id long, vessel_code string, vessel_name string, cod_barco string, landing_datetime timestamp, landing_port string, jurel_tons double, principal_catch boolean")
+    return spark.createDataFrame(row, "zarpe_id long, vessel_code string, vessel_name string, cod_barco string, landing_datetime timestamp, landing_port string, jack_mackerel_tons double, principal_catch boolean")
 
 
 def test_ring_is_a_set_and_a_drift_is_not(spark):
     both = hauls(_trips(spark), _reports(spark, ["drift", "ring"]), region("atacama")).first()
     assert both.haul_confidence == "alta" and both.n_hauls == 1 and both.is_single_haul and both.sample_weight == 1.0
-    assert both.haul_start == T0 + timedelta(minutes=125, hours=1) and 2.0 < both.compactness < 2.4 and both.jurel_tons == 12.0
+    assert both.haul_start == T0 + timedelta(minutes=125, hours=1) and 2.0 < both.haul_compactness < 2.4 and both.jack_mackerel_tons == 12.0
     drift = hauls(_trips(spark), _reports(spark, ["drift"]), region("atacama")).first()
-    assert drift.haul_confidence == "baja" and drift.sample_weight == 0.5 and drift.compactness == pytest.approx(1, abs=0.01)
+    assert drift.haul_confidence == "baja" and drift.sample_weight == 0.5 and drift.haul_compactness == pytest.approx(1, abs=0.01)
 
 
 def test_two_rings_are_numbered(spark):
@@ -53,6 +53,7 @@ def test_two_rings_are_numbered(spark):
     labelled = vms.label_pings(tripped, rows, vms.bout_metrics(rows), ["ord"])
     got = {r.haul_index: r.n for r in labelled.groupBy("haul_index").agg(F.count("*").alias("n")).collect()}
     assert got == {1: 25, 2: 25, None: 25}
+    assert {r.behavior for r in labelled.collect()} == {"pesca", "candidato"} and labelled.schema["is_haul"].dataType.simpleString() == "int"
 
 
 def test_clean_and_consolidate(spark):
@@ -83,15 +84,38 @@ def test_catch_wide_to_spine(spark):
     vessels = spark.createDataFrame([("100", "KALI"), ("100", "KALI 2")], "vessel_code string, vessel_name string")
     kept = catch.filter_catch(cleaned, ("Caldera",), date(2023, 3, 6), date(2023, 3, 6))
     spine = catch.trip_spine(kept, vessels).collect()
-    assert [(r.zarpe_id, r.vessel_name, r.jurel_tons, r.principal_catch) for r in spine] == [(1, "KALI", 5.0, True)]
-    assert catch.filter_catch(cleaned, ("Caldera",), date(2023, 3, 6), date(2023, 3, 6), "all").count() == 2
+    assert [(r.zarpe_id, r.vessel_name, r.jack_mackerel_tons, r.principal_catch) for r in spine] == [(1, "KALI", 5.0, True)]
+    every = catch.filter_catch(cleaned, ("Caldera",), date(2023, 3, 6), date(2023, 3, 6), "all")
+    assert {(r.COD_BARCO, r.PRINCIPAL_CATCH) for r in every.collect()} == {("69", True), ("zz", False)}  # a tie counts, in both scopes
+    columns = catch.trip_spine(every, vessels).columns
+    assert columns[6:9] == ["jack_mackerel_tons", "needlefish_tons", "anchovy_tons"] and columns[-1] == "principal_catch"
+
+
+def test_trips_are_numbered_by_landing_then_vessel(spark):
+    rows = [("9", T0 + timedelta(days=1)), ("10", T0), ("9", T0), (None, T0), ("1", T0 + timedelta(days=2))]
+    df = spark.createDataFrame(rows, "vessel_code string, LANDING_DATETIME timestamp").withColumns({"COD_BARCO": F.col("vessel_code"), "PORT": F.lit("p"), "JACK_MACKEREL": F.lit(1.0), "PRINCIPAL_CATCH": F.lit(True)})
+    got = catch.trip_spine(df, spark.createDataFrame([], "vessel_code string, vessel_name string")).orderBy("zarpe_id").collect()
+    assert [(r.zarpe_id, r.vessel_code, r.landing_datetime.day) for r in got] == [(1, "10", 5), (2, "9", 5), (3, None, 5), (4, "9", 6), (5, "1", 7)]
+
+
+def test_haul_port_is_the_one_nearest_to_its_centre(spark):
+    """A bout that starts off Caldera and lies, as a whole, nearer to Carrizal Bajo."""
+    rows = [(k, 1, T0 + timedelta(minutes=5 * k), lat, -71.4, 10.0, 1.5) for k, lat in enumerate([-27.5, -27.9, -28.2, -28.3])]
+    pings = spark.createDataFrame(rows, "ord long, zarpe_id long, location_datetime timestamp, latitude double, longitude double, heading double, speed_kt double")
+    placed = vms.with_ports(pings, region("atacama").points)
+    metrics = vms.bout_metrics(vms.bouts(vms.candidates(placed)))
+    got = vms.haul_locations(metrics, placed.select("zarpe_id").distinct(), region("atacama").points).first()
+    assert got.nearest_port == "Carrizal Bajo" and got.haul_dist_port_km == pytest.approx(29, abs=1) and got.haul_confidence == "baja"
+    none = vms.haul_locations(metrics.limit(0), placed.select("zarpe_id").distinct(), region("atacama").points).first()
+    assert none.haul_confidence == "sin_pesca" and none.haul_n_pings == 0 and none.nearest_port is None
 
 
 def test_catch_long(spark):
-    rows = [("69", "06-03-2023 06:00:00", "CALDERA", "3", "Artesanal", "Jurel", "2"), ("69", "06-03-2023 06:00:00", "CALDERA", "3", " artesanal ", "JUREL", "x"), ("69", "06-03-2023 06:00:00", "CALDERA", "3", "INDUSTRIAL", "JUREL", "9"), (None, "06-03-2023 06:00:00", "CALDERA", "3", "Artesanal", "JUREL", "9")]
+    key = ("69", "06-03-2023 06:00:59", "CALDERA", "Región de Atacama")
+    rows = [(*key, "Artesanal", "Jurel", "2"), (*key, " artesanal ", "JUREL", "x"), (*key, "INDUSTRIAL", "JUREL", "9"), (*key, "Artesanal", "merluza", "9"), (None, *key[1:], "Artesanal", "JUREL", "9")]
     raw = spark.createDataFrame(rows, "BARCO string, FECHA_HORA_RECALADA string, PUERTO_DE_RECALADA string, REGION string, FLOTA string, ESPECIE string, PESO string")
-    got = catch.clean_long(raw, {"JUREL": "JUREL"}).collect()
-    assert [(r.JUREL, r.BONITO, r.PORT, r.vessel_code) for r in got] == [(2.0, 0.0, "Caldera", "100")]
+    got = catch.clean_long(raw).collect()
+    assert [(r.JACK_MACKEREL, r.BONITO, r.PORT, r.vessel_code, r.REGION, r.LANDING_DATETIME) for r in got] == [(2.0, 0.0, "Caldera", "100", 3, datetime(2023, 3, 6, 6))]
     assert got[0].asDict().keys() >= set(SPECIES)
 
 
@@ -145,14 +169,81 @@ def test_haul_environment_and_forecast(spark):
     got = {r.zarpe_id: r for r in ocean.haul_environment(df, grids, lat, lon).collect()}
     assert got[1].env_status == "ok" and got[1].sst_c == pytest.approx(16.85) and got[1].sst_front_c_per_km > 0 and got[1].chl_front_mg_m3_per_km == 0
     assert got[2].env_status == "fallback" and got[2].chl_mg_m3 == 1.0
-    assert got[3].env_status == "no_position" and got[3].moon_illumination is None
-    assert got[4].env_status == "out_of_range" and got[4].env_time is not None and got[4].sst_c is None and got[4].moon_illumination is not None
+    assert got[3].env_status == "sin_coords" and got[3].moon_illumination is None
+    assert got[4].env_status == "fuera_de_rango" and got[4].env_time is not None and got[4].sst_c is None and got[4].moon_illumination is not None
     physics = field("sst_c", F.lit(15.0)).withColumns({"mld_m": F.lit(20.0), "sss_psu": F.lit(34.0)})
     biology = field("chl_mg_m3", F.when(F.col("i_lon") < 8, 1.0)).withColumn("o2_min_mmol_m3", F.lit(100.0))
     out = ocean.forecast_grid(physics, biology, lat, lon)
     assert out.count() == 100 and out.where("coast_filled").count() == 20
 
 
+def test_vessel_sheet(spark):
+    head = ["N Matricula", "Capitania", "Nombre", "Se&ntilde;al Distintiva", "Vence", "77", "X", "KALI", "CB-4352", "2020"]
+    gear = ["M&eacute;todo de Captura", "Especie", "Fecha", "Tipo", "CERCO", "JUREL", "01-02-2020", "a", "RED", "JUREL", "01-02-2020", "a", "CERCO", "JIBIA", "01-02-2020", "b", "RED", "X", "never", "c"]
+    status = ["N", "Fecha", "Oficina", "Estado", "1", "2", "3", "VIGENTE"]
+    page = "<script>x('<td>Estado</td>')</script>" + "".join(f"<td>{c}</td>" for c in head + gear + status)
+    got = registry.read_sheet(spark.createDataFrame([("10", page), ("11", "")], "rpa string, html string")).orderBy("rpa").collect()
+    assert (got[0].signal_code, got[0].gears) == ("4352", {"JUREL": ["CERCO", "RED"], "JIBIA": ["CERCO"]}) and got[0].status == "VIGENTE"
+    assert got[1].gears == {} and got[1].signal_code == ""
+
+
+def test_trip_details(spark):
+    page = "<td><strong>Tipo Embarcaci?n :</strong></td><td> Lancha </td><td><strong>N&#250;mero Lances :</strong></td><td>4</td><td><strong>N&#xFA;mero Lances Muestreados:</strong></td><td>9</td><td><STRONG>Especie Objetivo</STRONG></td><td>33 - SARDINA\n COM&Uacute;N</td>"
+    got = observers.with_details(spark.createDataFrame([(1, page)], "id int, html string")).first()
+    assert (got.tipo_embarcacion, got.numero_lances, got.especie_objetivo) == ("Lancha", "4", "33 - SARDINA COMÚN")
+
+
+def _raw_files(at, spark):
+    """A small world: one seiner that makes a ring off Caldera and lands jack mackerel, and another boat that is no seiner."""
+    (at / "vms_daily").mkdir(parents=True)
+    head = "Name;Radio Call Sign (RC);Location date;Latitude;Longitude;Heading;Speed (kt)\n"
+    lines, t = [], T0
+    for lat, lon, heading in [*_track("ring"), *_track("drift")]:
+        lines.append(f"KALI (ART);CB-4352;{t:%d/%m/%Y %H:%M:%S};{lat:.5f}°;{lon:.5f}°;{heading:.1f};1.50 kt\n")
+        t += timedelta(minutes=5)
+    (at / "vms_daily/flota_2023-03-05.csv").write_text(head + "".join(lines), encoding="utf-8")
+    (at / "vms_daily/flota_2023-03-06.csv").write_text(head + lines[0].replace("-27.3", "-28.3"), encoding="utf-8")
+    names = list(registry.HEADERS)
+    row = lambda i, rpa, name, plate: ";".join({"Correlativo": i, "Nº RPA": rpa, "Nombre Embarcación": name, "Categoría": "LANCHA", "Fecha Inscripción": "01-02-2020", "Nº Matrícula": plate, "Puerto": "CAL", "Region": "III REGION"}.get(n, "x") for n in names)
+    (at / "registry_raw.csv").write_text("\n".join([";".join(names), row("10", "1", "KALI", "M1"), row("2", "2", "ROCIO II", "M2")]) + "\n", encoding="utf-8")
+    sheet = lambda call, gear: f"<td>Señal Distintiva</td><td>V</td><td>1</td><td>2</td><td>3</td><td>{call}</td><td>Método de Captura</td><td>Especie</td><td>Fecha</td><td>Tipo</td><td>{gear}</td><td>JUREL</td><td>01-02-2020</td><td>a</td>"
+    spark.createDataFrame([("1", sheet("CB-4352", "CERCO")), ("2", sheet("CB-1", "RED"))], "rpa string, html string").write.parquet(str(at / "vessel_sheets.parquet"))
+    trips = "lugar,fecha_zarpe,fecha_recalada,cod_barco,puerto_zarpe,puerto_recalada,observador\n"
+    (at / "observer_trips_raw.csv").write_text(trips + "Embarcado,04/03/2023 06:30,05/03/2023 06:30,100 - KALI,10 - CALDERA,10 - CALDERA,n\nTierra,04/03/2023 06:30,05/03/2023 06:30,200 - ROCIO II,9 - HUASCO,10 - CALDERA,n\n", encoding="utf-8")
+    wide = "AÑO,REGION,COD_BARCO,FECHA_HORA_RECALADA,LATITUD,LONGITUD,JUREL,ANCHOVETA,\n2023,3,69,3/6/2023 6:00,270400,704909,12.5,1,\n2023,3,CD,3/7/2023 6:00,270400,704909,0,3,\n"
+    (at / "catch_wide.csv").write_bytes(wide.encode("latin-1"))
+    (at / "catch_long.csv").write_bytes("BARCO;FECHA_HORA_RECALADA;PUERTO_DE_RECALADA;REGION;FLOTA;ESPECIE;PESO\n69;06-03-2023 06:00:30;CALDERA;Región de Atacama;ARTESANAL;JUREL;12.5\n".encode("latin-1"))
+    (at / "landings.csv").write_bytes("ano;region;tipo_agente;especie;toneladas\n2020;Atacama;x;JUREL;3.5\n2020;Maule;x;JUREL;9\n".encode("latin-1"))
+    from pelagia.operators.grid import cells
+    from pelagia.plans.run_all import axes
+
+    day = cells(spark, *axes(region("caldera"))).where("i_lat BETWEEN 30 AND 50 AND i_lon BETWEEN 5 AND 25").withColumn("time", F.lit("2023-03-05").cast("timestamp"))
+    for name, values in {"sst": {"analysed_sst": 290.0}, "chl": {"CHL": 1.0}, "phy": {"mlotst": 20.0, "so_0m": 34.0}, "bgc": {"o2_min_0_200m": 100.0}, "phy_forecast": {"sst_c": 15.0, "mld_m": 20.0, "sss_psu": 34.0}, "bgc_forecast": {"chl_mg_m3": 1.0, "o2_min_mmol_m3": 100.0}}.items():
+        day.withColumns({c: F.lit(v) for c, v in values.items()}).write.parquet(str(at / f"{name}.parquet"))
+
+
+def test_whole_run(spark, tmp_path):
+    data, out = tmp_path / "data", str(tmp_path / "out")
+    data.mkdir()
+    _raw_files(data, spark)
+    made = run(spark, str(data), out, region("caldera"))
+    read = lambda name: spark.read.parquet(f"{out}/caldera/{name}")
+    assert [r.id for r in read("registry/register_clean").collect()] == ["2", "10"]  # by number, not by text
+    assert [(r.rpa, r.signal_code, r.vessel_code) for r in read("registry/register").collect()] == [("1", "4352", "100")]
+    assert read("reports_fleet").count() == 50 and read("landings").count() == 1
+    base = "zarpes_2019_2024"
+    haul = read(f"{base}/haul_location").collect()
+    assert [(r.zarpe_id, r.haul_confidence, r.n_hauls, r.jack_mackerel_tons, r.principal_catch, r.nearest_port) for r in haul] == [(1, "alta", 1, 12.5, True, "Caldera")]
+    assert "anchovy_tons" in read(f"{base}_all_species/haul_location").columns and "anchovy_tons" not in haul[0]
+    assert read(f"{base}_all_species/trips").count() == 2 and read(f"{base}_backup/trips").count() == 1
+    ping = read(f"{base}/pings_behaviour").groupBy("behavior").count().collect()
+    assert {r.behavior: r["count"] for r in ping} == {"pesca": 25, "candidato": 25} or {r.behavior for r in ping} == {"pesca"}
+    final = spark.read.csv(f"{out}/caldera/{base}/haul_env_csv", header=True).collect()
+    assert [(r.env_status, r.env_time, r.sst_c, r.haul_start) for r in final] == [("ok", "2023-03-05", "16.850000000000023", "2023-03-05 06:00:00")]
+    assert read("forecast_grid").count() == 441 and read("forecast_grid").columns[:3] == ["time", "latitude", "longitude"]
+    assert len(made) == len(set(made)) and run(spark, str(data), out, region("caldera"), shared=False) == [p for p in made if "/zarpes_2019" in p]
+
+
 def _plain(v):
     return f"{round(v, 5) + 0.0:.5f}" if isinstance(v, float) else str(v)
 
