@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pelagia.shared import materialize, release, scratch  # noqa: F401  what the operators use
+
 #: White space between words, as a regular expression class (space, tab to carriage return).
 SPACE = r"[ \t-\r]"
 #: A word: a run of anything else.
@@ -21,28 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new path in the folder all executors share (spark.checkpoint.dir).
-
-    Only where that setting is missing, as in local tests, is a folder made and the setting filled in.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="pelagia-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/pelagia-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write df to the shared folder and read it back: the lineage ends there, and lost executors lose nothing."""
-    path = scratch(df.sparkSession)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import materialize
+from pelagia.llm.common import materialize, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for every node of the edges a, b (long).
 
     No component is ever gathered in a task: each step is a minimum by key and a join, and every round is
-    written to the shared folder. Loops and repeated edges do no harm; no edges give no rows.
+    written to the shared folder, the round before it then deleted. Loops and repeated edges do no harm; no edges give no rows.
     """
     edges = materialize(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
@@ -34,5 +34,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen = mark
-        edges = materialize(_small_star(_large_star(edges)).where(F.col("a") != F.col("b")).distinct())
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+        before, edges = edges, materialize(_small_star(_large_star(edges)).where(F.col("a") != F.col("b")).distinct())
+        release(before)
+    out = materialize(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct()))
+    release(edges)
+    return out

@@ -7,10 +7,10 @@ registers (empty ones filled from the next full one); pairs with a smaller set a
 any pair that reaches the threshold, the first floor((1 - threshold) * n) + 1 shingles of each in one order of all shingles
 meet. The order puts shingles that are common in a bounded sample last; it decides the work, not the pairs. The collision-corrected Jaccard estimate drops the hopeless ones, and full sets
 confirm the rest. Buckets of at most FEW classes emit their pairs. No larger bucket does: first each class meets the likeliest smallest class of its
-buckets; then, in rounds over square tiles of bounded size, each class meets its likeliest partners in other
-components, and components are merged between rounds, until no likely pair across components is left untried.
-Classes that take part in tiles have a finer sketch as well, so the many pairs of a group a little below the
-threshold are told from links without reading their sets.
+buckets, and links make components. Buckets that still hold several components are cut into tiles of bounded size; a tile
+compares its classes by their sketches, counts the shared shingles of likely pairs by one product of incidence matrices, and emits only
+links that join components, so its rows never outnumber its classes. Chunks meet themselves first, and one another only
+where a bucket holds several components even then.
 
 Links: 100 * intersection >= percent * union. With 25 bands of 5 registers a pair of
 long texts at 0.85 is missed with odds of 4e-7, at 0.8 with 32 bands of 4 with odds of 5e-8. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
@@ -30,16 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.arrays import mix, shingles, text_blocks
-from pelagia.llm.common import BROADCAST_ROWS, materialize
+from pelagia.llm.common import BROADCAST_ROWS, materialize, release
 from pelagia.llm.components import connected_components
 
 BUCKETS = 128
 MANTISSA = 10
 #: Pairs whose estimate is this far below the threshold are not confirmed: four standard errors of 128 registers.
 SLACK = 0.13
-#: The finer sketch of classes in tiles, and four standard errors of it.
-FINE_BUCKETS = 512
-FINE_SLACK = 0.065
 #: Sets with fewer shingles are proposed by their own shingles.
 SHORT = 200
 #: Classes a bucket may have and emit all its pairs.
@@ -47,8 +44,9 @@ FEW = 16
 #: The sample that tells common shingles, and how many of them are told.
 SAMPLE_SETS = 20_000
 COMMON = 50_000
-#: Members a tile of a bucket has on each side.
-TILE = 512
+#: Classes, and shingles of them together, that a tile of a bucket has on each side.
+TILE = 1024
+TILE_SHINGLES = 1_000_000
 _U = np.uint64
 
 
@@ -127,13 +125,12 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SET = "id long, n long, f1 long, f2 long, members binary"
 
 
-def _sets(batches: Iterator[pa.RecordBatch], fine: bool = False) -> Iterator[pa.RecordBatch]:
-    """Whole sets as packed hashes, or their finer sketches."""
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole sets as packed hashes."""
     for batch in batches:
         for first, last, data, offsets in text_blocks(batch.column(1)):
             h, at = shingles(data, offsets)
-            parts = registers(h, at, FINE_BUCKETS) if fine else [h[at[i] : at[i + 1]] for i in range(last - first)]
-            packed = pa.array([x.tobytes() for x in parts], pa.binary())
+            packed = pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(last - first)], pa.binary())
             yield pa.record_batch([batch.column(0).slice(first, last - first), pa.array(np.diff(at).astype(np.int64)), *_marks(h, at), packed], names=["id", "n", "f1", "f2", "members"])
 
 
@@ -203,45 +200,72 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _tile_pairs(pdf: pd.DataFrame, percent: int, k: int) -> pd.DataFrame:
-    """Up to k likely partners in other components for every row of a tile, best estimate first.
-
-    open marks the rows that have more than k. A pair left out is open on both sides, so the next round needs
-    the open rows alone.
-    """
-    lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-    pdf = pdf.sort_values(["chunk", "rep"], ignore_index=True)
-    regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, BUCKETS)
-    fine = np.frombuffer(b"".join(pdf["fine"]), np.uint16).reshape(-1, FINE_BUCKETS)
-    full = (regs > 0).sum(axis=1)
-    least, least_fine = percent / 100 - slack(percent, BUCKETS, SLACK), percent / 100 - slack(percent, FINE_BUCKETS, FINE_SLACK)
-    comp, n, rep, chunk = (pdf[c].to_numpy() for c in ("comp", "n", "rep", "chunk"))
-    found: list[tuple] = []
-    for i in range(len(pdf)):
-        fit = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-        if lo != hi:
-            fit &= chunk != chunk[i]
-        at = np.flatnonzero(fit)
-        if not len(at):
-            continue
-        same = ((regs[at] == regs[i]) & (regs[i] > 0)).sum(axis=1)
-        at = at[same >= least * np.maximum(full[at], full[i])]  # no pair uses fewer registers
-        if not len(at):
-            continue
-        est = estimate(regs[i][None, :], regs[at], n[i], n[at])
-        at = at[est >= least]
-        est = estimate(fine[i][None, :], fine[at], n[i], n[at])
-        at, est = at[est >= least_fine], est[est >= least_fine]
-        best = np.lexsort((rep[at], -est))[:k]
-        found += [(rep[i], chunk[i], min(rep[i], rep[j]), max(rep[i], rep[j]), len(at) > k) for j in at[best]]
-    out = pd.DataFrame(found, columns=["rep", "chunk", "a", "b", "open"])
-    out.insert(0, "band", pdf["band"].iloc[0])
-    out.insert(1, "lo", lo)
-    out.insert(2, "hi", hi)
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each pair of sets shares: the incidence matrix times itself, a slab of columns at a time."""
+    m = len(sets)
+    row = np.repeat(np.arange(m), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = count[column] > 1
+    column = (np.cumsum(count > 1) - 1)[column[often]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[often][order], column[order]
+    kind = np.float32 if len(row) < 1 << 24 else np.float64
+    out, width = np.zeros((m, m), kind), max(64, 4_000_000 // m)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        at = slice(*np.searchsorted(column, [low, low + width]))
+        slab = np.zeros((m, width), kind)
+        slab[row[at], column[at] - low] = 1
+        out += slab @ slab.T
+    return out.astype(np.int64)
+
+
+def _joining(a: np.ndarray, b: np.ndarray, home: np.ndarray) -> list[int]:
+    """Which of the links a, b join components that those before left apart. home: each place's component, from 0."""
+    root = list(range(int(home.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for k, (x, y) in enumerate(zip(home[a].tolist(), home[b].tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append(k)
     return out
 
 
-_TILE_OUT = "band long, lo int, hi int, rep long, chunk int, a long, b long, open boolean"
+def _tile_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links of a tile that join its components, as few as do."""
+    between = pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
+    pdf = pdf.sort_values("rep", ignore_index=True)
+    regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, BUCKETS)
+    full, least = (regs > 0).sum(axis=1), percent / 100 - slack(percent, BUCKETS, SLACK)
+    n, rep, chunk, home = pdf["n"].to_numpy(), pdf["rep"].to_numpy(), pdf["chunk"].to_numpy(), pd.factorize(pdf["comp"])[0]
+    pairs = []
+    for i in range(len(pdf) - 1):
+        fit = (home[i + 1 :] != home[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))
+        if between:
+            fit &= chunk[i + 1 :] != chunk[i]
+        at = i + 1 + np.flatnonzero(fit)
+        if len(at):
+            same = ((regs[at] == regs[i]) & (regs[i] > 0)).sum(axis=1)
+            at = at[same >= least * np.maximum(full[at], full[i])]  # no pair uses fewer registers
+        if len(at):
+            at = at[estimate(regs[i][None, :], regs[at], n[i], n[at]) >= least]
+            pairs.append(np.stack([np.full(len(at), i), at]))
+    a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+    if len(a):
+        some = np.unique(np.concatenate([a, b]))
+        both = _shared([np.frombuffer(x, np.uint64) for x in pdf["members"].iloc[some]])[np.searchsorted(some, a), np.searchsorted(some, b)]
+        linked = 100 * both >= percent * (n[a] + n[b] - both)
+        a, b = a[linked], b[linked]
+        taken = _joining(a, b, home)
+        a, b = a[taken], b[taken]
+    return pd.DataFrame({"a": rep[a], "b": rep[b]})
 
 
 class NearDuplicates:
@@ -267,11 +291,10 @@ class NearDuplicates:
         scored = pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_score, "a long, b long, est double")
         return scored.where(F.col("est") >= self.percent / 100 - slack(self.percent, BUCKETS, SLACK))
 
-    def _read(self, ids: DataFrame, fine: bool = False) -> DataFrame:
-        """id and members for the ids asked for, from their texts: packed sets, or finer sketches."""
-        ids = materialize(ids.distinct())
+    def _read(self, ids: DataFrame) -> DataFrame:
+        """id and members (packed sets) for the materialized ids asked for, from their texts."""
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        rows = self.docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(partial(_sets, fine=fine), _SET)
+        rows = self.docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets, _SET)
         if self.repeated:
             least = F.min(F.struct("n", "f1", "f2", "members"))
             rows = rows.groupBy("id").agg(least.alias("s")).select("id", "s.*")
@@ -279,11 +302,14 @@ class NearDuplicates:
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the threshold. Only the texts of these pairs are read into sets again."""
-        sets = self._read(pairs.select(F.explode(F.array("a", "b")).alias("id"))).repartition("id")
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        sets = self._read(ids)
         with_b = pairs.select("a", "b").join(sets.toDF("b", "mb"), "b")
         both = with_b.join(sets.toDF("a", "ma"), "a").select("a", "b", "ma", "mb")
         percent = self.percent
-        return materialize(both.mapInArrow(lambda it: _confirm(it, percent), "a long, b long"))
+        out = materialize(both.mapInArrow(lambda it: _confirm(it, percent), "a long, b long"))
+        release(ids)
+        return out
 
     def _prefix_rows(self) -> DataFrame:
         """band, rep, n of every set that a set of less than SHORT shingles may link with."""
@@ -304,60 +330,68 @@ class NearDuplicates:
             rows = rows.join(short, ["doc_id", "n", "f1", "f2"], "left_semi").dropDuplicates(["doc_id"])
         return rows.select(F.explode("band").alias("band"), F.col("doc_id").alias("rep"), "n")
 
-    def links(self) -> DataFrame:
-        """Confirmed links a < b between classes: enough of them that components are those of all links."""
+    def components(self) -> DataFrame:
+        """node, component for every class that links with another."""
         long = self.classes.where(F.col("n") >= SHORT).select("rep", "n", "regs")
         rows = materialize(long.mapInArrow(partial(_band_rows, width=band_width(self.percent)), "band long, rep long, n long").unionByName(self._prefix_rows()))
         crowded = rows.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("k")).where("k > 1")
         crowded = materialize(crowded.select("band", "k", F.col("hub.rep").alias("a"), F.col("hub.n").alias("na")))
         members = materialize(rows.join(crowded, "band"))
+        release(rows, crowded)
         few = members.where(F.col("k") <= FEW).select("band", "rep", "n")
         pairs = few.toDF("band", "a", "na").join(few.toDF("band", "b", "nb"), "band").where("a < b")
         near = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
-        pairs = materialize(self._estimated(materialize(pairs.where(near).select("a", "b").distinct()))).select("a", "b")
-        members = members.where(F.col("k") > FEW)
+        met = materialize(pairs.where(near).select("a", "b").distinct())
+        crowd = members.where(F.col("k") > FEW)
         fits = 100 * F.least("n", "na") >= self.percent * F.greatest("n", "na")
-        star = members.where((F.col("rep") != F.col("a")) & fits).select("a", F.col("rep").alias("b")).distinct()
-        star = materialize(self._estimated(star))
-        best = star.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
-        best = materialize(best.unionByName(pairs).distinct())
-        links = self._confirmed(best)
-
-        comp = materialize(connected_components(links))
-        home = F.coalesce("component", "rep")
-        placed = members.join(comp, F.col("rep") == F.col("node"), "left").select("band", "k", "rep", home.alias("comp"))
-        placed = materialize(placed)
-        mixed = placed.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("band")
-        chunks = F.ceil(F.col("k") / F.lit(TILE)).cast("int")
-        tiled = materialize(placed.join(mixed, "band"))
-        fine = materialize(self._read(tiled.select(F.col("rep").alias("id")), fine=True).toDF("rep", "fine"))
-        tiled = tiled.join(self.classes.select("rep", "n", "regs"), "rep").join(fine, "rep")
-        tiled = tiled.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int"))
-        tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        tiled = materialize(tiled.select("band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "n", "regs", "fine"))
-        tried, width = best, 1
-        while True:
-            now = tiled.join(comp, F.col("rep") == F.col("node"), "left").withColumn("comp", home).drop("node", "component")
-            run = partial(_tile_pairs, percent=self.percent, k=width)
-            found = materialize(now.groupBy("band", "lo", "hi").applyInPandas(run, _TILE_OUT))
-            pairs = materialize(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-            if not pairs.isEmpty():
-                links = materialize(links.union(self._confirmed(pairs)))
-                comp = materialize(connected_components(links))
-                tried = materialize(tried.union(pairs))
-            rest = found.where("open").select("band", "lo", "hi", "rep", "chunk").distinct()
-            if rest.isEmpty():
-                return links
-            tiled, width = materialize(tiled.join(rest, ["band", "lo", "hi", "rep", "chunk"], "left_semi")), 4 * width
+        star = crowd.where((F.col("rep") != F.col("a")) & fits).select("a", F.col("rep").alias("b")).distinct()
+        star = self._estimated(star).groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a"))
+        likely = materialize(self._estimated(met).select("a", "b").unionByName(star.select("a", "b")).distinct())
+        release(met)
+        links = self._confirmed(likely)
+        release(likely)
+        comp = connected_components(links)
+        for between in (False, True):
+            more = self._tiles(crowd.select("band", "rep", "n"), comp, between)
+            if more is None:
+                break
+            before = links, more, comp
+            links = materialize(links.union(more))
+            comp = connected_components(links)
+            release(*before)
+        release(members, links)
+        return comp
+
+    def _tiles(self, crowd: DataFrame, comp: DataFrame, between: bool) -> DataFrame | None:
+        """Links inside the chunks of the buckets that hold several components, or between their chunks; None if no bucket asks for it."""
+        placed = materialize(crowd.join(comp, F.col("rep") == F.col("node"), "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("comp")))
+        sums = placed.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("k"), F.sum("n").alias("size"))
+        chunks = F.greatest(F.ceil(F.col("k") / F.lit(TILE)), F.ceil(F.col("size") / F.lit(TILE_SHINGLES))).cast("int").alias("chunks")
+        mixed = materialize(sums.where("c0 < c1").select("band", chunks).where(F.col("chunks") > (1 if between else 0)))
+        if mixed.isEmpty():
+            release(placed, mixed)
+            return None
+        rows = placed.join(mixed, "band").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+        ids = materialize(rows.select(F.col("rep").alias("id")).distinct())
+        sets = materialize(self._read(ids).join(self.classes.select(F.col("rep").alias("id"), "regs"), "id"))
+        others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: c != F.col("chunk")) if between else F.array("chunk")
+        rows = rows.withColumn("other", F.explode(others))
+        rows = rows.select("band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "rep", "n", "comp")
+        rows = rows.join(sets.withColumnRenamed("id", "rep"), "rep")
+        out = materialize(rows.groupBy("band", "lo", "hi").applyInPandas(partial(_tile_links, percent=self.percent), "a long, b long").distinct())
+        release(placed, mixed, ids, sets)
+        return out
 
     def assign(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept for every row."""
-        comp = materialize(connected_components(self.links()))
+        comp = self.components()
         where = self.classes.join(comp, F.col("rep") == F.col("node"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("comp"))
         rows = self.one.select("doc_id", "n", "f1", "f2")
         out = rows.join(where, ["n", "f1", "f2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
         if self.repeated:
             out = self.slim.select("doc_id").join(out, "doc_id")
+        out = materialize(out)
+        release(self.slim, self.one, self.classes, comp)
         return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
@@ -369,7 +403,8 @@ def assign(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFrame:
 def keep(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFrame:
     """The rows of docs that stay: the smallest id of each component, once. Small sets of dropped ids are broadcast."""
     found = NearDuplicates(docs, text, percent=percent)
-    gone = materialize(found.assign().where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())
+    placed = found.assign()
+    gone = materialize(placed.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())
     small = gone.count() <= BROADCAST_ROWS
     out = docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == F.col("__gone"), "left_anti")
     return out.dropDuplicates(["doc_id", text]) if found.repeated else out
