@@ -8,21 +8,21 @@ The flight runs on blocks of a few hundred documents; the two or so that each bl
 rounds of blocks, and the last dozen of a source land by the rounding of all of them that moves the fewest words.
 
 Edge cases: a null or blank text has size 0 and takes 0 words; a null source is a source of its own, the last;
-repeated rows are units of their own; an empty table gives an empty result. Draws depend on the source, the
+rows alike in id, source and size are one unit, whose copies they share evenly; an empty table gives an empty result. Draws depend on the source, the
 document ids and the seed alone, so reruns agree.
 """
 
 from __future__ import annotations
 
 import zlib
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import WORD, dimension_join, materialize
+from pelagia.llm.common import WORD, dimension_join, materialize, release
 
 CAP = 3.0
 #: Weights by a source's place in code point order, repeating.
@@ -134,59 +134,67 @@ def _fly(pdf: pd.DataFrame, level: int, seed: int, land: bool) -> pd.DataFrame:
     return pdf
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", seed: int = 7, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken for every row of docs."""
+def _plan(docs: DataFrame, text: str, source: str, key: str, seed: int, weights: tuple[float, ...], cap: float) -> DataFrame:
+    """doc_id, source, size, rows, source_size, target, total: rows alike in all three are one unit, and total the copies it gets."""
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-    sized = materialize(docs.select("doc_id", F.col(source).alias("source"), size.alias("size")))
-    targets = materialize(source_targets(sized, weights, cap))
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
+    sized = materialize(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")))
+    targets = materialize(source_targets(sized.select("source", (F.col("size") * F.col("rows")).alias("size")), weights, cap))
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)) * F.col("rows")
     near = F.round(ratio)
     units = dimension_join(sized, targets, "source", by="doc_id").withColumn("__r", F.when(F.abs(ratio - near) < _OPEN, near).otherwise(ratio))
     units = units.withColumns({"whole": F.floor("__r").cast("long"), "pi": F.col("__r") - F.floor("__r")}).drop("__r")
 
-    done = [units.where(F.col("pi") <= 0)]
+    done, scratch = [units.where(F.col("pi") <= 0)], [sized, targets]
     left, level = units.where(F.col("pi") > 0), 0
     width = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(BLOCK)))
     while True:
         per = materialize(left.groupBy("source").agg(F.count("*").alias("__n")))
         most = per.agg(F.max("__n")).first()[0] or 0
         last = most <= BLOCK
-        block = F.pmod(F.xxhash64("doc_id", F.lit(seed + level)), width).cast("long")
+        block = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed + level)), width).cast("long")
         keyed = dimension_join(left, per, "source", by="doc_id").withColumn("block", block).drop("__n")
         run = partial(_fly, level=level, seed=seed, land=last)
-        flown = materialize(keyed.groupBy("source", "block").applyInPandas(run, keyed.schema)).drop("block")
+        kept = materialize(keyed.groupBy("source", "block").applyInPandas(run, keyed.schema))
+        scratch += [per, kept]
+        flown = kept.drop("block")
         done.append(flown.where((F.col("pi") <= 0) | (F.col("pi") >= 1)))
         if last:
             break
         left, level = flown.where((F.col("pi") > 0) & (F.col("pi") < 1)), level + 1
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    copies = F.col("whole") + F.col("pi").cast("long")
-    out = out.withColumn("copies", copies)
+    total = F.col("whole") + F.col("pi").cast("long")
+    columns = ["doc_id", "source", "size", "rows", "source_size", "target"]
+    out = materialize(reduce(DataFrame.unionByName, done).select(*columns, total.alias("total")))
+    release(*scratch)
+    return out
+
+
+def mix(docs: DataFrame, text: str = "text", source: str = "source", seed: int = 7, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken for every row of docs."""
+    plan = _plan(docs, text, source, "doc_id", seed, weights, cap)
+    each = plan.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    copies = F.floor(F.col("total") / F.col("rows")) + (F.col("__k") <= F.col("total") % F.col("rows")).cast("long")
+    out = each.withColumn("copies", copies.cast("long"))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def sample(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
+def sample(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = 7, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
     """The rows of docs, each as often as the mix takes it.
 
-    Rows that share a key are told apart by their size and then by their number among equals: rows alike
-    in key, source and size are interchangeable to the draw, so their copies are dealt out in any order.
-    Taken rows are joined back by key; where few are not taken once, only those are broadcast.
+    Rows alike in key, source and size are interchangeable to the draw, so their copies are dealt out in the order of
+    their texts' hashes. The plan grows with the documents, so it is never broadcast: at every size both sides are sorted by key and merged.
     """
-    plan = materialize(mix(docs.withColumnRenamed(key, "doc_id") if key != "doc_id" else docs, text, source, **options).select("doc_id", "size", "source", "copies"))
-    total = plan.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
-    spread = lambda df: df.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).drop("__i", "__copies")
-    if total["rows"] == total["ids"]:
-        per = plan.select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).where("__copies > 0")
-        return spread(docs.join(per, docs[key] == F.col("__id")).drop("__id")).select(*docs.columns)
-    # repeated ids: the copies of alike rows are totalled, and each alike row takes its part of the total
-    alike = plan.groupBy("doc_id", "size", "source").agg(F.sum("copies").alias("__sum"), F.count("*").alias("__n"))
-    alike = alike.withColumnsRenamed({"doc_id": "__id", "size": "__size", "source": "__source"})
-    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-    rows = docs.withColumn("__words", size)
-    on = rows[key].eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")) & rows[source].eqNullSafe(F.col("__source"))
-    place = F.row_number().over(Window.partitionBy(key, "__words", source).orderBy(F.xxhash64(text)))
-    rows = rows.join(alike, on).withColumn("__k", place)
-    share = F.floor(F.col("__sum") / F.col("__n")) + (F.col("__k") <= F.col("__sum") % F.col("__n")).cast("long")
-    return spread(rows.withColumn("__copies", share.cast("long")).where("__copies > 0")).select(*docs.columns)
+    plan = _plan(docs, text, source, key, seed, weights, cap)
+    sums = plan.agg(F.sum("rows").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    taken = plan.where("total > 0").select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__source"), F.col("rows").alias("__rows"), F.col("total").alias("__total"))
+    if sums["rows"] == sums["ids"]:
+        rows = docs.join(taken.select("__id", "__total").hint("merge"), docs[key] == F.col("__id")).withColumn("__copies", F.col("__total"))
+    else:
+        size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
+        counted = docs.withColumn("__words", size)
+        on = counted[key].eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")) & counted[source].eqNullSafe(F.col("__source"))
+        place = F.row_number().over(Window.partitionBy(key, "__words", source).orderBy(F.xxhash64(text)))
+        rows = counted.join(taken.hint("merge"), on).withColumn("__k", place)
+        share = F.floor(F.col("__total") / F.col("__rows")) + (F.col("__k") <= F.col("__total") % F.col("__rows")).cast("long")
+        rows = rows.withColumn("__copies", share.cast("long")).where("__copies > 0")
+    return rows.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
