@@ -14,7 +14,7 @@ draw's number and the character's place: results do not depend on partitions, ba
 A space is the piece mark, one is put before the text, and characters outside the vocabulary become bytes, as
 the model does; a literal piece mark also becomes bytes, so decoding returns every text exactly. Edge cases: null
 and empty texts have no pieces, one sample, probability 1; a text with fewer than k segmentations gives all it has, each
-with log inclusion 0; repeated rows give equal rows; an empty table gives none; other columns play no part.
+with log inclusion 0; repeated rows give equal rows; a null id is drawn as -1 is and stays null; an empty table gives none; other columns play no part.
 """
 
 from __future__ import annotations
@@ -414,26 +414,27 @@ def encode(docs: DataFrame, model_file: str, k: int = 2, seed: int = 11, theta:
             _worker.clear()
             _worker[name] = Segmenter(vocabulary, theta)
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0)
+            keys = ids.fill_null(-1).to_numpy(zero_copy_only=False)
             rows: list[tuple] = []
             weight = 0
             for out in _worker[name].sample(batch.column(1), keys, k, seed):
                 rows.append(out)
                 weight += len(out[2]) + 50
-                if weight > 1_000_000:
-                    yield _encoded(keys, rows, spelt)
+                if weight > 250_000:
+                    yield _encoded(ids, rows, spelt)
                     rows, weight = [], 0
             if rows:
-                yield _encoded(keys, rows, spelt)
+                yield _encoded(ids, rows, spelt)
 
-    narrow = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("doc_id"), F.col(text).alias("text"))
+    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return narrow.mapInArrow(run, ENCODED + ", text string" * with_text)
 
 
-def _encoded(keys: np.ndarray, rows: list[tuple], spelt: list[bytes] | None) -> pa.RecordBatch:
+def _encoded(keys: pa.Array, rows: list[tuple], spelt: list[bytes] | None) -> pa.RecordBatch:
     row, sample, ids, *numbers = zip(*rows)
     at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    columns = [pa.array(keys[list(row)]), pa.array(sample, pa.int32()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids)))]
+    columns = [keys.take(pa.array(row)), pa.array(sample, pa.int32()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids)))]
     columns += [pa.array(x, pa.float64()) for x in numbers]
     names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion"]
     if spelt is not None:
