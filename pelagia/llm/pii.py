@@ -1,7 +1,7 @@
 """Personal data replaced by format-preserving pseudonyms, in DataFrame functions only.
 
-Validated values (payment cards by their check digit, IBANs by mod 97, IPv4 addresses, North American phone
-numbers, other numbers with a country code, social security numbers, calendar dates) go through a keyed Feistel
+Validated values (payment cards by their check digit, IBANs by mod 97, IPv4 and IPv6 addresses, North American phone
+numbers in any spelling, other numbers with a country code, social security numbers, calendar dates) go through a keyed Feistel
 network over exactly the values their format allows, so the pseudonym is valid again, different values never
 meet, and equal values stay equal in all documents. Mail addresses and credentials, which are not numbers, get
 keyed digests in the same shape. Numbers that fail validation stay.
@@ -9,7 +9,7 @@ keyed digests in the same shape. Numbers that fail validation stay.
 A text is cut at its finds, each find is mapped, and the parts are joined; nothing is shuffled. Edge cases: a null
 text stays null and has no finds; empty texts and texts without finds come back unchanged; very long texts are read
 whole, every pattern starts at a token's start and never backtracks over more than its own length; repeated
-rows give equal rows; other columns are kept.
+rows give equal rows; other columns are kept, but the result's column pii takes the place of an input column of that name.
 """
 
 from __future__ import annotations
@@ -18,23 +18,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+_HEXTET = "(?i:[0-9a-f]{1,4})"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 #: Patterns by kind, tried in this order at each place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "ipv4": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
+    "ipv6": rf"(?<![A-Za-z0-9:.])(?:(?:{_HEXTET}:){{7}}{_HEXTET}|(?i:[23][0-9a-f]{{3}}|f[cde][0-9a-f]{{2}})(?::{_HEXTET}){{0,5}}::(?:{_HEXTET}(?::{_HEXTET}){{0,5}})?)(?![A-Za-z0-9:]|\.[0-9])",
     "credential": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}+)(?![A-Za-z0-9])"
     r"|(?<=(?i:token|password|passwd|secret|api_key|apikey) {0,2}[=:] {0,2}\"?)[A-Za-z0-9+/_-]{12,}+(?![A-Za-z0-9+/_-])",
     "iban": r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Z0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
-    "phone": r"(?<![0-9+.-])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+.-])(?<![0-9] )(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9]| [0-9])|(?<![0-9+.-])\+1[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9])",
     "world": r"(?<![0-9+])\+[1-9][0-9]{0,2}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     "card": r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]|[.-][0-9])",
 }
 #: A text without any of these characters in reach has no find; one pass decides.
-GATE = r"[0-9]{2}|@|AKIA|ghp_|sk-|(?i:token|password|passwd|secret|api_?key)"
+GATE = r"[0-9]{2}|::|@|AKIA|ghp_|sk-|(?i:token|password|passwd|secret|api_?key)"
 
 
 def any_pattern() -> str:
@@ -55,12 +57,12 @@ def _number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def feistel(kind: str, left: Column, right: Column, left_size: Column, right_size: Column, key: str, rounds: int = ROUNDS) -> Column:
-    """A keyed permutation of the pairs (left < left_size, right < right_size), as struct(l, r)."""
+def feistel(kind: str, left: Column, right: Column, left_size: Column, right_size: Column, key: str, rounds: int = ROUNDS, tweak: Column | None = None) -> Column:
+    """A keyed permutation of the pairs (left < left_size, right < right_size), as struct(l, r); another one for each tweak."""
     start = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"), left_size.cast("long").alias("a"), right_size.cast("long").alias("b"))
 
     def step(s: Column, i: Column) -> Column:
-        moved = F.pmod(s["l"] + F.pmod(_number(_digest(key, F.lit(kind), i, s["r"], s["a"], s["b"])), s["a"]), s["a"])
+        moved = F.pmod(s["l"] + F.pmod(_number(_digest(key, F.lit(kind), i, s["r"], s["a"], s["b"], *(() if tweak is None else (tweak,)))), s["a"]), s["a"])
         return F.struct(s["r"].alias("l"), moved.alias("r"), s["b"].alias("a"), s["a"].alias("b"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
@@ -94,6 +96,38 @@ def _permuted_digits(kind: str, digits: Column, key: str) -> Column:
     return _let(digits, halves)
 
 
+def _permuted_letters(kind: str, letters: Column, key: str) -> Column:
+    """Capital letters, up to 24, permuted among strings of the same length; one letter alone among all letters."""
+    value = lambda t: F.aggregate(F.split(t, ""), F.lit(0).cast("long"), lambda a, c: a * 26 + F.ascii(c) - 65)
+    power = lambda n: F.aggregate(F.sequence(F.lit(1), n), F.lit(1).cast("long"), lambda a, _: a * 26)
+    size = lambda n: F.when(n > 0, power(F.greatest(n, F.lit(1)))).otherwise(F.lit(1).cast("long"))
+
+    def spelt(v: Column, n: Column) -> Column:
+        start = F.struct(v.alias("v"), F.lit("").alias("t"))
+        step = lambda s, _: F.struct(F.floor(s["v"] / 26).cast("long").alias("v"), F.concat(F.char(s["v"] % 26 + 65), s["t"]).alias("t"))
+        return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step, lambda s: s["t"])).otherwise("")
+
+    def halves(t: Column) -> Column:
+        u = F.floor(F.length(t) / 2).cast("int")
+        v = F.length(t) - u
+        first = F.when(u > 0, value(t.substr(F.lit(1), u))).otherwise(F.lit(0).cast("long"))
+        moved = feistel(kind, first, value(t.substr(u + 1, v)), size(u), size(v), key)
+        return _let(moved, lambda m: F.concat(spelt(m["l"], u), spelt(m["r"], v)))
+
+    return F.when(F.length(letters) > 0, _let(letters, halves)).otherwise(letters)
+
+
+def _spread(shape: Column, letters: Column) -> Column:
+    """shape with its capital letters replaced in order."""
+    start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
+
+    def step(s: Column, c: Column) -> Column:
+        is_letter = c.rlike("[A-Z]")
+        return F.struct((s["n"] + is_letter.cast("int")).alias("n"), F.concat(s["out"], F.when(is_letter, letters.substr(s["n"] + 1, F.lit(1))).otherwise(c)).alias("out"))
+
+    return F.aggregate(F.split(shape, ""), start, step, lambda s: s["out"])
+
+
 def luhn_sum(digits: Column, double_last: bool) -> Column:
     """The sum of the check digit scheme, counted from the right, doubling the last digit or the one before."""
     each = F.transform(
@@ -120,18 +154,42 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(x: Column, key: str) -> Column:
+    """Digits move among digits and letters among letters; country and grouping stay, the check digits follow."""
+
     def change(c: Column) -> Column:
         country, body = c.substr(1, 2), c.substr(F.lit(5), F.length(c) - 4)
-        moved = _let(_permuted_digits("iban", _digits(body), key), lambda d: _fill(body, d))
+        numbered = _let(_permuted_digits("iban", _digits(body), key), lambda d: _fill(body, d))
+        moved = _let(_permuted_letters("iban letters", F.regexp_replace(body, "[^A-Z]", ""), key), lambda t: _let(numbered, lambda b: _spread(b, t)))
         check = lambda b: F.lpad((F.lit(98) - _mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0")
-        whole = _let(moved, lambda b: F.concat(check(b), b))
-        spaced = lambda w: F.concat(country, _fill(x.substr(F.lit(3), F.length(x) - 2), _digits(w)))
+        whole = _let(moved, lambda b: F.concat(country, check(b), b))
+        # the characters of the whole, in the found one's grouping
+        grouped = lambda w: F.array_join(F.transform(F.split(x, ""), lambda ch, i: F.when(ch == " ", ch).otherwise(w.substr(i + 1 - F.length(F.regexp_replace(x.substr(F.lit(1), i), "[^ ]", "")), F.lit(1)))), "")
         valid = (_mod97(F.concat(body, country, c.substr(3, 2))) == 1) & (F.length(_digits(body)) >= 2)
-        return F.when(valid, _let(whole, spaced)).otherwise(x)
+        return F.when(valid, _let(whole, grouped)).otherwise(x)
 
     return _let(F.replace(x, F.lit(" "), F.lit("")), change)
 
 
+def _ipv6(x: Column, key: str) -> Column:
+    """All eight groups move; every spelling of an address is led to one, written out in full, so spellings stay linked."""
+    sides = F.split(F.lower(x), "::")
+    groups = lambda t: F.filter(F.split(F.coalesce(t, F.lit("")), ":"), lambda g: g != "")
+    zeros = lambda n: F.slice(F.array_repeat(F.lit("0"), 8), F.lit(1), F.greatest(n, F.lit(0)))
+    whole = _let(F.struct(groups(F.get(sides, F.lit(0))).alias("a"), groups(F.get(sides, F.lit(1))).alias("b")), lambda s: F.concat(s["a"], zeros(8 - F.size(s["a"]) - F.size(s["b"])), s["b"]))
+    pair = lambda g, k: F.conv(F.get(g, F.lit(k)), 16, 10).cast("long") * 65536 + F.conv(F.get(g, F.lit(k + 1)), 16, 10).cast("long")
+    size = F.lit(1 << 32)
+    shown = lambda v: F.concat_ws(":", F.lower(F.hex(F.floor(v / 65536).cast("long"))), F.lower(F.hex(v % 65536)))
+
+    def change(g: Column) -> Column:
+        # each half is permuted, told by the other: the network half first, then the host half, then the network half again
+        host = lambda n: feistel("ipv6 host", pair(g, 4), pair(g, 6), size, size, key, tweak=F.concat_ws(":", n["l"].cast("string"), n["r"].cast("string")))
+        again = lambda n, h: feistel("ipv6 net", n["l"], n["r"], size, size, key, tweak=F.concat_ws(":", h["l"].cast("string"), h["r"].cast("string")))
+        first = feistel("ipv6", pair(g, 0), pair(g, 2), size, size, key)
+        return _let(first, lambda n: _let(host(n), lambda h: _let(again(n, h), lambda m: F.concat_ws(":", shown(m["l"]), shown(m["r"]), shown(h["l"]), shown(h["r"])))))
+
+    return _let(whole, lambda g: F.when(F.size(g) == 8, change(g)).otherwise(x))
+
+
 def _ipv4(x: Column, key: str) -> Column:
     o = lambda p: [F.get(p, F.lit(k)).cast("long") for k in range(4)]
     moved = _let(F.split(x, r"\."), lambda p: feistel("ipv4", o(p)[0] * 256 + o(p)[1], o(p)[2] * 256 + o(p)[3], F.lit(65536), F.lit(65536), key))
@@ -215,13 +273,13 @@ def _credential(x: Column, key: str) -> Column:
     return F.concat(head, F.when(F.upper(x) == x, F.upper(body)).otherwise(body))
 
 
-_CHANGE = {"email": _email, "ipv4": _ipv4, "credential": _credential, "iban": _iban, "ssn": _ssn, "date": _date, "phone": _phone, "world": _world, "card": _card}
+_CHANGE = {"email": _email, "ipv4": _ipv4, "ipv6": _ipv6, "credential": _credential, "iban": _iban, "ssn": _ssn, "date": _date, "phone": _phone, "world": _world, "card": _card}
 
 
 def kind_of(find: Column) -> Column:
     """The kind of a find by its own shape (what stood around it was already checked)."""
     out = F.when(find.contains("@"), "email")
-    for kind in ("ipv4", "ssn", "date", "phone", "world", "card", "iban"):
+    for kind in ("ipv4", "ipv6", "ssn", "date", "phone", "world", "card", "iban"):
         out = out.when(find.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
     return out.otherwise("credential")
 
@@ -246,7 +304,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     pattern = any_pattern()
     seen = F.col(text).rlike(GATE)
     finds = F.when(seen, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    out = docs.withColumn("__finds", F.coalesce(finds, F.array().cast("array<string>")))
+    out = docs.drop("pii").withColumn("__finds", F.coalesce(finds, F.array().cast("array<string>")))
     new = F.transform("__finds", lambda x: _let(pseudonym(x, key), lambda p: F.struct(p["kind"].alias("kind"), x.alias("found"), p["text"].alias("text"))))
     out = out.withColumn("pii", F.when(F.size("__finds") > 0, new).otherwise(F.array().cast("array<struct<kind:string,found:string,text:string>>")))
     gaps = F.split(F.col(text), pattern, -1)
