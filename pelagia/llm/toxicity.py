@@ -1,32 +1,39 @@
 """Toxicity scores by weak supervision.
 
 Voters are lexicon terms (whole words and word beginnings that mark the training labels' toxic texts) and patterns
-over a text's finds. A generative label model estimates each voter's accuracy and coverage by expectation
-maximisation and, from what voters share beyond the label, their correlations; a voter's evidence is divided by its
-correlated company. A linear classifier learns the posterior labels, and its weights score every text with
-DataFrame functions alone.
+over a text's finds. They vote on every distinct text of the corpus, labelled or not. A generative label model estimates each
+voter's accuracy and coverage from these votes by expectation maximisation and, from what voters share beyond the label,
+their correlations; a voter's evidence is divided by its correlated company. Each round is a Spark job over the
+distinct vote patterns and their numbers of texts; only sums of fixed size reach the driver. A linear classifier learns the posterior
+labels of a bounded sample, and its weights score every text with DataFrame functions alone.
 
-Labels are taken from a bounded sample (the hash order's first MAX_LABELS ids that the caller allows); votes of these
-rows alone reach the driver. Edge cases: null, empty and blank texts have no finds and get the score of a text
+Labels find the terms and their share is the label model's prior; nothing else learns from them. They are taken from a bounded
+sample (the hash order's first MAX_LABELS ids that the caller allows). Edge cases: null, empty and blank texts have no finds and get the score of a text
 without finds; without any toxic or any clean label the score is the label share, or 0; repeated label rows count once,
-toxic if any is; repeated rows keep their rows; very long texts are read whole; an empty table gives an empty result.
+toxic if any is; repeated rows keep their rows; very long texts are read whole; an empty table gives an empty result; the results'
+columns score and n_finds take the place of input columns of these names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import materialize
+from pelagia.llm.common import materialize, release
 
 #: The labelled rows a model learns from, at most.
 MAX_LABELS = 12_000
 MAX_TERMS = 400
 #: Lexicon voters that take part in the label model on their own; the rest votes as one.
 MAX_VOTERS = 60
+ROUNDS = 10
+#: Correlations beyond this many standard errors of no correlation are company.
+SURE = 5.0
 #: Lengths of word beginnings tried beside whole words.
 STEMS = (4, 5)
 MIN_PRECISION = 0.9
@@ -99,34 +106,106 @@ class Model:
     company: dict[str, float] = field(default_factory=dict)
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Posteriors of label 1 for votes in {-1, 0, 1}, each voter's accuracy, and its company (1: independent).
+@dataclass
+class LabelModel:
+    """Chances of a vote (no, none, yes) by label and voter, and each voter's company (1: independent)."""
 
-    Voters vote, abstain or err independently given the label, but for pairs whose votes go together within
-    the posterior labels: the squares of those correlations count as company, by which evidence is divided.
-    """
-    n, m = votes.shape
-    yes, no = (votes == 1).astype(float), (votes == -1).astype(float)
-    lean = votes.sum(axis=1)
-    post = np.where(lean > 0, 0.95, np.where(lean < 0, 0.05, prior))
-    company = np.ones(m)
-    for _ in range(rounds):
-        mass = np.array([(1 - post).sum(), post.sum()]) + 1e-9
-        rate = np.empty((2, 3, m))  # label, vote (no, none, yes), voter
-        for label, weight in ((0, 1 - post), (1, post)):
-            a, b = weight @ no + 0.1, weight @ yes + 0.1
-            rate[label] = np.stack([a, np.maximum(mass[label] + 0.3 - a - b, 0.1), b]) / (mass[label] + 0.3)
-        spread = np.stack([votes - rate[k, 2] + rate[k, 0] for k in (0, 1)])
-        cov = sum((w[:, None] * s).T @ s for w, s in ((1 - post, spread[0]), (post, spread[1]))) / n
+    prior: float
+    rate: np.ndarray | None = None
+    company: np.ndarray | None = None
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """The chance of label 1 for rows of votes in {-1, 0, 1}; before any round, what most voters say."""
+        if self.rate is None:
+            lean = votes.sum(axis=1)
+            return np.where(lean > 0, 0.95, np.where(lean < 0, 0.05, self.prior))
+        yes, no = (votes == 1).astype(float), (votes == -1).astype(float)
+        evidence = np.log(self.rate[1] / self.rate[0]) / self.company
+        z = np.log(self.prior / (1 - self.prior)) + no @ evidence[0] + (1 - yes - no) @ evidence[1] + yes @ evidence[2]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    def sums(self, votes: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """What a round needs of some rows, each counted so many times: masses, noes, yeses and products of votes by label."""
+        post = self.posterior(votes)
+        out = []
+        for weight in (times * (1 - post), times * post):
+            v = votes.astype(float)
+            out += [[weight.sum()], weight @ (v == -1), weight @ (v == 1), ((weight[:, None] * v).T @ v).ravel()]
+        return np.concatenate(out)
+
+    def updated(self, sums: np.ndarray) -> LabelModel:
+        """The model after a round.
+
+        Voters vote, abstain or err independently given the label, but for pairs whose votes go together within
+        the labels: the squares of those correlations count as company, by which evidence is divided.
+        """
+        m = int(round(np.sqrt(len(sums) / 2))) - 1  # 1 + 2 m + m * m numbers for each label
+        parts, rate, cov = sums.reshape(2, -1), np.empty((2, 3, m)), 0.0
+        for k, part in enumerate(parts):
+            mass, no, yes, both = part[0], part[1 : m + 1], part[m + 1 : 2 * m + 1], part[2 * m + 1 :].reshape(m, m)
+            rate[k] = np.stack([no + 0.1, np.maximum(mass - no - yes, 0) + 0.1, yes + 0.1]) / (mass + 0.3)
+            mean = (yes - no) / max(mass, 1e-9)
+            cov = cov + both - mass * np.outer(mean, mean)
+        n = max(1.0, float(parts[:, 0].sum()))
         scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
         corr = cov / np.outer(scale, scale)
-        company = 1 + np.where(np.abs(corr) > 0.2, corr**2, 0).sum(axis=1) - 1
-        company = np.maximum(company, 1.0)
-        evidence = np.log(rate[1] / rate[0]) / company
-        z = np.log(prior / (1 - prior)) + no @ evidence[0] + (1 - yes - no) @ evidence[1] + yes @ evidence[2]
-        post = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    right = ((yes * post[:, None]).sum(0) + (no * (1 - post)[:, None]).sum(0)) / np.maximum(1e-9, (yes + no).sum(0))
-    return post, right, company
+        np.fill_diagonal(corr, 0.0)
+        return LabelModel(self.prior, rate, 1 + np.where(np.abs(corr) > SURE * n**-0.5, corr**2, 0).sum(axis=1))
+
+    def accuracies(self) -> np.ndarray:
+        """How often each voter is right when it votes."""
+        share = np.array([1 - self.prior, self.prior])[:, None]
+        said = (share * (self.rate[:, 0] + self.rate[:, 2])).sum(axis=0)
+        return (share[0] * self.rate[0, 0] + share[1] * self.rate[1, 2]) / np.maximum(1e-9, said)
+
+
+def _read_votes(patterns) -> np.ndarray:
+    """Rows of votes from texts of n, . and y."""
+    flat = np.frombuffer("".join(patterns).encode(), np.uint8).reshape(len(patterns), -1)
+    return (flat == ord("y")).astype(np.int8) - (flat == ord("n")).astype(np.int8)
+
+
+def label_model(patterns: DataFrame, prior: float, rounds: int = ROUNDS) -> LabelModel:
+    """Fitted to patterns (votes as a text of n, . and y, and times), a job a round."""
+    model = LabelModel(prior)
+    for _ in range(rounds):
+
+        def run(batches: Iterator[pa.RecordBatch], model: LabelModel = model) -> Iterator[pa.RecordBatch]:
+            total = 0.0
+            for batch in batches:
+                if batch.num_rows:
+                    total = total + model.sums(_read_votes(batch.column(0).to_pylist()), batch.column(1).to_numpy().astype(float))
+            if not np.isscalar(total):
+                yield pa.record_batch([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "value"])
+
+        rows = patterns.mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()  # a fixed number
+        if not rows:
+            break
+        sums = np.zeros(len(rows))
+        sums[[r["place"] for r in rows]] = [r["value"] for r in rows]
+        model = model.updated(sums)
+    return model
+
+
+def _votes(found: Column, text: Column, solo: list[str]) -> Column:
+    """The voters' votes on a text as letters: y, n or . for none; lexicon voters first, then the patterns."""
+    says = lambda yes, no=None: F.when(yes, "y").when(no, "n").otherwise(".") if no is not None else F.when(yes, "y").otherwise(".")
+    terms, none = found["terms"], found["n_finds"] == 0
+    dense = found["n_finds"] > 0.02 * F.greatest(found["n_words"], F.lit(1))
+    each = F.array_join(F.transform(F.array(*map(F.lit, solo)), lambda t: says(F.array_contains(terms, t))), "")
+    own = F.when(none, "." * len(solo)).otherwise(each)
+    return F.concat(
+        own,
+        says(F.size(F.array_except(terms, F.array(*map(F.lit, solo)))) > 0),
+        F.when(none, "n").otherwise("."),
+        says(F.size(terms) >= 3),
+        says(dense, none),
+        says(F.regexp_count(text, F.lit(r"\p{Lu}{4,}!")) > 2),
+        says(text.rlike(r"\p{L}\*+\p{L}")),
+    )
+
+
+PATTERN_VOTERS = ("other terms", "no find", "several terms", "dense", "shouting", "masked word")
 
 
 def linear_model(x: np.ndarray, target: np.ndarray, steps: int = 1500, shrink: float = 1e-5) -> tuple[np.ndarray, float]:
@@ -154,31 +233,24 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Mod
     terms = mine_terms(train)
     share = train.agg(F.avg("toxic")).first()[0] or 0.0
     if not terms:
+        release(sample, train)
         return Model([], bias=float(np.log(share / (1 - share))) if 0 < share < 1 else (20.0 if share else -20.0))
-    shout, masked = F.regexp_count("text", F.lit(r"\p{Lu}{4,}!")) > 2, F.col("text").rlike(r"\p{L}\*+\p{L}")
-    seen = train.select(finds(F.col("text"), terms).alias("f"), shout.alias("shout"), masked.alias("masked")).select("f.*", "shout", "masked")
-    rows = seen.limit(max_labels).collect()  # a few finds for each of the bounded sample's rows
+    solo = terms[:MAX_VOTERS]
+    voted = lambda df: df.select(F.coalesce("text", F.lit("")).alias("t")).withColumn("f", finds(F.col("t"), terms)).select("t", "f", _votes(F.col("f"), F.col("t"), solo).alias("votes"))
+    distinct = voted(docs).select("votes", F.xxhash64("t").alias("h")).distinct()  # a text that is copied often votes once
+    patterns = materialize(distinct.groupBy("votes").agg(F.count("*").alias("times")))
+    model = label_model(patterns, float(np.clip(share, 0.01, 0.99)))
+    order = [F.xxhash64("t"), F.col("votes")]
+    rows = voted(train).orderBy(*order).limit(2 * max_labels).select("votes", "f.terms", "f.n_finds").collect()  # a few finds for each of the bounded sample's rows
     index = {t: i for i, t in enumerate(terms)}
     x = np.zeros((len(rows), len(terms) + 1))
     for i, r in enumerate(rows):
         x[i, [index[t] for t in r["terms"]]] = 1
         x[i, -1] = np.log1p(r["n_finds"])
-    solo = x[:, : min(MAX_VOTERS, len(terms))]
-    others = x[:, solo.shape[1] : -1].any(axis=1)
-    n_finds, n_words = (np.array([r[c] for r in rows], float) for c in ("n_finds", "n_words"))
-    patterns = {
-        "other terms": np.where(others, 1, 0),
-        "no find": np.where(n_finds == 0, -1, 0),
-        "several terms": np.where(x[:, :-1].sum(axis=1) >= 3, 1, 0),
-        "dense": np.where(n_finds / np.maximum(n_words, 1) > 0.02, 1, np.where(n_finds == 0, -1, 0)),
-        "shouting": np.array([int(r["shout"]) for r in rows]),
-        "masked word": np.array([int(r["masked"]) for r in rows]),
-    }
-    votes = np.column_stack([solo, *patterns.values()])
-    post, right, company = label_model(votes, float(np.clip(share, 0.01, 0.99)))
-    w, b = linear_model(x, post)
-    names = terms[: solo.shape[1]] + list(patterns)
-    return Model(terms, dict(zip(terms, w[:-1].tolist())), float(w[-1]), float(b), dict(zip(names, right.tolist())), dict(zip(names, company.tolist())))
+    w, b = linear_model(x, model.posterior(_read_votes([r["votes"] for r in rows])))
+    names = [*solo, *PATTERN_VOTERS]
+    release(sample, train, patterns)
+    return Model(terms, dict(zip(terms, w[:-1].tolist())), float(w[-1]), float(b), dict(zip(names, model.accuracies().tolist())), dict(zip(names, model.company.tolist())))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
