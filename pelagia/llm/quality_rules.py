@@ -2,10 +2,11 @@
 
 Every text gets a few counts and a base verdict. Failures are then summed by host, each host's failure
 rate is shrunk towards all hosts' rates with a beta prior fitted by moments, and hosts whose shrunk rate is
-too high take their documents with them.
+too high take their documents with them. The prior alone guards hosts with few documents.
 
 Edge cases: a null or blank text has no words and fails (too few words); a null host is never judged;
-repeated rows are judged one by one; an empty table gives an empty result; other columns are kept.
+repeated rows are judged one by one; an empty table gives an empty result. Other columns are kept; measure() and judge() put
+their results in place of input columns of the same names, keep() returns the input's columns as they were.
 """
 
 from __future__ import annotations
@@ -19,8 +20,6 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_HOST_RATE = 0.5
-#: Fewer judged documents than this never condemn a host, whatever their rate.
-MIN_HOST_DOCS = 20
 
 
 def _let(value: Column, body) -> Column:
@@ -87,7 +86,7 @@ def host_of(source: Column) -> Column:
     return F.when(source.isNotNull(), F.when(host != "", host).otherwise(F.lower(source)))
 
 
-def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE, min_docs: int = MIN_HOST_DOCS) -> DataFrame:
+def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row a host: n_docs, n_failed, shrunk_rate, host_ok. Wants columns host and base_failed.
 
     Partial sums are made before the shuffle, so a hot host costs one row a task.
@@ -99,7 +98,7 @@ def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE, min_docs
     m = hosts.agg(F.avg(rate).alias("mean"), F.var_pop(rate).alias("var"), F.avg(1 / F.col("n_docs")).alias("inv")).first()
     alpha, beta = _beta_prior(m["mean"], m["var"], m["inv"])
     shrunk = (F.col("n_failed") + F.lit(alpha)) / (F.col("n_docs") + F.lit(alpha + beta))
-    return hosts.withColumn("shrunk_rate", shrunk).withColumn("host_ok", (F.col("n_docs") < min_docs) | (F.col("shrunk_rate") <= max_rate))
+    return hosts.withColumn("shrunk_rate", shrunk).withColumn("host_ok", F.col("shrunk_rate") <= max_rate)
 
 
 def _beta_prior(mean: float | None, var: float | None, inv_n: float | None) -> tuple[float, float]:
@@ -118,7 +117,7 @@ def judge(docs: DataFrame, source: str = "source", text: str = "text") -> DataFr
     Texts are read once: the narrow counts are written to the shared folder and both the host sums and
     the verdicts start from there.
     """
-    slim = materialize(measure(docs.withColumn("host", host_of(F.col(source))), text).drop(text))
+    slim = materialize(measure(docs.withColumn("host", host_of(F.col(source))), text).drop(text, "shrunk_rate", "host_failed", "kept"))
     verdicts = host_verdicts(slim)
     bad = verdicts.where(~F.col("host_ok")).select("host", "shrunk_rate", F.lit(True).alias("host_failed"))
     out = dimension_join(slim, bad, "host", by="doc_id" if "doc_id" in slim.columns else None)
@@ -127,9 +126,10 @@ def judge(docs: DataFrame, source: str = "source", text: str = "text") -> DataFr
 
 def keep(docs: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
     """The rows of docs that pass, with their own columns. Texts are measured twice rather than shuffled."""
-    host = docs.withColumn("host", host_of(F.col(source)))
-    verdicts = host_verdicts(measure(host.select("host", text), text).select("host", "base_failed"))
+    narrow = docs.select(host_of(F.col(source)).alias("host"), F.col(text).alias("__text"))
+    verdicts = host_verdicts(measure(narrow, "__text").select("host", "base_failed"))
     bad = verdicts.where(~F.col("host_ok")).select(F.col("host").alias("__host"), F.lit(True).alias("__host_failed"))
-    measured = measure(docs.withColumn("__host", host_of(F.col(source))), text).where(~F.col("base_failed"))
-    out = dimension_join(measured, bad, "__host", by="doc_id" if "doc_id" in docs.columns else None)
-    return out.where(F.col("__host_failed").isNull()).select(*docs.columns)
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")
+    inner = docs.select(own, F.col(text).alias("__text"), host_of(F.col(source)).alias("__host"), F.xxhash64(F.col(text)).alias("__by"))
+    passed = measure(inner, "__text").where(~F.col("base_failed"))
+    return dimension_join(passed, bad, "__host", by="__by").where(F.col("__host_failed").isNull()).select("__row.*")

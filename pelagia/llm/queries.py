@@ -102,7 +102,7 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 h AS (SELECT host, count(*) AS n, count(*) FILTER (base_failed) AS f FROM b WHERE host IS NOT NULL GROUP BY host),
 s AS (SELECT avg(f / n) AS mu, var_pop(f / n) AS v, avg(1 / n) AS inv FROM h),
 p AS (SELECT mu, CASE WHEN mu > 0 AND mu < 1 THEN least(greatest(mu * (1 - mu) / greatest(v - mu * (1 - mu) * inv, mu * (1 - mu) / 10001) - 1, 1), 10000) END AS k FROM s),
-x AS (SELECT host FROM h, p WHERE n >= 20 AND (f + coalesce(mu * k, mu + 0.01)) / (n + coalesce(k, 1.02)) > 0.5)
+x AS (SELECT host FROM h, p WHERE (f + coalesce(mu * k, mu + 0.01)) / (n + coalesce(k, 1.02)) > 0.5)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(host NOT IN (SELECT host FROM x), TRUE) AS kept FROM b
 """
 
