@@ -252,7 +252,8 @@ def _found(gated: DataFrame, key: str, model: Model | None) -> DataFrame:
     scores = grams.join(F.broadcast(weights), "gram").groupBy("row", "line", "family").agg(F.sum("weight").alias("z"))
     bias = F.create_map(*(F.lit(x) for f, b in zip(model.families, model.bias.tolist()) for x in (f, b)))
     scores = scores.withColumn("z", (F.col("z") + F.element_at(bias, F.col("family"))) / model.temperature)
-    best = F.max(F.struct("z", (-F.ascii("family")).alias("tie"), "family")).alias("best")
+    place = F.create_map(*(F.lit(x) for i, f in enumerate(model.families) for x in (f, -i)))
+    best = F.max(F.struct("z", F.element_at(place, F.col("family")).alias("tie"), "family")).alias("best")
     top = scores.groupBy("row", "line").agg(best, F.max("z").alias("m"), F.collect_list("z").alias("zs"))  # one z a family
     share = 1 / F.aggregate("zs", F.lit(0.0), lambda a, z: a + F.exp(z - F.col("m")))
     top = top.select("row", "line", F.col("best.family").alias("family"), share.alias("probability"))
