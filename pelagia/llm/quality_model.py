@@ -1,7 +1,8 @@
 """A quality classifier on random-indexing word vectors.
 
 Every word has a key for its letters and a key for its shape (case, length, the marks at its ends, whether it repeats the word
-before). Keys are hashed to a fixed number of rows. Over the whole corpus each row sums the sparse random index
+before). The corpus' most frequent words, counted over all texts, have a row each; rarer words and shapes are hashed to a fixed
+number of further rows. Over the whole corpus each row sums the sparse random index
 vectors of the keys two places to either side: its random-indexing vector. A text is the mean vector of its words
 and of its shapes, with its length; a two-layer network learns quality from a bounded sample of labelled texts, a
 temperature fitted on rows it has not seen calibrates it, and all texts are scored.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.arrays import _LOWER, mix, text_blocks, word_bounds, word_hashes
-from pelagia.llm.common import materialize
+from pelagia.llm.common import materialize, release
 
+#: Words that have a row of their own, rows that the other words share, rows of shapes.
+VOCABULARY = 16_384
 WORD_ROWS = 4096
 SHAPE_ROWS = 512
 DIMS = 32
@@ -34,7 +38,10 @@ REACH = 2
 MAX_LABELS = 12_000
 HIDDEN = 24
 _U = np.uint64
-_ROWS = WORD_ROWS + SHAPE_ROWS
+_ROWS = VOCABULARY + WORD_ROWS + SHAPE_ROWS
+#: Bytes of text a task sums at once, and words it counts before it hands them on.
+_SUM_BYTES = 2_000_000
+_COUNTED = 2_000_000
 
 #: Classes of a byte at a word's end: the byte itself for ASCII marks, else lower, upper, digit, or the rest.
 _CLASS = np.arange(256, dtype=np.uint64)
@@ -44,8 +51,8 @@ _CLASS[ord("0") : ord("9") + 1] = 258
 _CLASS[128:] = 259
 
 
-def keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word row, shape row and text row of every word of a block."""
+def keys(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word row, shape row and text row of every word of a block. vocabulary: ascending hashes of the words with a row of their own."""
     starts, ends, rows = word_bounds(data, offsets)
     h = word_hashes(data, starts, ends)
     n = len(h)
@@ -59,7 +66,37 @@ def keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     code = cls[starts] if n else cls
     for part in (cls[ends - 1], cls[np.maximum(ends - 2, starts)], shout, again, length) if n else ():
         code = code * _U(1009) + part
-    return (h % _U(WORD_ROWS)).astype(np.int64), (mix(code) % _U(SHAPE_ROWS)).astype(np.int64) + WORD_ROWS, rows
+    place = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
+    shared = (h % _U(WORD_ROWS)).astype(np.int64) + VOCABULARY
+    words = np.where(vocabulary[place] == h, place, shared) if len(vocabulary) else shared
+    return words, (mix(code) % _U(SHAPE_ROWS)).astype(np.int64) + VOCABULARY + WORD_ROWS, rows
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and number of a task's words, mostly once a word."""
+    words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def out() -> pa.RecordBatch:
+        return pa.record_batch([pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"])
+
+    for batch in batches:
+        for _, _, data, offsets in text_blocks(batch.column(0), _SUM_BYTES):
+            starts, ends, _ = word_bounds(data, offsets)
+            new, n = np.unique(word_hashes(data, starts, ends), return_counts=True)
+            words, at = np.unique(np.concatenate([words, new]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, n]), len(words)).astype(np.int64)
+            if len(words) > _COUNTED:
+                yield out()
+                words, counts = words[:0], counts[:0]
+    if len(words):
+        yield out()
+
+
+def frequent_words(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """The ascending hashes of the corpus' most frequent words, by counts over all texts."""
+    counted = docs.select(text).mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word").toArrow()  # a bounded list
+    return np.sort(top.column("word").to_numpy().view(np.uint64))
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -68,13 +105,13 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return (h % _U(DIMS)).astype(np.int64), np.where(h >> _U(63), 1.0, -1.0)
 
 
-def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _context_sums(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
     """One table of summed index vectors a task: its size is fixed."""
     place, sign = index_vectors()
     total, count = np.zeros(_ROWS * DIMS), np.zeros(_ROWS)
     for batch in batches:
-        for _, _, data, offsets in text_blocks(batch.column(0)):
-            *both, rows = keys(data, offsets)
+        for _, _, data, offsets in text_blocks(batch.column(0), _SUM_BYTES):
+            *both, rows = keys(data, offsets, vocabulary.value)
             for k in both:
                 count += np.bincount(k, minlength=_ROWS)
                 for step in range(1, REACH + 1):
@@ -87,37 +124,46 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for i in range(0, len(used), 1000):
         at = used[i : i + 1000]
         flat = total.reshape(_ROWS, DIMS)[at].astype(np.int64)
-        columns = [pa.array(at), pa.array(count[at].astype(np.int64)), *(pa.array(np.ascontiguousarray(flat[:, d])) for d in range(DIMS))]
-        yield pa.record_batch(columns, names=["row", "count", *(f"v{d}" for d in range(DIMS))])
+        columns = [pa.array(at), *(pa.array(np.ascontiguousarray(flat[:, d])) for d in range(DIMS))]
+        yield pa.record_batch(columns, names=["row", *(f"v{d}" for d in range(DIMS))])
+
+
+@dataclass
+class Vectors:
+    """The words with a row of their own, and all rows' vectors (fixed size), each of length 1 or zero plus half its own index vector."""
+
+    vocabulary: np.ndarray
+    table: np.ndarray
 
 
-def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The vectors of all rows (fixed size), each of length 1 or zero, from every word of every text."""
-    schema = "row long, count long, " + ", ".join(f"v{d} long" for d in range(DIMS))
-    partial = docs.select(text).mapInArrow(_context_sums, schema)
-    summed = partial.groupBy("row").agg(F.sum("count").alias("count"), *(F.sum(f"v{d}").alias(f"v{d}") for d in range(DIMS)))
+def word_vectors(docs: DataFrame, text: str = "text") -> Vectors:
+    """From every word of every text."""
+    vocabulary = frequent_words(docs, text)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    schema = "row long, " + ", ".join(f"v{d} long" for d in range(DIMS))
+    parts = docs.select(text).mapInArrow(partial(_context_sums, vocabulary=shared), schema)
+    summed = parts.groupBy("row").agg(*(F.sum(f"v{d}").alias(f"v{d}") for d in range(DIMS))).toArrow()  # at most _ROWS rows
     out = np.zeros((_ROWS, DIMS))
-    for r in summed.collect():  # at most _ROWS rows
-        out[r["row"]] = [r[f"v{d}"] for d in range(DIMS)]
+    out[summed.column("row").to_numpy()] = np.stack([summed.column(f"v{d}").to_numpy() for d in range(DIMS)], axis=1)
     place, sign = index_vectors()
     length = np.linalg.norm(out, axis=1, keepdims=True)
     out = np.divide(out, length, out=np.zeros_like(out), where=length > 0)
     for z in range(NONZERO):  # a row's own index vector tells rows with like company apart
         np.add.at(out, (np.arange(_ROWS), place[:, z]), sign[:, z] * 0.5)
-    return out.astype(np.float32)
+    return Vectors(vocabulary, out.astype(np.float32))
 
 
-def pool(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+def pool(data: np.ndarray, offsets: np.ndarray, vectors: Vectors) -> np.ndarray:
     """The features of each text of a block: mean word vector, mean shape vector, log length."""
     n = len(offsets) - 1
-    words, shapes, rows = keys(data, offsets)
+    words, shapes, rows = keys(data, offsets, vectors.vocabulary)
     at = np.searchsorted(rows, np.arange(n + 1))
     count = np.diff(at)
     out = np.zeros((n, 2 * DIMS + 1), np.float32)
     full = np.flatnonzero(count)
     if len(full):
         for part, k in enumerate((words, shapes)):
-            sums = np.add.reduceat(vectors[k], at[full], axis=0, dtype=np.float32)
+            sums = np.add.reduceat(vectors.table[k], at[full], axis=0, dtype=np.float32)
             out[full, part * DIMS : (part + 1) * DIMS] = sums / count[full, None]
     out[:, -1] = np.log1p(count)
     return out
@@ -185,7 +231,7 @@ def _pooled(vectors) -> callable:
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> tuple[np.ndarray, Network]:
+def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> tuple[Vectors, Network]:
     """Vectors from all of docs (doc_id, text), the network from labels (doc_id, quality) the caller allows."""
     vectors = word_vectors(docs)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
@@ -193,11 +239,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> tup
     rows = docs.join(F.broadcast(sample), "doc_id").select("quality", "text")
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     found = rows.mapInArrow(_pooled(shared), "quality int, x array<float>").orderBy(F.xxhash64("x"), "quality").limit(2 * max_labels).collect()
+    release(sample)
     x = np.array([r["x"] for r in found], np.float32).reshape(len(found), 2 * DIMS + 1)
     return vectors, train_network(x, np.array([r["quality"] for r in found], float))
 
 
-def score(docs: DataFrame, vectors: np.ndarray, network: Network, text: str = "text", key: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, vectors: Vectors, network: Network, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key and score for every row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast((vectors, network))
 
