@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import unicodedata
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_FROM = "áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ"
-_TO = "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
+#: Single letters with marks, by the letter they are built on: Latin letters whose compatibility form is a letter of ASCII and marks.
+_MARKED = {
+    chr(c): base[0]
+    for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF21, 0xFF5B)]
+    if (base := [x for x in unicodedata.normalize("NFKD", chr(c)) if not unicodedata.combining(x)]) and len(base) == 1 and base[0].isascii()
+}
+_FROM, _TO = "".join(_MARKED), "".join(_MARKED.values())
 #: Ordinals at the end of a vessel's name.
 ROMAN = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X")
 
@@ -93,22 +99,18 @@ def first_code(s: Column, table: list[tuple[str, int]], default: int = 0) -> Col
 
 
 def split_person(s: Column) -> Column:
-    """struct(given, first_surname, second_surname): the last two of three or more words are surnames."""
+    """struct(first_surname, second_surname, given) of a name written surnames first; parts that are missing are empty."""
     w = F.filter(F.split(squeeze(s), " "), lambda x: x != "")
-    n = F.size(w)
-    given = F.when(n >= 3, F.array_join(F.slice(w, 1, n - 2), " ")).otherwise(F.get(w, F.lit(0)))
-    first = F.when(n >= 3, F.get(w, n - 2)).when(n == 2, F.get(w, F.lit(1)))
-    return F.struct(given.alias("given"), first.alias("first_surname"), F.when(n >= 3, F.get(w, n - 1)).alias("second_surname"))
-
-
-def search_variants(s: Column, least: int = 3) -> Column:
-    """Spellings to look a vessel up by, most specific first: whole, without ordinal, without last word, first word."""
-    name = vessel_name(s)
-    w = F.split(name, " ")
-    n = F.size(w)
-    bare = F.when(ordinal_suffix(name).isNotNull() & (n > 1), F.array_join(F.slice(w, 1, n - 1), " "))
-    short = F.when(n > 2, F.array_join(F.slice(w, 1, n - 1), " "))
-    options = F.array_compact(F.array(name, bare, short, F.get(w, F.lit(0))))
+    part = lambda k: F.coalesce(F.get(w, F.lit(k)), F.lit(""))
+    given = F.array_join(F.slice(w, F.lit(3), F.greatest(F.size(w), F.lit(1))), " ")
+    return F.struct(part(0).alias("first_surname"), part(1).alias("second_surname"), given.alias("given"))
+
+
+def search_variants(s: Column, least: int = 3, stem: int = 5) -> Column:
+    """Spellings to look a surname up by, most specific first: as it is, folded, up to its first letter beyond ASCII, its first letters."""
+    whole, plain = s, folded(s)
+    before = folded(F.regexp_extract(s, r"^[\x00-\x7f]*", 0))
+    options = F.transform(F.array(whole, plain, before, plain.substr(1, stem)), lambda v: F.trim(v))
     return F.array_distinct(F.filter(options, lambda v: F.length(v) >= least))
 
 

@@ -449,8 +449,12 @@ def frontier(spark, sf):
 
 
 def queries() -> dict:
+    from pelagia.plans import driver_more  # noqa: F401  adds its queries
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from pelagia.plans import driver_more  # noqa: F401
+
     return dict(_SQL)

@@ -37,7 +37,10 @@ def one(spark, expr):
         (lambda: text.only_gear(text.decode_gears(F.lit("A:3|B:3")), "3"), True),
         (lambda: text.only_gear(text.decode_gears(F.lit("A:3|B:1")), "3"), False),
         (lambda: text.first_code(F.lit("region de atacama"), [("tarapaca", 1), ("atacama", 3)]), 3),
-        (lambda: text.search_variants(F.lit("Don Benito II")), ["DON BENITO II", "DON BENITO", "DON"]),
+        (lambda: text.search_variants(F.lit("Olivarez")), ["Olivarez", "olivarez", "oliva"]),
+            (lambda: text.search_variants(F.lit("Patiño")), ["Patiño", "patino", "pati", "patin"]),
+            (lambda: text.search_variants(F.lit("Ñu")), []),
+            (lambda: text.strip_accents(F.lit("ŞǍḝÉﾀＡ")), "SAeÉ"[:3] + "EﾀA"),
         (lambda: geo.circular_delta(F.lit(1.0), F.lit(359.0)), 2.0),
         (lambda: geo.circular_delta(F.lit(359.0), F.lit(1.0)), -2.0),
         (lambda: geo.scaled_round(F.lit(2.5), 0), 2.0),
@@ -54,8 +57,9 @@ def test_split_code(spark, raw, code, name):
 
 
 def test_split_person(spark):
-    assert tuple(one(spark, text.split_person(F.lit("Ana Maria Soto Diaz")))) == ("Ana Maria", "Soto", "Diaz")
-    assert tuple(one(spark, text.split_person(F.lit("Ana Soto")))) == ("Ana", "Soto", None)
+    assert tuple(one(spark, text.split_person(F.lit(" Soto  Diaz Ana Maria ")))) == ("Soto", "Diaz", "Ana Maria")
+    assert tuple(one(spark, text.split_person(F.lit("Soto")))) == ("Soto", "", "") and tuple(one(spark, text.split_person(F.lit("")))) == ("", "", "")
+
 
 
 def test_distances(spark):
