@@ -14,8 +14,8 @@ where a bucket holds several components even then.
 
 Links: 100 * intersection >= percent * union. With 25 bands of 5 registers a pair of
 long texts at 0.85 is missed with odds of 4e-7, at 0.8 with 32 bands of 4 with odds of 5e-8. Edge cases: null, empty and blank texts have the empty set, link with nothing and stay; a text with fewer
-than five words is one shingle; repeated rows keep their rows, and if one id comes with different texts, the
-smallest sketch stands for it; an empty table gives an empty result; other columns play no part.
+than five words is one shingle; repeated rows keep their rows, and if one id comes with different texts, it is one document that
+links by each of them; an empty table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
@@ -122,7 +122,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_SET = "id long, n long, f1 long, f2 long, members binary"
+_SET = "doc_id long, n long, f1 long, f2 long, members binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +131,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last, data, offsets in text_blocks(batch.column(1)):
             h, at = shingles(data, offsets)
             packed = pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(last - first)], pa.binary())
-            yield pa.record_batch([batch.column(0).slice(first, last - first), pa.array(np.diff(at).astype(np.int64)), *_marks(h, at), packed], names=["id", "n", "f1", "f2", "members"])
+            yield pa.record_batch([batch.column(0).slice(first, last - first), pa.array(np.diff(at).astype(np.int64)), *_marks(h, at), packed], names=["doc_id", "n", "f1", "f2", "members"])
 
 
 def _band_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def _all_shingles(batches: Iterator[pa.RecordBatch], below: int) -> Iterator[pa.
             yield pa.record_batch([pa.array(h[_short_sets(h, at, below)[1]].view(np.int64))], names=["shingle"])
 
 
-_PREFIX = "doc_id long, n long, f1 long, f2 long, band array<long>"
+_PREFIX = "doc_id long, n long, f1 long, f2 long, size long, band array<long>"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], percent: int, below: int, common: np.ndarray, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -178,7 +178,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], percent: int, below: int, commo
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(taken.view(np.int64)))
             marks = [m.take(pa.array(rows)) for m in _marks(h, at)]
             ids = batch.column(0).slice(first, last - first).take(pa.array(rows))
-            yield pa.record_batch([ids, pa.array(n.astype(np.int64)), *marks, lists], names=["doc_id", "n", "f1", "f2", "band"])
+            sizes = pa.array(n.astype(np.int64))
+            yield pa.record_batch([ids, sizes, *marks, sizes, lists], names=["doc_id", "n", "f1", "f2", "size", "band"])
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,12 +278,9 @@ class NearDuplicates:
         self.slim = materialize(self.docs.mapInArrow(_sketches, _SKETCH))
         total = self.slim.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
         self.repeated = total["rows"] > total["ids"]
-        self.one = self.slim
-        if self.repeated:
-            least = F.min(F.struct("n", "f1", "f2", "regs")).alias("s")
-            self.one = materialize(self.slim.groupBy("doc_id").agg(least).select("doc_id", "s.*"))
-        full = self.one.where(F.col("n") > 0)
-        self.classes = materialize(full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs")))
+        classes = self.slim.where(F.col("n") > 0).groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("doc"), F.first("regs").alias("regs"))
+        # an id names one class, its own, unless ids are repeated; then classes go by their marks
+        self.classes = materialize(classes.withColumn("rep", F.xxhash64("n", "f1", "f2") if self.repeated else F.col("doc")))
 
     def _estimated(self, pairs: DataFrame) -> DataFrame:
         """a, b, est of the pairs that may reach the threshold."""
@@ -291,14 +289,24 @@ class NearDuplicates:
         scored = pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_score, "a long, b long, est double")
         return scored.where(F.col("est") >= self.percent / 100 - slack(self.percent, BUCKETS, SLACK))
 
+    def _texts(self, ids: DataFrame, run, schema: str) -> DataFrame:
+        """What run makes of the texts of the classes asked for (materialized, column id), with their id; other columns than doc_id, n, f1, f2 are kept."""
+        small = ids.count() <= BROADCAST_ROWS
+        wanted = ids
+        if self.repeated:
+            wanted = ids.join(self.classes.select(F.col("rep").alias("id"), "doc", "n", "f1", "f2"), "id")
+            wanted = wanted.select("id", F.col("doc").alias("__doc"), F.col("n").alias("__n"), F.col("f1").alias("__f1"), F.col("f2").alias("__f2"))
+        asked = wanted.select(F.col("__doc" if self.repeated else "id").alias("__id")).distinct()
+        rows = self.docs.join(F.broadcast(asked) if small else asked, F.col("doc_id") == F.col("__id"), "left_semi").mapInArrow(run, schema)
+        if not self.repeated:
+            return rows.drop("n", "f1", "f2").withColumnRenamed("doc_id", "id")
+        same = (F.col("doc_id") == F.col("__doc")) & (F.col("n") == F.col("__n")) & (F.col("f1") == F.col("__f1")) & (F.col("f2") == F.col("__f2"))
+        met = rows.join(F.broadcast(wanted) if small else wanted, same).drop("doc_id", "n", "f1", "f2", "__doc", "__n", "__f1", "__f2")
+        return met.dropDuplicates(["id"])
+
     def _read(self, ids: DataFrame) -> DataFrame:
         """id and members (packed sets) for the materialized ids asked for, from their texts."""
-        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        rows = self.docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets, _SET)
-        if self.repeated:
-            least = F.min(F.struct("n", "f1", "f2", "members"))
-            rows = rows.groupBy("id").agg(least.alias("s")).select("id", "s.*")
-        return rows.select("id", "members")
+        return self._texts(ids, _sets, _SET).select("id", "members")
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the threshold. Only the texts of these pairs are read into sets again."""
@@ -314,21 +322,23 @@ class NearDuplicates:
     def _prefix_rows(self) -> DataFrame:
         """band, rep, n of every set that a set of less than SHORT shingles may link with."""
         below = -(-SHORT * 100 // self.percent)
-        short = self.classes.where(F.col("n") < below).select(F.col("rep").alias("doc_id"), "n", "f1", "f2")
+        short = materialize(self.classes.where(F.col("n") < below).select(F.col("rep").alias("id")))
         count = short.count()
         if not count:
             return self.classes.limit(0).select(F.col("n").alias("band"), "rep", "n")
-        ids = short.select("doc_id")
-        part = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(-(-count // SAMPLE_SETS))) == 0)
+        part = self.classes.where((F.col("n") < below) & (F.pmod(F.xxhash64("doc"), F.lit(-(-count // SAMPLE_SETS))) == 0)).select(F.col("doc").alias("doc_id"))
         seen = self.docs.join(F.broadcast(part), "doc_id", "left_semi").mapInArrow(partial(_all_shingles, below=below), "shingle long")
         often = seen.groupBy("shingle").count().where("count > 3").orderBy(F.desc("count"), "shingle").limit(COMMON).toArrow()  # a bounded list
         common = often.column("shingle").to_numpy().view(np.uint64)
         order = np.argsort(common)
         run = partial(_prefixes, percent=self.percent, below=below, common=common[order], rank=often.column("count").to_numpy()[order])
-        rows = self.docs.join(F.broadcast(ids) if count <= BROADCAST_ROWS else ids, "doc_id", "left_semi").mapInArrow(run, _PREFIX)
-        if self.repeated:
-            rows = rows.join(short, ["doc_id", "n", "f1", "f2"], "left_semi").dropDuplicates(["doc_id"])
-        return rows.select(F.explode("band").alias("band"), F.col("doc_id").alias("rep"), "n")
+        return self._texts(short, run, _PREFIX).select(F.explode("band").alias("band"), F.col("id").alias("rep"), F.col("size").alias("n"))
+
+    def _of_one_id(self) -> DataFrame:
+        """Links between the classes that share an id."""
+        mine = self.slim.join(self.classes, ["n", "f1", "f2"]).select("doc_id", "rep").distinct()
+        first = mine.groupBy(F.col("doc_id").alias("__d")).agg(F.min("rep").alias("a"))
+        return mine.join(first, F.col("doc_id") == F.col("__d")).where("rep <> a").select("a", F.col("rep").alias("b"))
 
     def components(self) -> DataFrame:
         """node, component for every class that links with another."""
@@ -350,6 +360,8 @@ class NearDuplicates:
         release(met)
         links = self._confirmed(likely)
         release(likely)
+        if self.repeated:
+            links = materialize(links.unionByName(self._of_one_id()))
         comp = connected_components(links)
         for between in (False, True):
             more = self._tiles(crowd.select("band", "rep", "n"), comp, between)
@@ -385,13 +397,12 @@ class NearDuplicates:
     def assign(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept for every row."""
         comp = self.components()
-        where = self.classes.join(comp, F.col("rep") == F.col("node"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("comp"))
-        rows = self.one.select("doc_id", "n", "f1", "f2")
-        out = rows.join(where, ["n", "f1", "f2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
-        if self.repeated:
-            out = self.slim.select("doc_id").join(out, "doc_id")
-        out = materialize(out)
-        release(self.slim, self.one, self.classes, comp)
+        where = self.classes.join(comp, F.col("rep") == F.col("node"), "left").select("n", "f1", "f2", "doc", F.coalesce("component", "rep").alias("comp"))
+        least = where.groupBy("comp").agg(F.min("doc").alias("component_id")) if self.repeated else None
+        where = where.join(least, "comp") if self.repeated else where.withColumn("component_id", F.col("comp"))
+        out = self.slim.join(where.select("n", "f1", "f2", "component_id"), ["n", "f1", "f2"], "left")
+        out = materialize(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+        release(self.slim, self.classes, comp)
         return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
@@ -401,7 +412,7 @@ def assign(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFrame:
 
 
 def keep(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of docs that stay: the smallest id of each component, once. Small sets of dropped ids are broadcast."""
+    """The rows of docs that stay: the smallest id of each component, once for each of its texts. Small sets of dropped ids are broadcast."""
     found = NearDuplicates(docs, text, percent=percent)
     placed = found.assign()
     gone = materialize(placed.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())

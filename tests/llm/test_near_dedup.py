@@ -164,6 +164,19 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_an_id_with_several_texts_links_by_each(spark):
+    """Ids that come twice are one document with the links of both texts; blank rows of theirs link with nothing."""
+    rng = random.Random(6)
+    base = [[f"{c}{i}" for i in range(60)] for c in "pqrs"]
+    near = lambda t: " ".join([*t[:59], f"e{rng.randrange(10**6)}"])
+    docs = [(9, near(base[0])), (9, near(base[1])), (3, near(base[0])), (4, near(base[1])), (5, near(base[2])), (5, ""), (6, near(base[2])), (7, near(base[3])), (8, "alone"), (8, "alone")]
+    docs += [(100 + i, near([f"z{i}_{j}" for j in range(60)])) for i in range(40)]
+    got = sorted((r.doc_id, r.n_shingles > 0, r.component_id) for r in near_dedup.assign(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r.doc_id < 100)
+    assert got == sorted([(9, True, 3), (9, True, 3), (3, True, 3), (4, True, 3), (5, True, 5), (5, False, 5), (6, True, 5), (7, True, 7), (8, True, 8), (8, True, 8)])
+    kept = near_dedup.keep(spark.createDataFrame(docs, "doc_id long, text string")).where("doc_id < 100")
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 5, 7, 8]
+
+
 def test_awkward_and_empty(spark):
     got = near_dedup.assign(awkward(spark))
     assert got.count() == 10
