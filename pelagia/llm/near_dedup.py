@@ -90,13 +90,31 @@ def bands(regs: np.ndarray, width: int = 5) -> np.ndarray:
     return key.view(np.int64)
 
 
+#: Steps of an octave in the table of chance matches, and its octaves.
+_STEPS, _OCTAVES = 4, 64
+
+
+def _chance_table() -> np.ndarray:
+    """The expected share of registers that two unrelated sets have equal, by the hashes each has a register (2 ** (i / _STEPS) / BUCKETS of a set of 2 ** (i / _STEPS)).
+
+    A register's smallest hash falls into the octave of z zeros with odds exp(-a / 2 ** (z + 1)) - exp(-a / 2 ** z) for a hashes, and
+    there into one of 1 << MANTISSA like parts; two registers agree if both fall into the same one.
+    """
+    a = 2.0 ** (np.arange(_STEPS * _OCTAVES) / _STEPS) / BUCKETS
+    z = np.arange(_OCTAVES)
+    odds = np.exp(-a[:, None] / 2.0 ** (z + 1)) - np.exp(-a[:, None] / 2.0**z)
+    return odds @ odds.T / (1 << MANTISSA)
+
+
+_CHANCE = _chance_table()
+
+
 def estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-    """Jaccard estimates of register rows x and y, less the matches expected of unrelated sets."""
+    """Jaccard estimates of register rows x and y, less the matches that unrelated sets of these sizes are expected to have."""
     used = ((x > 0) | (y > 0)).sum(axis=-1)
     same = ((x == y) & (x > 0)).sum(axis=-1)
-    # two smallest hashes of a bucket agree by chance in zeros with odds near 1/3 when the sets are alike in size
-    ratio = np.minimum(nx, ny) / np.maximum(np.maximum(nx, ny), 1)
-    chance = ratio / 3 / (1 << MANTISSA)
+    i, j = (np.round(_STEPS * np.log2(np.maximum(n, 1))).astype(int) for n in (nx, ny))
+    chance = _CHANCE[i, j]
     share = same / np.maximum(used, 1)
     return np.clip((share - chance) / (1 - chance), 0, 1)
 

@@ -136,6 +136,19 @@ def test_estimate_follows_jaccard():
         assert np.mean(est) == pytest.approx(share, abs=0.03)
 
 
+def test_chance_matches_are_as_many_as_expected():
+    """Unrelated sets: registers agree as often as the table says, whatever their sizes."""
+    rng = np.random.default_rng(3)
+    for n, m in ((2000, 2000), (300, 4000)):
+        same = []
+        for _ in range(400):
+            a, b = (np.sort(rng.integers(0, 2**63, k, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, k, dtype=np.uint64)) for k in (n, m))
+            r = near_dedup.registers(np.concatenate([a, b]), np.array([0, n, n + m]))
+            same.append(((r[0] == r[1]) & (r[0] > 0)).mean())
+        i, j = (round(near_dedup._STEPS * np.log2(k)) for k in (n, m))
+        assert np.mean(same) == pytest.approx(near_dedup._CHANCE[i, j], rel=0.5, abs=5e-5)
+
+
 def test_shingles_ignore_blocks():
     texts = pa.array(["a b c d e f", None, "", "A b", "a\tb\x0bc d e", "x" * 50 + " é ñ a b c d"])
     whole = [shingles(d, o) for _, _, d, o in text_blocks(texts)]
