@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from pelagia.llm.arrays import _BASE, _base_powers, mix, text_blocks
 
 MARK = 0x2581
+#: Bytes of text that share a lattice: its arrays then stay in the allocator's reach and the cache's.
+_BLOCK_BYTES = 100_000
 #: Stands for a literal piece mark of the text inside a block; no character has this number.
 LITERAL = 0x110000
 FALLBACK = 1 << 24
@@ -122,62 +124,61 @@ class Segmenter:
         up, down = _base_powers(n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_char_values(cp) * up[:n], out=sums[1:])
-        starts, lengths, found_pieces = [], [], []
+        starts, lengths, found_pieces, nth = [], [], [], []
+        count = np.zeros(n, np.int64)
+
+        def add(places: np.ndarray, length: int, pieces: np.ndarray) -> None:
+            starts.append(places)
+            lengths.append(np.full(len(places), length))
+            found_pieces.append(pieces)
+            nth.append(count[places])
+            count[places] += 1
+
         alive, length = np.arange(n), 1
-        lone = np.ones(n, bool)  # no one-character piece: the byte way
         while len(alive):
             h = mix((sums[alive + length] - sums[alive]) * down[alive])
             prefix, piece = self._look(h)
             is_piece = piece >= 0
-            starts.append(alive[is_piece])
-            lengths.append(np.full(int(is_piece.sum()), length))
-            found_pieces.append(piece[is_piece])
-            if length == 1:
-                lone[alive[is_piece]] = False
+            add(alive[is_piece], length, piece[is_piece])
+            if length == 1:  # no one-character piece: the byte way
+                lone = alive[~is_piece]
+                add(lone, 1, FALLBACK + cp[lone].astype(np.int64))
             alive = alive[prefix]
             length += 1
             alive = alive[alive + length <= ends[alive]]
-        at = np.flatnonzero(lone)
-        starts.append(at)
-        lengths.append(np.ones(len(at), np.int64))
-        found_pieces.append(FALLBACK + cp[at].astype(np.int64))
-        start, size, piece = np.concatenate(starts), np.concatenate(lengths), np.concatenate(found_pieces).astype(np.int64)
+        # places by their distance to the word's end; the edges of one place lie together, shorter ones first
+        distance = ends - np.arange(n)
+        by_far = np.argsort(distance.astype(np.uint16) if n < 1 << 16 or distance.max(initial=0) < 1 << 16 else distance, kind="stable")
+        width = count[by_far]
+        heads = np.cumsum(width) - width
+        where = np.empty(n, np.int64)
+        where[by_far] = heads
+        unsorted = np.concatenate(starts)
+        at = where[unsorted] + np.concatenate(nth)
+        start, end, piece = (np.empty(len(at), np.int64) for _ in range(3))
+        start[at], end[at], piece[at] = unsorted, unsorted + np.concatenate(lengths), np.concatenate(found_pieces)
         score = np.where(piece >= FALLBACK, self.fallback_score, self.scores[np.minimum(piece, len(self.scores) - 1)])
-        far = ends[start] - start
-        order = np.argsort((far * (n + 1) + start) * 64 + np.minimum(size, 63))
-        start, size, piece, score, far = start[order], size[order], piece[order], score[order], far[order]
-        end = start + size
-        first = np.ones(len(start), bool)
-        first[1:] = start[1:] != start[:-1]
-        heads = np.flatnonzero(first)
         beta = np.zeros(n + 1)
         logp = np.empty(len(start))
         is_end = end == ends[start]
-        cuts = np.concatenate([np.flatnonzero(np.diff(far[heads])) + 1, [len(heads)]])
+        cuts = np.concatenate([np.flatnonzero(np.diff(distance[by_far])) + 1, [len(heads)]]) if n else []
         a = 0
         for b in cuts:
             lo, hi = heads[a], heads[b] if b < len(heads) else len(start)
             value = score[lo:hi] + np.where(is_end[lo:hi], 0.0, beta[np.where(is_end[lo:hi], 0, end[lo:hi])])
             groups = heads[a:b] - lo
             top = np.maximum.reduceat(value, groups)
-            width = np.diff(np.append(groups, hi - lo))
-            total = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, width)), groups))
-            beta[start[heads[a:b]]] = total
-            logp[lo:hi] = value - np.repeat(total, width)
+            total = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, width[a:b])), groups))
+            beta[by_far[a:b]] = total
+            logp[lo:hi] = value - np.repeat(total, width[a:b])
             a = b
         p = np.exp(logp)
         run = np.cumsum(p)
-        base = np.repeat(run[heads] - p[heads], np.diff(np.append(heads, len(p))))
-        cum = run - base
-        last = np.append(heads[1:], len(p)) - 1
-        cum[last] = 2.0
-        logp[last[last == heads]] = 0.0  # the only edge there
-        where, count = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        where[start[heads]] = heads
-        count[start[heads]] = np.diff(np.append(heads, len(p)))
-        with np.errstate(divide="ignore"):
-            rest = np.log1p(-np.minimum(np.exp(logp), 1.0))
-        return {"end": end, "start": start, "piece": piece, "logp": logp, "rest": rest, "cum": cum, "where": where, "count": count, "ends": ends}
+        cum = run - np.repeat(run[heads] - p[heads], width)
+        cum[heads + width - 1] = 2.0
+        only = heads[width == 1]  # the only edge there
+        logp[only], p[only] = 0.0, 1.0
+        return {"end": end, "start": start, "piece": piece, "logp": logp, "p": p, "cum": cum, "where": where, "count": count, "ends": ends}
 
     @staticmethod
     def _walk(lat: dict, place: np.ndarray, stop: np.ndarray, seed: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +208,7 @@ class Segmenter:
 
     def sample(self, texts: pa.Array, keys: np.ndarray, k: int, seed: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
         """(row, sample number, piece ids, log-probability, perturbed value, log of the inclusion probability) for every row and draw."""
-        for first, last, data, offsets in text_blocks(texts):
+        for first, last, data, offsets in text_blocks(texts, _BLOCK_BYTES):
             sizes = np.diff(offsets)
             for r in np.flatnonzero(sizes == 0):
                 yield first + int(r), 0, np.zeros(0, np.int32), 0.0, 0.0, 0.0
@@ -305,7 +306,9 @@ class Segmenter:
             lp = lat["logp"][flat]
             before = np.concatenate([[0.0], np.cumsum(lp)])
             owner = np.repeat(np.arange(docs), np.diff(at))
-            mass = before[:-1] - before[at[:-1]][owner] + lat["rest"][flat]
+            with np.errstate(divide="ignore"):
+                rest = np.log1p(-np.minimum(lat["p"][flat], 1.0))
+            mass = before[:-1] - before[at[:-1]][owner] + rest
             inside = np.arange(len(flat)) - at[:-1][owner]
             value = _truncated(mass, bounds[-1][owner], _uniform(mix(sd + _U(77))[owner], inside))
             if draw:
@@ -431,26 +434,40 @@ def encode(docs: DataFrame, model_file: str, k: int = 2, seed: int = 11, theta:
     return narrow.mapInArrow(run, ENCODED + ", text string" * with_text)
 
 
-def _encoded(keys: pa.Array, rows: list[tuple], spelt: list[bytes] | None) -> pa.RecordBatch:
+def _encoded(keys: pa.Array, rows: list[tuple], spelt: tuple[np.ndarray, np.ndarray] | None) -> pa.RecordBatch:
     row, sample, ids, *numbers = zip(*rows)
-    at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    columns = [keys.take(pa.array(row)), pa.array(sample, pa.int32()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids)))]
+    at, flat = np.concatenate([[0], np.cumsum([len(x) for x in ids])]), np.concatenate(ids)
+    columns = [keys.take(pa.array(row)), pa.array(sample, pa.int32()), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat))]
     columns += [pa.array(x, pa.float64()) for x in numbers]
     names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion"]
     if spelt is not None:
-        columns.append(pa.array([b"".join(map(spelt.__getitem__, x.tolist()))[1:] for x in ids], pa.binary()).cast(pa.string()))
+        columns.append(_decoded(flat, at, *spelt))
         names.append("text")
     return pa.record_batch(columns, names=names)
 
 
-def piece_bytes(pieces: Pieces) -> list[bytes]:
-    """What each id stands for."""
+def _decoded(flat: np.ndarray, at: np.ndarray, letters: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The texts of rows of ids (row i has flat[at[i] : at[i + 1]]), each without the space that was put before it."""
+    size = (starts[1:] - starts[:-1])[flat]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    out = letters[np.repeat(starts[flat] - ends[:-1], size) + np.arange(ends[-1])]
+    bounds = ends[at]
+    full = np.flatnonzero(bounds[1:] > bounds[:-1])
+    keep = np.ones(len(out), bool)
+    keep[bounds[full]] = False
+    dropped = np.zeros(len(at), np.int64)
+    dropped[1:] = np.cumsum(bounds[1:] > bounds[:-1])
+    return pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer((bounds - dropped).astype(np.int32)), pa.py_buffer(out[keep])])
+
+
+def piece_bytes(pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that all ids stand for, end to end, and where each id's begin."""
     out = [b""] * pieces.size
     for text, i in zip(pieces.texts, pieces.ids):
         out[i] = text.replace(chr(MARK), " ").encode()
     for b, i in enumerate(pieces.byte_ids):
         out[i] = bytes([b])
-    return out
+    return np.frombuffer(b"".join(out), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in out])])
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
@@ -459,15 +476,10 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     schema = ENCODED.replace("ids array<int>", "text string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for batch in batches:
-            ids = batch.column(2)
-            flat, at = ids.values.to_pylist() if ids.offset == 0 else ids.flatten().to_pylist(), ids.offsets.to_pylist()
-            spelt = list(map(table.__getitem__, flat))
-            shift = at[0] if ids.offset else 0
-            texts = [b"".join(spelt[a - shift : b - shift])[1:].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
-            columns = list(batch.columns)
-            columns[2] = pa.array(texts, pa.string())
+            ids, columns = batch.column(2), list(batch.columns)
+            at = ids.offsets.to_numpy().astype(np.int64)
+            columns[2] = _decoded(ids.flatten().to_numpy(), at - at[0], *shared.value)
             yield pa.record_batch(columns, names=["doc_id", "sample", "text", "log_prob", "perturbed", "log_inclusion"])
 
     return encoded.mapInArrow(run, schema)
