@@ -31,7 +31,9 @@ PATTERNS = {
     "iban": r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Z0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
-    "phone": r"(?<![0-9+.-])(?<![0-9] )(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9]| [0-9])|(?<![0-9+.-])\+1[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9])",
+    "phone": r"(?<![0-9+.-])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+    r"|(?<![0-9+.-])\+1 ?[2-9][0-9]{2} ?[2-9][0-9]{2} ?[0-9]{4}(?![0-9])"
+    r"|(?<![0-9+.-])(?<![0-9] )(?:1 )?[2-9][0-9]{2} [2-9][0-9]{2} [0-9]{4}(?![0-9]| [0-9])",
     "world": r"(?<![0-9+])\+[1-9][0-9]{0,2}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     "card": r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]|[.-][0-9])",
 }

@@ -102,7 +102,7 @@ def test_pseudonyms_of_the_whole_table_against_plain_python(spark):
 
 def test_spellings_of_one_value_stay_linked(spark):
     same = {
-        "phone": ["212 555 0199", "+1 212 555 0199", "(212) 555-0199", "212-555-0199", "+12125550199", "212.555.0199"],
+        "phone": ["212 555 0199", "+1 212 555 0199", "(212) 555-0199", "212-555-0199", "+12125550199", "212.555.0199", "12 (212) 555-0199", "7 +1 (212) 555-0199"],
         "ipv6": ["2001:db8::1", "2001:0db8:0:0:0:0:0:1", "2001:DB8:0::0:1"],
         "iban": ["GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432"],
     }
@@ -111,7 +111,7 @@ def test_spellings_of_one_value_stay_linked(spark):
         rows = pii.pseudonymize(df, "k").orderBy("doc_id").collect()
         assert [[p.kind for p in r.pii] for r in rows] == [[kind]] * len(rows)
         new = {re.sub("[^0-9A-Za-z]" if kind != "ipv6" else "[ ]", "", r.pii[0].text)[-10 if kind == "phone" else 0 :] for r in rows}
-        assert len(new) == 1 and not any(s in r.text for s, r in zip(spellings, rows))
+        assert len(new) == 1 and not any(s[-8:] in r.text for s, r in zip(spellings, rows))
     iban = re.sub(" ", "", rows[0].pii[0].text)
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and "WEST" not in iban and re.fullmatch(r"GB\d\d[A-Z]{4}\d{14}", iban)
     kept = ["std::vector a::b 12:34:56", "1 212 555 0199 3 4", "order 10 212 555 0199"]
