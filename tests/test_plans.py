@@ -187,6 +187,14 @@ def test_vessel_sheet(spark):
     assert got[1].gears == {} and got[1].signal_code == ""
 
 
+def test_registry_from_result_pages(spark):
+    """Rows of 19 data cells; header rows and short rows are no data, and a page's region goes with its rows."""
+    row = lambda i: "<tr>" + "".join(f"<td>&nbsp;<b>{i}.{k}</b></td>" for k in range(19)) + "</tr>"
+    page = "<table><tr>" + "<th>h</th>" * 19 + "</tr>" + row(1) + "<tr><td>short</td></tr>" + row(2) + "</table>"
+    got = registry.from_pages(spark.createDataFrame([("III REGION", page), ("I REGION", "")], "region string, html string")).orderBy("id").collect()
+    assert [(r.region, r.id, r.rpa, r.cove) for r in got] == [("III REGION", "1.0", "1.1", "1.18"), ("III REGION", "2.0", "2.1", "2.18")]
+
+
 def test_trip_details(spark):
     page = "<td><strong>Tipo Embarcaci?n :</strong></td><td> Lancha </td><td><strong>N&#250;mero Lances :</strong></td><td>4</td><td><strong>N&#xFA;mero Lances Muestreados:</strong></td><td>9</td><td><STRONG>Especie Objetivo</STRONG></td><td>33 - SARDINA\n COM&Uacute;N</td>"
     got = observers.with_details(spark.createDataFrame([(1, page)], "id int, html string")).first()
