@@ -28,7 +28,7 @@ from pelagia.operators.grid import Axis
 from pelagia.plans import catch, landings, observers, ocean, registry, vms
 from pelagia.shared import file_system
 from pelagia.sources.csv_daily import read_named, read_reports, read_tolerant
-from pelagia.sources.products import by_number, write
+from pelagia.sources.products import by_number, exists, write
 
 STEP = 1 / 24
 CATCH_FILE = {"bitacora": "catch_wide.csv", "backup": "catch_long.csv"}
@@ -85,7 +85,8 @@ class Run:
     def product(self, name: str, make, empty: bool = False, **options) -> DataFrame:
         """The product of that name, made if it is not there or forced."""
         path = f"{self.out}/{name}"
-        write(make(), path, self.force, empty=empty, **options)
+        if self.force or not exists(self.spark, path):  # making a plan may already run jobs
+            write(make(), path, self.force, empty=empty, **options)
         self.made.append(path)
         return self.spark.read.parquet(path)
 
