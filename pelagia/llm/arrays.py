@@ -1,6 +1,6 @@
 """Vectorised word work on Arrow text columns: small numpy helpers for Python tasks.
 
-Rows are handled in blocks of a fifth of a megabyte, so memory does not follow the batch or the table.
+Rows are handled in blocks of a tenth of a megabyte, so memory does not follow the batch or the table.
 All arithmetic is on unsigned 64-bit integers and wraps.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 200_000
+BLOCK_BYTES = 100_000
 _U = np.uint64
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
