@@ -124,3 +124,11 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.
     keep[1:] = (out[1:] != out[:-1]) | (row[1:] != row[:-1])
     out, row = out[keep], row[keep]
     return out, np.searchsorted(row, np.arange(rows_n + 1))
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of values[start:end] for each span; equal runs of values hash alike wherever they stand."""
+    up, down = _base_powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values ^ _U(salt)) * up[: len(values)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))

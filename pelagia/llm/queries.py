@@ -1,11 +1,11 @@
-"""Driver queries of the text operators, op1 to op10, over whole tables."""
+"""Driver queries of the text operators, op1 to op13, over whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, search, toxicity
+from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, search, substring_dedup, toxicity
 from pelagia.llm.common import table
 
 
@@ -82,8 +82,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.by_document(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan, op12_substring_dedup)}
 
 
 #: op3 in DuckDB SQL. The other operators draw, learn or search in ways SQL has no words for; tests hold them against
@@ -107,5 +112,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+#: op12: every window's later occurrences, and the words they cover.
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, i, md5(array_to_string(ws[i:i+19], ' ')) AS k FROM d, unnest(range(1, len(ws) - 18)) t(i)),
+later AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM later, unnest(range(20)) t(j)),
+word AS (SELECT doc_id, p, ws[p] AS v FROM d, unnest(range(1, len(ws) + 1)) t(p)),
+k AS (SELECT doc_id, count(*) AS n, string_agg(v, ' ' ORDER BY p) AS kept FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_RULES_SQL}
+    return {"op3_quality_rules": QUALITY_RULES_SQL, "op12_substring_dedup": SUBSTRING_SQL}
