@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import chat_format, license_scan, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, search, substring_dedup, toxicity
+from pelagia.llm import chat_format, license_scan, merkle, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, search, substring_dedup, toxicity
 from pelagia.llm.common import table
 
 
@@ -82,13 +82,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.by_document(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id's crc32 is divisible by 5 are checked with a text in small letters."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    other = merkle.digest([small if f == "text" else F.col(f) for f in merkle.FIELDS])
+    return merkle.manifest(docs, F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, other))
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan, op12_substring_dedup)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan, op11_merkle_manifest, op12_substring_dedup)}
 
 
 #: op3 in DuckDB SQL. The other operators draw, learn or search in ways SQL has no words for; tests hold them against
@@ -112,6 +120,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+#: op11: all levels of all trees, each node's siblings around a bar, and every leaf folded up its own list of them.
+MERKLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, sha256(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+  sha256(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS other,
+  xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295) AS crc FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY source) AS n FROM d),
+up AS (SELECT 0 AS lvl, source AS grp, rank, leaf AS hash, n FROM l
+  UNION ALL SELECT lvl + 1, grp, rank // 16, sha256(string_agg(hash, '' ORDER BY rank)), (any_value(n) + 15) // 16 FROM up WHERE n > 1 GROUP BY lvl, grp, rank // 16),
+sub AS (SELECT grp AS source, hash AS subroot, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS lvl, rank, subroot AS hash, n FROM sub
+  UNION ALL SELECT lvl + 1, rank // 16, sha256(string_agg(hash, '' ORDER BY rank)), (any_value(n) + 15) // 16 FROM top WHERE n > 1 GROUP BY lvl, rank // 16),
+s AS (SELECT *, coalesce(string_agg(hash, '') OVER b, '') || '|' || coalesce(string_agg(hash, '') OVER a, '') AS step FROM up WHERE n > 1
+  WINDOW b AS (PARTITION BY lvl, grp, rank // 16 ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY lvl, grp, rank // 16 ORDER BY rank ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+t AS (SELECT *, coalesce(string_agg(hash, '') OVER b, '') || '|' || coalesce(string_agg(hash, '') OVER a, '') AS step FROM top WHERE n > 1
+  WINDOW b AS (PARTITION BY lvl, rank // 16 ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY lvl, rank // 16 ORDER BY rank ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+tp AS (SELECT sub.source, any_value(subroot) AS subroot, coalesce(list(step ORDER BY lvl) FILTER (step IS NOT NULL), []) AS path FROM sub LEFT JOIN t ON t.rank = sub.rank // (16 ** t.lvl)::BIGINT GROUP BY sub.source),
+lp AS (SELECT l.source, l.rank, coalesce(list(step ORDER BY lvl) FILTER (step IS NOT NULL), []) AS path FROM l LEFT JOIN s ON s.grp IS NOT DISTINCT FROM l.source AND s.rank = l.rank // (16 ** s.lvl)::BIGINT GROUP BY l.source, l.rank),
+p AS (SELECT l.*, subroot, list_concat(lp.path, tp.path) AS path FROM l JOIN lp ON lp.source IS NOT DISTINCT FROM l.source AND lp.rank = l.rank JOIN tp ON tp.source IS NOT DISTINCT FROM l.source)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM (SELECT doc_id, leaf, subroot, (SELECT hash FROM top WHERE n = 1) AS root,
+  sha256(array_to_string(list_transform(path, lambda x: replace(x, '|', '')), '')) AS proof_sha256,
+  list_reduce(list_concat([CASE WHEN crc % 5 = 0 THEN other ELSE leaf END], path), lambda a, x: sha256(replace(x, '|', a))) AS folded_root FROM p)
+"""
+
 #: op12: every window's later occurrences, and the words they cover.
 SUBSTRING_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
@@ -125,4 +158,4 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_RULES_SQL, "op12_substring_dedup": SUBSTRING_SQL}
+    return {"op3_quality_rules": QUALITY_RULES_SQL, "op11_merkle_manifest": MERKLE_SQL, "op12_substring_dedup": SUBSTRING_SQL}
