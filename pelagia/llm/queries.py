@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm import chat_format, license_scan, merkle, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, search, substring_dedup, toxicity
+from pelagia.llm import chat_format, license_scan, merkle, mixing, near_dedup, pii, piece_sampling, quality_model, quality_rules, search, substring_dedup, toxicity, whitening
 from pelagia.llm.common import table
 
 
@@ -95,8 +95,16 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.integers(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(vectors)
+    explained = F.array(*(F.lit(float(v / model.trace)) for v in model.values))
+    rows = whitening.whiten(vectors, model).select(F.col("row.vec_id").alias("vec_id"), F.lit(model.n).cast("long").alias("n"), F.col("deviation").cast("long").alias("deviation"), F.posexplode("whitened").alias("i", "whitened"))
+    return rows.select("vec_id", (F.col("i") + 1).alias("component"), "n", "deviation", "whitened", F.get(explained, "i").cast("double").alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan, op11_merkle_manifest, op12_substring_dedup)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_toxicity, op3_quality_rules, op4_block_max_search, op5_piece_sampling, op6_source_mixing, op7_near_dedup, op8_quality_model, op9_chat_format, op10_license_scan, op11_merkle_manifest, op12_substring_dedup, op13_embedding_whitening)}
 
 
 #: op3 in DuckDB SQL. The other operators draw, learn or search in ways SQL has no words for; tests hold them against
