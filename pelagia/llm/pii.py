@@ -37,14 +37,17 @@ PATTERNS = {
     "world": r"(?<![0-9+])\+[1-9][0-9]{0,2}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
     "card": r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]|[.-][0-9])",
 }
+#: A find that can be a credential by its letters and length; only texts with one are asked which.
+_MAY_BE_SECRET = "^[A-Za-z0-9+/_-]{12,}$"
 #: A text without any of these characters in reach has no find; one pass decides.
 GATE = r"[0-9]{2}|::|@|AKIA|ghp_|sk-|(?i:token|password|passwd|secret|api_?key)"
 
 
 def any_pattern() -> str:
-    """All patterns as one; the card's back reference is renumbered by being named."""
+    """All patterns as one. Group 1 is the credential's, so a find tells by which alternative it came; the card's back reference is named."""
     card = PATTERNS["card"].replace("([ -])", "(?<sep>[ -])").replace(r"\1", r"\k<sep>")
-    return "|".join(f"(?:{p})" for p in (PATTERNS | {"card": card}).values())
+    secret = f"({PATTERNS['credential']})"
+    return "|".join(f"(?:{p})" for p in (PATTERNS | {"card": card, "credential": secret}).values())
 
 
 def _let(value: Column, body) -> Column:
@@ -278,15 +281,15 @@ def _credential(x: Column, key: str) -> Column:
 _CHANGE = {"email": _email, "ipv4": _ipv4, "ipv6": _ipv6, "credential": _credential, "iban": _iban, "ssn": _ssn, "date": _date, "phone": _phone, "world": _world, "card": _card}
 
 
-def kind_of(find: Column) -> Column:
-    """The kind of a find by its own shape (what stood around it was already checked)."""
-    out = F.when(find.contains("@"), "email")
+def kind_of(find: Column, secret: Column) -> Column:
+    """The kind of a find: a credential where that alternative matched, whatever its shape, else by its own shape (what stood around it was already checked)."""
+    out = F.when(secret, "credential").when(find.contains("@"), "email")
     for kind in ("ipv4", "ipv6", "ssn", "date", "phone", "world", "card", "iban"):
         out = out.when(find.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
     return out.otherwise("credential")
 
 
-def pseudonym(find: Column, key: str) -> Column:
+def pseudonym(find: Column, secret: Column, key: str) -> Column:
     """struct(kind, text): what takes the place of a find."""
 
     def change(kind: Column) -> Column:
@@ -295,7 +298,7 @@ def pseudonym(find: Column, key: str) -> Column:
             out = out.when(kind == name, body(find, key))
         return F.struct(kind.alias("kind"), out.alias("text"))
 
-    return _let(kind_of(find), change)
+    return _let(kind_of(find, secret), change)
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -307,8 +310,11 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     seen = F.col(text).rlike(GATE)
     finds = F.when(seen, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
     out = docs.drop("pii").withColumn("__finds", F.coalesce(finds, F.array().cast("array<string>")))
-    new = F.transform("__finds", lambda x: _let(pseudonym(x, key), lambda p: F.struct(p["kind"].alias("kind"), x.alias("found"), p["text"].alias("text"))))
+    marked = F.when(F.size("__finds") > 0, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    out = out.withColumn("__secrets", F.when(F.exists("__finds", lambda x: x.rlike(_MAY_BE_SECRET)), marked).otherwise(F.array().cast("array<string>")))
+    secret = lambda i: F.coalesce(F.get("__secrets", i), F.lit("")) != ""
+    new = F.transform("__finds", lambda x, i: _let(pseudonym(x, secret(i), key), lambda p: F.struct(p["kind"].alias("kind"), x.alias("found"), p["text"].alias("text"))))
     out = out.withColumn("pii", F.when(F.size("__finds") > 0, new).otherwise(F.array().cast("array<struct<kind:string,found:string,text:string>>")))
     gaps = F.split(F.col(text), pattern, -1)
     joined = _let(gaps, lambda g: F.concat(F.get(g, F.lit(0)), F.array_join(F.zip_with(F.col("pii"), F.slice(g, F.lit(2), F.size(g)), lambda p, t: F.concat(p["text"], t)), "")))
-    return out.withColumn(text, F.when(F.size("pii") > 0, joined).otherwise(F.col(text))).drop("__finds")
+    return out.withColumn(text, F.when(F.size("pii") > 0, joined).otherwise(F.col(text))).drop("__finds", "__secrets")
