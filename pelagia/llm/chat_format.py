@@ -1,29 +1,33 @@
 """Conversations as training windows under a token budget, in DataFrame functions only.
 
-Turns are ordered by their number; prefix sums of their tokens cut the conversation into spans that begin and end
-at turns. A window is the conversation's first system turn, a limited stretch of history before the span, and the
-span. The loss falls on assistant texts of the span alone: repeated turns are context and masked, so each target
+Turns are ordered by their number; prefix sums of their tokens (a turn counts for one at least) cut the conversation into spans that begin and end
+at turns. A window is the conversation's first system turn, the turns before the span that fit the history's tokens, and the
+span. A prompt and the assistant's answer to it are parted only where both together exceed the room; the prompt is then repeated before
+the answer, whatever its size, so no target stands without its prompt (such windows alone may exceed the budget). The loss falls on assistant texts of the span alone: repeated turns are context and masked, so each target
 counts once. A turn that is larger than the budget makes a window of its own.
 
 Every turn is written as <s>[INST] role [/INST]text</s>. Control strings inside a role or text are broken with a
 backslash after their first character, and those already broken get one more, so unescaping returns every text.
 
-A conversation is handled in stretches of 64 turn numbers: a very long one is spread over tasks, each stretch
-starts a new window, and the last turn numbers of a stretch reach the next one as history. Edge cases: a null text or
+Prefix sums run over many tasks: turns are dealt by ranges of their order, each task sums its own, and what came before is one number a task.
+A conversation is handled in stretches of ROOMS windows' tokens, each with the history that reaches into it, so a very long one is spread; only there is
+a span cut that could have gone on. Edge cases: a null text or
 role is empty; a null turn number comes first; repeated turn numbers go by role and text, repeated rows are
-turns of their own; a null conv_id is a conversation like others; an empty table gives none; other columns
+turns of their own; gaps between turn numbers mean nothing; a null conv_id is a conversation like others; an empty table gives none; other columns
 play no part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pelagia.llm.common import materialize
+
 BUDGET = 1024
 HISTORY = 128
-STRETCH = 64
-OVERLAP = 8
+#: Windows' tokens that one task handles together.
+ROOMS = 16
 #: What follows the first character of a control string: <s> </s> <<SYS>> <</SYS>> [INST] [/INST]
 _REST = r"(?=/?s>|</?SYS>>|/?INST\])"
 _FIRST = r"([<\[])"
@@ -50,49 +54,63 @@ def _written(t: Column) -> Column:
     return F.concat(F.lit("<s>[INST] "), escape(t["role"]), F.lit(" [/INST]"), escape(t["text"]), F.lit("</s>"))
 
 
+def summed(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, n (tokens, one at least) and c, the conversation's tokens before the turn; written once, in order."""
+    keys = [F.col(k).asc_nulls_first() for k in ("conv_id", "turn", "role", "text", "nth")]
+    base = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("nth"))
+    base = base.withColumn("n", F.greatest(tokens(F.col("text")), F.lit(1).cast("long")))
+    place = F.monotonically_increasing_id()
+    rows = base.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("part", F.shiftright(place, 33)).withColumn("at", place.bitwiseAND(F.lit((1 << 33) - 1)))
+    rows = materialize(rows.drop("nth"))
+    each = rows.groupBy("conv_id", "part").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = each.withColumn("before", F.sum("n").over(earlier)).where("before > 0")  # at most one conversation a task goes on from an earlier one
+    before = F.broadcast(before.select(F.col("conv_id").alias("__c"), F.col("part").alias("__p"), "before"))
+    inside = Window.partitionBy("conv_id", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumn("c", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    out = out.join(before, F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("part") == F.col("__p")), "left")
+    return out.select("conv_id", "turn", "role", "text", "n", (F.col("c") + F.coalesce("before", F.lit(0))).alias("c"))
+
+
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """One row a window: conv_id, stretch, start, text, n_context, spans (start, size in characters), n_tokens.
+    """One row a window: conv_id, stretch, start (the conversation's tokens before its span), text, n_context, spans (start, size in characters), n_tokens.
 
-    Windows of a conversation are in order of (stretch, start); the first n_context turns of the text are repeated.
+    Windows of a conversation are in order of start; the first n_context turns of the text are repeated.
     """
-    base = turns.select(
-        "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).withColumn("n", tokens(F.col("text")))
-    first = F.min(F.struct("turn", "text", "n")).alias("sys")
-    system = base.where(F.col("role") == "system").groupBy(F.col("conv_id").alias("c")).agg(first)
-
-    home = F.coalesce(F.floor(F.col("turn") / STRETCH), F.lit(-(1 << 62)))
-    late = F.col("turn").isNotNull() & (F.pmod("turn", F.lit(STRETCH)) >= STRETCH - OVERLAP)
-    places = F.when(late, F.array(F.struct(home.alias("s"), F.lit(1).alias("own")), F.struct((home + 1).alias("s"), F.lit(0).alias("own"))))
-    places = places.otherwise(F.array(F.struct(home.alias("s"), F.lit(1).alias("own"))))
-    placed = base.withColumn("p", F.explode(places)).select("conv_id", F.col("p.s").alias("stretch"), F.struct("turn", "p.own", "role", "text", "n").alias("t"))
+    base = summed(turns)
+    first = F.min(F.struct("c", "text", "n")).alias("sys")
+    system = base.where(F.col("role") == "system").groupBy(F.col("conv_id").alias("sys_of")).agg(first)
+
+    wide = ROOMS * max(1, budget - history)
+    end = F.col("c") + F.col("n")
+    home = F.floor(F.col("c") / wide)
+    reaches = F.when(end + history > (home + 1) * wide, home + 1)
+    last = F.when(F.floor(end / wide) > home, F.floor(end / wide))  # nothing of its stretch comes after it
+    places = F.array_compact(F.array_distinct(F.array(home, reaches, last)))
+    placed = base.withColumn("s", F.explode(places)).select("conv_id", F.col("s").alias("stretch"), F.struct("c", (F.col("s") == home).cast("int").alias("own"), "role", "text", "n").alias("t"))
     lists = placed.groupBy("conv_id", "stretch").agg(F.sort_array(F.collect_list("t")).alias("ts")).where(F.exists("ts", lambda t: t["own"] == 1))
-    lists = lists.join(system, F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
+    lists = lists.join(system, F.col("conv_id").eqNullSafe(F.col("sys_of")), "left").drop("sys_of")
 
     room = F.greatest(F.lit(1), F.lit(budget - history) - F.coalesce("sys.n", F.lit(0)))
     zero = F.struct(F.lit(0).alias("i"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("cuts"))
 
     def step(s: Column, t: Column) -> Column:
-        begin = (t["own"] == 1) & ((F.size(s["cuts"]) == 0) | (s["used"] + t["n"] > room))
+        begin = (t["own"] == 1) & ((F.size(s["cuts"]) == 0) | (s["used"] + t["need"] > room))
         used = F.when(begin, t["n"]).when(t["own"] == 1, s["used"] + t["n"]).otherwise(s["used"])
         return F.struct((s["i"] + 1).alias("i"), used.alias("used"), F.when(begin, F.array_append(s["cuts"], s["i"])).otherwise(s["cuts"]).alias("cuts"))
 
-    cut = lists.withColumn("cuts", F.aggregate("ts", zero, step, lambda s: s["cuts"]))
+    answered = lambda t, i: (t["role"] != "assistant") & (F.coalesce(F.get("ts", i + 1)["role"], F.lit("")) == "assistant")
+    needs = F.transform("ts", lambda t, i: F.struct(t["own"].alias("own"), t["n"].alias("n"), (t["n"] + F.when(answered(t, i), F.get("ts", i + 1)["n"]).otherwise(0)).alias("need")))
+    cut = lists.withColumn("cuts", F.aggregate(needs, zero, step, lambda s: s["cuts"]))
     spans = F.transform("cuts", lambda a, k: F.struct(a.alias("a"), F.coalesce(F.get("cuts", k + 1), F.size("ts")).alias("b")))
     cut = cut.withColumn("w", F.explode(spans)).select("conv_id", "stretch", "ts", "sys", F.col("w.a").alias("a"), F.col("w.b").alias("b"))
 
-    back = F.reverse(F.slice("ts", F.greatest(F.lit(1), F.col("a") - OVERLAP + 1), F.least(F.lit(OVERLAP), F.col("a"))))
-    fits = F.aggregate(
-        back,
-        F.struct(F.lit(0).alias("k"), F.lit(0).cast("long").alias("used"), F.lit(True).alias("on")),
-        lambda s, t: F.struct(
-            (s["k"] + (s["on"] & (s["used"] + t["n"] <= history)).cast("int")).alias("k"), (s["used"] + t["n"]).alias("used"), (s["on"] & (s["used"] + t["n"] <= history)).alias("on")
-        ),
-        lambda s: s["k"],
-    )
-    cut = cut.withColumn("k", F.when(F.col("a") > 0, fits).otherwise(F.lit(0)))
+    at = F.get("ts", F.col("a"))
+    back = F.slice("ts", F.greatest(F.lit(1), F.col("a") - history + 1), F.least(F.lit(history), F.col("a")))  # turns have a token each
+    fits = F.size(F.filter(back, lambda t: t["c"] >= at["c"] - history))
+    cut = cut.withColumn("k", F.when(F.col("a") > 0, F.greatest(fits, ((at["role"] == "assistant") & (F.get("ts", F.col("a") - 1)["role"] != "assistant")).cast("int"))).otherwise(F.lit(0)))
     cut = cut.withColumn("past", F.slice("ts", F.col("a") - F.col("k") + 1, F.col("k"))).withColumn("span", F.slice("ts", F.col("a") + 1, F.col("b") - F.col("a")))
-    is_system = lambda t: (t["role"] == "system") & t["turn"].eqNullSafe(F.col("sys.turn")) & (t["text"] == F.col("sys.text"))
+    is_system = lambda t: t["c"] == F.col("sys.c")
     shown = F.exists(F.concat("past", "span"), is_system)
     plain = lambda ts, new: F.transform(ts, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"), t["n"].alias("n"), F.lit(new).alias("new")))
     head = F.array(F.struct(F.lit("system").alias("role"), F.col("sys.text").alias("text"), F.col("sys.n").alias("n"), F.lit(False).alias("new")))
@@ -112,7 +130,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     return cut.select(
         "conv_id",
         "stretch",
-        F.col("a").alias("start"),
+        F.get("span", F.lit(0))["c"].alias("start"),
         F.array_join("out.text", "").alias("text"),
         F.size(F.filter("all", lambda t: ~t["new"])).alias("n_context"),
         mark.alias("spans"),
