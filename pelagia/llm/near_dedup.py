@@ -424,16 +424,38 @@ class NearDuplicates:
         return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+#: Where the numbers begin that stand in for null ids, so that any id of a row's own goes before them.
+_UNNAMED = 1 << 62
+
+
+def _named(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Rows with an id for each: their own, or a number of their own from _UNNAMED on; written then, so that it stays."""
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")
+    rows = docs.select(own, F.col(doc_id).cast("long").alias("__id"))
+    if rows.where(F.col("__id").isNull()).isEmpty():
+        return rows
+    return materialize(rows.withColumn("__id", F.coalesce("__id", F.lit(_UNNAMED) + F.monotonically_increasing_id())))
+
+
 def assign(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles (long), component_id, kept for every row of docs."""
-    return NearDuplicates(docs, text, percent=percent).assign()
+    """doc_id, n_shingles (long), component_id, kept for every row of docs.
+
+    Rows with a null id come after all others: they are kept only where nothing with an id is near, one of a component, whose component_id is then null.
+    """
+    rows = _named(docs).select(F.col("__id").alias("doc_id"), F.col("__row")[text].alias("text"))
+    out = NearDuplicates(rows, percent=percent).assign()
+    own = lambda c: F.when(F.col(c) < _UNNAMED, F.col(c)).alias(c)
+    return out.select(own("doc_id"), "n_shingles", own("component_id"), "kept")
 
 
 def keep(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFrame:
     """The rows of docs that stay: the smallest id of each component, once for each of its texts. Small sets of dropped ids are broadcast."""
-    found = NearDuplicates(docs, text, percent=percent)
+    rows = _named(docs)
+    found = NearDuplicates(rows.select(F.col("__id").alias("doc_id"), F.col("__row")[text].alias("text")), percent=percent)
     placed = found.assign()
     gone = materialize(placed.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())
     small = gone.count() <= BROADCAST_ROWS
-    out = docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == F.col("__gone"), "left_anti")
-    return out.dropDuplicates(["doc_id", text]) if found.repeated else out
+    out = rows.join(F.broadcast(gone) if small else gone, F.col("__id") == F.col("__gone"), "left_anti")
+    if found.repeated:
+        out = out.withColumn("__text", F.col("__row")[text]).dropDuplicates(["__id", "__text"])
+    return out.select("__row.*")
