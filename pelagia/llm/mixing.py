@@ -187,14 +187,15 @@ def sample(docs: DataFrame, text: str = "text", source: str = "source", key: str
     plan = _plan(docs, text, source, key, seed, weights, cap)
     sums = plan.agg(F.sum("rows").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
     taken = plan.where("total > 0").select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__source"), F.col("rows").alias("__rows"), F.col("total").alias("__total"))
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")  # whatever the columns are called
+    inner = docs.select(own, F.col(key).alias("__key"), F.col(source).alias("__from"), F.col(text).alias("__text"))
     if sums["rows"] == sums["ids"]:
-        rows = docs.join(taken.select("__id", "__total").hint("merge"), docs[key] == F.col("__id")).withColumn("__copies", F.col("__total"))
+        rows = inner.select("__row", "__key").join(taken.select("__id", "__total").hint("merge"), F.col("__key") == F.col("__id")).withColumn("__copies", F.col("__total"))
     else:
-        size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-        counted = docs.withColumn("__words", size)
-        on = counted[key].eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")) & counted[source].eqNullSafe(F.col("__source"))
-        place = F.row_number().over(Window.partitionBy(key, "__words", source).orderBy(F.xxhash64(text)))
+        counted = inner.withColumn("__words", F.regexp_count(F.coalesce("__text", F.lit("")), F.lit(WORD)).cast("long"))
+        on = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")) & F.col("__from").eqNullSafe(F.col("__source"))
+        place = F.row_number().over(Window.partitionBy("__key", "__words", "__from").orderBy(F.xxhash64("__text")))
         rows = counted.join(taken.hint("merge"), on).withColumn("__k", place)
         share = F.floor(F.col("__total") / F.col("__rows")) + (F.col("__k") <= F.col("__total") % F.col("__rows")).cast("long")
         rows = rows.withColumn("__copies", share.cast("long")).where("__copies > 0")
-    return rows.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    return rows.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select("__row.*")

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 from collections import Counter
 
@@ -413,6 +414,97 @@ def test_columns_that_clash(spark):
     assert chat_format.windows(turns.withColumns({c: F.lit(1) for c in ("n", "sys", "stretch", "ts", "start", "spans")})).collect() == chat_format.windows(turns).collect()
 
 
+def test_columns_that_operators_use_inside_come_back_untouched(spark):
+    rows = [(i, f"some words of text number {i % 7} that go on for a while {i}", "en", "ab"[i % 2], 10) for i in range(30)]
+    docs = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string, lang string, source string, n_chars long")
+    clash = docs.withColumns({c: F.lit(5) for c in ("__id", "__total", "__copies", "__i", "__gone", "__row", "__text", "__key", "row", "a b.c")})
+    for some in (clash, clash.dropDuplicates(["doc_id"])):
+        for out in (mixing.sample(some), near_dedup.keep(some)):
+            assert out.columns == clash.columns
+            assert {tuple(r)[5:] for r in out.collect()} == {(5,) * 10}
+
+
+# ---- op1: secrets behind keywords; op9: gaps and budgets
+
+
+def test_no_secret_behind_a_keyword_stays(spark):
+    r = random.Random(4)
+    sets = ["0123456789", "ABCDEF0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "aB3+/_-xY9"]
+    secrets = ["1234567890123", "1234567890123456", "AB12CDEF34567890", "GB00WEST12345698765432", "GB82WEST12345698765432", "4111111111111111", "2024-01-01-2024-01-01", "212-555-0123-99", "+12125550123456"[1:]]
+    secrets += ["".join(r.choice(s) for _ in range(n)) for s in sets for n in range(12, 41, 4)]
+    for s in secrets[:9]:
+        assert len(s) >= 12
+    word = ["password=", "token: ", "API_KEY=", 'secret = "', "passwd=", "apikey:"]
+    docs = spark.createDataFrame([(i, f"see {word[i % 6]}{s} and then 10.1.2.3 or 4111 1111 1111 1111 end") for i, s in enumerate(secrets)], "doc_id long, text string")
+    for row in pii.pseudonymize(docs, "k").collect():
+        s = secrets[row.doc_id]
+        assert s not in row.text and (row.pii[0].kind, row.pii[0].found, len(row.pii[0].text)) == ("credential", s, len(s))
+        assert [p.kind for p in row.pii[1:]] == ["ipv4", "card"] and row.text.endswith(" end")
+
+
+def plain_windows(turns, budget, history, rooms):
+    """(context, span) of every window of one conversation, its turns in order: (role, text, tokens)."""
+    sys = next((k for k, t in enumerate(turns) if t[0] == "system"), None)
+    room = max(1, budget - history - (turns[sys][2] if sys is not None else 0))
+    before, starts, used, home = 0, [], 0, None
+    sums = []
+    for k, (role, _, n) in enumerate(turns):
+        stretch = before // (rooms * max(1, budget - history))
+        answered = role != "assistant" and k + 1 < len(turns) and turns[k + 1][0] == "assistant"
+        if answered:
+            later = before + n
+            near = later // (rooms * max(1, budget - history)) == stretch
+        need = n + (turns[k + 1][2] if answered and near else 0)
+        if stretch != home or used + need > room:
+            starts.append(k)
+            used = 0
+        home, used = stretch, used + n
+        sums.append(before)
+        before += n
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(turns)], strict=True):
+        k = a
+        while k > 0 and sums[k - 1] >= sums[a] - history:
+            k -= 1
+        if k == a and a > 0 and turns[a][0] == "assistant" and turns[a - 1][0] != "assistant":
+            k = a - 1
+        context = [t[:2] for t in turns[k:a]]
+        if sys is not None and not k <= sys < b:
+            context = [("system", turns[sys][1]), *context]
+        out.append((context, [t[:2] for t in turns[a:b]]))
+    return out
+
+
+@pytest.mark.parametrize(("budget", "history"), [(60, 20), (1024, 128), (100_000, 500)])
+def test_windows_against_a_plain_cut_with_gaps_nulls_and_repeats(spark, budget, history):
+    r = random.Random(budget)
+    turns = []
+    for c in (1, 2, None, 4):
+        at = 0
+        for k in range(400 if c == 1 else 60):
+            at += r.choice([0, 1, 1, 5, 130])
+            role = "system" if c == 4 and k == 1 else ("assistant" if k % 2 else "user") if r.random() < 0.9 else None
+            turns.append((c, None if r.random() < 0.03 else at, role, r.choice(["", "ok", "w " * r.randrange(40), "x " * r.randrange(1, 300), None]), 1))
+    turns += [turns[5], turns[5]]
+    size = lambda t: max(1, len(re.findall(r"[^\W_]+|[^\w\s]|_", t)))
+    rows = chat_format.windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, other int"), budget, history).collect()
+    for c in (1, 2, None, 4):
+        mine = [(t[1], t[2] or "", t[3] or "") for t in turns if t[0] == c]
+        mine.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        want = plain_windows([(role, text, size(text)) for _, role, text in mine], budget, history, chat_format.ROOMS)
+        got = []
+        for w in sorted((w for w in rows if w.conv_id == c), key=lambda w: w.start):
+            read = re.findall(r"(?s)<s>\[INST\] (.*?) \[/INST\](.*?)</s>", w.text)
+            got.append((read[: w.n_context], read[w.n_context :]))
+        assert got == want
+        place = 0
+        for context, span in got:  # no answer without its prompt
+            assert span[0][0] != "assistant" or context or place == 0 or mine[place - 1][1] == "assistant"
+            place += len(span)
+    if budget == 100_000:
+        assert len([w for w in rows if w.conv_id == 2]) == 1
+
+
 # ---- the pipeline's stages
 
 

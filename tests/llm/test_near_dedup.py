@@ -198,3 +198,12 @@ def test_awkward_and_empty(spark):
     kept = near_dedup.keep(awkward(spark).withColumn("n", F.lit(0)))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 7, 9]
     assert near_dedup.assign(empty(spark)).count() == 0 and near_dedup.keep(empty(spark)).columns == [c.split()[0] for c in DOCS.split(", ")]
+
+
+def test_null_ids_come_last_and_are_told_apart(spark):
+    same, other = "one text of seven words for all here", "another text that nothing else is like at all"
+    docs = spark.createDataFrame([(None, same, 1), (None, same, 2), (None, other, 3), (None, None, 4), (1, same, 5), (2, same, 6), (None, other, 7)], "doc_id long, text string, n long")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dedup.assign(docs).collect()), key=str)
+    assert got == sorted([(None, 1, False), (None, 1, False), (None, None, True), (None, None, False), (None, None, True), (1, 1, True), (2, 1, False)], key=str)
+    kept = sorted(r.n for r in near_dedup.keep(docs).collect())
+    assert kept[0:1] + kept[-1:] in ([3, 5], [4, 7], [3, 7], [4, 5]) and len(kept) == 3 and 5 in kept and 4 in kept
