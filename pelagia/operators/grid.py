@@ -164,8 +164,9 @@ OUT_OF_RANGE = "fuera_de_rango"
 def sample(points: DataFrame, grid: DataFrame, values: str | list[str], lat: Axis, lon: Axis, key: str, ts: str) -> DataFrame:
     """key, time and, for each value, the value, dist and status of a field at points and times (latitude, longitude, ts).
 
-    With several values their columns are dist_<value> and status_<value>. The grid is read for the needed times alone, once for all values
-    at the points' own cells; only points whose cell lacks a value look around.
+    The long form, a join for every value: operators.tiles.sample gives the same from one read of the grid and is what plans use.
+    With several values their columns are dist_<value> and status_<value>. The grid is read for the needed times alone;
+    only points whose cell lacks a value look around.
 
     ok: the nearest cell has a value. fallback: it has none; the nearest one within the radius stands in, if any.
     fuera_de_rango: no grid time within two days; time is given all the same, the value is not.

@@ -13,6 +13,7 @@ from pelagia.config import region
 from pelagia.functions import geo, text
 from pelagia.operators import grid as g
 from pelagia.operators import ordered as o
+from pelagia.operators import tiles
 from pelagia.operators.html import row_cells
 from pelagia.operators.match import fuzzy_match
 from pelagia.operators.nearest import nearest_point
@@ -342,38 +343,44 @@ def html_items(spark, sf):
     return rows.select("page_id", (F.col("k") + 1).cast("long").alias("place"), F.md5(text.strip_tags(F.col("raw"))).alias("item"))
 
 
-def _grid(spark: SparkSession) -> DataFrame:
-    """A dense field of 30 days with a deterministic land mask."""
-    days = spark.range(30).select(F.col("id").alias("day"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).cast("timestamp").alias("time"))
-    k = F.col("day") * 31 + F.col("i_lat") * 7 + F.col("i_lon") * 13
-    value = F.when((F.col("i_lon") < 14) & ((F.col("i_lat") * 5 + F.col("i_lon") * 3) % 11 != 0), 280.0 + (k % 101) / 10.0)
-    return g.cells(spark, LAT, LON).join(days).withColumn("sst", value)
+def _grid(spark: SparkSession, sf: str) -> DataFrame:
+    """A dense field for every day that has events: a cell's largest value, none on land or where nothing happened."""
+    e, i = _t(spark, sf, "events"), F.col("event_id")
+    seen = e.groupBy(F.to_date("ts").alias("day"), (i % 24).cast("int").alias("i_lat"), (F.floor(i / 24) % 20).cast("int").alias("i_lon")).agg(F.max("value").alias("v"))
+    days = e.select(F.to_date("ts").alias("day")).distinct()
+    dense = g.cells(spark, LAT, LON).crossJoin(F.broadcast(days)).join(seen, ["day", "i_lat", "i_lon"], "left")  # every cell has a row each day
+    sea = (F.col("i_lon") < 14) & ((F.col("i_lat") * 5 + F.col("i_lon") * 3) % 11 != 0)
+    return dense.select(F.col("day").cast("string").alias("day"), F.col("day").cast("timestamp").alias("time"), "i_lat", "i_lon", "latitude", "longitude", F.when(sea, 280.0 + F.col("v")).alias("sst"))
 
 
-_GRID = """grid AS MATERIALIZED (SELECT d.range AS day, TIMESTAMP '2024-01-01' + d.range * INTERVAL 1 DAY AS time, i.range::INT AS i_lat, j.range::INT AS i_lon, -29e0 + i.range / 24e0 AS latitude, -72e0 + j.range / 24e0 AS longitude,
- CASE WHEN j.range < 14 AND (i.range * 5 + j.range * 3) % 11 <> 0 THEN 280e0 + ((d.range * 31 + i.range * 7 + j.range * 13) % 101) / 10e0 END AS sst FROM range(30) d, range(24) i, range(20) j)"""
+_GRID = """grid AS MATERIALIZED (SELECT d.day::VARCHAR AS day, d.day::TIMESTAMP AS time, i.range::INT AS i_lat, j.range::INT AS i_lon, -29e0 + i.range / 24e0 AS latitude, -72e0 + j.range / 24e0 AS longitude,
+ CASE WHEN j.range < 14 AND (i.range * 5 + j.range * 3) % 11 <> 0 THEN 280e0 + e.v END AS sst FROM (SELECT DISTINCT ts::DATE AS day FROM events) d CROSS JOIN range(24) i CROSS JOIN range(20) j
+ LEFT JOIN (SELECT ts::DATE AS day, event_id % 24 AS a, event_id // 24 % 20 AS b, max(value) AS v FROM events GROUP BY ALL) e ON e.day = d.day AND e.a = i.range AND e.b = j.range)"""
 _AT = f"""{_P}, {_GRID}, days AS (SELECT DISTINCT time FROM grid),
  placed AS MATERIALIZED (SELECT p.event_id, p.ts, p.latitude, p.longitude, d.time, least(greatest(floor((p.latitude + 29e0) * 24e0 + 0.5), 0), 23)::INT AS i_lat, least(greatest(floor((p.longitude + 72e0) * 24e0 + 0.5), 0), 19)::INT AS i_lon,
   abs(epoch_us(d.time) - epoch_us(p.ts)) <= 2 * 86400 * 1000000::BIGINT AS in_range FROM pings p CROSS JOIN days d QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY abs(epoch_us(d.time) - epoch_us(p.ts)), d.time DESC) = 1)"""
 
 
-@_query(f"""WITH {_AT}, cell AS MATERIALIZED (SELECT p.*, g.sst FROM placed p JOIN grid g ON g.time = p.time AND g.i_lat = p.i_lat AND g.i_lon = p.i_lon WHERE in_range),
- steps AS (SELECT i.range::INT AS di, j.range::INT AS dj FROM range(-5, 6) i, range(-6, 7) j),
- d AS (SELECT c.event_id, v.sst AS near, {_hav("c.latitude", "c.longitude", "v.latitude", "v.longitude")} AS dist, v.i_lat AS a, v.i_lon AS b FROM (SELECT *, i_lat + di AS li, i_lon + dj AS lj FROM cell CROSS JOIN steps WHERE sst IS NULL) c
-  JOIN grid v ON v.time = c.time AND v.i_lat = c.li AND v.i_lon = c.lj WHERE v.sst IS NOT NULL),
- f AS (SELECT * FROM d WHERE dist <= 25 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY dist, a, b) = 1)
+def _reach(name: str, points: str, cells: str, value: str, by: str = "time") -> str:
+    """The nearest cell with a value within 25 km of the points that lack it; only cells in a box around them are measured."""
+    d = f"round({_hav('c.latitude', 'c.longitude', 'v.latitude', 'v.longitude')}, 9)"
+    return f"""{name} AS MATERIALIZED (SELECT c.*, v.{value} AS near, {d} AS dist FROM {points} c JOIN (SELECT * FROM {cells} WHERE {value} IS NOT NULL) v ON v.{by} = c.{by} AND v.i_lat BETWEEN c.i_lat - 6 AND c.i_lat + 6 AND v.i_lon BETWEEN c.i_lon - 7 AND c.i_lon + 7
+  WHERE c.{value} IS NULL AND {d} <= 25 QUALIFY row_number() OVER (PARTITION BY c.key ORDER BY {d}, v.i_lat, v.i_lon) = 1)"""
+
+
+@_query(f"""WITH {_AT}, cell AS MATERIALIZED (SELECT p.*, p.event_id AS key, g.sst FROM placed p JOIN grid g ON g.time = p.time AND g.i_lat = p.i_lat AND g.i_lon = p.i_lon WHERE in_range), {_reach("f", "cell", "grid", "sst")}
  SELECT c.event_id, round(coalesce(c.sst, f.near), 6) AS sst, CASE WHEN c.sst IS NULL THEN 'fallback' ELSE 'ok' END AS status FROM cell c LEFT JOIN f USING (event_id)
  UNION ALL SELECT event_id, NULL, 'fuera_de_rango' FROM placed WHERE NOT in_range""")
 def grid_sample(spark, sf):
     points = _pings(spark, sf).select("event_id", "ts", "latitude", "longitude")
-    return g.sample(points, _grid(spark), "sst", LAT, LON, "event_id", "ts").select("event_id", _r("sst").alias("sst"), "status")
+    return tiles.sample(points, _grid(spark, sf), [tiles.Field("sst", "sst")], LAT, LON, "event_id", "ts").select("event_id", _r("sst").alias("sst"), F.col("status_sst").alias("status"))
 
 
 @_query(f"""WITH {_GRID}, s AS (SELECT *, lag(sst) OVER a AS u0, lead(sst) OVER a AS u1, lag(sst) OVER b AS w0, lead(sst) OVER b AS w1 FROM grid WINDOW a AS (PARTITION BY time, i_lon ORDER BY i_lat), b AS (PARTITION BY time, i_lat ORDER BY i_lon)),
  d AS (SELECT *, CASE i_lat WHEN 0 THEN u1 - sst WHEN 23 THEN sst - u0 ELSE (u1 - u0) / 2 END / (111.195e0 / 24e0) AS dy, CASE i_lon WHEN 0 THEN w1 - sst WHEN 19 THEN sst - w0 ELSE (w1 - w0) / 2 END / (111.195e0 / 24e0 * cos(radians(latitude))) AS dx FROM s)
  SELECT day, i_lat, i_lon, round(sqrt(dy * dy + dx * dx), 6) AS gradient FROM d""")
 def grid_gradient(spark, sf):
-    return g.gradient(_grid(spark), "sst", LAT, LON).select("day", "i_lat", "i_lon", _r("gradient").alias("gradient"))
+    return tiles.gradient(_grid(spark, sf), "sst", LAT, LON, by="day").select("day", "i_lat", "i_lon", _r("gradient").alias("gradient"))
 
 
 @_query(f"""WITH {_GRID}, t AS (SELECT i.range::INT AS t_lat, j.range::INT AS t_lon, i.range * 0.4e0 AS y, j.range * 0.7e0 AS x FROM range(60) i, range(30) j WHERE i.range * 4 <= 230 AND j.range * 7 <= 190),
@@ -383,15 +390,13 @@ def grid_gradient(spark, sf):
  SELECT g.day, k.t_lat AS i_lat, k.t_lon AS i_lon, round(CASE WHEN count(*) = count(g.sst) THEN sum(k.w * g.sst) END, 6) AS sst FROM k JOIN grid g ON g.i_lat = k.ci AND g.i_lon = k.cj WHERE k.w > 0 GROUP BY 1, 2, 3""")
 def regrid(spark, sf):
     target = (g.Axis(-29.0, 0.4 / 24, 60), g.Axis(-72.0, 0.7 / 24, 30))
-    return g.regrid(_grid(spark), "sst", (LAT, LON), target, by="day").select("day", "i_lat", "i_lon", _r("sst").alias("sst"))
+    return tiles.regrid(_grid(spark, sf), "sst", (LAT, LON), target, by="day").select("day", "i_lat", "i_lon", _r("sst").alias("sst"))
 
 
-@_query(f"""WITH {_GRID}, d AS (SELECT h.day, h.i_lat, h.i_lon, v.sst AS near, {_hav("h.latitude", "h.longitude", "v.latitude", "v.longitude")} AS dist, v.i_lat AS a, v.i_lon AS b FROM grid h JOIN grid v ON v.day = h.day AND v.sst IS NOT NULL WHERE h.sst IS NULL),
- f AS (SELECT * FROM d WHERE dist <= 25 QUALIFY row_number() OVER (PARTITION BY day, i_lat, i_lon ORDER BY round(dist, 9), a, b) = 1)
- SELECT h.day, h.i_lat, h.i_lon, h.sst IS NULL AND f.near IS NOT NULL AS coast_filled, coalesce(h.sst, f.near) IS NOT NULL AS has_value FROM grid h LEFT JOIN f USING (day, i_lat, i_lon)""")
+@_query(f"""WITH {_GRID}, cell AS MATERIALIZED (SELECT *, (day, i_lat, i_lon) AS key FROM grid), {_reach("f", "cell", "grid", "sst", "day")}
+ SELECT h.day, h.i_lat, h.i_lon, f.near IS NOT NULL AS coast_filled, round(coalesce(h.sst, f.near), 6) AS sst FROM grid h LEFT JOIN f USING (day, i_lat, i_lon)""")
 def coastal_fill(spark, sf):
-    out = g.coastal_fill(_grid(spark), ["sst"], LAT, LON, by="day")
-    return out.select("day", "i_lat", "i_lon", "coast_filled", F.col("sst").isNotNull().alias("has_value"))
+    return tiles.coastal_fill(_grid(spark, sf), ["sst"], LAT, LON, by="day").select("day", "i_lat", "i_lon", "coast_filled", _r("sst").alias("sst"))
 
 
 @_query("SELECT l_orderkey, min(l_quantity) AS l_quantity FROM lineitem GROUP BY 1")

@@ -15,7 +15,7 @@ from pelagia.operators import grid as g
 from pelagia.operators import html
 from pelagia.operators import ordered as o
 from pelagia.plans import catch, observers, ocean, registry, vms
-from pelagia.plans.driver import _AT, _GRID, LAT, LON, _grid, _hav, _pings, _query, _r, _t, _us
+from pelagia.plans.driver import _AT, _GRID, LAT, LON, _grid, _hav, _pings, _query, _r, _reach, _t, _us
 from pelagia.sources import csv_daily, products, records
 
 _VESSELS = "ARRAY['KALI', 'Don Beníto II', 'ROCIO - III', 'Pía-Kata  X', 'ÑANDÚ 12']"
@@ -127,39 +127,30 @@ _GRAD = """g2 AS MATERIALIZED (SELECT *, lag(sst) OVER a AS u0, lead(sst) OVER a
   + pow(CASE i_lon WHEN 0 THEN w1 - sst WHEN 19 THEN sst - w0 ELSE (w1 - w0) / 2 END / (111.195e0 / 24e0 * cos(radians(latitude))), 2)) AS front FROM g2)"""
 
 
-def _near(value: str) -> str:
-    return f"""d_{value} AS (SELECT c.event_id, v.{value} AS v, {_hav("c.latitude", "c.longitude", "v.latitude", "v.longitude")} AS dist, v.i_lat AS a, v.i_lon AS b FROM (SELECT *, i_lat + di AS li, i_lon + dj AS lj FROM cell CROSS JOIN steps WHERE {value} IS NULL) c
-  JOIN g3 v ON v.time = c.time AND v.i_lat = c.li AND v.i_lon = c.lj WHERE v.{value} IS NOT NULL),
- f_{value} AS (SELECT * FROM d_{value} WHERE dist <= 25 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY dist, a, b) = 1)"""
-
-
-@_query(f"""WITH {_AT}, {_GRAD}, cell AS MATERIALIZED (SELECT p.*, g.sst, g.front, {_hav("p.latitude", "p.longitude", "g.latitude", "g.longitude")} AS here FROM placed p JOIN g3 g ON g.time = p.time AND g.i_lat = p.i_lat AND g.i_lon = p.i_lon WHERE in_range),
- steps AS (SELECT i.range::INT AS di, j.range::INT AS dj FROM range(-5, 6) i, range(-6, 7) j), {_near("sst")}, {_near("front")}
- SELECT c.event_id, round(coalesce(c.sst, s.v) - 273.15, 6) AS sst_c, round(coalesce(c.front, t.v), 6) AS front, CASE WHEN c.sst IS NULL OR c.front IS NULL THEN 'fallback' ELSE 'ok' END AS env_status,
-  round_even(greatest(coalesce(CASE WHEN c.sst IS NULL THEN s.dist ELSE here END, 0), coalesce(CASE WHEN c.front IS NULL THEN t.dist ELSE here END, 0)) * 1e3, 0) / 1e3 AS dist FROM cell c LEFT JOIN f_sst s USING (event_id) LEFT JOIN f_front t USING (event_id)
+@_query(f"""WITH {_AT}, {_GRAD}, cell AS MATERIALIZED (SELECT p.*, p.event_id AS key, g.sst, g.front, {_hav("p.latitude", "p.longitude", "g.latitude", "g.longitude")} AS here FROM placed p JOIN g3 g ON g.time = p.time AND g.i_lat = p.i_lat AND g.i_lon = p.i_lon WHERE in_range),
+ {_reach("s", "cell", "g3", "sst")}, {_reach("t", "cell", "g3", "front")}
+ SELECT c.event_id, round(coalesce(c.sst, s.near) - 273.15, 6) AS sst_c, round(coalesce(c.front, t.near), 6) AS front, CASE WHEN c.sst IS NULL OR c.front IS NULL THEN 'fallback' ELSE 'ok' END AS env_status,
+  round_even(greatest(coalesce(CASE WHEN c.sst IS NULL THEN s.dist ELSE c.here END, 0), coalesce(CASE WHEN c.front IS NULL THEN t.dist ELSE c.here END, 0)) * 1e3, 0) / 1e3 AS dist FROM cell c LEFT JOIN s USING (event_id) LEFT JOIN t USING (event_id)
  UNION ALL SELECT event_id, NULL, NULL, 'fuera_de_rango', 0 FROM placed WHERE NOT in_range""")
 def haul_environment(spark, sf):
     """Events as hauls: a value and a front of one field, the worst status of both, the farther distance."""
     hauls = _pings(spark, sf).select(F.col("event_id").alias("zarpe_id"), F.col("ts").alias("haul_start"), F.col("latitude").alias("haul_lat"), F.col("longitude").alias("haul_lon"))
     samplers = (ocean.Sampler("sst_c", "sst", "sst", change=geo.kelvin_to_celsius), ocean.Sampler("front", "sst", "sst", front=True))
-    got = ocean.haul_environment(hauls, {"sst": _grid(spark)}, LAT, LON, samplers=samplers)
+    got = ocean.haul_environment(hauls, {"sst": _grid(spark, sf)}, LAT, LON, samplers=samplers)
     return got.select(F.col("zarpe_id").alias("event_id"), _r("sst_c").alias("sst_c"), _r("front").alias("front"), "env_status", F.col("env_cell_dist_km").alias("dist"))
 
 
-@_query(f"""WITH {_GRID}, b AS (SELECT time, i_lat, i_lon, latitude, longitude, sst - 273.15 AS p, CASE WHEN (i_lat + i_lon) % 4 <> 0 AND i_lon < 17 THEN 1e0 + i_lat / 10e0 END AS q FROM grid),
- k AS MATERIALIZED (SELECT * FROM b WHERE p IS NOT NULL OR q IS NOT NULL),
- steps AS (SELECT i.range::INT AS di, j.range::INT AS dj FROM range(-5, 6) i, range(-6, 7) j),
- m AS (SELECT *, i_lat + di AS li, i_lon + dj AS lj FROM k CROSS JOIN steps WHERE p IS NULL OR q IS NULL),
- d AS (SELECT m.time, m.i_lat, m.i_lon, v.p, v.q, {_hav("m.latitude", "m.longitude", "v.latitude", "v.longitude")} AS dist, v.i_lat AS a, v.i_lon AS b FROM m JOIN k v ON v.time = m.time AND v.i_lat = m.li AND v.i_lon = m.lj),
- fp AS (SELECT time, i_lat, i_lon, TRUE AS has FROM d WHERE dist <= 25 AND p IS NOT NULL GROUP BY ALL), fq AS (SELECT time, i_lat, i_lon, TRUE AS has FROM d WHERE dist <= 25 AND q IS NOT NULL GROUP BY ALL)
- SELECT k.time::DATE::VARCHAR AS day, k.i_lat, k.i_lon, k.p IS NULL OR k.q IS NULL AS coast_filled FROM k LEFT JOIN fp USING (time, i_lat, i_lon) LEFT JOIN fq USING (time, i_lat, i_lon) WHERE (k.p IS NOT NULL OR fp.has) AND (k.q IS NOT NULL OR fq.has)""")
+@_query(f"""WITH {_GRID}, b AS (SELECT time, i_lat, i_lon, latitude, longitude, sst - 273.15 AS p, CASE WHEN (i_lat + i_lon) % 4 <> 0 AND i_lon < 17 THEN 1e0 + i_lat / 10e0 END AS q, (day, i_lat, i_lon) AS key FROM grid),
+ k AS MATERIALIZED (SELECT * FROM b WHERE p IS NOT NULL OR q IS NOT NULL), {_reach("fp", "k", "k", "p")}, {_reach("fq", "k", "k", "q")}
+ SELECT k.time::DATE::VARCHAR AS day, k.i_lat, k.i_lon, round(coalesce(k.p, fp.near), 6) AS p, round(coalesce(k.q, fq.near), 6) AS q, k.p IS NULL OR k.q IS NULL AS coast_filled
+ FROM k LEFT JOIN fp USING (time, i_lat, i_lon) LEFT JOIN fq USING (time, i_lat, i_lon) WHERE coalesce(k.p, fp.near) IS NOT NULL AND coalesce(k.q, fq.near) IS NOT NULL""")
 def forecast_grid(spark, sf):
     """Two layers with masks of their own side by side, cells without anything dropped, gaps near values filled."""
-    base = _grid(spark)
+    base = _grid(spark, sf)
     physics = base.select("time", "i_lat", "i_lon", (F.col("sst") - 273.15).alias("p"))
     biology = base.select("time", "i_lat", "i_lon", F.when(((F.col("i_lat") + F.col("i_lon")) % 4 != 0) & (F.col("i_lon") < 17), 1.0 + F.col("i_lat") / 10).alias("q"))
     out = ocean.forecast_grid(physics, biology, LAT, LON, ("p", "q"))
-    return out.select(F.to_date("time").cast("string").alias("day"), "i_lat", "i_lon", "coast_filled")
+    return out.select(F.to_date("time").cast("string").alias("day"), "i_lat", "i_lon", _r("p").alias("p"), _r("q").alias("q"), "coast_filled")
 
 
 @_query("""WITH w AS (SELECT c_custkey::VARCHAR AS rpa, c_mktsegment AS species, 'GEAR ' || (o_orderkey % 9) AS gear FROM customer JOIN orders ON c_custkey = o_custkey), i AS (SELECT gear, row_number() OVER (ORDER BY gear) AS id FROM (SELECT DISTINCT gear FROM w))
@@ -214,9 +205,11 @@ def sheet_values(spark, sf):
     return v.select("s_suppkey", F.col("v")["Nombre"].alias("name"), F.col("v")["Número"].alias("nation"), F.col("v")["Nota"].alias("note"))
 
 
-@_query("SELECT d::DATE::VARCHAR AS day, CASE WHEN d >= DATE '2024-01-15' THEN CASE WHEN month(d) = 2 THEN 1 ELSE 2 END ELSE 60 END::BIGINT AS n, CASE WHEN d >= DATE '2024-01-15' THEN 'n/' || strftime(d, '%Y/%m') || '/r_' || strftime(d, '%Y%m%d') ELSE 'o/' || strftime(d, '%Y-%m-%d') || '_00' END AS first FROM range(DATE '2024-01-01', DATE '2024-03-02', INTERVAL 1 DAY) t(d)")
+@_query("SELECT d::VARCHAR AS day, CASE WHEN d >= DATE '1996-01-15' THEN CASE WHEN strftime(d, '%Y/%m') = '1997/02' THEN 1 ELSE 2 END ELSE 60 END::BIGINT AS n, CASE WHEN d >= DATE '1996-01-15' THEN 'n/' || strftime(d, '%Y/%m') || '/r_' || strftime(d, '%Y%m%d') ELSE 'o/' || strftime(d, '%Y-%m-%d') || '_00' END AS first FROM (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)")
 def url_eras(spark, sf):
-    urls = csv_daily.candidate_urls(spark, "2024-01-01", "2024-03-01", "n/{month}/r_{day}", "o/{day}_{second}", "2024/02", "2024-01-15")
+    """Where the file of every day with an order would lie."""
+    days = _t(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    urls = csv_daily.candidate_urls(days, "n/{month}/r_{day}", "o/{day}_{second}", "1997/02", "1996-01-15")
     return urls.select(F.col("day").cast("string").alias("day"), F.size("urls").cast("long").alias("n"), F.get("urls", F.lit(0)).alias("first"))
 
 

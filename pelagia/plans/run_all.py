@@ -128,6 +128,13 @@ class Run:
             grid = lambda: ocean.forecast_grid(physics, biology, *axes(self.where)).select("time", "latitude", "longitude", *ocean.FORECAST, "coast_filled")
             self.product("forecast_grid", grid, order=("time", "latitude", "longitude"))
 
+    def grid(self, name: str) -> DataFrame:
+        """A prepared grid (Parquet), or else a folder of the product's NetCDF files brought to the region's axes once."""
+        if self.has(f"{name}.parquet"):
+            return self.spark.read.parquet(f"{self.data}/{name}.parquet")
+        raw = lambda: ocean.raw_grid(self.spark, f"{self.data}/{name}_nc", ocean.RAW[name], *axes(self.where), str(START), str(END))
+        return self.product(f"grids/{name}", raw)
+
     def of_source(self, source: str, scope: str, with_ocean: bool) -> None:
         base = scoped(f"zarpes_{range_tag()}", source, scope)
         path = f"{self.data}/{CATCH_FILE[source]}"
@@ -141,11 +148,13 @@ class Run:
         bouts = vms.bouts(vms.candidates(mine))
         metrics = self.product(f"{base}/bouts", lambda: vms.bout_metrics(bouts), empty=True)
         labelled = lambda: vms.rounded(vms.label_pings(mine, bouts, metrics, ["ord"]), {"dist_port_km": 3, "turn_deg": 1})
-        self.product(f"{base}/pings_behaviour", lambda: labelled().select(*vms.PING_COLUMNS, "turn_deg", "behavior", "is_haul", "haul_index"))
+        marked = self.product(f"{base}/pings_behaviour", lambda: labelled().select(*vms.PING_COLUMNS, "turn_deg", "behavior", "is_haul", "haul_index"))
+        if marked.count() != mine.count():
+            raise ValueError(f"{base}/pings_behaviour: labels are not one a report")
         located = self.product(f"{base}/haul_location", lambda: vms.rounded(haul_table(mine, metrics, trips, self.where), vms.HAUL_DECIMALS))
         model = self.product(f"{base}/haul_model", lambda: vms.model_hauls(located))
         if with_ocean:
-            grids = {g: self.spark.read.parquet(f"{self.data}/{g}.parquet") for g in sorted({s.grid for s in ocean.SAMPLERS})}
+            grids = {g: self.grid(g) for g in sorted({s.grid for s in ocean.SAMPLERS})}
             final = self.product(f"{base}/haul_env", lambda: ocean.haul_environment(model, grids, *axes(self.where)), order=("zarpe_id",))
             write(final.withColumn("env_time", F.to_date("env_time")), f"{self.out}/{base}/haul_env_csv", self.force, csv=True, order=("zarpe_id",))
             self.made.append(f"{self.out}/{base}/haul_env_csv")

@@ -43,7 +43,7 @@ def read_reports(spark: SparkSession, pattern: str, columns: dict[str, tuple[str
     """(reports, rejects): canonical text columns with file and ord, and the files left out with the reason.
 
     Files are read by group of equal headers, since one read binds columns by a single header. ord grows with
-    the row's place in its file. A file that is not UTF-8 or lacks a column is rejected whole.
+    the row's place in its file and is unique: row numbers begin anew in each group, so the group is a part of it. A file that is not UTF-8 or lacks a column is rejected whole.
     """
     groups: dict[str, list[str]] = defaultdict(list)
     rejects = []
@@ -54,14 +54,14 @@ def read_reports(spark: SparkSession, pattern: str, columns: dict[str, tuple[str
         else:
             groups[row["header"]].append(row["path"])
     parts = []
-    for header, paths in sorted(groups.items()):
+    for group, (header, paths) in enumerate(sorted(groups.items())):
         names = [n.strip().strip('"') for n in header.split(sep)]
         unique = [n if n and names.index(n) == i else f"__{i}" for i, n in enumerate(names)]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in unique])
         raw = spark.read.csv(paths, schema=schema, sep=sep, header=True, encoding="UTF-8", enforceSchema=True)
-        place = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+        place = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"), F.lit(group).alias("g"))
         parts.append(raw.select(*(F.col(f"`{h}`").alias(c) for h, c in plan_columns(header, columns, sep)), F.col("_metadata.file_name").alias("file"), place.alias("ord")))
-    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns) + ", file string, ord struct<b:bigint,i:bigint>")
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns) + ", file string, ord struct<b:bigint,i:bigint,g:int>")
     out = parts[0] if parts else empty
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -110,8 +110,8 @@ def date_urls(spark: SparkSession, start: str, end: str, template: str) -> DataF
     return days.select("day", F.replace(F.lit(template), F.lit("{day}"), F.col("day").cast("string")).alias("url"))
 
 
-def candidate_urls(spark: SparkSession, start: str, end: str, newer: str, older: str, backfill: str, since: str, sweep: int = 60) -> DataFrame:
-    """day and urls for every day of an inclusive range: the places to try in turn.
+def candidate_urls(days: DataFrame, newer: str, older: str, backfill: str, since: str, sweep: int = 60) -> DataFrame:
+    """day and urls for every day of days: the places to try in turn.
 
     From the day `since` on, files lie in the folder of their month or in that of one later upload (backfill, as yyyy/MM); newer has {month} and
     {day} (yyyyMMdd). Earlier ones carry the second of their upload, so each second is a candidate; older has {day} (ISO) and {second}.
@@ -121,5 +121,4 @@ def candidate_urls(spark: SparkSession, start: str, end: str, newer: str, older:
     month = F.date_format(day, "yyyy/MM")
     new = F.transform(F.array_distinct(F.array(month, F.lit(backfill))), lambda m: fill(newer, month=m, day=F.date_format(day, "yyyyMMdd")))
     old = F.transform(F.sequence(F.lit(0), F.lit(sweep - 1)), lambda s: fill(older, day=day.cast("string"), second=F.lpad(s.cast("string"), 2, "0")))
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
     return days.select("day", F.when(day >= F.lit(since).cast("date"), new).otherwise(old).alias("urls"))

@@ -44,7 +44,7 @@ def test_latin_tables(spark, tmp_path):
 
 
 def test_candidate_urls_of_two_eras(spark):
-    got = {str(r.day): r.urls for r in csv_daily.candidate_urls(spark, "2022-12-31", "2023-02-01", "n/{month}/r_{day}.csv", "o/r-{day}_{second}.csv", "2023/02", "2023-01-01").collect()}
+    got = {str(r.day): r.urls for r in csv_daily.candidate_urls(spark.range(1).select(F.explode(F.sequence(F.lit("2022-12-31").cast("date"), F.lit("2023-02-01").cast("date"))).alias("day")), "n/{month}/r_{day}.csv", "o/r-{day}_{second}.csv", "2023/02", "2023-01-01").collect()}
     assert len(got) == 33 and len(got["2022-12-31"]) == 60 and got["2022-12-31"][7] == "o/r-2022-12-31_07.csv"
     assert got["2023-01-01"] == ["n/2023/01/r_20230101.csv", "n/2023/02/r_20230101.csv"] and got["2023-02-01"] == ["n/2023/02/r_20230201.csv"]
 
