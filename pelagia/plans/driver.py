@@ -17,7 +17,10 @@ from pelagia.operators import tiles
 from pelagia.operators.html import row_cells
 from pelagia.operators.match import fuzzy_match
 from pelagia.operators.nearest import nearest_point
+from pelagia.operators.quantile import exact_quantiles
+from pelagia.operators.quantile import value_counts as counts_of
 from pelagia.plans import vms
+from pelagia.sources import products
 
 GAP = 720 * 60
 POINTS = region("atacama").points
@@ -412,8 +415,8 @@ def depth_nearest(spark, sf):
 
 @_query("SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.5), 6) AS median, round(quantile_cont(o_totalprice, 0.9), 6) AS p90 FROM orders GROUP BY 1")
 def quantiles(spark, sf):
-    q = lambda p: _r(F.percentile("o_totalprice", F.lit(p)))
-    return _t(spark, sf, "orders").groupBy("o_orderstatus").agg(q(0.5).alias("median"), q(0.9).alias("p90"))
+    found = exact_quantiles(_t(spark, sf, "orders"), ["o_orderstatus"], "o_totalprice", {"median": 0.5, "p90": 0.9})
+    return found.select("o_orderstatus", _r("median").alias("median"), _r("p90").alias("p90"))
 
 
 @_query("SELECT year(o_orderdate)::INT AS ano, n_name AS region, round(sum(o_totalprice), 2) AS toneladas FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE year(o_orderdate) BETWEEN 1994 AND 1996 AND lower(n_name) IN (SELECT lower(n_name) FROM nation WHERE n_regionkey = 2) GROUP BY 1, 2")
@@ -436,13 +439,13 @@ def fuzzy_names(spark, sf):
 
 @_query("SELECT count(*) AS n, round(min(value), 6) AS low, round(max(value), 6) AS high, round(avg(value), 4) AS mean FROM events")
 def run_report(spark, sf):
-    e = _t(spark, sf, "events")
-    return e.agg(F.count("*").alias("n"), _r(F.min("value")).alias("low"), _r(F.max("value")).alias("high"), _r(F.avg("value"), 4).alias("mean"))
+    r = products.report(_t(spark, sf, "events"), ["value"])
+    return r.select("n", _r("low").alias("low"), _r("high").alias("high"), _r("mean", 4).alias("mean"))
 
 
 @_query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def value_counts(spark, sf):
-    return _t(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    return counts_of(_t(spark, sf, "events"), "event_type")
 
 
 @_query("WITH d AS (SELECT range::DATE AS day FROM range(DATE '2024-01-01', DATE '2024-03-01', INTERVAL 1 DAY)), e AS (SELECT DISTINCT ts::DATE AS day FROM events) SELECT (min(d.day) - 1)::VARCHAR AS frontier FROM d LEFT JOIN e USING (day) WHERE e.day IS NULL")
