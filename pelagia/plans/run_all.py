@@ -9,7 +9,8 @@ The data folder holds
     vessel_sheets.parquet    rpa, html: the registry's sheet of each vessel
     observer_trips_raw.csv   observer trips (,)
     catch_wide.csv, catch_long.csv, landings.csv
-    sst, chl, phy, bgc, phy_forecast, bgc_forecast  gridded fields as Parquet, where the ocean is asked for
+    sst, chl, phy, bgc, phy_forecast, bgc_forecast  gridded fields as Parquet, where the ocean is asked for; instead of one
+                             of the first four a folder of the product's NetCDF files, sst_nc and so on
 
 Shared stages (observers, registry, fleet reports, landings, forecast) are written once; each source and scope starts from there.
 A product that is there is not made again unless forced, and a stage without rows ends the run.
