@@ -9,7 +9,7 @@ extended word by word, that is each of its windows is held against those of the
 each diagonal into maximal repeats.
 
 No pairs of a group are made: every step is a least (document, start) by key and a join back with it, hot keys being dealt out apart
-(common.spread_join). Text moves at most twice: to the words of seeds that need a closer look, and to its spans at the end.
+(common.spread_join). Text moves twice, at every size: to the seeds that need a closer look, and to its spans at the end.
 Anchors and runs are told by hashes of 64 bits within an anchor's group, windows by 128 bits.
 
 Order is by doc_id (null first), then by start. Texts that are null, empty or shorter than the length keep all they have. Rows with the same
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pelagia.llm.arrays import mix, span_hashes, text_blocks, word_bounds, word_hashes
-from pelagia.llm.common import BROADCAST_ROWS, materialize, release, spread_join
+from pelagia.llm.common import materialize, release, spread_join
 
 #: Words of the shortest passage that is removed, and of an anchor.
 LENGTH = 20
@@ -140,9 +140,7 @@ def spans(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR) -> DataFra
     border = materialize(spread_join(met.where("NOT later").select("doc_id", "mark", "a", "at", "size"), kinds, ["a"], "n", ["doc_id", "at"]).select("doc_id", "mark", "at", "size"))
     release(classes, kinds)
     wanted = border.groupBy(F.col("doc_id").alias("__doc_id"), F.col("mark").alias("__mark")).agg(F.collect_set(F.struct("at", "size")).alias("runs"))
-    if border.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    looked = texts.join(wanted, _same(texts, wanted)).select("doc_id", "mark", "text", "runs")
+    looked = texts.join(wanted.hint("merge"), _same(texts, wanted)).select("doc_id", "mark", "text", "runs")
     windows = materialize(looked.mapInArrow(_windows(length), _WINDOWS))
     release(border)
     firsts = materialize(windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1"))
