@@ -28,8 +28,8 @@ def circular_delta(now: Column, before: Column) -> Column:
 
 
 def sexagesimal(v: Column) -> Column:
-    """DDMMSS to degrees, south and west negative."""
-    v = v.cast("double")
+    """DDMMSS to degrees, south and west negative; null for what is no number."""
+    v = v.try_cast("double")
     return -(F.floor(v / 10000) + F.floor((v % 10000) / 100) / 60 + (v % 100) / 3600)
 
 

@@ -10,8 +10,12 @@ from pelagia.shared import materialize
 
 def keep_first(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """One row a key, the first in the order. The order should end in something unique."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return numbered(df, keys, *order).where("__rn = 1").drop("__rn")
+
+
+def numbered(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    """All rows with their place in their key as __rn."""
+    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def drop_ambiguous(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pelagia.config import OF_INTEREST, SPECIES
 from pelagia.functions import geo, text
 from pelagia.operators.nearest import nearest_point
 from pelagia.operators.ordered import keep_first, sequence_ids
+from pelagia.sources.ledger import Sift, plain
 
 #: The species columns of the wide logbook, and the species of the long one.
 WIDE_NAMES = {
@@ -27,10 +28,13 @@ REGION_CODES = [
 ]
 
 
-def clean_wide(raw: DataFrame, points: list[tuple[str, float, float]]) -> DataFrame:
-    """YEAR, REGION, vessel_code, COD_BARCO, LANDING_DATETIME, PORT (by the nearest one) and the species."""
+def clean_wide(raw: DataFrame, points: list[tuple[str, float, float]], sift: Sift = plain) -> DataFrame:
+    """YEAR, REGION, vessel_code, COD_BARCO, LANDING_DATETIME, PORT (by the nearest one) and the species.
+
+    Rows whose year, region or place is there but no number are dropped; a place that is not there leaves PORT to fail the filter of ports.
+    """
     named = raw.withColumnsRenamed({k: v for k, v in (WIDE_NAMES | {"AÑO": "YEAR"}).items() if k in raw.columns})
-    out = named.where(F.col("REGION").isNotNull()).withColumns(
+    out = named.withColumns(
         {
             "COD_BARCO": F.trim("COD_BARCO"),
             "vessel_code": text.hex_to_code(F.col("COD_BARCO")).cast("string"),
@@ -39,22 +43,30 @@ def clean_wide(raw: DataFrame, points: list[tuple[str, float, float]]) -> DataFr
             "__lon": geo.sexagesimal(F.col("LONGITUD")),
         }
     )
-    out = out.where(F.col("LANDING_DATETIME").isNotNull()).withColumn("PORT", nearest_point(F.col("__lat"), F.col("__lon"), points, geo.equirectangular)["name"])
+    number = lambda c, kind: F.col(c).isNull() | F.col(c).try_cast(kind).isNotNull()
+    out = sift(
+        "logbook rows", out,
+        {
+            "without a region": F.col("REGION").isNotNull(), "landing time unreadable": F.col("LANDING_DATETIME").isNotNull(),
+            "year or region unreadable": number("YEAR", "int") & number("REGION", "int"), "place unreadable": number("LATITUD", "double") & number("LONGITUD", "double"),
+        },
+    )
+    out = out.withColumn("PORT", nearest_point(F.col("__lat"), F.col("__lon"), points, geo.equirectangular)["name"])
     species = [F.col(s).try_cast("double").alias(s) if s in out.columns else F.lit(0.0).alias(s) for s in SPECIES]
-    return out.select(F.col("YEAR").cast("int").alias("YEAR"), F.col("REGION").cast("int").alias("REGION"), "COD_BARCO", "vessel_code", "LANDING_DATETIME", "PORT", *species)
+    return out.select(F.col("YEAR").try_cast("int").alias("YEAR"), F.col("REGION").try_cast("int").alias("REGION"), "COD_BARCO", "vessel_code", "LANDING_DATETIME", "PORT", *species)
 
 
-def clean_long(raw: DataFrame, species_of: dict[str, str] = LONG_NAMES) -> DataFrame:
+def clean_long(raw: DataFrame, species_of: dict[str, str] = LONG_NAMES, sift: Sift = plain) -> DataFrame:
     """The same columns from one row a landing and species; artisanal fleet only, weights that are no numbers count 0.
 
     Landing times are cut to the minute, regions become codes.
     """
     keys = ["BARCO", "FECHA_HORA_RECALADA", "PUERTO_DE_RECALADA", "REGION"]
     table = F.create_map(*(F.lit(x) for item in species_of.items() for x in item))
-    rows = raw.where(F.lower(F.trim("FLOTA")) == "artesanal").withColumn("__s", F.try_element_at(table, F.upper(F.trim("ESPECIE"))))
-    for k in keys:
-        rows = rows.where(F.col(k).isNotNull())
-    rows = rows.where(F.col("__s").isNotNull()).withColumn("__w", F.coalesce(F.col("PESO").try_cast("double"), F.lit(0.0)))
+    rows = raw.withColumn("__s", F.try_element_at(table, F.upper(F.trim("ESPECIE"))))
+    keyed = {f"without {k}": F.col(k).isNotNull() for k in keys}
+    rows = sift("logbook rows", rows, {"other fleet": F.lower(F.trim("FLOTA")) == "artesanal", **keyed, "other species": F.col("__s").isNotNull()})
+    rows = rows.withColumn("__w", F.coalesce(F.col("PESO").try_cast("double"), F.lit(0.0)))
     wide = rows.groupBy(*keys).pivot("__s", list(SPECIES)).agg(F.sum("__w")).na.fill(0.0, list(SPECIES))
     when = F.date_trunc("minute", F.try_to_timestamp("FECHA_HORA_RECALADA", F.lit("d-M-yyyy H:m:s")))
     out = wide.withColumns(
@@ -63,23 +75,24 @@ def clean_long(raw: DataFrame, species_of: dict[str, str] = LONG_NAMES) -> DataF
             "PORT": text.port_title(F.col("PUERTO_DE_RECALADA")), "REGION": text.first_code(F.lower(F.trim("REGION")), REGION_CODES),
         }
     )
-    out = out.where(F.col("LANDING_DATETIME").isNotNull())
+    out = sift("landings", out, {"landing time unreadable": F.col("LANDING_DATETIME").isNotNull()}, fresh=True)
     return out.select(F.year("LANDING_DATETIME").alias("YEAR"), "REGION", "COD_BARCO", "vessel_code", "LANDING_DATETIME", "PORT", *SPECIES)
 
 
-def filter_catch(catch: DataFrame, ports: tuple[str, ...], start: date, end: date, scope: str = "jurel") -> DataFrame:
+def filter_catch(catch: DataFrame, ports: tuple[str, ...], start: date, end: date, scope: str = "jurel", sift: Sift = plain) -> DataFrame:
     """Landings in the days and ports that have catch in scope.
 
     PRINCIPAL_CATCH: whether the species of interest equals the most of any, all species compared before any is dropped.
     """
     at = F.col("LANDING_DATETIME")
-    rows = catch.where((at >= F.lit(start.isoformat()).cast("timestamp")) & (at < F.lit((end + timedelta(days=1)).isoformat()).cast("timestamp")))
-    rows = rows.where(F.col("PORT").isin(*ports))
     most = F.greatest(*SPECIES)
+    within = (at >= F.lit(start.isoformat()).cast("timestamp")) & (at < F.lit((end + timedelta(days=1)).isoformat()).cast("timestamp"))
+    caught = F.col(OF_INTEREST) > 0 if scope == "jurel" else most > 0
+    rows = sift("of interest", catch, {"outside the days": within, "other port": F.col("PORT").isin(*ports), "no catch in scope": caught})
     rows = rows.withColumn("PRINCIPAL_CATCH", F.coalesce(F.col(OF_INTEREST) == most, F.lit(False)))
     if scope == "jurel":
-        return rows.where(F.col(OF_INTEREST) > 0).drop(*(s for s in SPECIES if s != OF_INTEREST))
-    return rows.where(most > 0)
+        return rows.drop(*(s for s in SPECIES if s != OF_INTEREST))
+    return rows
 
 
 def trip_spine(catch: DataFrame, vessels: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pelagia.functions import text
 from pelagia.operators.html import cell_after, groups_after, result_table, sheet_cells
 from pelagia.operators.match import fuzzy_match
-from pelagia.operators.ordered import drop_ambiguous, keep_first, sequence_ids
+from pelagia.operators.ordered import drop_ambiguous, numbered, sequence_ids
+from pelagia.sources.ledger import Sift, plain
 
 #: Columns of the registry's result table, in order.
 COLUMNS = (
@@ -45,33 +46,35 @@ def read_sheet(sheets: DataFrame, key: str = "rpa", html: str = "html") -> DataF
     return cells.select(key, signal.alias("signal_code"), F.coalesce(cell_after(c, "Estado", 4), F.lit("")).alias("status"), gears.alias("gears"))
 
 
-def fleet(register: DataFrame, sheets: DataFrame, catalogue: DataFrame) -> DataFrame:
+def fleet(register: DataFrame, sheets: DataFrame, catalogue: DataFrame, sift: Sift = plain) -> DataFrame:
     """The register with call sign digits and packed gears, only vessels with a call sign that fish by seine alone."""
     packed = with_gear_ids(sheets, catalogue)
     book = register.join(sheets.select("rpa", "signal_code"), "rpa", "left").join(packed, "rpa", "left")
     seine = catalogue.where(F.col("fishing_type") == SEINE).select(F.col("fishing_type_id").cast("string")).first()
     if seine is None:
         raise ValueError(f"no sheet names the gear {SEINE}")
-    return exclusive(book, seine[0])
+    return exclusive(book, seine[0], sift)
 
 
-def clean_register(raw: DataFrame, ordinal: str = "ord") -> DataFrame:
+def clean_register(raw: DataFrame, ordinal: str = "ord", sift: Sift = plain) -> DataFrame:
     """The latest registration of a hull (number and port), undated ones last; owners' names and ids go no further."""
     dated = raw.withColumn("registration_date", F.try_to_timestamp("registration_date", F.lit("d-M-yyyy")).cast("date"))
-    last = keep_first(dated, ["registration_number", "port"], F.col("registration_date").desc_nulls_last(), F.col(ordinal))
-    return last.drop("owner_id", "owner_name", "registration_end", "type", "office")
+    each = numbered(dated, ["registration_number", "port"], F.col("registration_date").desc_nulls_last(), F.col(ordinal))
+    last = sift("latest of a hull", each, {"older registration": F.col("__rn") == 1})
+    return last.drop("__rn", "owner_id", "owner_name", "registration_end", "type", "office")
 
 
-def in_scope(register: DataFrame, region_codes: tuple[str, ...], category: str = "LANCHA") -> DataFrame:
-    return register.where(F.trim("region").isin(*region_codes) & (F.upper(F.trim("category")) == category))
+def in_scope(register: DataFrame, region_codes: tuple[str, ...], category: str = "LANCHA", sift: Sift = plain) -> DataFrame:
+    return sift("in scope", register, {"other region": F.trim("region").isin(*region_codes), "other category": F.upper(F.trim("category")) == category})
 
 
-def match_observed(register: DataFrame, vessels: DataFrame, cutoff: float = 0.85) -> DataFrame:
+def match_observed(register: DataFrame, vessels: DataFrame, cutoff: float = 0.85, sift: Sift = plain) -> DataFrame:
     """The register with vessel_code and cod_barco of the likest observed vessel; a vessel claimed twice is dropped."""
     found = fuzzy_match(register, "rpa", "vessel_name", vessels, "vessel_code", "vessel_name", cutoff).drop("score")
     sure = drop_ambiguous(found, ["vessel_code"])
     codes = vessels.select("vessel_code", "cod_barco").dropDuplicates(["vessel_code"])
-    return register.join(sure, "rpa").join(codes, "vessel_code", "left")
+    found = register.join(sure.withColumn("__found", F.lit(True)), "rpa", "left")
+    return sift("observed", found, {"no observed vessel, or one claimed twice": F.col("__found")}, fresh=True).drop("__found").join(codes, "vessel_code", "left")
 
 
 def gear_catalogue(sheets: DataFrame, gears: str = "gears") -> DataFrame:
@@ -89,7 +92,7 @@ def with_gear_ids(sheets: DataFrame, catalogue: DataFrame, key: str = "rpa", gea
     return packed.select(key, text.encode_gears(F.col("m")).alias("species_fishing_types"))
 
 
-def exclusive(register: DataFrame, gear_id: str) -> DataFrame:
+def exclusive(register: DataFrame, gear_id: str, sift: Sift = plain) -> DataFrame:
     """Vessels with a call sign whose only gear is the given one."""
     gears = text.decode_gears(F.col("species_fishing_types"))
-    return register.where(text.only_gear(gears, gear_id) & (F.coalesce(F.trim("signal_code"), F.lit("")) != ""))
+    return sift("seiners", register, {"other gear": text.only_gear(gears, gear_id), "without a call sign": F.coalesce(F.trim("signal_code"), F.lit("")) != ""})

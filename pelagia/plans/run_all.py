@@ -14,11 +14,16 @@ The data folder holds
 
 Shared stages (observers, registry, fleet reports, landings, forecast) are written once; each source and scope starts from there.
 A product that is there is not made again unless forced, and a stage without rows ends the run.
+
+run_report gets a row for each step and cause of the products that a run makes: product, place, step, what (in, out or why rows were dropped), rows, made_at. Rows that
+neither went on nor were dropped for a cause end the run.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +32,9 @@ from pelagia import session
 from pelagia.config import END, SCOPES, SOURCES, START, Region, range_tag, region, scoped
 from pelagia.operators.grid import Axis
 from pelagia.plans import catch, landings, observers, ocean, registry, vms
-from pelagia.shared import file_system
+from pelagia.shared import file_system, materialize, release
 from pelagia.sources.csv_daily import read_named, read_reports, read_tolerant
+from pelagia.sources.ledger import Ledger, Sift, plain
 from pelagia.sources.products import by_number, exists, write
 
 STEP = 1 / 24
@@ -40,20 +46,20 @@ def axes(where: Region) -> tuple[Axis, Axis]:
     return Axis.covering(lat0, lat1, STEP), Axis.covering(lon0, lon1, STEP)
 
 
-def fleet_reports(pings: DataFrame, register: DataFrame, where: Region) -> DataFrame:
-    return vms.to_fleet(vms.clean(vms.consolidate(pings), where.bbox), register)
+def fleet_reports(pings: DataFrame, register: DataFrame, where: Region, sift: Sift = plain) -> DataFrame:
+    return vms.to_fleet(vms.clean(vms.consolidate(pings, sift=sift), where.bbox, sift), register, sift)
 
 
-def spine(source: str, scope: str, raw: DataFrame, vessels: DataFrame, where: Region) -> DataFrame:
-    """The numbered trips of one source and scope."""
-    cleaned = catch.clean_wide(raw, where.points) if source == "bitacora" else catch.clean_long(raw)
-    return catch.trip_spine(catch.filter_catch(cleaned, where.landed_at, START, END, scope), vessels)
+def spine(source: str, scope: str, raw: DataFrame, vessels: DataFrame, where: Region, sift: Sift = plain) -> DataFrame:
+    """The numbered trips of one source and scope. Landings are written before they are numbered, for the numbering reads them twice."""
+    cleaned = catch.clean_wide(raw, where.points, sift) if source == "bitacora" else catch.clean_long(raw, sift=sift)
+    return catch.trip_spine(materialize(catch.filter_catch(cleaned, where.landed_at, START, END, scope, sift)), vessels)
 
 
-def tripped(trips: DataFrame, reports: DataFrame, where: Region) -> DataFrame:
+def tripped(trips: DataFrame, reports: DataFrame, where: Region, sift: Sift = plain) -> DataFrame:
     """The fleet's reports with their trip, ports and steps. Reports need a unique column ord."""
     landed = trips.select("vessel_code", "landing_datetime", "zarpe_id", F.col("zarpe_id").alias("ord")).where(F.col("vessel_code").isNotNull())
-    return vms.with_steps(vms.with_ports(vms.assign_trips(reports, landed), where.points))
+    return vms.with_steps(vms.with_ports(vms.assign_trips(reports, landed, sift=sift), where.points))
 
 
 def haul_table(reports: DataFrame, metrics: DataFrame, trips: DataFrame, where: Region) -> DataFrame:
@@ -78,28 +84,44 @@ class Run:
     def __init__(self, spark: SparkSession, data: str, out: str, where: Region, force: bool = False):
         self.spark, self.data, self.out, self.where, self.force = spark, data, f"{out}/{where.key}", where, force
         self.made: list[str] = []
+        self.counts: list[tuple] = []
 
     def has(self, name: str) -> bool:
         fs, at = file_system(self.spark, f"{self.data}/{name}")
         return fs.exists(at)
 
-    def product(self, name: str, make, empty: bool = False, **options) -> DataFrame:
-        """The product of that name, made if it is not there or forced."""
+    def product(self, name: str, make: Callable[[Sift], DataFrame], empty: bool = False, **options) -> DataFrame:
+        """The product of that name, made if it is not there or forced; what its steps dropped is counted and must balance."""
         path = f"{self.out}/{name}"
         if self.force or not exists(self.spark, path):  # making a plan may already run jobs
-            write(make(), path, self.force, empty=empty, **options)
+            ledger = Ledger()
+            rows = make(ledger.sift)
+            # a sort by range works its input out twice, and so would count twice
+            whole = materialize(rows) if options.get("order") and ledger.steps else rows
+            write(whole, path, self.force, empty=empty, **options)
+            release(whole)
+            if ledger.steps:
+                self.counts += ledger.settle(name, self.spark.read.parquet(path).count())
         self.made.append(path)
         return self.spark.read.parquet(path)
 
+    def report(self) -> None:
+        """Adds the counts of this run's products to the run report."""
+        if self.counts:
+            at = datetime.now(timezone.utc)
+            rows = self.spark.createDataFrame([(*c, at) for c in self.counts], "product string, place int, step string, what string, rows long, made_at timestamp")
+            rows.coalesce(1).write.mode("append").parquet(f"{self.out}/run_report")
+            self.counts = []
+
     def observed(self) -> DataFrame:
         """Observer trips with their dimensions; returns the vessels."""
         raw = read_named(self.spark, f"{self.data}/observer_trips_raw.csv")
-        trips = self.product("observers/trips_clean", lambda: observers.clean_trips(raw))
-        ports = self.product("observers/ports", lambda: observers.ports(trips), order=(by_number("port_id"), "port_name"))
-        self.product("observers/species", lambda: observers.species(trips), empty=True, order=(by_number("species_id"), "species_name"))
-        vessels = self.product("observers/vessels", lambda: observers.vessels(trips), order=(by_number("vessel_code"),))
-        zarpes = self.product("observers/zarpes", lambda: observers.trips_table(trips))
-        self.product("observers/zarpes_region", lambda: observers.in_region(zarpes, ports, self.where.landed_at), empty=True, order=("zarpe_id",))
+        trips = self.product("observers/trips_clean", lambda _: observers.clean_trips(raw))
+        ports = self.product("observers/ports", lambda _: observers.ports(trips), order=(by_number("port_id"), "port_name"))
+        self.product("observers/species", lambda _: observers.species(trips), empty=True, order=(by_number("species_id"), "species_name"))
+        vessels = self.product("observers/vessels", lambda _: observers.vessels(trips), order=(by_number("vessel_code"),))
+        zarpes = self.product("observers/zarpes", lambda _: observers.trips_table(trips))
+        self.product("observers/zarpes_region", lambda _: observers.in_region(zarpes, ports, self.where.landed_at), empty=True, order=("zarpe_id",))
         return vessels
 
     def fleet(self, vessels: DataFrame) -> DataFrame:
@@ -109,31 +131,31 @@ class Run:
         else:
             raw = read_named(self.spark, f"{self.data}/registry_raw.csv", ";").withColumnsRenamed(registry.HEADERS)
         numbered = raw.withColumn("ord", F.monotonically_increasing_id())
-        clean = self.product("registry/register_clean", lambda: registry.clean_register(numbered), order=(by_number("id"),))
-        matched = self.product("registry/register_matched", lambda: registry.match_observed(registry.in_scope(clean, self.where.registry_codes), vessels))
-        sheets = self.product("registry/sheets", lambda: registry.read_sheet(self.spark.read.parquet(f"{self.data}/vessel_sheets.parquet").join(matched, "rpa", "left_semi")))
-        gears = self.product("registry/fishing_types", lambda: registry.gear_catalogue(sheets), order=("fishing_type_id",))
-        return self.product("registry/register", lambda: registry.fleet(matched, sheets, gears), order=(by_number("id"),))
+        clean = self.product("registry/register_clean", lambda sift: registry.clean_register(numbered, sift=sift), order=(by_number("id"),))
+        matched = self.product("registry/register_matched", lambda sift: registry.match_observed(registry.in_scope(clean, self.where.registry_codes, sift=sift), vessels, sift=sift))
+        sheets = self.product("registry/sheets", lambda _: registry.read_sheet(self.spark.read.parquet(f"{self.data}/vessel_sheets.parquet").join(matched, "rpa", "left_semi")))
+        gears = self.product("registry/fishing_types", lambda _: registry.gear_catalogue(sheets), order=("fishing_type_id",))
+        return self.product("registry/register", lambda sift: registry.fleet(matched, sheets, gears, sift), order=(by_number("id"),))
 
     def shared(self, forecast: bool) -> None:
         vessels = self.observed()
         register = self.fleet(vessels)
         reports, rejects = read_reports(self.spark, f"{self.data}/vms_daily/*.csv")
-        self.product("rejected_files", lambda: rejects, empty=True)
-        self.product("reports_fleet", lambda: fleet_reports(reports, register, self.where))
+        self.product("rejected_files", lambda _: rejects, empty=True)
+        self.product("reports_fleet", lambda sift: fleet_reports(reports, register, self.where, sift))
         if self.has("landings.csv"):
             rows = read_named(self.spark, f"{self.data}/landings.csv", ";", "ISO-8859-1").withColumns({"ano": F.col("ano").try_cast("int"), "toneladas": F.col("toneladas").try_cast("double")})
-            self.product("landings", lambda: landings.filter_landings(rows, self.where.landing_names, START.year, END.year), empty=True)
+            self.product("landings", lambda sift: landings.filter_landings(rows, self.where.landing_names, START.year, END.year, sift), empty=True)
         if forecast:
             physics, biology = (self.spark.read.parquet(f"{self.data}/{g}.parquet") for g in ("phy_forecast", "bgc_forecast"))
-            grid = lambda: ocean.forecast_grid(physics, biology, *axes(self.where)).select("time", "latitude", "longitude", *ocean.FORECAST, "coast_filled")
+            grid = lambda _: ocean.forecast_grid(physics, biology, *axes(self.where)).select("time", "latitude", "longitude", *ocean.FORECAST, "coast_filled")
             self.product("forecast_grid", grid, order=("time", "latitude", "longitude"))
 
     def grid(self, name: str) -> DataFrame:
         """A prepared grid (Parquet), or else a folder of the product's NetCDF files brought to the region's axes once."""
         if self.has(f"{name}.parquet"):
             return self.spark.read.parquet(f"{self.data}/{name}.parquet")
-        raw = lambda: ocean.raw_grid(self.spark, f"{self.data}/{name}_nc", ocean.RAW[name], *axes(self.where), str(START), str(END))
+        raw = lambda _: ocean.raw_grid(self.spark, f"{self.data}/{name}_nc", ocean.RAW[name], *axes(self.where), str(START), str(END))
         return self.product(f"grids/{name}", raw)
 
     def of_source(self, source: str, scope: str, with_ocean: bool) -> None:
@@ -141,22 +163,22 @@ class Run:
         path = f"{self.data}/{CATCH_FILE[source]}"
         raw = read_named(self.spark, path, ",", "ISO-8859-1") if source == "bitacora" else read_tolerant(self.spark, path)
         vessels, reports = (self.spark.read.parquet(f"{self.out}/{p}") for p in ("observers/vessels", "reports_fleet"))
-        trips = self.product(f"{base}/trips", lambda: spine(source, scope, raw, vessels, self.where), order=("zarpe_id",))
-        mine = self.product(f"{base}/pings", lambda: tripped(trips, reports, self.where))
-        self.product(f"{base}/pings_trip", lambda: vms.rounded(mine, {"dist_port_km": 3}).select(*vms.PING_COLUMNS))
+        trips = self.product(f"{base}/trips", lambda sift: spine(source, scope, raw, vessels, self.where, sift), order=("zarpe_id",))
+        mine = self.product(f"{base}/pings", lambda sift: tripped(trips, reports, self.where, sift))
+        self.product(f"{base}/pings_trip", lambda _: vms.rounded(mine, {"dist_port_km": 3}).select(*vms.PING_COLUMNS))
         summary = lambda: vms.trip_summary(mine, carried=("rpa", "vessel_code", "vessel_name"))
-        self.product(f"{base}/trip_summary", lambda: vms.rounded(summary(), vms.TRIP_DECIMALS).select(*vms.TRIP_COLUMNS))
+        self.product(f"{base}/trip_summary", lambda _: vms.rounded(summary(), vms.TRIP_DECIMALS).select(*vms.TRIP_COLUMNS))
         bouts = vms.bouts(vms.candidates(mine))
-        metrics = self.product(f"{base}/bouts", lambda: vms.bout_metrics(bouts), empty=True)
+        metrics = self.product(f"{base}/bouts", lambda _: vms.bout_metrics(bouts), empty=True)
         labelled = lambda: vms.rounded(vms.label_pings(mine, bouts, metrics, ["ord"]), {"dist_port_km": 3, "turn_deg": 1})
-        marked = self.product(f"{base}/pings_behaviour", lambda: labelled().select(*vms.PING_COLUMNS, "turn_deg", "behavior", "is_haul", "haul_index"))
+        marked = self.product(f"{base}/pings_behaviour", lambda _: labelled().select(*vms.PING_COLUMNS, "turn_deg", "behavior", "is_haul", "haul_index"))
         if marked.count() != mine.count():
             raise ValueError(f"{base}/pings_behaviour: labels are not one a report")
-        located = self.product(f"{base}/haul_location", lambda: vms.rounded(haul_table(mine, metrics, trips, self.where), vms.HAUL_DECIMALS))
-        model = self.product(f"{base}/haul_model", lambda: vms.model_hauls(located))
+        located = self.product(f"{base}/haul_location", lambda _: vms.rounded(haul_table(mine, metrics, trips, self.where), vms.HAUL_DECIMALS))
+        model = self.product(f"{base}/haul_model", lambda sift: vms.model_hauls(located, sift))
         if with_ocean:
             grids = {g: self.grid(g) for g in sorted({s.grid for s in ocean.SAMPLERS})}
-            final = self.product(f"{base}/haul_env", lambda: ocean.haul_environment(model, grids, *axes(self.where)), order=("zarpe_id",))
+            final = self.product(f"{base}/haul_env", lambda _: ocean.haul_environment(model, grids, *axes(self.where)), order=("zarpe_id",))
             write(final.withColumn("env_time", F.to_date("env_time")), f"{self.out}/{base}/haul_env_csv", self.force, csv=True, order=("zarpe_id",))
             self.made.append(f"{self.out}/{base}/haul_env_csv")
 
@@ -164,12 +186,15 @@ class Run:
 def run(spark: SparkSession, data: str, out: str, where: Region, sources: tuple[str, ...] = SOURCES, scopes: tuple[str, ...] = SCOPES, force: bool = False, with_ocean: bool = True, forecast: bool = True, shared: bool = True, by_source: bool = True) -> list[str]:
     """Runs the stages asked for; the paths of their products."""
     work = Run(spark, data, out, where, force)
-    if shared:
-        work.shared(forecast)
-    if by_source:
-        for source in sources:
-            for scope in scopes:
-                work.of_source(source, scope, with_ocean)
+    try:
+        if shared:
+            work.shared(forecast)
+        if by_source:
+            for source in sources:
+                for scope in scopes:
+                    work.of_source(source, scope, with_ocean)
+    finally:
+        work.report()
     return work.made
 
 

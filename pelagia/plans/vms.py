@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from pelagia.functions import geo, text
 from pelagia.operators.nearest import nearest_point
-from pelagia.operators.ordered import asof_forward, first_not_null, keep_first, last_not_null, lookup_priority, sessionize
+from pelagia.operators.ordered import asof_forward, first_not_null, keep_first, last_not_null, lookup_priority, numbered, sessionize
+from pelagia.sources.ledger import Sift, plain
 
 MAX_TRIP_SECONDS = 5 * 86_400
 PORT_KM = 8.0
@@ -48,13 +49,13 @@ HAUL_COLUMNS = (
 )
 
 
-def consolidate(pings: DataFrame, file: str = "file", ordinal: str = "ord") -> DataFrame:
+def consolidate(pings: DataFrame, file: str = "file", ordinal: str = "ord", sift: Sift = plain) -> DataFrame:
     """One report a call sign and time: the first file's, and its first row. A null key equals an empty one."""
     keyed = pings.withColumns({"__c": F.coalesce("radio_call_sign", F.lit("")), "__d": F.coalesce("location_datetime", F.lit(""))})
-    return keep_first(keyed, ["__c", "__d"], F.col(file), F.col(ordinal)).drop("__c", "__d")
+    return sift("one a sign and time", numbered(keyed, ["__c", "__d"], F.col(file), F.col(ordinal)), {"reported before": F.col("__rn") == 1}).drop("__c", "__d", "__rn")
 
 
-def clean(pings: DataFrame, bbox: tuple[float, float, float, float]) -> DataFrame:
+def clean(pings: DataFrame, bbox: tuple[float, float, float, float], sift: Sift = plain) -> DataFrame:
     """Typed reports inside the box; reports without a place are dropped, unreadable numbers and times become null."""
     typed = pings.withColumns(
         {
@@ -65,10 +66,11 @@ def clean(pings: DataFrame, bbox: tuple[float, float, float, float]) -> DataFram
             "speed_kt": text.number_with_unit(F.col("speed_kt"), "kt"),
         }
     )
-    return typed.where(geo.in_box(F.col("latitude"), F.col("longitude"), bbox))
+    lat, lon = F.col("latitude"), F.col("longitude")
+    return sift("in the box", typed, {"without a place": lat.isNotNull() & lon.isNotNull(), "outside the box": geo.in_box(lat, lon, bbox)})
 
 
-def to_fleet(pings: DataFrame, register: DataFrame) -> DataFrame:
+def to_fleet(pings: DataFrame, register: DataFrame, sift: Sift = plain) -> DataFrame:
     """Reports of the register's vessels with rpa and vessel_code: by call sign digits, else by name, each on its own.
 
     register: rpa, vessel_code, signal_code, vessel_name, ord. A report without any rpa is dropped.
@@ -76,12 +78,14 @@ def to_fleet(pings: DataFrame, register: DataFrame) -> DataFrame:
     keyed = pings.withColumns({"__sign": text.digits(F.col("radio_call_sign")), "__name": text.name_key(F.col("vessel_name"))})
     book = register.select("rpa", "vessel_code", "ord", text.digits(F.col("signal_code")).alias("sign_key"), text.name_key(F.col("vessel_name")).alias("name_key"))
     found = lookup_priority(keyed, [("__sign", book, "sign_key"), ("__name", book, "name_key")], ["rpa", "vessel_code"], "ord")
-    return found.where(F.col("rpa").isNotNull()).drop("__sign", "__name")
+    return sift("of the fleet", found, {"vessel not in the register": F.col("rpa").isNotNull()}).drop("__sign", "__name")
 
 
-def assign_trips(pings: DataFrame, landings: DataFrame, key: str = "vessel_code", at: str = "location_datetime", landed: str = "landing_datetime", trip: str = "zarpe_id", order: str = "ord", max_seconds: int = MAX_TRIP_SECONDS) -> DataFrame:
+def assign_trips(pings: DataFrame, landings: DataFrame, key: str = "vessel_code", at: str = "location_datetime", landed: str = "landing_datetime", trip: str = "zarpe_id", order: str = "ord", max_seconds: int = MAX_TRIP_SECONDS, sift: Sift = plain) -> DataFrame:
     """Reports with the trip of the next landing of their vessel; reports of no trip are dropped."""
-    return asof_forward(pings, landings, key, at, landed, [trip], max_seconds, order).where(F.col(trip).isNotNull())
+    found = asof_forward(pings, landings, key, at, landed, [trip], max_seconds, order)
+    told = F.col(key).isNotNull() & F.col(at).isNotNull()
+    return sift("on a trip", found, {"without a vessel code or time": told, "no landing ahead": F.col(trip).isNotNull()})
 
 
 def with_ports(pings: DataFrame, points: list[tuple[str, float, float]]) -> DataFrame:
@@ -188,10 +192,10 @@ def haul_locations(metrics: DataFrame, trips: DataFrame, points: list[tuple[str,
     return out.drop("bout", "n_pings", "is_set").withColumnsRenamed({"net_turn": "haul_net_turn_deg", "compactness": "haul_compactness"})
 
 
-def model_hauls(hauls: DataFrame) -> DataFrame:
+def model_hauls(hauls: DataFrame, sift: Sift = plain) -> DataFrame:
     """Located hauls with their weight, and whether the trip had just one set."""
     weight = F.create_map(*(F.lit(x) for item in WEIGHTS.items() for x in item))
-    out = hauls.where(F.col("haul_confidence").isin(*WEIGHTS))
+    out = sift("hauls", hauls, {"trip without a bout": F.col("haul_confidence").isin(*WEIGHTS)})
     return out.withColumns({"sample_weight": F.element_at(weight, F.col("haul_confidence")), "is_single_haul": F.col("n_hauls") == 1})
 
 

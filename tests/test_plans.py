@@ -257,6 +257,15 @@ def test_whole_run(spark, tmp_path):
     final = spark.read.csv(f"{out}/caldera/{base}/haul_env_csv", header=True).collect()
     assert [(r.env_status, r.env_time, r.sst_c, r.haul_start) for r in final] == [("ok", "2023-03-05", "16.850000000000023", "2023-03-05 06:00:00")]
     assert read("forecast_grid").count() == 441 and read("forecast_grid").columns[:3] == ["time", "latitude", "longitude"]
+    told = read("run_report").collect()
+    steps = {}
+    for r in told:
+        steps.setdefault((r.product, r.place, r.step), {})[r.what] = r.rows
+    assert all(n["in"] == n["out"] + sum(v for k, v in n.items() if k not in ("in", "out")) for n in steps.values())
+    assert steps["reports_fleet", 0, "one a sign and time"]["in"] == 111 and steps["reports_fleet", 2, "of the fleet"]["out"] == 110
+    assert steps[f"{base}/trips", 1, "of interest"] == {"in": 2, "outside the days": 0, "other port": 0, "no catch in scope": 1, "out": 1}
+    assert steps["landings", 0, "of the region"]["other region"] == 1 and steps["registry/register_matched", 1, "observed"]["in"] == 2
+    assert {p for p, _, _ in steps} >= {"registry/register", f"{base}/pings", f"{base}/haul_model", f"{base}_backup/trips"}
     assert len(made) == len(set(made)) and run(spark, str(data), out, region("caldera"), shared=False) == [p for p in made if "/zarpes_2019" in p]
 
 
