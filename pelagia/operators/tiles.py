@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pelagia.functions.geo import EARTH_KM, KM_PER_DEG
 from pelagia.operators.grid import OUT_OF_RANGE, RADIUS_KM, Axis, nearest_day, offsets
 from pelagia.shared import materialize
+from pelagia.sources import grid_store
 
 SIZE = 64
 #: Points of one tile that a task takes at once; a tile with more is copied for each further lot.
@@ -224,7 +225,7 @@ def sample(points: DataFrame, grid: DataFrame, fields: list[Field], lat: Axis, l
     """key, time and, for each field, <name>, dist_<name> and status_<name> at points and times (latitude, longitude, ts); a row for each point.
 
     The points are read once and written with their cell and time; then the grid is read once, whatever the number of fields: cells of the
-    tiles that hold points meet those points, gradients and nearest values are worked out there. A tile with more than POINTS points is met in lots.
+    tiles that hold points meet those points (of a grid_store, only the days of points are read), gradients and nearest values are worked out there. A tile with more than POINTS points is met in lots.
 
     ok: the nearest cell has a value. fallback: it has none; the nearest one within the radius stands in, if any.
     fuera_de_rango: no grid time within two days, no time or no place; the grid's time is given all the same, the value is not.
@@ -239,7 +240,8 @@ def sample(points: DataFrame, grid: DataFrame, fields: list[Field], lat: Axis, l
     located = materialize(located.withColumns({"a": F.floor(F.col("i_lat") / size).cast("long"), "b": F.floor(F.col("i_lon") / size).cast("long")}))
     lot = max(POINTS, located.count() // 100_000)  # so fewer than 100,000 tiles are split, a list for every task
     wanted = located.where("in_range").groupBy("time", "a", "b").agg(F.ceil(F.count("*") / lot).alias("lots"))
-    cells = tiled(grid, values, lat, lon, halo, "time", size).join(wanted, ["time", "a", "b"]).withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1))).drop("lots")
+    near = grid_store.on_days(grid, wanted)
+    cells = tiled(near, values, lat, lon, halo, "time", size).join(wanted, ["time", "a", "b"]).withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1))).drop("lots")
     split = F.broadcast(wanted.where("lots > 1"))
     mine = located.where("in_range").join(split, ["time", "a", "b"], "left").withColumn("lot", F.pmod(F.xxhash64("key"), F.coalesce("lots", F.lit(1).cast("long")))).drop("lots")
     each = [x for f in fields for x in (f"v_{f.name}", f"d_{f.name}", f"s_{f.name}")]

@@ -20,7 +20,8 @@ from pelagia.operators.nearest import nearest_point
 from pelagia.operators.quantile import exact_quantiles
 from pelagia.operators.quantile import value_counts as counts_of
 from pelagia.plans import vms
-from pelagia.sources import products
+from pelagia.shared import scratch
+from pelagia.sources import grid_store, products
 
 GAP = 720 * 60
 POINTS = region("atacama").points
@@ -379,6 +380,16 @@ def grid_sample(spark, sf):
     return tiles.sample(points, _grid(spark, sf), [tiles.Field("sst", "sst")], LAT, LON, "event_id", "ts").select("event_id", _r("sst").alias("sst"), F.col("status_sst").alias("status"))
 
 
+@_query(_SQL["grid_sample"])
+def stored_grid_sample(spark, sf):
+    """grid_sample from a store by day, made of two overlapping files of which the later one is right."""
+    field = _grid(spark, sf).drop("day")
+    files = field.withColumns({"file": F.lit("2023"), "sst": F.col("sst") - 100}).unionByName(field.withColumn("file", F.lit("2024")))
+    kept = grid_store.store(grid_store.merged(files, LAT, LON), scratch(spark))
+    points = _pings(spark, sf).select("event_id", "ts", "latitude", "longitude")
+    return tiles.sample(points, kept, [tiles.Field("sst", "sst")], LAT, LON, "event_id", "ts").select("event_id", _r("sst").alias("sst"), F.col("status_sst").alias("status"))
+
+
 @_query(f"""WITH {_GRID}, s AS (SELECT *, lag(sst) OVER a AS u0, lead(sst) OVER a AS u1, lag(sst) OVER b AS w0, lead(sst) OVER b AS w1 FROM grid WINDOW a AS (PARTITION BY time, i_lon ORDER BY i_lat), b AS (PARTITION BY time, i_lat ORDER BY i_lon)),
  d AS (SELECT *, CASE i_lat WHEN 0 THEN u1 - sst WHEN 23 THEN sst - u0 ELSE (u1 - u0) / 2 END / (111.195e0 / 24e0) AS dy, CASE i_lon WHEN 0 THEN w1 - sst WHEN 19 THEN sst - w0 ELSE (w1 - w0) / 2 END / (111.195e0 / 24e0 * cos(radians(latitude))) AS dx FROM s)
  SELECT day, i_lat, i_lon, round(sqrt(dy * dy + dx * dx), 6) AS gradient FROM d""")

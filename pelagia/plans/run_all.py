@@ -10,7 +10,8 @@ The data folder holds
     observer_trips_raw.csv   observer trips (,)
     catch_wide.csv, catch_long.csv, landings.csv
     sst, chl, phy, bgc, phy_forecast, bgc_forecast  gridded fields as Parquet, where the ocean is asked for; instead of one
-                             of the first four a folder of the product's NetCDF files, sst_nc and so on
+                             of the first four a folder of the product's overlapping Parquet files on the region's axes, sst_files
+                             and so on (the last by name wins a time; axes that differ end the run), or of its NetCDF files, sst_nc
 
 Shared stages (observers, registry, fleet reports, landings, forecast) are written once; each source and scope starts from there.
 A product that is there is not made again unless forced, and a stage without rows ends the run.
@@ -33,6 +34,7 @@ from pelagia.config import END, SCOPES, SOURCES, START, Region, range_tag, regio
 from pelagia.operators.grid import Axis
 from pelagia.plans import catch, landings, observers, ocean, registry, vms
 from pelagia.shared import file_system, materialize, release
+from pelagia.sources import grid_store
 from pelagia.sources.csv_daily import read_named, read_reports, read_tolerant
 from pelagia.sources.ledger import Ledger, Sift, plain
 from pelagia.sources.products import by_number, exists, write
@@ -85,6 +87,7 @@ class Run:
         self.spark, self.data, self.out, self.where, self.force = spark, data, f"{out}/{where.key}", where, force
         self.made: list[str] = []
         self.counts: list[tuple] = []
+        self.grids: dict[str, DataFrame] = {}
 
     def has(self, name: str) -> bool:
         fs, at = file_system(self.spark, f"{self.data}/{name}")
@@ -152,11 +155,23 @@ class Run:
             self.product("forecast_grid", grid, order=("time", "latitude", "longitude"))
 
     def grid(self, name: str) -> DataFrame:
-        """A prepared grid (Parquet), or else a folder of the product's NetCDF files brought to the region's axes once."""
-        if self.has(f"{name}.parquet"):
-            return self.spark.read.parquet(f"{self.data}/{name}.parquet")
-        raw = lambda _: ocean.raw_grid(self.spark, f"{self.data}/{name}_nc", ocean.RAW[name], *axes(self.where), str(START), str(END))
-        return self.product(f"grids/{name}", raw)
+        """The store by day of a prepared grid, of a folder of overlapping files, or of the product's NetCDF files, made once a run.
+
+        A prepared grid that is itself kept by day is read where it is.
+        """
+        if name not in self.grids:
+            path, axes_ = f"{self.out}/grids/{name}", axes(self.where)
+            if self.has(f"{name}.parquet"):
+                given = self.spark.read.parquet(f"{self.data}/{name}.parquet")
+                self.grids[name] = given if grid_store.DAY in given.columns else grid_store.store(given, path, self.force)
+            elif not self.force and exists(self.spark, path):
+                self.grids[name] = self.spark.read.parquet(path)
+            elif self.has(f"{name}_files"):
+                self.grids[name] = grid_store.store(grid_store.merged(grid_store.read_files(self.spark, f"{self.data}/{name}_files"), *axes_), path, self.force, empty=False)
+            else:
+                raw = ocean.raw_grid(self.spark, f"{self.data}/{name}_nc", ocean.RAW[name], *axes_, str(START), str(END))
+                self.grids[name] = grid_store.store(raw, path, self.force, empty=False)
+        return self.grids[name]
 
     def of_source(self, source: str, scope: str, with_ocean: bool) -> None:
         base = scoped(f"zarpes_{range_tag()}", source, scope)
