@@ -1,4 +1,4 @@
-"""Fuzzy name matching: candidates by letters in common on Spark, ratios in Arrow batches."""
+"""Fuzzy name matching: candidates by letters or beginnings in common on Spark, ratios in Arrow batches."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pelagia.functions.text import suffixes_agree, vessel_name
+from pelagia.functions.text import folded, search_variants, split_person, suffixes_agree, vessel_name
+from pelagia.shared import materialize, release
 
 
 #: Letters whose frequency is known to the order; others count as the rarest.
@@ -72,3 +73,74 @@ def best_match(pairs: DataFrame, key: str, wanted: str, offered: str, sure: floa
     scored = pairs.where(F.col(wanted).isNotNull() & F.col(offered).isNotNull()).withColumn("score", sequence_ratio(F.upper(wanted), F.upper(offered)))
     top = scored.groupBy(key).agg(F.max_by(F.struct(offered, "score"), F.struct("score", offered)).alias("b")).select(key, f"b.{offered}", "b.score")
     return top.withColumn("status", F.when(F.col("score") >= sure, "match").otherwise("match_dudoso"))
+
+
+#: The most variants search_variants() gives.
+VARIANTS = 4
+
+
+def _person(name: Column) -> tuple[Column, Column]:
+    """A name's first surname, and the whole folded with its parts one space apart."""
+    parts = split_person(name)
+    whole = F.array_join(F.filter(F.array(*(parts[c] for c in ("first_surname", "second_surname", "given"))), lambda x: x != ""), " ")
+    return parts["first_surname"], folded(whole)
+
+
+def _likeness(a: Column, b: Column, n: Column, m: Column) -> Column:
+    """The ratio that two texts of n and m letters can reach at most: by the letters in common."""
+    return F.when(n + m == 0, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / (n + m))
+
+
+def _round(open_: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """wanted, and the best of those that its k-th variant finds: query, n_found, name, score.
+
+    The likeliest by letters is compared first; of the others only those that could be as like are. Both passes leave a row a wanted name and task
+    before anything moves.
+    """
+    asked = open_.withColumn("query", F.get("variants", F.lit(k))).where(F.col("query").isNotNull())
+    pairs = asked.join(index, "query").withColumn("most", _likeness(F.col("letters"), F.col("offered_letters"), F.length("wanted"), F.length("offered")))
+    pairs = pairs.select("surname", "wanted", "query", "offered", "most")
+    who = ["surname", "wanted"]
+    first = pairs.groupBy(*who).agg(F.count("*").alias("n_found"), F.max_by("offered", F.struct("most", "offered")).alias("__first"))
+    first = materialize(first.withColumn("__floor", sequence_ratio(F.col("wanted"), F.col("__first"))).drop("__first"))
+    left = pairs.join(first, who).where(F.col("most") >= F.col("__floor") - 1e-9).withColumn("score", sequence_ratio(F.col("wanted"), F.col("offered")))
+    best = F.max(F.struct("score", F.lit(-k).alias("earlier"), F.col("offered").alias("name"), "query", "n_found")).alias("best")
+    return left.groupBy(*who).agg(best)
+
+
+def best_by_variants(people: DataFrame, key: str, name: str, catalogue: DataFrame, offered_key: str, offered_name: str, sure: float = 0.8) -> DataFrame:
+    """key, query, n_found, offered_key, offered_name (folded), score, status: whom a catalogue of names most likely means by each name, surnames first.
+
+    Variants of the first surname, most specific first, find the entries whose first surname, as written or folded, begins with them. The first variant that finds a name of
+    ratio `sure` or more ends the search (match); if none does, the likest of all found is given (match_dudoso), of equal ones the one of the earlier
+    variant, then the larger name; sin_match if nothing was found. n_found counts the distinct names that the variant found. Of several entries of one name the smallest key is
+    given. Null and empty names find nothing; rows alike are all kept.
+
+    Names are searched once each, however many rows have them. An entry stands in an index under each of its beginnings; only names whose variants so far were not sure go on to
+    the next, wider one. Frequent beginnings are spread by skew joins, and no group is ever gathered.
+    """
+    surname, whole = _person(F.col(name))
+    rows = people.select(F.col(key).alias("key"), surname.alias("surname"), whole.alias("wanted"))
+    distinct = rows.where("wanted <> ''").select("surname", "wanted").distinct()
+    open_ = materialize(distinct.withColumn("variants", search_variants(F.col("surname"))).withColumn("letters", _letters(F.col("wanted"))))
+    theirs, full = _person(F.col(offered_name))
+    entries = catalogue.select(F.col(offered_key).alias("offered_key"), theirs.alias("surname"), full.alias("offered")).where("offered <> ''")
+    starts = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), lambda i: F.substring(s, F.lit(1), i))
+    begins = F.array_distinct(F.concat(starts(F.col("surname")), starts(folded(F.col("surname")))))
+    index = entries.select("surname", "offered").distinct().select("offered", F.explode(begins).alias("query")).where(F.length("query") >= 3).distinct()
+    index = materialize(index.withColumn("offered_letters", _letters(F.col("offered"))))
+    found, scratch = None, [open_, index]
+    for k in range(VARIANTS):
+        got = materialize(_round(open_, index, k))
+        scratch.append(got)
+        found = got if found is None else found.unionByName(got)
+        certain = got.where(F.col("best.score") >= sure).select("surname", "wanted")
+        open_ = materialize(open_.join(certain, ["surname", "wanted"], "left_anti"))
+        scratch.append(open_)
+    best = found.groupBy("surname", "wanted").agg(F.max("best").alias("best")).select("surname", "wanted", "best.*")
+    keys = entries.groupBy(F.col("offered").alias("name")).agg(F.min("offered_key").alias("offered_key"))
+    told = materialize(best.join(keys, "name"))
+    release(*scratch)
+    out = rows.join(told, ["surname", "wanted"], "left")
+    status = F.when(F.col("score") >= sure, "match").when(F.col("score").isNotNull(), "match_dudoso").otherwise("sin_match")
+    return out.select(F.col("key").alias(key), "query", F.coalesce("n_found", F.lit(0)).alias("n_found"), F.col("offered_key").alias(offered_key), F.col("name").alias(offered_name), "score", status.alias("status"))

@@ -15,7 +15,7 @@ from pelagia.operators import grid as g
 from pelagia.operators import ordered as o
 from pelagia.operators import tiles
 from pelagia.operators.html import row_cells
-from pelagia.operators.match import fuzzy_match
+from pelagia.operators.match import best_by_variants, fuzzy_match
 from pelagia.operators.nearest import nearest_point
 from pelagia.operators.quantile import exact_quantiles
 from pelagia.operators.quantile import value_counts as counts_of
@@ -441,6 +441,16 @@ def landings_filter(spark, sf):
     return filter_landings(rows, names, 1994, 1996).groupBy("ano", "region").agg(_r(F.sum("toneladas"), 2).alias("toneladas"))
 
 
+@_query(None)
+def best_person(spark, sf):
+    """Part names as people, surname first, some with a letter changed or accented, looked up among all part names by variants of the surname."""
+    p, k = _t(spark, sf, "part"), F.col("p_partkey") % 3
+    word, rest = F.substring_index("p_name", " ", 1), F.regexp_replace("p_name", "^[^ ]+", "")
+    changed = F.when(k == 0, F.concat(F.regexp_replace(word, ".$", "z"), rest)).when(k == 1, F.concat(F.translate(word, "aeo", "áéó"), rest)).otherwise(F.col("p_name"))
+    got = best_by_variants(p.select("p_partkey", changed.alias("said")), "p_partkey", "said", p.select(F.col("p_partkey").alias("found"), "p_name"), "found", "p_name")
+    return got.select("p_partkey", "query", "n_found", "found", "p_name", _r("score").alias("score"), "status")
+
+
 @_query(None)
 def fuzzy_names(spark, sf):
     """Every part's name with its second letter lost, against the whole catalogue of names."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.functions import text
 from pelagia.operators.html import label_pairs, value_of_kind
+from pelagia.operators.match import best_by_variants
 from pelagia.operators.ordered import mode_first, sequence_ids
 
 #: The person columns, which never leave this module, and the columns that may be absent.
@@ -85,3 +86,11 @@ def unresolved(port_table: DataFrame, names: DataFrame) -> DataFrame:
     """Names of interest (column port_name) that no known port has."""
     known = port_table.select(text.folded(F.col("port_name")).alias("__k")).distinct()
     return names.join(known, text.folded(F.col("port_name")) == F.col("__k"), "left_anti")
+
+
+def identified(staff: DataFrame, directory: DataFrame, key: str = "rut", name: str = "observador") -> DataFrame:
+    """staff's key, the directory's sampler_id, score and status of each observer's name; the names themselves go no further.
+
+    directory: sampler_id, sampler_name, surnames first.
+    """
+    return best_by_variants(staff, key, name, directory, "sampler_id", "sampler_name").select(key, "sampler_id", "score", "status")
