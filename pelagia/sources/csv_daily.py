@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pelagia.shared import file_system
+
 #: The canonical report columns and the headers they are known by.
 REPORT_COLUMNS = {
     "vessel_name": ("Name", "Vessel Name", "Nombre"),
@@ -22,10 +24,18 @@ REPORT_COLUMNS = {
 
 
 def headers(spark: SparkSession, pattern: str) -> DataFrame:
-    """path, header and utf8 of every file; a file's bytes stay in its task, only its first line comes back."""
-    files = spark.read.format("binaryFile").load(pattern)
-    line = F.regexp_replace(F.substring_index(F.col("content").cast("string"), "\n", 1), "^﻿|\r$", "")
-    return files.select("path", F.when(F.is_valid_utf8(F.col("content").cast("string")), line).alias("header"))
+    """path and header (null unless the file is UTF-8) of every file, of any size.
+
+    A scan lists no files without bytes. Files are checked line by line in splits: no letter holds a line break, so a file is UTF-8 if its lines are. Only a line a split and file is kept on the way.
+    """
+    line = F.col("value")
+    place = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    lines = spark.read.text(pattern).select(F.col("_metadata.file_path").alias("at"), line, place.alias("place"))
+    # with a set among them, the aggregates stay hashed by file, where a text alone would have all lines sorted
+    told = lines.groupBy("at").agg(F.min_by("value", "place").alias("first"), F.collect_set(F.when(~F.is_valid_utf8("value"), True)).alias("bad"))
+    files = spark.read.format("binaryFile").load(pattern).select("path", F.col("_metadata.file_path").alias("at"))  # names alone, no bytes
+    header = F.regexp_replace(F.coalesce("first", F.lit("")), "^\ufeff|\r$", "")
+    return files.join(told, "at", "left").select("path", F.when(F.coalesce(F.size("bad"), F.lit(0)) <= 0, header).alias("header"))
 
 
 def plan_columns(header: str, columns: dict[str, tuple[str, ...]], sep: str = ";") -> list[tuple[str, str]] | None:
@@ -43,7 +53,7 @@ def read_reports(spark: SparkSession, pattern: str, columns: dict[str, tuple[str
     """(reports, rejects): canonical text columns with file and ord, and the files left out with the reason.
 
     Files are read by group of equal headers, since one read binds columns by a single header. ord grows with
-    the row's place in its file and is unique: row numbers begin anew in each group, so the group is a part of it. A file that is not UTF-8 or lacks a column is rejected whole.
+    the row's place in its file and is unique: row numbers begin anew in each group, so the group is a part of it. A file that is not UTF-8, lacks a column or has no bytes is rejected whole.
     """
     groups: dict[str, list[str]] = defaultdict(list)
     rejects = []
@@ -53,6 +63,8 @@ def read_reports(spark: SparkSession, pattern: str, columns: dict[str, tuple[str
             rejects.append((row["path"], "not utf-8" if row["header"] is None else "columns missing"))
         else:
             groups[row["header"]].append(row["path"])
+    fs, at = file_system(spark, pattern)
+    rejects += [(f.getPath().toString(), "empty") for f in fs.globStatus(at) or [] if f.isFile() and f.getLen() == 0]
     parts = []
     for group, (header, paths) in enumerate(sorted(groups.items())):
         names = [n.strip().strip('"') for n in header.split(sep)]

@@ -158,3 +158,25 @@ def test_stream_dedup_and_sessions(spark, daily):
     q = reports.live_sessions(reports.report_stream(spark, str(daily / "in"))).writeStream.format("memory").queryName("live").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("live").columns[:3] == ["radio_call_sign", "start", "end"]
+
+
+def test_headers_are_checked_by_split(spark, tmp_path):
+    """Files of many splits: a bad byte in the last one is found, no file is a value, and a letter at a split's border is no bad byte."""
+    line = "ÑANDÚ;" * 20 + "\n"
+    (tmp_path / "good é.csv").write_bytes(("\ufeffa;b\r\n" + line * 3_000).encode())
+    (tmp_path / "bad.csv").write_bytes(("a;b\n" + line * 3_000).encode() + b"\xff\xfe;1\n")
+    (tmp_path / "cut.csv").write_bytes(("a;b\n" + line * 10 + "Ñ").encode()[:-1])  # ends within a letter
+    (tmp_path / "latin.csv").write_bytes("a;Ñ\n1;2\n".encode("latin-1"))
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "last.csv").write_bytes("a;Ñ".encode())
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10001")
+        found = csv_daily.headers(spark, str(tmp_path / "*.csv"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r.path.rsplit("/", 1)[-1]: r.header for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == {"good é.csv": "a;b", "bad.csv": None, "cut.csv": None, "latin.csv": None, "last.csv": "a;Ñ"}
+    assert ("empty.csv", "empty") in {(r.path.rsplit("/", 1)[-1], r.reason) for r in csv_daily.read_reports(spark, str(tmp_path / "*.csv"))[1].collect()}
+    assert "content" not in plan and "SortAggregate" not in plan and "ObjectHashAggregate" in plan
