@@ -443,10 +443,11 @@ def landings_filter(spark, sf):
 
 @_query(None)
 def best_person(spark, sf):
-    """Part names as people, surname first, some with a letter changed or accented, looked up among all part names by variants of the surname."""
-    p, k = _t(spark, sf, "part"), F.col("p_partkey") % 3
+    """Part names as people, surname first, some accented, cut short or with other given names, looked up among all part names by variants of the surname."""
+    p, k = _t(spark, sf, "part"), F.col("p_partkey") % 5
     word, rest = F.substring_index("p_name", " ", 1), F.regexp_replace("p_name", "^[^ ]+", "")
-    changed = F.when(k == 0, F.concat(F.regexp_replace(word, ".$", "z"), rest)).when(k == 1, F.concat(F.translate(word, "aeo", "áéó"), rest)).otherwise(F.col("p_name"))
+    cut, other = F.regexp_replace(word, ".$", ""), F.concat(F.lit(" "), F.reverse(rest))
+    changed = F.when(k == 0, F.concat(cut, rest)).when(k == 1, F.concat(F.translate(word, "aeo", "áéó"), rest)).when(k == 2, F.concat(word, other)).when(k == 3, F.concat(F.lit("z"), word, rest)).otherwise(F.col("p_name"))
     got = best_by_variants(p.select("p_partkey", changed.alias("said")), "p_partkey", "said", p.select(F.col("p_partkey").alias("found"), "p_name"), "found", "p_name")
     return got.select("p_partkey", "query", "n_found", "found", "p_name", _r("score").alias("score"), "status")
 

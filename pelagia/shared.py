@@ -26,7 +26,8 @@ def scratch(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master  # the executors of local-cluster share no folder by themselves
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="pelagia-")
         spark.conf.set("spark.checkpoint.dir", root)
