@@ -57,7 +57,7 @@ def asof_forward(left: DataFrame, right: DataFrame, key: str, left_time: str, ri
     """Each left row with the nearest right row of its key at its time or later.
 
     The right row counts if it is at most max_gap_seconds away and the key's right row before it is strictly
-    earlier than the left row; else the payload is null. `order` breaks ties of right times: the first wins.
+    earlier than the left row; else the payload is null. `order`, of any type that sorts, breaks ties of right times: the first wins.
 
     Time is cut into spans of max_gap_seconds. A right row in reach lies in the left row's span or the next, so each right
     row stands in its own span and the one before, and one shuffle by key and span brings both sides together: a key's history is never in
@@ -69,9 +69,9 @@ def asof_forward(left: DataFrame, right: DataFrame, key: str, left_time: str, ri
     r = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull()).withColumn("__prev", F.lag(right_time).over(w))
     hit = F.struct(F.col(right_time).alias("at"), F.col("__prev").alias("prev"), F.struct(*payload).alias("row"))
     r = r.withColumn("__span", F.explode(F.array(span(right_time), span(right_time) - 1)))
-    r = r.select(F.col(key).alias("__key"), "__span", F.col(right_time).alias("__t"), F.lit(1).alias("__side"), F.col(order).cast("long").alias("__ord"), hit.alias("__hit"))
+    r = r.select(F.col(key).alias("__key"), "__span", F.col(right_time).alias("__t"), F.lit(1).alias("__side"), F.col(order).alias("__ord"), hit.alias("__hit"))
     can = F.col(key).isNotNull() & F.col(left_time).isNotNull()
-    l = left.where(can).select(F.col(key).alias("__key"), span(left_time).alias("__span"), F.col(left_time).alias("__t"), F.lit(0).alias("__side"), F.lit(0).cast("long").alias("__ord"), F.struct(*left.columns).alias("__row"))
+    l = left.where(can).select(F.col(key).alias("__key"), span(left_time).alias("__span"), F.col(left_time).alias("__t"), F.lit(0).alias("__side"), F.struct(*left.columns).alias("__row"))
     stacked = l.unionByName(r, allowMissingColumns=True)
     ahead = Window.partitionBy("__key", "__span").orderBy(F.desc("__t"), F.desc("__side"), F.desc("__ord")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = stacked.withColumn("__next", F.last("__hit", ignorenulls=True).over(ahead)).where("__side = 0")

@@ -7,14 +7,18 @@ The data folder holds
     vms_daily/*.csv          position reports, a file a day
     registry_raw.csv         the registry (;), or registry_pages.parquet (region, html)
     vessel_sheets.parquet    rpa, html: the registry's sheet of each vessel
-    observer_trips_raw.csv   observer trips (,)
+    observer_trips_raw.csv   observer trips (,); with a column id_viaje, trip_sheets.parquet may hold id_viaje and html, each trip's detail sheet
     catch_wide.csv, catch_long.csv, landings.csv
     sst, chl, phy, bgc, phy_forecast, bgc_forecast  gridded fields as Parquet, where the ocean is asked for; instead of one
                              of the first four a folder of the product's overlapping Parquet files on the region's axes, sst_files
                              and so on (the last by name wins a time; axes that differ end the run), or of its NetCDF files, sst_nc
 
 Shared stages (observers, registry, fleet reports, landings, forecast) are written once; each source and scope starts from there.
-A product that is there is not made again unless forced, and a stage without rows ends the run.
+Products are versions (sources/versions.py; versions.read reads the last one): one is made again only if it is forced, if the files or products that it is made of
+have changed, or the region, the days or RULES; what is made of it follows, and nothing else. A reader during a run sees one whole version. A stage without rows ends the run.
+
+Beside the products there are files for people: each scope's final table and the forecast, named by its first and last day, as CSV, with a dictionary of the columns. They follow
+their product's version. Each scope has a summary in numbers, and observers/ports_unknown and observers/ports_ambiguous list ports of interest that no trip names and ids with several names.
 
 run_report gets a row for each step and cause of the products that a run makes: product, place, step, what (in, out or why rows were dropped), rows, made_at. Rows that
 neither went on nor were dropped for a cause end the run.
@@ -23,6 +27,7 @@ neither went on nor were dropped for a cause end the run.
 from __future__ import annotations
 
 import argparse
+import functools
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -32,14 +37,17 @@ from pyspark.sql import functions as F
 from pelagia import session
 from pelagia.config import END, SCOPES, SOURCES, START, Region, range_tag, region, scoped
 from pelagia.operators.grid import Axis
-from pelagia.plans import catch, landings, observers, ocean, registry, vms
+from pelagia.operators.ordered import conflicts, keep_first
+from pelagia.plans import catch, landings, observers, ocean, registry, summaries, vms
 from pelagia.shared import file_system, materialize, release
-from pelagia.sources import grid_store
+from pelagia.sources import grid_store, versions
 from pelagia.sources.csv_daily import read_named, read_reports, read_tolerant
 from pelagia.sources.ledger import Ledger, Sift, plain
-from pelagia.sources.products import by_number, exists, write
+from pelagia.sources.products import by_number, described, dictionary, write
 
 STEP = 1 / 24
+#: Raised when the rules of a stage change, so that products of the old ones are made again.
+RULES = 1
 CATCH_FILE = {"bitacora": "catch_wide.csv", "backup": "catch_long.csv"}
 
 
@@ -86,6 +94,7 @@ class Run:
     def __init__(self, spark: SparkSession, data: str, out: str, where: Region, force: bool = False):
         self.spark, self.data, self.out, self.where, self.force = spark, data, f"{out}/{where.key}", where, force
         self.made: list[str] = []
+        self.remade: set[str] = set()
         self.counts: list[tuple] = []
         self.grids: dict[str, DataFrame] = {}
 
@@ -93,20 +102,49 @@ class Run:
         fs, at = file_system(self.spark, f"{self.data}/{name}")
         return fs.exists(at)
 
-    def product(self, name: str, make: Callable[[Sift], DataFrame], empty: bool = False, **options) -> DataFrame:
-        """The product of that name, made if it is not there or forced; what its steps dropped is counted and must balance."""
-        path = f"{self.out}/{name}"
-        if self.force or not exists(self.spark, path):  # making a plan may already run jobs
-            ledger = Ledger()
+    def read(self, name: str) -> DataFrame:
+        return versions.read(self.spark, f"{self.out}/{name}")
+
+    def version(self, name: str, make: Callable[[], DataFrame], raw: tuple[str, ...], of: tuple[str, ...], **options) -> DataFrame:
+        """The product of that name, made anew if it is forced or what it is made of has changed: raw files, and other products."""
+        inputs = {f"raw {r}": f"{self.data}/{r}" for r in raw} | {p: f"{self.out}/{p}" for p in of}
+        settings = {"region": repr(self.where), "days": (START, END), "rules": RULES}
+        rows, anew = versions.make(self.spark, f"{self.out}/{name}", make, inputs, settings, self.force, **options)
+        if anew:
+            self.remade.add(name)
+        return rows
+
+    def product(self, name: str, make: Callable[[Sift], DataFrame], raw: tuple[str, ...] = (), of: tuple[str, ...] = (), empty: bool = False, order: tuple = (), check: Callable[[DataFrame], None] | None = None) -> DataFrame:
+        """A version whose steps are counted: what they dropped must balance before it can be seen."""
+        ledger, cut = Ledger(), []
+
+        def maker() -> DataFrame:
             rows = make(ledger.sift)
-            # a sort by range works its input out twice, and so would count twice
-            whole = materialize(rows) if options.get("order") and ledger.steps else rows
-            write(whole, path, self.force, empty=empty, **options)
-            release(whole)
+            if order and ledger.steps:  # a sort by range works its input out twice, and so would count twice
+                rows = materialize(rows)
+                cut.append(rows)
+            return rows
+
+        def balanced(written: DataFrame) -> None:
+            release(*cut)
+            if check:
+                check(written)
             if ledger.steps:
-                self.counts += ledger.settle(name, self.spark.read.parquet(path).count())
+                self.counts += ledger.settle(name, written.count())
+
+        rows = self.version(name, maker, raw, of, empty=empty, order=order, check=balanced)
+        self.made.append(f"{self.out}/{name}")
+        return rows
+
+    def for_people(self, name: str, of: str, rows: DataFrame, order: tuple = ()) -> None:
+        """rows as one CSV file that follows the version of a product; a mark in the folder tells which one it is of, and is written last."""
+        path, mark = f"{self.out}/{name}", f"{self.out}/{name}/_made_of"
+        made_of = versions.manifest(self.spark, f"{self.out}/{of}")["folder"]
+        fs, at = file_system(self.spark, mark)
+        if not fs.exists(at) or versions.text_of(self.spark, mark) != made_of:
+            write(rows, path, True, csv=True, order=order)
+            versions.put(self.spark, mark, made_of)
         self.made.append(path)
-        return self.spark.read.parquet(path)
 
     def report(self) -> None:
         """Adds the counts of this run's products to the run report."""
@@ -119,83 +157,107 @@ class Run:
     def observed(self) -> DataFrame:
         """Observer trips with their dimensions; returns the vessels."""
         raw = read_named(self.spark, f"{self.data}/observer_trips_raw.csv")
-        trips = self.product("observers/trips_clean", lambda _: observers.clean_trips(raw))
-        ports = self.product("observers/ports", lambda _: observers.ports(trips), order=(by_number("port_id"), "port_name"))
-        self.product("observers/species", lambda _: observers.species(trips), empty=True, order=(by_number("species_id"), "species_name"))
-        vessels = self.product("observers/vessels", lambda _: observers.vessels(trips), order=(by_number("vessel_code"),))
-        zarpes = self.product("observers/zarpes", lambda _: observers.trips_table(trips))
-        self.product("observers/zarpes_region", lambda _: observers.in_region(zarpes, ports, self.where.landed_at), empty=True, order=("zarpe_id",))
+        files = ("observer_trips_raw.csv",)
+        if self.has("trip_sheets.parquet") and "id_viaje" in raw.columns:
+            sheets = keep_first(self.spark.read.parquet(f"{self.data}/trip_sheets.parquet").select("id_viaje", "html"), ["id_viaje"], F.col("html"))
+            raw, files = observers.with_details(raw.drop(*observers.OPTIONAL).join(sheets, "id_viaje", "left")), (*files, "trip_sheets.parquet")
+        clean = "observers/trips_clean"
+        trips = self.product(clean, lambda _: observers.clean_trips(raw), raw=files)
+        ports = self.product("observers/ports", lambda _: observers.ports(trips), of=(clean,), order=(by_number("port_id"), "port_name"))
+        wanted = lambda _: observers.unresolved(ports, self.spark.createDataFrame([(n,) for n in self.where.landed_at], "port_name string"))
+        self.product("observers/ports_unknown", wanted, of=("observers/ports",), empty=True)
+        self.product("observers/ports_ambiguous", lambda _: conflicts(ports, "port_id", "port_name"), of=("observers/ports",), empty=True)
+        self.product("observers/species", lambda _: observers.species(trips), of=(clean,), empty=True, order=(by_number("species_id"), "species_name"))
+        vessels = self.product("observers/vessels", lambda _: observers.vessels(trips), of=(clean,), order=(by_number("vessel_code"),))
+        zarpes = self.product("observers/zarpes", lambda _: observers.trips_table(trips), of=(clean,))
+        self.product("observers/zarpes_region", lambda _: observers.in_region(zarpes, ports, self.where.landed_at), of=("observers/zarpes", "observers/ports"), empty=True, order=("zarpe_id",))
         return vessels
 
     def fleet(self, vessels: DataFrame) -> DataFrame:
         """The exclusive fleet of the region's registry."""
         if self.has("registry_pages.parquet"):
-            raw = registry.from_pages(self.spark.read.parquet(f"{self.data}/registry_pages.parquet"))
+            file, raw = "registry_pages.parquet", registry.from_pages(self.spark.read.parquet(f"{self.data}/registry_pages.parquet"))
         else:
-            raw = read_named(self.spark, f"{self.data}/registry_raw.csv", ";").withColumnsRenamed(registry.HEADERS)
+            file, raw = "registry_raw.csv", read_named(self.spark, f"{self.data}/registry_raw.csv", ";").withColumnsRenamed(registry.HEADERS)
         numbered = raw.withColumn("ord", F.monotonically_increasing_id())
-        clean = self.product("registry/register_clean", lambda sift: registry.clean_register(numbered, sift=sift), order=(by_number("id"),))
-        matched = self.product("registry/register_matched", lambda sift: registry.match_observed(registry.in_scope(clean, self.where.registry_codes, sift=sift), vessels, sift=sift))
-        sheets = self.product("registry/sheets", lambda _: registry.read_sheet(self.spark.read.parquet(f"{self.data}/vessel_sheets.parquet").join(matched, "rpa", "left_semi")))
-        gears = self.product("registry/fishing_types", lambda _: registry.gear_catalogue(sheets), order=("fishing_type_id",))
-        return self.product("registry/register", lambda sift: registry.fleet(matched, sheets, gears, sift), order=(by_number("id"),))
+        clean = self.product("registry/register_clean", lambda sift: registry.clean_register(numbered, sift=sift), raw=(file,), order=(by_number("id"),))
+        matched = self.product("registry/register_matched", lambda sift: registry.match_observed(registry.in_scope(clean, self.where.registry_codes, sift=sift), vessels, sift=sift), of=("registry/register_clean", "observers/vessels"))
+        sheets = self.product("registry/sheets", lambda _: registry.read_sheet(self.spark.read.parquet(f"{self.data}/vessel_sheets.parquet").join(matched, "rpa", "left_semi")), raw=("vessel_sheets.parquet",), of=("registry/register_matched",))
+        gears = self.product("registry/fishing_types", lambda _: registry.gear_catalogue(sheets), of=("registry/sheets",), order=("fishing_type_id",))
+        return self.product("registry/register", lambda sift: registry.fleet(matched, sheets, gears, sift), of=("registry/register_matched", "registry/sheets", "registry/fishing_types"), order=(by_number("id"),))
 
     def shared(self, forecast: bool) -> None:
         vessels = self.observed()
         register = self.fleet(vessels)
-        reports, rejects = read_reports(self.spark, f"{self.data}/vms_daily/*.csv")
-        self.product("rejected_files", lambda _: rejects, empty=True)
-        self.product("reports_fleet", lambda sift: fleet_reports(reports, register, self.where, sift))
+        daily = functools.cache(lambda: read_reports(self.spark, f"{self.data}/vms_daily/*.csv"))  # checks every file, so only for who makes something of it
+        self.product("rejected_files", lambda _: daily()[1], raw=("vms_daily/*.csv",), empty=True)
+        self.product("reports_fleet", lambda sift: fleet_reports(daily()[0], register, self.where, sift), raw=("vms_daily/*.csv",), of=("registry/register",))
         if self.has("landings.csv"):
             rows = read_named(self.spark, f"{self.data}/landings.csv", ";", "ISO-8859-1").withColumns({"ano": F.col("ano").try_cast("int"), "toneladas": F.col("toneladas").try_cast("double")})
-            self.product("landings", lambda sift: landings.filter_landings(rows, self.where.landing_names, START.year, END.year, sift), empty=True)
+            self.product("landings", lambda sift: landings.filter_landings(rows, self.where.landing_names, START.year, END.year, sift), raw=("landings.csv",), empty=True)
         if forecast:
-            physics, biology = (self.spark.read.parquet(f"{self.data}/{g}.parquet") for g in ("phy_forecast", "bgc_forecast"))
-            grid = lambda _: ocean.forecast_grid(physics, biology, *axes(self.where)).select("time", "latitude", "longitude", *ocean.FORECAST, "coast_filled")
-            self.product("forecast_grid", grid, order=("time", "latitude", "longitude"))
+            files = ("phy_forecast.parquet", "bgc_forecast.parquet")
+            layers = lambda: (self.spark.read.parquet(f"{self.data}/{f}") for f in files)
+            grid = lambda _: described(ocean.forecast_grid(*layers(), *axes(self.where)).select("time", "latitude", "longitude", *ocean.FORECAST, "coast_filled"), summaries.NOTES)
+            made = self.product("forecast_grid", grid, raw=files, order=("time", "latitude", "longitude"))
+            first, last = made.agg(F.to_date(F.min("time")), F.to_date(F.max("time"))).first()
+            self.for_people(f"forecast_grid_{range_tag(first, last, days=True)}", "forecast_grid", made.withColumn("time", F.to_date("time")), ("time", "latitude", "longitude"))
+            self.for_people("forecast_grid_dictionary", "forecast_grid", dictionary(made), ("place",))
+
+    def grid_of(self, name: str) -> tuple[str, str]:
+        """Which raw files a grid comes from, and its name among the products: none for a prepared grid that is kept by day itself, and read where it is."""
+        kinds = [f"{name}.parquet", f"{name}_files", f"{name}_nc"]
+        file = next((k for k in kinds if self.has(k)), kinds[0])
+        in_place = file == kinds[0] and self.has(file) and grid_store.DAY in self.spark.read.parquet(f"{self.data}/{file}").columns
+        return file, "" if in_place else f"grids/{name}"
 
     def grid(self, name: str) -> DataFrame:
-        """The store by day of a prepared grid, of a folder of overlapping files, or of the product's NetCDF files, made once a run.
-
-        A prepared grid that is itself kept by day is read where it is.
-        """
+        """The store by day of a prepared grid, of a folder of overlapping files, or of the product's NetCDF files."""
         if name not in self.grids:
-            path, axes_ = f"{self.out}/grids/{name}", axes(self.where)
-            if self.has(f"{name}.parquet"):
-                given = self.spark.read.parquet(f"{self.data}/{name}.parquet")
-                self.grids[name] = given if grid_store.DAY in given.columns else grid_store.store(given, path, self.force)
-            elif not self.force and exists(self.spark, path):
-                self.grids[name] = self.spark.read.parquet(path)
-            elif self.has(f"{name}_files"):
-                self.grids[name] = grid_store.store(grid_store.merged(grid_store.read_files(self.spark, f"{self.data}/{name}_files"), *axes_), path, self.force, empty=False)
-            else:
-                raw = ocean.raw_grid(self.spark, f"{self.data}/{name}_nc", ocean.RAW[name], *axes_, str(START), str(END))
-                self.grids[name] = grid_store.store(raw, path, self.force, empty=False)
+            file, product = self.grid_of(name)
+            at, axes_ = f"{self.data}/{file}", axes(self.where)
+
+            def make() -> DataFrame:
+                if file.endswith("_nc"):
+                    return grid_store.by_day(ocean.raw_grid(self.spark, at, ocean.RAW[name], *axes_, str(START), str(END)))
+                if file.endswith("_files"):
+                    return grid_store.by_day(grid_store.merged(grid_store.read_files(self.spark, at), *axes_))
+                return grid_store.by_day(self.spark.read.parquet(at))
+
+            self.grids[name] = self.version(product, make, (file,), (), partition_by=(grid_store.DAY,), empty=False) if product else self.spark.read.parquet(at)
         return self.grids[name]
 
     def of_source(self, source: str, scope: str, with_ocean: bool) -> None:
         base = scoped(f"zarpes_{range_tag()}", source, scope)
-        path = f"{self.data}/{CATCH_FILE[source]}"
-        raw = read_named(self.spark, path, ",", "ISO-8859-1") if source == "bitacora" else read_tolerant(self.spark, path)
-        vessels, reports = (self.spark.read.parquet(f"{self.out}/{p}") for p in ("observers/vessels", "reports_fleet"))
-        trips = self.product(f"{base}/trips", lambda sift: spine(source, scope, raw, vessels, self.where, sift), order=("zarpe_id",))
-        mine = self.product(f"{base}/pings", lambda sift: tripped(trips, reports, self.where, sift))
-        self.product(f"{base}/pings_trip", lambda _: vms.rounded(mine, {"dist_port_km": 3}).select(*vms.PING_COLUMNS))
+        file = CATCH_FILE[source]
+        raw = read_named(self.spark, f"{self.data}/{file}", ",", "ISO-8859-1") if source == "bitacora" else read_tolerant(self.spark, f"{self.data}/{file}")
+        vessels, reports = self.read("observers/vessels"), self.read("reports_fleet")
+        at = lambda *names: tuple(f"{base}/{n}" for n in names)
+        trips = self.product(f"{base}/trips", lambda sift: spine(source, scope, raw, vessels, self.where, sift), raw=(file,), of=("observers/vessels",), order=("zarpe_id",))
+        mine = self.product(f"{base}/pings", lambda sift: tripped(trips, reports, self.where, sift), of=(*at("trips"), "reports_fleet"))
+        self.product(f"{base}/pings_trip", lambda _: vms.rounded(mine, {"dist_port_km": 3}).select(*vms.PING_COLUMNS), of=at("pings"))
         summary = lambda: vms.trip_summary(mine, carried=("rpa", "vessel_code", "vessel_name"))
-        self.product(f"{base}/trip_summary", lambda _: vms.rounded(summary(), vms.TRIP_DECIMALS).select(*vms.TRIP_COLUMNS))
+        lengths = self.product(f"{base}/trip_summary", lambda _: vms.rounded(summary(), vms.TRIP_DECIMALS).select(*vms.TRIP_COLUMNS), of=at("pings"))
         bouts = vms.bouts(vms.candidates(mine))
-        metrics = self.product(f"{base}/bouts", lambda _: vms.bout_metrics(bouts), empty=True)
+        metrics = self.product(f"{base}/bouts", lambda _: vms.bout_metrics(bouts), of=at("pings"), empty=True)
         labelled = lambda: vms.rounded(vms.label_pings(mine, bouts, metrics, ["ord"]), {"dist_port_km": 3, "turn_deg": 1})
-        marked = self.product(f"{base}/pings_behaviour", lambda _: labelled().select(*vms.PING_COLUMNS, "turn_deg", "behavior", "is_haul", "haul_index"))
-        if marked.count() != mine.count():
-            raise ValueError(f"{base}/pings_behaviour: labels are not one a report")
-        located = self.product(f"{base}/haul_location", lambda _: vms.rounded(haul_table(mine, metrics, trips, self.where), vms.HAUL_DECIMALS))
-        model = self.product(f"{base}/haul_model", lambda sift: vms.model_hauls(located, sift))
+
+        def one_each(marked: DataFrame) -> None:
+            if marked.count() != mine.count():
+                raise ValueError(f"{base}/pings_behaviour: labels are not one a report")
+
+        self.product(f"{base}/pings_behaviour", lambda _: labelled().select(*vms.PING_COLUMNS, "turn_deg", "behavior", "is_haul", "haul_index"), of=at("pings", "bouts"), check=one_each)
+        located = self.product(f"{base}/haul_location", lambda _: vms.rounded(haul_table(mine, metrics, trips, self.where), vms.HAUL_DECIMALS), of=at("pings", "bouts", "trips"))
+        model = self.product(f"{base}/haul_model", lambda sift: vms.model_hauls(located, sift), of=at("haul_location"))
+        final = None
         if with_ocean:
             grids = {g: self.grid(g) for g in sorted({s.grid for s in ocean.SAMPLERS})}
-            final = self.product(f"{base}/haul_env", lambda _: ocean.haul_environment(model, grids, *axes(self.where)), order=("zarpe_id",))
-            write(final.withColumn("env_time", F.to_date("env_time")), f"{self.out}/{base}/haul_env_csv", self.force, csv=True, order=("zarpe_id",))
-            self.made.append(f"{self.out}/{base}/haul_env_csv")
+            sources = [self.grid_of(g) for g in grids]
+            covered = lambda _: described(ocean.haul_environment(model, grids, *axes(self.where)), {c: n for c, n in summaries.NOTES.items() if c not in model.columns})
+            final = self.product(f"{base}/haul_env", covered, raw=tuple(f for f, kept in sources if not kept), of=(*at("haul_model"), *(kept for _, kept in sources if kept)), order=("zarpe_id",))
+            self.for_people(f"{base}/haul_env_csv", f"{base}/haul_env", final.withColumn("env_time", F.to_date("env_time")), ("zarpe_id",))
+        told = at("trip_summary", "haul_location", "haul_env") if with_ocean else at("trip_summary", "haul_location")
+        self.product(f"{base}/summary", lambda _: summaries.summary(lengths, located, final), of=told)
 
 
 def run(spark: SparkSession, data: str, out: str, where: Region, sources: tuple[str, ...] = SOURCES, scopes: tuple[str, ...] = SCOPES, force: bool = False, with_ocean: bool = True, forecast: bool = True, shared: bool = True, by_source: bool = True) -> list[str]:

@@ -47,12 +47,17 @@ def merged(files: DataFrame, lat: Axis, lon: Axis, file: str = "file") -> DataFr
     return union_keep_last(files, file).drop(file)
 
 
+def by_day(grid: DataFrame) -> DataFrame:
+    """A grid's rows as a store holds them. Rows without a time are on no day and belong to no point: they are left out."""
+    rows = grid.where(F.col("time").isNotNull()).withColumn(DAY, day_of(F.col("time")))
+    return rows.repartition(DAY, F.floor(F.col("i_lat") / BAND)).sortWithinPartitions(DAY, "time", "i_lat", "i_lon")
+
+
 def store(grid: DataFrame, path: str, force: bool = False, empty: bool = True) -> DataFrame:
-    """Writes a grid as a store unless it is there, and reads it. Rows without a time are on no day and belong to no point: they are left out."""
-    spark, rows = grid.sparkSession, grid.where(F.col("time").isNotNull()).withColumn(DAY, day_of(F.col("time")))
+    """Writes a grid as a store unless it is there, and reads it."""
+    spark, rows = grid.sparkSession, by_day(grid)
     if force or not exists(spark, path):
-        spread = rows.repartition(DAY, F.floor(F.col("i_lat") / BAND)).sortWithinPartitions(DAY, "time", "i_lat", "i_lon")
-        write(spread, path, force, partition_by=(DAY,), empty=empty)
+        write(rows, path, force, partition_by=(DAY,), empty=empty)
     fs, days = file_system(spark, f"{path}/{DAY}=*")
     return spark.read.parquet(path) if fs.globStatus(days) else spark.createDataFrame([], rows.schema)  # without any day there is no file to tell the columns
 

@@ -75,3 +75,9 @@ def report(df: DataFrame, columns: list[str]) -> DataFrame:
 def described(df: DataFrame, notes: dict[str, str]) -> DataFrame:
     """df with column comments, which Parquet tables and the catalog keep."""
     return df.select(*(F.col(c).alias(c, metadata={"comment": notes[c]}) if c in notes else F.col(c) for c in df.columns))
+
+
+def dictionary(df: DataFrame) -> DataFrame:
+    """place, column, type and comment of each column of a described table."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.metadata.get("comment")) for i, f in enumerate(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "place int, column string, type string, comment string")

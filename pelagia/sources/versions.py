@@ -25,7 +25,7 @@ from pelagia.sources.products import EmptyProduct
 ORPHAN_SECONDS = 86_400
 
 
-def _text(spark: SparkSession, path: str) -> str:
+def text_of(spark: SparkSession, path: str) -> str:
     fs, at = file_system(spark, path)
     stream = fs.open(at)
     try:
@@ -34,7 +34,7 @@ def _text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def _put(spark: SparkSession, path: str, text: str) -> bool:
+def put(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a small file beside its name and gives it the name, if that is free."""
     fs, at = file_system(spark, path)
     fresh = file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")[1]
@@ -61,7 +61,7 @@ def manifest(spark: SparkSession, path: str, number: int | None = None) -> dict
     have = numbers(spark, path)
     if not have or (number is not None and number not in have):
         return None
-    return json.loads(_text(spark, f"{path}/_versions/{number or have[-1]:010d}.json"))
+    return json.loads(text_of(spark, f"{path}/_versions/{number or have[-1]:010d}.json"))
 
 
 def read(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
@@ -94,8 +94,11 @@ def fingerprint(spark: SparkSession, inputs: dict[str, str], settings: dict) ->
     return hashlib.sha256(json.dumps([each, settings], sort_keys=True, default=str).encode()).hexdigest()
 
 
-def make(spark: SparkSession, path: str, maker: Callable[[], DataFrame], inputs: dict[str, str], settings: dict | None = None, force: bool = False, keep: int = 2, empty: bool = True, partition_by: tuple[str, ...] = (), order: tuple[Column | str, ...] = ()) -> tuple[DataFrame, bool]:
-    """The product and whether it was made: only if it is not there, its inputs or settings have changed, or it is forced."""
+def make(spark: SparkSession, path: str, maker: Callable[[], DataFrame], inputs: dict[str, str], settings: dict | None = None, force: bool = False, keep: int = 2, empty: bool = True, partition_by: tuple[str, ...] = (), order: tuple[Column | str, ...] = (), check: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame, bool]:
+    """The product and whether it was made: only if it is not there, its inputs or settings have changed, or it is forced.
+
+    check sees the rows as written, before they are a version; what it raises leaves the version before in place.
+    """
     path, print_ = path.rstrip("/"), fingerprint(spark, inputs, settings or {})
     last = manifest(spark, path)
     if last and last["fingerprint"] == print_ and not force:
@@ -103,16 +106,21 @@ def make(spark: SparkSession, path: str, maker: Callable[[], DataFrame], inputs:
     folder = f"data-{uuid.uuid4().hex}"
     rows = maker()
     (rows.orderBy(*order) if order else rows).write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
-    written = spark.read.parquet(f"{path}/{folder}")
-    if not empty and written.isEmpty():
+    written = spark.read.schema(rows.schema).parquet(f"{path}/{folder}")
+    try:
+        if not empty and written.isEmpty():
+            raise EmptyProduct(path)
+        if check:
+            check(written)
+    except Exception:
         fs, at = file_system(spark, f"{path}/{folder}")
         fs.delete(at, True)
-        raise EmptyProduct(path)
+        raise
     number = max(numbers(spark, path), default=0)
     while True:
         number += 1
         told = {"version": number, "folder": folder, "fingerprint": print_, "inputs": inputs, "settings": settings or {}, "made": time.time()}
-        if _put(spark, f"{path}/_versions/{number:010d}.json", json.dumps(told, default=str)):
+        if put(spark, f"{path}/_versions/{number:010d}.json", json.dumps(told, default=str)):
             break
     tidy(spark, path, keep)
     return written, True

@@ -228,3 +228,11 @@ def test_pivot_like_pandas(spark):
     got = spark.createDataFrame(rows, "k string, s string, w double").groupBy("k").pivot("s", ["JUREL", "BONITO"]).agg(F.sum("w")).na.fill(0.0).toPandas().set_index("k")
     want = pd.DataFrame(rows, columns=list("ksw")).pivot_table(index="k", columns="s", values="w", aggfunc="sum", fill_value=0.0)
     assert got.loc["a", "JUREL"] == want.loc["a", "JUREL"] == 3.0 and got.loc["b", "JUREL"] == 0.0
+
+
+def test_asof_forward_breaks_ties_by_an_order_of_any_type(spark):
+    left = spark.createDataFrame([(1, "v", datetime(2024, 1, 1, 10))], "id int, k string, t timestamp")
+    at = datetime(2024, 1, 1, 12)
+    right = spark.createDataFrame([("v", at, "b", 2), ("v", at, "a", 1)], "k string, r timestamp, ord string, trip int")
+    got = o.asof_forward(left, right, "k", "t", "r", ["trip"], 3600 * 4, "ord").first()
+    assert got.trip == 1

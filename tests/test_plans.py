@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pelagia.config import SPECIES, region
 from pelagia.operators.grid import Axis
 from pelagia.plans import catch, driver, landings, observers, ocean, registry, vms
-from pelagia.plans.run_all import hauls, run
+from pelagia.plans.run_all import Run, hauls, run
+from pelagia.sources import versions
 
 SF = "/root/testdata/sf0.001"
 T0 = datetime(2023, 3, 5, 6)
@@ -238,7 +239,7 @@ def test_whole_run(spark, tmp_path):
     data.mkdir()
     _raw_files(data, spark)
     made = run(spark, str(data), out, region("caldera"))
-    read = lambda name: spark.read.parquet(f"{out}/caldera/{name}")
+    read = lambda name: spark.read.parquet(f"{out}/caldera/run_report") if name == "run_report" else versions.read(spark, f"{out}/caldera/{name}")
     assert [r.id for r in read("registry/register_clean").collect()] == ["2", "10"]  # by number, not by text
     assert [(r.rpa, r.signal_code, r.vessel_code) for r in read("registry/register").collect()] == [("1", "4352", "100")]
     fleet = read("reports_fleet")
@@ -269,6 +270,61 @@ def test_whole_run(spark, tmp_path):
     assert len(made) == len(set(made)) and run(spark, str(data), out, region("caldera"), shared=False) == [p for p in made if "/zarpes_2019" in p]
 
 
+def test_run_again_makes_only_what_depends_on_a_change(spark, tmp_path):
+    data, out = tmp_path / "data", str(tmp_path / "out")
+    data.mkdir()
+    _raw_files(data, spark)
+    trips = (data / "observer_trips_raw.csv").read_text(encoding="utf-8").splitlines()
+    (data / "observer_trips_raw.csv").write_text("\n".join([trips[0] + ",id_viaje", *(f"{t},{k}" for k, t in enumerate(trips[1:]))]) + "\n", encoding="utf-8")
+    page = "<td><strong>Especie Objetivo :</strong></td><td>26 - JUREL</td><td><strong>N&#250;mero Lances :</strong></td><td>4</td>"
+    spark.createDataFrame([("0", page)], "id_viaje string, html string").write.parquet(str(data / "trip_sheets.parquet"))
+    where, base = region("caldera"), "zarpes_2019_2024"
+    again = lambda: run(spark, str(data), out, where, sources=("bitacora",), scopes=("jurel",))
+    read = lambda name: versions.read(spark, f"{out}/caldera/{name}")
+    made = [p.removeprefix(f"{out}/caldera/") for p in again()]
+    plain = {"forecast_grid_20230305_20230305", "forecast_grid_dictionary", f"{base}/haul_env_csv"}
+    state = lambda: {p: versions.manifest(spark, f"{out}/caldera/{p}")["version"] for p in [*made, "grids/sst"] if p not in plain}
+    mark = lambda p: (tmp_path / f"out/caldera/{p}/_made_of").stat().st_mtime_ns
+    assert plain < set(made)
+    assert [r.num_hauls for r in read("observers/trips_clean").orderBy("vessel_code").collect()] == [4, None]
+    assert [r.species_id for r in read("observers/species").collect()] == ["26"]
+    assert read("observers/ports_unknown").count() == 0 and read("observers/ports_ambiguous").count() == 0
+    told = {(r.about, r.measure, r.label): r.value for r in read(f"{base}/summary").collect()}
+    length = read(f"{base}/trip_summary").first().duration_h
+    assert told["duration_h", "median", ""] == told["duration_h", "p90", ""] == length and told["haul_confidence", "n", "alta"] == 1
+    assert told["env_status", "n", "ok"] == 1 and told["sst_c", "mean", ""] == pytest.approx(16.85) and told["sst_c", "n_valid", ""] == 1
+    words = {r["column"]: r.comment for r in spark.read.csv(f"{out}/caldera/forecast_grid_dictionary", header=True).collect()}
+    assert list(words) == read("forecast_grid").columns and all(words.values())
+    assert spark.read.csv(f"{out}/caldera/forecast_grid_20230305_20230305", header=True).first().time == "2023-03-05"
+    before, marks = state(), {p: mark(p) for p in plain}
+    assert set(before.values()) == {1} and again() and state() == before and {p: mark(p) for p in plain} == marks
+    with (data / "landings.csv").open("ab") as f:
+        f.write(b"2021;Atacama;x;JUREL;4\n")
+    again()
+    assert {p for p, n in state().items() if n != before[p]} == {"landings"} and read("landings").count() == 2
+    spark.read.parquet(str(data / "sst.parquet")).withColumn("analysed_sst", F.lit(291.0)).write.parquet(str(data / "sst_new.parquet"))
+    (data / "sst.parquet").rename(data / "sst_old.parquet")
+    (data / "sst_new.parquet").rename(data / "sst.parquet")
+    before = state()
+    again()
+    assert {p for p, n in state().items() if n != before[p]} == {"grids/sst", f"{base}/haul_env", f"{base}/summary"}
+    assert spark.read.csv(f"{out}/caldera/{base}/haul_env_csv", header=True).first().sst_c.startswith("17.85") and mark("forecast_grid_dictionary") == marks["forecast_grid_dictionary"]
+
+
+def test_a_product_that_does_not_balance_is_no_version(spark, tmp_path):
+    work = Run(spark, str(tmp_path), str(tmp_path / "out"), region("caldera"))
+
+    def bad(written):
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        work.product("x", lambda _: spark.range(3), check=bad)
+    assert versions.manifest(spark, f"{work.out}/x") is None and work.made == []
+    with pytest.raises(versions.EmptyProduct):
+        work.product("x", lambda _: spark.range(0))
+    assert work.product("x", lambda _: spark.range(3)).count() == 3
+
+
 def _plain(v):
     return f"{round(v, 5) + 0.0:.5f}" if isinstance(v, float) else str(v)
 
