@@ -9,7 +9,8 @@ one of the family's templates. Training is a small driver task on constant data;
 functions only, and only gated lines are ever shuffled.
 
 Units are lines and, for notices that are wrapped, paragraphs of several lines: blocks between blank lines, with comment
-marks stripped and lines joined. An SPDX line's family is told by its id's prefix.
+marks stripped and lines joined. An SPDX id adds its beginnings (gpl, gpl-2.0, ...) to the features and pairs of its line, so such lines are
+classified, calibrated and confirmed like others, and ids of other licences are part of the unknown class.
 
 Edge cases: a null, empty or blank text has no notices; very long lines are one paragraph like others; equal lines of
 a text are found one by one; repeated rows keep their rows; a tie goes to a family first by name; an empty table
@@ -109,12 +110,31 @@ MIN_OVERLAP = 0.5
 SAMPLE_LINES = 2000
 #: What stands before and after a line's text in a comment.
 _MARKS = r"(?m)^[ \t]*(?:/\*+|\*+/|\*+|//+!?|#+|--+|;+|%+|<!--|-->)?[ \t]*|[ \t]*(?:\*+/|-->)?[ \t]*$"
-#: In joined lines, word pairs of a short template meet by chance: templates of fewer pairs than the first count only in
-#: paragraphs of at most so many words, and only if nearly whole.
+#: In joined lines, word pairs of a short template meet by chance: templates of fewer pairs than the first count only if nearly whole in
+#: paragraphs of at most so many words, or with all their words in a row.
 LONG_TEMPLATE, SHORT_PARAGRAPH, NEARLY_WHOLE = 12, 40, 0.75
-_SPDX = r"(?i)spdx-license-identifier:[ \t]*\(?([a-z0-9.+-]+)"
-#: Prefixes of SPDX ids, the longer ones of a kind first.
-SPDX_PREFIXES = {"AGPL-": "AGPL-3.0", "LGPL-": "LGPL", "GPL-": "GPL", "APACHE-2.0": "Apache-2.0", "BSD-": "BSD", "0BSD": "BSD", "CC-BY-NC": "CC-BY-NC", "CC-BY-SA": "CC-BY-SA", "CC-BY-4": "CC-BY", "CC-BY-3": "CC-BY", "CC0-": "CC0", "ISC": "ISC", "MIT": "MIT", "MPL-2.0": "MPL-2.0"}
+SPDX = "spdx-license-identifier"
+#: Public SPDX ids by family, and ids of licences that are none of these families.
+SPDX_IDS = {
+    "AGPL-3.0": "AGPL-1.0-only AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later",
+    "Apache-2.0": "Apache-2.0",
+    "BSD": "0BSD BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSD-4-Clause-UC",
+    "CC-BY": "CC-BY-1.0 CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-4.0",
+    "CC-BY-NC": "CC-BY-NC-2.0 CC-BY-NC-3.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-3.0 CC-BY-NC-SA-4.0",
+    "CC-BY-SA": "CC-BY-SA-2.0 CC-BY-SA-2.5 CC-BY-SA-3.0 CC-BY-SA-4.0",
+    "CC0": "CC0-1.0",
+    "GPL": "GPL-1.0-only GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later",
+    "ISC": "ISC",
+    "LGPL": "LGPL-2.0-only LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later",
+    "MIT": "MIT MIT-0",
+    "MPL-2.0": "MPL-2.0",
+}
+OTHER_IDS = "Apache-1.0 Apache-1.1 Artistic-2.0 BSL-1.0 CC-BY-ND-3.0 CC-BY-ND-4.0 CDDL-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 MPL-1.0 MPL-1.1 NCSA OFL-1.1 OpenSSL PostgreSQL Python-2.0 Unlicense Zlib"
+#: The beginnings of ids that confirm a family.
+SPDX_STEMS = {
+    "AGPL-3.0": "agpl", "Apache-2.0": "apache-2.0", "BSD": "bsd 0bsd", "CC-BY": "cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0", "CC-BY-NC": "cc-by-nc",
+    "CC-BY-SA": "cc-by-sa", "CC0": "cc0", "GPL": "gpl", "ISC": "isc", "LGPL": "lgpl", "MIT": "mit", "MPL-2.0": "mpl-2.0",
+}
 _TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 #: Words of notices that ordinary prose seldom has.
 LICENCE_WORDS = (
@@ -128,11 +148,18 @@ def line_tokens(line: str) -> list[str]:
     return re.findall(_TOKEN, line.lower())
 
 
+def id_grams(tokens: list[str]) -> set[str]:
+    """The SPDX mark with each beginning, up to a hyphen, of the id behind it: what ids of a family share."""
+    at = tokens.index(SPDX) + 1 if SPDX in tokens else len(tokens)
+    parts = tokens[at].split("-") if at < len(tokens) else []
+    return {f"{SPDX} {'-'.join(parts[: i + 1])}" for i in range(len(parts))}
+
+
 def line_grams(tokens: list[str]) -> set[str]:
-    """1- to 3-grams with a licence word."""
+    """1- to 3-grams with a licence word, and an SPDX id's beginnings."""
     words = set(LICENCE_WORDS)
     runs = (tokens[i : i + n] for n in (1, 2, 3) for i in range(len(tokens) - n + 1))
-    return {" ".join(r) for r in runs if words & set(r)}
+    return {" ".join(r) for r in runs if words & set(r)} | id_grams(tokens)
 
 
 @dataclass
@@ -158,6 +185,19 @@ def _altered(line: str, rng: np.random.Generator) -> list[str]:
     return [" ".join(t) for t in out if t]
 
 
+def _id_lines(ids: str, rng: np.random.Generator) -> list[str]:
+    """Each id behind the mark: alone, beside other words, and as the first of two; ids that share no beginning with others twice as often."""
+    every = " ".join([*SPDX_IDS.values(), OTHER_IDS]).split()
+    filler = lambda: " ".join(f"w{rng.integers(1000)}" for _ in range(int(rng.integers(1, 8))))
+    second = lambda: f"{rng.choice(['or', 'and'])} {rng.choice(every)}"
+    out = []
+    for i in ids.split():
+        alone = sum(x.split("-")[0] == i.split("-")[0] for x in every) == 1
+        for _ in range(4 if alone else 2):
+            out += [f"{SPDX} {i}", f"{SPDX} {i} {filler()}", f"{filler()} {SPDX} {i}", f"{SPDX} {i} {second()}"]
+    return out
+
+
 def _probabilities(x: np.ndarray, w: np.ndarray, b: np.ndarray, t: float = 1.0) -> np.ndarray:
     z = (x @ w + b) / t
     z = np.exp(z - z.max(axis=1, keepdims=True))
@@ -169,6 +209,8 @@ def train(corpus_lines: list[str] = (), seed: int = 3) -> Model:
     rng = np.random.default_rng(seed)
     families = [*sorted(NOTICES), UNKNOWN]
     lines = [(a, families.index(f)) for f, notices in sorted(NOTICES.items()) for n in notices for a in _altered(n, rng)]
+    lines += [(a, families.index(f)) for f, ids in sorted(SPDX_IDS.items()) for a in _id_lines(ids, rng)]
+    lines += [(a, len(families) - 1) for a in _id_lines(OTHER_IDS, rng)]
     lines += [(a, len(families) - 1) for n in OTHERS for a in _altered(n, rng)]
     lines += [(n, len(families) - 1) for n in corpus_lines]
     grams = [line_grams(line_tokens(line)) for line, _ in lines]
@@ -206,14 +248,20 @@ def gate() -> str:
 
 
 def _tables(spark: SparkSession, model: Model) -> tuple[DataFrame, DataFrame]:
-    """The weights (gram, family, weight) and the templates' word pairs (family, pairs): constant, a few thousand rows."""
+    """The weights (gram, family, weight) and the templates (family, pairs, phrase): constant, a few thousand rows."""
     rows = [(g, model.families[k], float(model.weights[i, k])) for g, i in model.grams.items() for k in range(len(model.families))]
-    pairs = [(f, sorted(_pairs(line_tokens(n)))) for f, notices in NOTICES.items() for n in notices]
-    return spark.createDataFrame(rows, "gram string, family string, weight double"), spark.createDataFrame(pairs, "family string, pairs array<string>")
+    return spark.createDataFrame(rows, "gram string, family string, weight double"), spark.createDataFrame(templates(), "family string, pairs array<string>, phrase string")
+
+
+def templates() -> list[tuple[str, list[str], str]]:
+    """(family, word pairs, words) of each notice and of each beginning of an id."""
+    texts = [(f, line_tokens(n)) for f, notices in NOTICES.items() for n in notices if SPDX not in n.lower()]
+    texts += [(f, [SPDX, stem]) for f, stems in SPDX_STEMS.items() for stem in stems.split()]
+    return [(f, sorted({" ".join(p) for p in zip(t, t[1:])}), " ".join(t)) for f, t in texts]
 
 
 def _pairs(tokens: list[str]) -> set[str]:
-    return {" ".join(p) for p in zip(tokens, tokens[1:])} or set(tokens)
+    return {" ".join(p) for p in zip(tokens, tokens[1:])} | id_grams(tokens) or set(tokens)
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", model: Model | None = None) -> DataFrame:
@@ -240,14 +288,18 @@ def _found(gated: DataFrame, key: str, model: Model | None) -> DataFrame:
         known = [set(line_tokens(n)) for notices in NOTICES.values() for n in notices]
         strange = [r[0] for r in sample if all(len(k & set(line_tokens(r[0]))) < 0.5 * len(k) for k in known)]
         model = train(strange)
-    weights, templates = _tables(spark, model)
+    weights, templates_ = _tables(spark, model)
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(_TOKEN), F.lit(0))
     lines = lines.withColumn("tokens", tokens)
     n = F.size("tokens")
     marked = F.filter(F.sequence(F.lit(1), n), lambda i: F.element_at("tokens", i).isin(*LICENCE_WORDS))
     run = lambda i, back, size: F.when((i > back) & (i - back + size - 1 <= n), F.array_join(F.slice("tokens", i - back, F.lit(size)), " "))
     around = lambda i: F.array(*(run(i, back, size) for size in (1, 2, 3) for back in range(size)))
-    near = F.array_compact(F.array_distinct(F.flatten(F.transform(marked, around))))
+    at = F.array_position("tokens", SPDX)
+    parts = F.split(F.get("tokens", at.cast("int")), "-")  # the token behind the mark
+    begun = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.lit(f"{SPDX} "), F.array_join(F.slice(parts, 1, i), "-")))
+    ids = F.when((at > 0) & (at < n), begun).otherwise(F.array().cast("array<string>"))
+    near = F.array_compact(F.array_distinct(F.concat(F.flatten(F.transform(marked, around)), ids)))
     grams = lines.where(n > 0).select("row", "line", F.explode(near).alias("gram"))
     scores = grams.join(F.broadcast(weights), "gram").groupBy("row", "line", "family").agg(F.sum("weight").alias("z"))
     bias = F.create_map(*(F.lit(x) for f, b in zip(model.families, model.bias.tolist()) for x in (f, b)))
@@ -257,20 +309,17 @@ def _found(gated: DataFrame, key: str, model: Model | None) -> DataFrame:
     top = scores.groupBy("row", "line").agg(best, F.max("z").alias("m"), F.collect_list("z").alias("zs"))  # one z a family
     share = 1 / F.aggregate("zs", F.lit(0.0), lambda a, z: a + F.exp(z - F.col("m")))
     top = top.select("row", "line", F.col("best.family").alias("family"), share.alias("probability"))
-    lines = lines.join(top, ["row", "line"], "left").withColumn("pairs", F.when(n > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice("tokens", i, F.lit(2)), " ")))).otherwise(F.col("tokens")))
-    forms = templates.groupBy("family").agg(F.collect_list("pairs").alias("forms"))
-    lines = lines.join(F.broadcast(forms), "family", "left")
-    fits = lambda p: (F.col("line") >= 0) | (F.size(p) >= LONG_TEMPLATE) | ((F.size("tokens") <= SHORT_PARAGRAPH) & (F.size(F.array_intersect("pairs", p)) >= NEARLY_WHOLE * F.size(p)))
-    overlap = F.array_max(F.transform(F.filter("forms", fits), lambda p: F.size(F.array_intersect("pairs", p)) / F.greatest(F.lit(1), F.size(p))))
+    twos = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice("tokens", i, F.lit(2)), " "))
+    lines = lines.join(top, ["row", "line"], "left").withColumn("pairs", F.when(n > 1, F.array_distinct(F.concat(twos, ids))).otherwise(F.col("tokens")))
+    forms = templates_.groupBy("family").agg(F.collect_list(F.struct("pairs", "phrase")).alias("forms"))
+    lines = lines.join(F.broadcast(forms), "family", "left").withColumn("shared", F.transform("forms", lambda p: F.size(F.array_intersect("pairs", p["pairs"])) / F.size(p["pairs"])))
+    words = F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" "))
+    whole = lambda p, share: (F.size("tokens") <= SHORT_PARAGRAPH) & (share >= NEARLY_WHOLE) | F.contains(words, F.concat(F.lit(" "), p["phrase"], F.lit(" ")))
+    fits = lambda p, share: F.when((F.col("line") >= 0) | (F.size(p["pairs"]) >= LONG_TEMPLATE) | whole(p, share), share)
+    overlap = F.coalesce(F.array_max(F.zip_with("forms", "shared", fits)), F.lit(0.0))
     family = F.coalesce("family", F.lit(UNKNOWN))
-    overlap = F.coalesce(overlap, F.lit(0.0))
-    named = F.upper(F.regexp_extract("text", _SPDX, 1))
-    spdx = F.coalesce(*(F.when((F.col("line") >= 0) & named.startswith(p), f) for p, f in SPDX_PREFIXES.items()))
-    family = F.coalesce(spdx, family)
-    overlap = F.when(spdx.isNotNull(), 1.0).otherwise(overlap)
-    probability = F.when(spdx.isNotNull(), 1.0).otherwise(F.col("probability"))
-    confirmed = (family != UNKNOWN) & (F.coalesce(probability, F.lit(0.0)) >= MIN_PROBABILITY) & (overlap >= MIN_OVERLAP)
-    return lines.select("row", key, "line", "text", family.alias("family"), probability.alias("probability"), overlap.alias("overlap"), confirmed.alias("confirmed"))
+    confirmed = (family != UNKNOWN) & (F.coalesce("probability", F.lit(0.0)) >= MIN_PROBABILITY) & (overlap >= MIN_OVERLAP)
+    return lines.select("row", key, "line", "text", family.alias("family"), "probability", overlap.alias("overlap"), confirmed.alias("confirmed"))
 
 
 def by_document(docs: DataFrame, text: str = "text", key: str = "doc_id", model: Model | None = None) -> DataFrame:

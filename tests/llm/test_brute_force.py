@@ -317,7 +317,11 @@ def test_windows_keep_their_budget_system_turn_history_and_mask(spark):
 def plain_licences(texts, model):
     words = set(license_scan.LICENCE_WORDS)
     gate = regex.compile(license_scan.gate())
-    forms = {f: [license_scan._pairs(license_scan.line_tokens(n)) for n in notices] for f, notices in license_scan.NOTICES.items()}
+    mark = "spdx-license-identifier"
+    texts_of_family = {f: [license_scan.line_tokens(n) for n in notices if mark not in n.lower()] for f, notices in license_scan.NOTICES.items()}
+    for f, stems in license_scan.SPDX_STEMS.items():
+        texts_of_family[f] += [[mark, stem] for stem in stems.split()]
+    forms = {f: [({f"{a} {b}" for a, b in zip(t, t[1:])}, f" {' '.join(t)} ") for t in each] for f, each in texts_of_family.items()}
     out = {}
     for i, t in texts.items():
         units = [(line, True) for line in (t or "").split("\n")]
@@ -327,13 +331,12 @@ def plain_licences(texts, model):
         for text, single in units:
             if not gate.search(text):
                 continue
-            spdx = regex.search(license_scan._SPDX, text)
-            named = next((f for p, f in license_scan.SPDX_PREFIXES.items() if spdx and spdx[1].upper().startswith(p)), None) if single else None
-            if named:
-                families.add(named)
-                continue
             tokens = license_scan.line_tokens(text)
-            x = [g for g in {" ".join(tokens[a : a + n]) for n in (1, 2, 3) for a in range(len(tokens) - n + 1) if words & set(tokens[a : a + n])} if g in model.grams]
+            ids, left = set(), tokens[tokens.index(mark) + 1 :] if mark in tokens else []
+            for c, letter in enumerate(left[0] + "-" if left else ""):
+                if letter == "-":
+                    ids.add(f"{mark} {left[0][:c]}")
+            x = [g for g in ids | {" ".join(tokens[a : a + n]) for n in (1, 2, 3) for a in range(len(tokens) - n + 1) if words & set(tokens[a : a + n])} if g in model.grams]
             if not x:
                 continue
             z = (model.bias + sum(model.weights[model.grams[g]] for g in x)) / model.temperature
@@ -341,9 +344,14 @@ def plain_licences(texts, model):
             family = model.families[int(np.argmax(p))]
             if family == license_scan.UNKNOWN or p.max() < license_scan.MIN_PROBABILITY:
                 continue
-            mine = license_scan._pairs(tokens)
-            fits = [f for f in forms[family] if single or len(f) >= license_scan.LONG_TEMPLATE or (len(tokens) <= license_scan.SHORT_PARAGRAPH and len(mine & f) >= license_scan.NEARLY_WHOLE * len(f))]
-            if max((len(mine & f) / len(f) for f in fits), default=0) >= license_scan.MIN_OVERLAP:
+            mine = {f"{a} {b}" for a, b in zip(tokens, tokens[1:])} | ids or set(tokens)
+            shares = []
+            for pairs, phrase in forms[family]:
+                share = len(mine & pairs) / len(pairs)
+                short = len(tokens) <= license_scan.SHORT_PARAGRAPH and share >= license_scan.NEARLY_WHOLE
+                if single or len(pairs) >= license_scan.LONG_TEMPLATE or short or phrase in f" {' '.join(tokens)} ":
+                    shares.append(share)
+            if max(shares, default=0) >= license_scan.MIN_OVERLAP:
                 families.add(family)
         out[i] = sorted(families)
     return out
@@ -357,6 +365,21 @@ def test_licences_of_the_whole_table_against_plain_python(spark):
     assert got == want and sum(map(bool, want.values())) > 5
 
 
+def test_spdx_ids_and_wrapped_notices_against_plain_python(spark):
+    ids = " ".join([*license_scan.SPDX_IDS.values(), license_scan.OTHER_IDS, "WTFPL MITNFA Foo-1.0 LGPL-2.1+ GPL-2.0-with-classpath-exception"]).split()
+    long = "the crew hauled the nets before dawn and counted what they had\n" * 6
+    texts = {k: f"// SPDX-License-Identifier: {i}\nint x;" for k, i in enumerate(ids)}
+    texts |= {100 + k: long + f"and it is all {a}\n{b} as they said\n" + long for k, (a, b) in enumerate((("released under the", "MIT License"), ("licensed under CC", "BY-SA 4.0"), ("licensed under the apache", "license version 2.0"), ("released by the", "MIT museum with license")))}
+    texts |= {200: "SPDX-License-Identifier:", 201: "spdx-license-identifier", 202: "SPDX-License-Identifier: -", 203: "SPDX-License-Identifier: (MIT OR GPL-2.0-only)", 204: "a\nSPDX-License-Identifier: ISC\nb"}
+    model = license_scan.train()
+    got = {r.doc_id: r.families for r in license_scan.by_document(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model=model).collect()}
+    assert got == plain_licences(texts, model)
+    known = {i: f for f, each in license_scan.SPDX_IDS.items() for i in each.split()}
+    for k, i in enumerate(ids):
+        assert got[k] == ([known[i]] if i in known else ["LGPL"] if i == "LGPL-2.1+" else ["GPL"] if i.startswith("GPL") else []), i
+    assert [got[k] for k in (100, 101, 102, 103, 203)] == [["MIT"], ["CC-BY-SA"], ["Apache-2.0"], [], ["MIT"]]
+
+
 def test_licence_model_is_calibrated_and_knows_the_unknown():
     """On altered notices it has not seen: chances near 1 are right nearly as often, and other lines are unknown."""
     model, rng = license_scan.train(), np.random.default_rng(99)
