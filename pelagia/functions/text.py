@@ -8,13 +8,24 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Single letters with marks, by the letter they are built on: Latin letters whose compatibility form is a letter of ASCII and marks.
-_MARKED = {
-    chr(c): base[0]
-    for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF21, 0xFF5B)]
-    if (base := [x for x in unicodedata.normalize("NFKD", chr(c)) if not unicodedata.combining(x)]) and len(base) == 1 and base[0].isascii()
-}
-_FROM, _TO = "".join(_MARKED), "".join(_MARKED.values())
+def _bare(form: str, c: str) -> str:
+    return "".join(x for x in unicodedata.normalize(form, c) if not unicodedata.combining(x))
+
+
+def _plain_forms() -> dict[str, str]:
+    """Characters beyond ASCII by what they are without marks, where their compatibility form is all ASCII (accented letters, ligatures, numerals, full width) or
+    they are one letter of another script with marks."""
+    every = [chr(c) for c in range(0xA0, 0x10000) if not 0xD800 <= c < 0xE000]
+    spelt = {c: _bare("NFKD", c) for c in every}
+    spelt = {c: form for c, form in spelt.items() if form.replace("\u2044", "").isascii()}  # fractions have a slash of their own
+    return {c: form for c, form in ({c: _bare("NFD", c) for c in every} | spelt).items() if form and form != c and (len(form) == 1 or c in spelt)}
+
+
+_PLAIN = _plain_forms()
+_ONE = {c: form for c, form in _PLAIN.items() if len(form) == 1}
+_MANY = {c: form for c, form in _PLAIN.items() if len(form) > 1}
+_FROM, _TO = "".join(_ONE), "".join(_ONE.values())
+_MANY_CLASS = "[" + "".join(_MANY) + "]"
 #: Ordinals at the end of a vessel's name.
 ROMAN = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X")
 
@@ -25,8 +36,10 @@ def blank_to_null(s: Column) -> Column:
 
 
 def strip_accents(s: Column) -> Column:
-    """Latin letters lose their accents; combining marks go."""
-    return F.regexp_replace(F.translate(s, _FROM, _TO), r"\p{M}", "")
+    """Letters lose their accents and combining marks go; ligatures, numerals and the like become the ASCII characters they stand for."""
+    forms = F.str_to_map(F.lit("\x01".join(f"{c}\x02{form}" for c, form in _MANY.items())), F.lit("\x01"), F.lit("\x02"))
+    spelt = F.array_join(F.transform(F.split(s, ""), lambda c: F.coalesce(F.try_element_at(forms, c), c)), "")
+    return F.regexp_replace(F.translate(F.when(s.rlike(_MANY_CLASS), spelt).otherwise(s), _FROM, _TO), r"\p{M}", "")
 
 
 def squeeze(s: Column) -> Column:

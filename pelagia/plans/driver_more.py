@@ -14,8 +14,8 @@ from pelagia.functions import geo, text
 from pelagia.operators import grid as g
 from pelagia.operators import html
 from pelagia.operators import ordered as o
-from pelagia.plans import catch, observers, ocean, registry, vms
-from pelagia.plans.driver import _AT, _GRID, LAT, LON, _grid, _hav, _pings, _query, _r, _reach, _t, _us
+from pelagia.plans import catch, driver, observers, ocean, registry, summaries, vms
+from pelagia.plans.driver import _AT, _GRID, _SQL, LAT, LON, _grid, _hav, _pings, _query, _r, _reach, _t, _us
 from pelagia.sources import csv_daily, products, records
 
 _VESSELS = "ARRAY['KALI', 'Don Beníto II', 'ROCIO - III', 'Pía-Kata  X', 'ÑANDÚ 12']"
@@ -234,3 +234,14 @@ def spine_lookup(spark, sf):
     c = _t(spark, sf, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey", "c_name")
     largest: Column = F.col("o_totalprice") == F.max("o_totalprice").over(Window.partitionBy("o_custkey"))
     return _t(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_name", largest.alias("largest"))
+
+
+@_query(f"""WITH t AS ({_SQL["trip_summary"]}), h AS ({_SQL["haul_model"]})
+ SELECT 'trips' AS about, 'n' AS measure, '' AS label, count(*)::DOUBLE AS value FROM t
+ UNION ALL SELECT 'duration_h', 'median', '', round(quantile_cont(duration_h, 0.5), 6) FROM t HAVING count(duration_h) > 0
+ UNION ALL SELECT 'duration_h', 'p90', '', round(quantile_cont(duration_h, 0.9), 6) FROM t HAVING count(duration_h) > 0
+ UNION ALL SELECT 'haul_confidence', 'n', haul_confidence, count(*)::DOUBLE FROM h GROUP BY haul_confidence""")
+def scope_summary(spark, sf):
+    """A scope's summary of its trips and hauls."""
+    rows = summaries.summary(driver.trip_summary(spark, sf), driver.haul_model(spark, sf))
+    return rows.withColumn("value", F.round("value", 6))

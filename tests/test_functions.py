@@ -1,4 +1,5 @@
 import math
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +90,10 @@ def test_names_and_ranges():
     assert config.scoped("x", "backup", "all") == "x_backup_all_species"
     assert config.range_tag() == "2019_2024"
     assert config.overlap((config.START, config.END), (config.END, config.END)) == (config.END, config.END)
+
+
+def test_accents_and_compatibility_forms_against_unicode(spark):
+    words = ["Ñuñoa ﬁsh", "Ⅳ Región", "ﬃ ½ … №", "Ǆ ĳ", "ＣＡＬＤＥＲＡ", "Nº 1ª", "a\u00a0b", "Ḟ ẞ ß Ø", "е́ Ж й ά", "", None, "plain", "①⑳", "⑴ ㏒"]
+    got = [r[0] for r in spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, s string").orderBy("i").select(text.strip_accents(F.col("s"))).collect()]
+    want = [None if w is None else "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c)) for w in words]
+    assert got == want
