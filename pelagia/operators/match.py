@@ -56,11 +56,13 @@ def fuzzy_match(left: DataFrame, left_key: str, left_name: str, right: DataFrame
     rest = l.join(r, F.col("__ln") == F.col("__rn"), "left_anti")
     counts = r.select(F.explode(_letters(F.col("__rn"))).alias("x")).groupBy("x").count().orderBy(F.desc("count"), "x").limit(LETTERS).collect()  # a bounded list
     seen = F.map_from_arrays(F.array(*(F.lit(c["x"]) for c in counts)), F.array(*(F.lit(i) for i in range(len(counts), 0, -1)))) if counts else F.create_map().cast("map<string,int>")
-    keyed = lambda df, name, t: df.withColumn(t, _letters(F.col(name))).withColumn("__key", F.explode(_keys(F.col(t), F.length(name), seen, cutoff)))
-    names = rest.select("__ln").distinct()
-    pairs = keyed(names, "__ln", "__lt").join(keyed(r.select("__rn"), "__rn", "__rt"), "__key")
-    enough = 2 * F.size(F.array_intersect("__lt", "__rt")) >= cutoff * (F.length("__ln") + F.length("__rn")) - 1e-9
-    pairs = pairs.where(enough).select("__ln", "__rn").distinct().withColumn("score", sequence_ratio(F.col("__rn"), F.col("__ln"))).where(F.col("score") >= cutoff)
+    keyed = lambda df, name: df.select(name, F.explode(_keys(_letters(F.col(name)), F.length(name), seen, cutoff)).alias("__key"))
+    names, (a, b) = rest.select("__ln").distinct(), (F.length("__ln"), F.length("__rn"))
+    near = 2 * F.least(a, b) >= cutoff * (a + b) - 1e-9
+    # names alone meet and are told apart; their letters are worked out again for each pair that is left
+    pairs = keyed(names, "__ln").join(keyed(r.select("__rn"), "__rn"), "__key").where(near).select("__ln", "__rn").distinct()
+    enough = 2 * F.size(F.array_intersect(_letters(F.col("__ln")), _letters(F.col("__rn")))) >= cutoff * (a + b) - 1e-9
+    pairs = pairs.where(enough).withColumn("score", sequence_ratio(F.col("__rn"), F.col("__ln"))).where(F.col("score") >= cutoff)
     order = Window.partitionBy("__ln").orderBy(F.desc("score"), F.desc("__rn"))
     best = pairs.withColumn("__p", F.row_number().over(order)).where(F.col("__p") <= top).where(suffixes_agree(F.col("__ln"), F.col("__rn")))
     picked = best.groupBy("__ln").agg(F.min_by(F.struct("__rn", "score"), "__p").alias("b")).select("__ln", "b.__rn", "b.score")
