@@ -39,7 +39,10 @@ def strip_accents(s: Column) -> Column:
     """Letters lose their accents and combining marks go; ligatures, numerals and the like become the ASCII characters they stand for."""
     forms = F.str_to_map(F.lit("\x01".join(f"{c}\x02{form}" for c, form in _MANY.items())), F.lit("\x01"), F.lit("\x02"))
     spelt = F.array_join(F.transform(F.split(s, ""), lambda c: F.coalesce(F.try_element_at(forms, c), c)), "")
-    return F.regexp_replace(F.translate(F.when(s.rlike(_MANY_CLASS), spelt).otherwise(s), _FROM, _TO), r"\p{M}", "")
+    every = F.regexp_replace(F.translate(F.when(s.rlike(_MANY_CLASS), spelt).otherwise(s), _FROM, _TO), r"\p{M}", "")
+    # Java tries the hundreds of characters of that class one by one: texts that are ASCII, or are so without their accents, skip it
+    beyond, plain = "[^\\x00-\\x7f]", F.translate(s, _FROM, _TO)
+    return F.when(~s.rlike(beyond), s).when(~plain.rlike(beyond), plain).otherwise(every)
 
 
 def squeeze(s: Column) -> Column:

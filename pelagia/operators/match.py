@@ -50,14 +50,19 @@ def fuzzy_match(left: DataFrame, left_key: str, left_name: str, right: DataFrame
     """
     if cutoff <= 2 / 3:
         raise ValueError("a cutoff of two thirds or less can't be blocked on pairs of letters")
-    l = left.select(F.col(left_key).alias("__lk"), vessel_name(F.col(left_name)).alias("__ln")).where("__ln <> ''").distinct()
-    r = right.select(F.col(right_key).alias("__rk"), vessel_name(F.col(right_name)).alias("__rn")).where("__rn <> ''").groupBy("__rn").agg(F.min("__rk").alias("__rk"))
-    exact = l.join(r, F.col("__ln") == F.col("__rn")).select("__lk", "__rk", F.lit(1.0).alias("score"))
-    rest = l.join(r, F.col("__ln") == F.col("__rn"), "left_anti")
+    # Names as they are written are told apart first: they are folded and compared once each, however many rows have them. Empty ones go after
+    # that is written, since Spark would move the filter, and the folding with it, down to the rows.
+    spelt = materialize(left.select(F.col(left_name).alias("__raw")).distinct().withColumn("__ln", vessel_name(F.col("__raw"))))
+    offered = right.groupBy(F.col(right_name).alias("__raw")).agg(F.min(right_key).alias("__rk")).select(vessel_name(F.col("__raw")).alias("__rn"), "__rk")
+    offered = materialize(offered.groupBy("__rn").agg(F.min("__rk").alias("__rk")))
+    asked, r = spelt.where("__ln <> ''"), offered.where("__rn <> ''")
+    names = asked.select("__ln").distinct()
+    exact = names.join(r, F.col("__ln") == F.col("__rn")).select("__ln", "__rk", F.lit(1.0).alias("score"))
+    names = names.join(r, F.col("__ln") == F.col("__rn"), "left_anti")
     counts = r.select(F.explode(_letters(F.col("__rn"))).alias("x")).groupBy("x").count().orderBy(F.desc("count"), "x").limit(LETTERS).collect()  # a bounded list
     seen = F.map_from_arrays(F.array(*(F.lit(c["x"]) for c in counts)), F.array(*(F.lit(i) for i in range(len(counts), 0, -1)))) if counts else F.create_map().cast("map<string,int>")
     keyed = lambda df, name: df.select(name, F.explode(_keys(_letters(F.col(name)), F.length(name), seen, cutoff)).alias("__key"))
-    names, (a, b) = rest.select("__ln").distinct(), (F.length("__ln"), F.length("__rn"))
+    a, b = F.length("__ln"), F.length("__rn")
     near = 2 * F.least(a, b) >= cutoff * (a + b) - 1e-9
     # names alone meet and are told apart; their letters are worked out again for each pair that is left
     pairs = keyed(names, "__ln").join(keyed(r.select("__rn"), "__rn"), "__key").where(near).select("__ln", "__rn").distinct()
@@ -66,8 +71,11 @@ def fuzzy_match(left: DataFrame, left_key: str, left_name: str, right: DataFrame
     order = Window.partitionBy("__ln").orderBy(F.desc("score"), F.desc("__rn"))
     best = pairs.withColumn("__p", F.row_number().over(order)).where(F.col("__p") <= top).where(suffixes_agree(F.col("__ln"), F.col("__rn")))
     picked = best.groupBy("__ln").agg(F.min_by(F.struct("__rn", "score"), "__p").alias("b")).select("__ln", "b.__rn", "b.score")
-    found = rest.join(picked, "__ln").join(r, "__rn").select("__lk", "__rk", "score")
-    return exact.unionByName(found).select(F.col("__lk").alias(left_key), F.col("__rk").alias(right_key), "score")
+    told = exact.unionByName(picked.join(r, "__rn").select("__ln", "__rk", "score"))
+    told = materialize(asked.join(told, "__ln").select("__raw", "__ln", "__rk", "score"))
+    release(spelt, offered)
+    out = left.select(F.col(left_key).alias("__lk"), F.col(left_name).alias("__raw")).join(told, "__raw").select("__lk", "__ln", "__rk", "score").distinct()
+    return out.select(F.col("__lk").alias(left_key), F.col("__rk").alias(right_key), "score")
 
 
 def best_match(pairs: DataFrame, key: str, wanted: str, offered: str, sure: float = 0.8) -> DataFrame:

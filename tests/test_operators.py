@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pelagia.operators import grid as g
-from pelagia.operators import html
+from pelagia.operators import html, match
 from pelagia.operators import ordered as o
 from pelagia.operators.match import best_match, fuzzy_match
 from pelagia.operators.nearest import nearest_point
@@ -207,6 +207,22 @@ def test_fuzzy_match_against_difflib(spark):
         assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in want)
 
 
+def test_fuzzy_match_folds_a_name_once_however_many_rows_have_it(spark, monkeypatch):
+    rows = spark.range(2000).select("id", F.when(F.col("id") % 50 == 0, "").when(F.col("id") % 2 == 0, "Don Benito").otherwise("Rocio Azul").alias("n"))
+    offered = spark.range(1000, 3000).select(F.col("id").alias("other"), F.when(F.col("id") % 2 == 0, "DON BENITTO").otherwise("rocio azul").alias("m"))
+    n = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def fold(text):
+        n.add(1)
+        return None if text is None else text.upper()
+
+    monkeypatch.setattr(match, "vessel_name", fold)
+    got = {r.id: (r.other, round(r.score, 3)) for r in fuzzy_match(rows, "id", "n", offered, "other", "m").collect()}
+    assert got == {i: (1001, 1.0) if i % 2 else (1000, 0.952) for i in range(2000) if i % 50}
+    assert 0 < n.value < 200
+
+
 def test_best_match(spark):
     pairs = spark.createDataFrame([(1, "ROCIO", "ROCIO I"), (1, "ROCIO", "MARIA"), (2, "ABCDEF", "ABXX")], "k int, a string, b string")
     got = {r.k: (r.b, r.status) for r in best_match(pairs, "k", "a", "b").collect()}
