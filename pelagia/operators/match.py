@@ -129,17 +129,19 @@ def best_by_variants(people: DataFrame, key: str, name: str, catalogue: DataFram
     Names are searched once each, however many rows have them. An entry stands in an index under each of its beginnings; only names whose variants so far were not sure go on to
     the next, wider one. Frequent beginnings are spread by skew joins, and no group is ever gathered.
     """
-    surname, whole = _person(F.col(name))
-    rows = people.select(F.col(key).alias("key"), surname.alias("surname"), whole.alias("wanted"))
-    distinct = rows.where("wanted <> ''").select("surname", "wanted").distinct()
+    surname, whole = _person(F.col("raw"))
+    # told apart as they are written, so that they are folded once each; a filter here would be moved down to the rows, and the folding with it
+    said = materialize(people.select(F.col(name).alias("raw")).distinct().select("raw", surname.alias("surname"), whole.alias("wanted")))
+    distinct = said.where("wanted <> ''").select("surname", "wanted").distinct()
     open_ = materialize(distinct.withColumn("variants", search_variants(F.col("surname"))).withColumn("letters", _letters(F.col("wanted"))))
-    theirs, full = _person(F.col(offered_name))
-    entries = catalogue.select(F.col(offered_key).alias("offered_key"), theirs.alias("surname"), full.alias("offered")).where("offered <> ''")
+    written = catalogue.groupBy(F.col(offered_name).alias("raw")).agg(F.min(offered_key).alias("offered_key"))
+    written = materialize(written.select("offered_key", surname.alias("surname"), whole.alias("offered")))
+    entries = written.where("offered <> ''")
     starts = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), lambda i: F.substring(s, F.lit(1), i))
     begins = F.array_distinct(F.concat(starts(F.col("surname")), starts(folded(F.col("surname")))))
     index = entries.select("surname", "offered").distinct().select("offered", F.explode(begins).alias("query")).where(F.length("query") >= 3).distinct()
     index = materialize(index.withColumn("offered_letters", _letters(F.col("offered"))))
-    found, scratch = None, [open_, index]
+    found, scratch = None, [said, written, open_, index]
     for k in range(VARIANTS):
         got = materialize(_round(open_, index, k))
         scratch.append(got)
@@ -149,8 +151,8 @@ def best_by_variants(people: DataFrame, key: str, name: str, catalogue: DataFram
         scratch.append(open_)
     best = found.groupBy("surname", "wanted").agg(F.max("best").alias("best")).select("surname", "wanted", "best.*")
     keys = entries.groupBy(F.col("offered").alias("name")).agg(F.min("offered_key").alias("offered_key"))
-    told = materialize(best.join(keys, "name"))
+    told = materialize(best.join(keys, "name").join(said, ["surname", "wanted"]).select("raw", "query", "n_found", "offered_key", "name", "score"))
     release(*scratch)
-    out = rows.join(told, ["surname", "wanted"], "left")
+    out = people.select(F.col(key).alias("key"), F.col(name).alias("raw")).join(told, "raw", "left")
     status = F.when(F.col("score") >= sure, "match").when(F.col("score").isNotNull(), "match_dudoso").otherwise("sin_match")
     return out.select(F.col("key").alias(key), "query", F.coalesce("n_found", F.lit(0)).alias("n_found"), F.col("offered_key").alias(offered_key), F.col("name").alias(offered_name), "score", status.alias("status"))
