@@ -2,8 +2,10 @@ import hashlib
 import math
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward, empty
 from pyspark.sql import functions as F
@@ -134,6 +136,40 @@ def test_search_holds_one_segment_and_one_block_of_queries(spark, monkeypatch):
     assert want and search.search(index, asked).orderBy("query", "rank").collect() == want
 
 
+def test_search_walks_a_segment_for_many_queries_at_once(spark, monkeypatch):
+    """A segment is walked for a hundred queries in one pass; however they are cut, and however few documents are told apart, the best stay the same."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where(F.col("text").isNotNull())
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    packed = search._segments(iter(pa.Table.from_pylist([{"doc_id": i, "text": t} for i, t in sorted(texts.items())], pa.schema([("doc_id", pa.int64()), ("text", pa.string())])).to_batches()))
+    index = pa.Table.from_batches(list(packed))
+    asked = pa.table({"doc_id": pa.array(sorted(texts)), "text": pa.array([texts[i] for i in sorted(texts)], pa.string())})
+    terms = pa.Table.from_batches(list(search._query_terms(iter(asked.to_batches()))))
+    query, term, tf = (terms.column(c).to_numpy() for c in ("query", "term", "tf"))
+    _, code, df = np.unique(term, return_inverse=True, return_counts=True)
+    n, mean = len(texts), sum(index.column("total").to_pylist()) / len(texts)
+    weight = tf * np.log1p((n - df[code] + 0.5) / (df[code] + 0.5))
+    sent = SimpleNamespace(value=search._Queries(query, term, weight, df[code] > search.COMMON * n))
+    walks, walk = [], search._walk
+    monkeypatch.setattr(search, "_walk", lambda *a: walks.append(a[3] - a[2]) or walk(*a))
+
+    def run():
+        walks.clear()
+        out = pa.Table.from_batches(list(search._search_task(iter(index.select(list(search._PACKED)).to_batches()), sent, mean, 10, True)))
+        return sorted(zip(*(out.column(c).to_pylist() for c in out.column_names)))
+
+    got = run()
+    assert max(walks) > 100
+    best = {}
+    for q, d, s in got:
+        best.setdefault(q, {})[d] = s
+    for q, scores in brute_search(texts).items():
+        assert sorted(best.get(q, {}).values(), reverse=True) == pytest.approx(scores)
+    for name, value in (("_TOGETHER", 1), ("_CELLS", 1), ("_MANY", 0), ("_MANY", 1 << 30)):
+        with monkeypatch.context() as m:
+            m.setattr(search, name, value)
+            assert run() == got
+
+
 def test_search_on_awkward_and_empty(spark):
     d = awkward(spark)
     got = search.search(search.build_index(d), d).collect()
