@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 from types import SimpleNamespace
@@ -170,6 +171,61 @@ def test_search_walks_a_segment_for_many_queries_at_once(spark, monkeypatch):
             assert run() == got
 
 
+def two_languages(n):
+    draw = random.Random(7)
+    words = [[f"{c}{i}" for i in range(400)] for c in "ab"]
+    texts = {i: " ".join(draw.choices(words[i % 2], range(400, 0, -1), k=60)) + " 7" for i in range(n)}
+    return texts | {n - 1: texts[0], n - 2: texts[0]}
+
+
+def test_search_leaves_segments_of_other_languages(monkeypatch):
+    """Texts of a task are dealt to segments by kind, and a query whose k-th score is known scores nothing where another language is."""
+    texts = two_languages(1200)
+    index = pa.Table.from_batches(list(search._segments(iter(pa.table({"doc_id": sorted(texts), "text": [texts[i] for i in sorted(texts)]}).to_batches()))))
+    tongue = {i: t[0] for i, t in texts.items()}
+    held = [{tongue[i] for i in np.frombuffer(x.as_py(), "<i8").tolist()} for x in index.column("ids")]
+    assert sorted(held, key=min) == [{"a"}, {"b"}]
+    asked = pa.table({"doc_id": [i for i in texts if i % 20 == 0 or i % 20 == 5], "text": [t for i, t in texts.items() if i % 20 == 0 or i % 20 == 5]})
+    query, term, tf = (pa.Table.from_batches(list(search._query_terms(iter(asked.to_batches())))).column(c).to_numpy() for c in ("query", "term", "tf"))
+    df = Counter()
+    for names, counts in zip(index.column("terms"), index.column("counts")):
+        df.update(dict(zip(np.frombuffer(names.as_py(), "<i8").tolist(), np.frombuffer(counts.as_py(), "<i4").tolist())))
+    df = np.array([df[t] for t in term.tolist()])
+    weight, mean = tf * np.log1p((1200 - df + 0.5) / (df + 0.5)), sum(index.column("total").to_pylist()) / 1200
+    sent = SimpleNamespace(value=search._Queries(query, term, weight, df > search.COMMON * 1200))
+    scored, score = [], search._scored
+    monkeypatch.setattr(search, "_scored", lambda *a: scored.append((len(a[1]), tongue[int(a[0].ids[0])])) or score(*a))
+
+    def run(begin):
+        scored.clear()
+        out = pa.Table.from_batches(list(search._search_task(iter(index.select(list(search._PACKED)).to_batches()), sent, mean, 10, True, begin))).to_pylist()
+        return {q: sorted((r["score"] for r in out if r["query"] == q), reverse=True) for q in {r["query"] for r in out}}, sum(n for n, _ in scored)
+
+    plain, all_of = run(None)
+    got, few = run(np.array([plain[q][-1] for q in sent.value.ids.tolist()]))
+    assert got == plain and few == len(asked) < all_of
+    for q, scores in brute_search(texts).items():
+        assert got[q] == pytest.approx(scores)
+
+
+def test_search_begins_with_a_few_segments(spark, monkeypatch):
+    """What a few segments give bounds the rest; results stay the same, and equal texts go by id wherever they lie."""
+    texts = two_languages(1200)
+    d = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    index = search.build_index(d.repartition(40, "doc_id"))
+    assert index.count() >= 2 * search._LEAD
+    reached, called = search._reached, []
+    monkeypatch.setattr(search, "_reached", lambda *a: called.append(1) or reached(*a))
+    run = lambda: search.search(index, d.where("doc_id % 20 = 0")).orderBy("query", "rank").collect()
+    got = run()
+    assert called
+    monkeypatch.setattr(search, "_LEAD", 1000)
+    assert run() == got and len(called) == 1
+    for q, scores in brute_search(texts).items():
+        assert [r.score for r in got if r.query == q] == pytest.approx(scores)
+    assert [r.doc_id for r in got if r.query == 0][:2] == [1198, 1199]
+
+
 def test_search_on_awkward_and_empty(spark):
     d = awkward(spark)
     got = search.search(search.build_index(d), d).collect()
