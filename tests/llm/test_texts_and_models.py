@@ -208,6 +208,14 @@ def test_search_leaves_segments_of_other_languages(monkeypatch):
         assert got[q] == pytest.approx(scores)
 
 
+def test_search_segments_of_short_texts_have_bounded_rows():
+    ids, batches = [], pa.table({"doc_id": range(50_000), "text": [f"w{i % 9}" if i % 7 else "" for i in range(50_000)]}).to_batches(max_chunksize=10_000)
+    for segment in search._segments(iter(batches)):
+        assert segment.column("n")[0].as_py() <= 4096
+        ids += np.frombuffer(segment.column("ids")[0].as_py(), "<i8").tolist()
+    assert sorted(ids) == list(range(50_000))
+
+
 def test_search_begins_with_a_few_segments(spark, monkeypatch):
     """What a few segments give bounds the rest; results stay the same, and equal texts go by id wherever they lie."""
     texts = two_languages(1200)
