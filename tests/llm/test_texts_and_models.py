@@ -2,11 +2,15 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
+from functools import reduce
+from operator import add
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import awkward, empty
 from pyspark.sql import functions as F
@@ -234,6 +238,44 @@ def test_search_begins_with_a_few_segments(spark, monkeypatch):
     assert [r.doc_id for r in got if r.query == 0][:2] == [1198, 1199]
 
 
+def test_search_reads_a_file_of_segments_one_by_one(spark, monkeypatch):
+    """A task's segments lie in one file, but neither Parquet's reader nor Python gets several large ones at once."""
+    d = spark.range(0, 2400, 1, 1).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda i: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", i), F.lit(60_000)))), " ").alias("text"))
+    index = search.build_index(d)
+    metas = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(i) for m in metas for i in range(m.num_row_groups)]
+    largest = index.agg(F.max(reduce(add, (F.octet_length(c) for c in search._PACKED)))).first()[0]
+    assert index.count() >= 3 and max(g.total_byte_size for g in groups) < 1.5 * largest
+
+    name, set_to, true = "spark.sql.execution.arrow.maxRecordsPerBatch", [], search.materialize
+    before = spark.conf.get(name)
+    monkeypatch.setattr(search, "materialize", lambda df, *a, **b: set_to.append((spark.conf.get(name), df.columns)) or true(df, *a, **b))
+    assert search.search(index, d.where("doc_id % 800 = 0")).count() == 30
+    assert spark.conf.get(name) == before and {n for n, c in set_to if "score" in c} == {"1"} and {n for n, c in set_to if "score" not in c} == {before}
+
+
+def test_search_sums_bounded_postings_at_once(monkeypatch):
+    """Long queries side by side are summed in pieces: memory follows one query, not all of them, and sums stay the same."""
+    draw, terms, blocks = np.random.default_rng(3), 1500, 16
+    docs = np.tile(np.arange(0, 64 * blocks, 64), terms)
+    seg = SimpleNamespace(ids=np.arange(64 * blocks), n_blocks=blocks, first=np.arange(terms + 1) * blocks, block=docs // 64, most=draw.random(terms * blocks), counts=np.full(terms, blocks), postings=np.arange(terms) * blocks, docs=docs, part=draw.random(terms * blocks))
+    n = 250
+    who, term, weight = np.repeat(np.arange(n), terms), np.tile(np.arange(terms), n), draw.random(n * terms)
+
+    def run():
+        return search._rare_bounds(seg, who, term, weight, n), search._sums(seg, who, term, weight, n, None)
+
+    tracemalloc.start()
+    got, _ = run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    assert got == pytest.approx(weight.reshape(n, terms) @ seg.most.reshape(terms, blocks))
+    few = run()
+    monkeypatch.setattr(search, "_POSTINGS", 1)
+    assert all((a == b).all() for a, b in zip(few, run()))
+
+
 def test_search_on_awkward_and_empty(spark):
     d = awkward(spark)
     got = search.search(search.build_index(d), d).collect()
